@@ -8,33 +8,10 @@ from pyspark.sql import functions as F
 
 def market_date(text: Column) -> Column:
     """Calendar date of a local timestamp text: its first ten characters."""
-    return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
+    return F.substring(text, 1, 10).try_cast("date")
 
 
 def epoch_ms_date(ms: Column) -> Column:
     """UTC date of epoch milliseconds, whatever the session time zone is."""
     seconds = (ms / F.lit(1000)).try_cast("bigint")
     return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int"))
-
-
-def iso_date(text: Column) -> Column:
-    """Date of an ISO 8601 calendar or week date, NULL for anything else."""
-    extended = F.when(
-        text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(text, "yyyy-MM-dd")
-    )
-    basic = F.when(text.rlike(r"^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd"))
-    week_form = r"^([0-9]{4})-?W([0-9]{2})(?:-?([1-7]))?$"
-    is_week = text.rlike(r"^[0-9]{4}(-W[0-9]{2}(-[1-7])?|W[0-9]{2}[1-7]?)$")
-    year = F.regexp_extract(text, week_form, 1).try_cast("int")
-    week = F.regexp_extract(text, week_form, 2).try_cast("int")
-    day = F.coalesce(F.regexp_extract(text, week_form, 3).try_cast("int"), F.lit(1))
-    # 4 January is always in week 1, 28 December always in the last week.
-    first = F.try_to_date(F.concat(year.cast("string"), F.lit("-01-04")), "y-MM-dd")
-    last = F.try_to_date(F.concat(year.cast("string"), F.lit("-12-28")), "y-MM-dd")
-    monday = F.date_sub(first, F.weekday(first))
-    by_week = F.when(
-        is_week & week.between(F.lit(1), F.weekofyear(last)),
-        F.date_add(monday, (week - 1) * 7 + day - 1),
-    )
-    parsed = F.coalesce(extended, basic, by_week)
-    return F.when(parsed >= F.lit("0001-01-01").cast("date"), parsed)

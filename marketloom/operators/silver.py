@@ -125,4 +125,6 @@ def one_per_day(table: DataFrame, key: str, day: str, value: str) -> DataFrame:
     others = [c for c in table.columns if c not in {key, day, value, *order, "bronze_file_path"}]
     newest = F.max(F.struct(*order, value, *others)).alias("_newest")
     kept = table.groupBy(key, day).agg(newest)
-    return kept.select(key, day, *[F.col(f"_newest.{c}").alias(c) for c in (*others, value)])
+    return kept.select(
+        key, day, *[F.col(f"_newest.{c}").alias(c) for c in (*others, *order, value)]
+    )

@@ -290,7 +290,7 @@ def transfer_candidates(winner: DataFrame, grid: Grid, step: int) -> DataFrame:
     return _as_candidates(moved.filter(f"{within} AND {crypto_units} <= {grid.crypto_cap}"), grid)
 
 
-def _fixed(spark: SparkSession, row: DataFrame) -> DataFrame:
+def one_row(spark: SparkSession, row: DataFrame) -> DataFrame:
     """A one-row result as literals, so that later steps do not run its plan again."""
     (values,) = row.take(1)
     columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, row.schema)]
@@ -314,10 +314,10 @@ def search_best(
     until no move helps. Each round is one job; between rounds only the moments
     and the winning row, whose size the symbol list sets, are kept.
     """
-    known = _fixed(spark, moments.select("annual_returns", "annual_covariances"))
+    known = one_row(spark, moments.select("annual_returns", "annual_covariances"))
 
     def pick(candidates: DataFrame) -> DataFrame:
-        return _fixed(spark, best(score(candidates, known, risk_free_rate)))
+        return one_row(spark, best(score(candidates, known, risk_free_rate)))
 
     starts = starting_candidate(spark, grid, current)
     if grid.starts_on_lattice:

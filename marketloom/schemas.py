@@ -4,73 +4,192 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+STRING, DOUBLE, LONG = StringType(), DoubleType(), LongType()
+BOOLEAN, DATE, TIMESTAMP = BooleanType(), DateType(), TimestampType()
+
+
+def _table(columns: dict[str, DataType], nullable: str = "") -> StructType:
+    """A schema whose columns are required unless named in ``nullable``."""
+    optional = nullable.split()
+    return StructType([StructField(c, t, c in optional) for c, t in columns.items()])
 
-_BAR = "struct<Date: string, Open: double, High: double, Low: double, Close: double, Volume: double>"
 
-RAW_STRUCT = StructType.fromDDL(f"source string, symbol string, records array<{_BAR}>")
-RAW_ARRAY = StructType.fromDDL("source string, symbol string, records array<array<string>>")
+def _document(record: DataType) -> StructType:
+    fields = {"source": STRING, "symbol": STRING, "records": ArrayType(record)}
+    return _table(fields, nullable="source symbol records")
+
+
+_BAR_NUMBERS = ["Open", "High", "Low", "Close", "Volume"]
+_BAR = _table(
+    {"Date": STRING, **dict.fromkeys(_BAR_NUMBERS, DOUBLE)},
+    nullable="Date Open High Low Close Volume",
+)
+
+RAW_STRUCT = _document(_BAR)
+RAW_ARRAY = _document(ArrayType(STRING))
 
-ASSETS = StructType.fromDDL(
-    "symbol string not null, asset_class string not null, source string not null, "
-    "currency string not null, description string, is_active boolean not null"
+ASSETS = _table(
+    {
+        "symbol": STRING,
+        "asset_class": STRING,
+        "source": STRING,
+        "currency": STRING,
+        "description": STRING,
+        "is_active": BOOLEAN,
+    },
+    nullable="description",
 )
-ASSET_PRICES = StructType.fromDDL(
-    "symbol string not null, asset_class string not null, source string not null, "
-    "price_date date not null, open_price double, high_price double, low_price double, "
-    "close_price double, volume double, currency string not null, "
-    "ingestion_run_date date not null, bronze_file_path string"
+ASSET_PRICES = _table(
+    {
+        "symbol": STRING,
+        "asset_class": STRING,
+        "source": STRING,
+        "price_date": DATE,
+        "open_price": DOUBLE,
+        "high_price": DOUBLE,
+        "low_price": DOUBLE,
+        "close_price": DOUBLE,
+        "volume": DOUBLE,
+        "currency": STRING,
+        "ingestion_run_date": DATE,
+        "bronze_file_path": STRING,
+    },
+    nullable="open_price high_price low_price close_price volume bronze_file_path",
 )
-FX_RATES = StructType.fromDDL(
-    "symbol string not null, source string not null, rate_date date not null, "
-    "base_currency string not null, quote_currency string not null, rate double not null, "
-    "ingestion_run_date date not null, bronze_file_path string"
+FX_RATES = _table(
+    {
+        "symbol": STRING,
+        "source": STRING,
+        "rate_date": DATE,
+        "base_currency": STRING,
+        "quote_currency": STRING,
+        "rate": DOUBLE,
+        "ingestion_run_date": DATE,
+        "bronze_file_path": STRING,
+    },
+    nullable="bronze_file_path",
 )
-DIM_DATE = StructType.fromDDL(
-    "date_key date not null, calendar_year bigint not null, calendar_quarter bigint not null, "
-    "calendar_month bigint not null, month_name string not null, day_of_month bigint not null, "
-    "day_of_week bigint not null, day_name string not null, is_weekend boolean not null"
+DIM_DATE = _table(
+    {
+        "date_key": DATE,
+        "calendar_year": LONG,
+        "calendar_quarter": LONG,
+        "calendar_month": LONG,
+        "month_name": STRING,
+        "day_of_month": LONG,
+        "day_of_week": LONG,
+        "day_name": STRING,
+        "is_weekend": BOOLEAN,
+    }
 )
 DIM_ASSET = ASSETS
-DIM_PORTFOLIO = StructType.fromDDL(
-    "portfolio_name string not null, portfolio_type string not null, description string, "
-    "is_active boolean not null"
+DIM_PORTFOLIO = _table(
+    {
+        "portfolio_name": STRING,
+        "portfolio_type": STRING,
+        "description": STRING,
+        "is_active": BOOLEAN,
+    },
+    nullable="description",
 )
-PORTFOLIO_WEIGHTS = StructType.fromDDL(
-    "portfolio_name string not null, symbol string not null, target_weight double not null"
+PORTFOLIO_WEIGHTS = _table(
+    {"portfolio_name": STRING, "symbol": STRING, "target_weight": DOUBLE}
 )
-FACT_ASSET_DAILY = StructType.fromDDL(
-    "symbol string not null, date_key date not null, close_price_native double not null, "
-    "close_price_aud double not null, daily_return double, is_price_observed boolean not null, "
-    "is_price_forward_filled boolean not null, is_fx_observed boolean not null, "
-    "is_fx_forward_filled boolean not null, source_price_date date not null, source_fx_date date"
+FACT_ASSET_DAILY = _table(
+    {
+        "symbol": STRING,
+        "date_key": DATE,
+        "close_price_native": DOUBLE,
+        "close_price_aud": DOUBLE,
+        "daily_return": DOUBLE,
+        "is_price_observed": BOOLEAN,
+        "is_price_forward_filled": BOOLEAN,
+        "is_fx_observed": BOOLEAN,
+        "is_fx_forward_filled": BOOLEAN,
+        "source_price_date": DATE,
+        "source_fx_date": DATE,
+    },
+    nullable="daily_return source_fx_date",
 )
-FACT_PORTFOLIO_DAILY = StructType.fromDDL(
-    "portfolio_name string not null, date_key date not null, daily_return double not null, "
-    "cumulative_return double not null, has_forward_filled_price boolean not null, "
-    "has_forward_filled_fx boolean not null, observed_asset_count bigint not null, "
-    "forward_filled_price_count bigint not null, forward_filled_fx_count bigint not null"
+FACT_PORTFOLIO_DAILY = _table(
+    {
+        "portfolio_name": STRING,
+        "date_key": DATE,
+        "daily_return": DOUBLE,
+        "cumulative_return": DOUBLE,
+        "has_forward_filled_price": BOOLEAN,
+        "has_forward_filled_fx": BOOLEAN,
+        "observed_asset_count": LONG,
+        "forward_filled_price_count": LONG,
+        "forward_filled_fx_count": LONG,
+    }
 )
-FACT_PORTFOLIO_SUMMARY_DAILY = StructType.fromDDL(
-    "portfolio_name string not null, date_key date not null, observation_count bigint not null, "
-    "ytd_return double, annual_return double, annual_volatility double, "
-    "risk_free_rate double not null, sharpe_ratio double, max_drawdown double"
+FACT_PORTFOLIO_SUMMARY_DAILY = _table(
+    {
+        "portfolio_name": STRING,
+        "date_key": DATE,
+        "observation_count": LONG,
+        "ytd_return": DOUBLE,
+        "annual_return": DOUBLE,
+        "annual_volatility": DOUBLE,
+        "risk_free_rate": DOUBLE,
+        "sharpe_ratio": DOUBLE,
+        "max_drawdown": DOUBLE,
+    },
+    nullable="ytd_return annual_return annual_volatility sharpe_ratio max_drawdown",
 )
-FACT_OPTIMIZER_SUMMARY = StructType.fromDDL(
-    "portfolio_name string not null, as_of_date date not null, lookback_start_date date not null, "
-    "lookback_end_date date not null, observation_count bigint not null, "
-    "risk_free_rate double not null, annual_return double, annual_volatility double, "
-    "sharpe_ratio double, optimizer_method string not null, constraint_set_name string not null, "
-    "optimization_success boolean not null, optimization_message string"
+FACT_OPTIMIZER_SUMMARY = _table(
+    {
+        "portfolio_name": STRING,
+        "as_of_date": DATE,
+        "lookback_start_date": DATE,
+        "lookback_end_date": DATE,
+        "observation_count": LONG,
+        "risk_free_rate": DOUBLE,
+        "annual_return": DOUBLE,
+        "annual_volatility": DOUBLE,
+        "sharpe_ratio": DOUBLE,
+        "optimizer_method": STRING,
+        "constraint_set_name": STRING,
+        "optimization_success": BOOLEAN,
+        "optimization_message": STRING,
+    },
+    nullable="annual_return annual_volatility sharpe_ratio optimization_message",
 )
-FACT_OPTIMIZER_WEIGHTS = StructType.fromDDL(
-    "portfolio_name string not null, as_of_date date not null, symbol string not null, "
-    "current_weight double not null, optimized_weight double not null, "
-    "weight_difference double not null"
+FACT_OPTIMIZER_WEIGHTS = _table(
+    {
+        "portfolio_name": STRING,
+        "as_of_date": DATE,
+        "symbol": STRING,
+        "current_weight": DOUBLE,
+        "optimized_weight": DOUBLE,
+        "weight_difference": DOUBLE,
+    }
 )
-LOAD_LOG = StructType.fromDDL(
-    "run_id string not null, table_name string not null, started_at timestamp not null, "
-    "finished_at timestamp, status string not null, row_count bigint, error_message string"
+LOAD_LOG = _table(
+    {
+        "run_id": STRING,
+        "table_name": STRING,
+        "started_at": TIMESTAMP,
+        "finished_at": TIMESTAMP,
+        "status": STRING,
+        "row_count": LONG,
+        "error_message": STRING,
+    },
+    nullable="finished_at row_count error_message",
 )
 
 # Gold tables in dependency order; the folder name is also the published table name.

@@ -90,33 +90,18 @@ def write_documents(
     per_symbol: bool = False,
     mode: str = "overwrite",
 ) -> str:
-    """Land documents as JSON Lines below ``source=/date=`` folders.
+    """Land documents as JSON Lines in the run's ``source=/date=`` folder.
 
-    Only the partitions present in ``documents`` are replaced. ``per_symbol``
-    adds a folder level per symbol, so that landing one symbol again replaces
-    that symbol's documents and no others.
+    Landing again replaces the folder's documents. With ``per_symbol`` there is
+    a folder per symbol, and only those of the symbols landed are replaced; that
+    means a file per symbol, so it is for small universes.
     """
-    folder, _ = RAW_FOLDERS[kind]
-    path = f"{root}/{folder}"
-    partitioned = documents.withColumns(
-        {"_source": F.col("source"), "_date": F.lit(run_date), "_file": safe_symbol(F.col("symbol"))}
-    )
-    # Partition columns leave the file, so the payload's own fields are kept under
-    # their names and the folder names are taken from copies.
-    body = F.struct(*[F.col(c) for c in documents.columns])
-    text = partitioned.select(
-        F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
-        F.col("_source").alias("source"),
-        F.col("_date").alias("date"),
-        F.col("_file").alias("file"),
-    )
-    keys = ["source", "date"] + (["file"] if per_symbol else [])
-    text = text if per_symbol else text.drop("file")
-    (
-        text.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .format("text")
-        .save(path)
-    )
+    folder, source = RAW_FOLDERS[kind]
+    path = partition_folder(root, folder, source, run_date)
+    if per_symbol:
+        keyed = documents.withColumn("file", safe_symbol(F.col("symbol")))
+        writer = keyed.write.partitionBy("file").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = documents.write
+    writer.mode(mode).json(path)
     return path

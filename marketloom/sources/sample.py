@@ -226,3 +226,95 @@ def kline_documents(klines: DataFrame) -> DataFrame:
 
 def file_name(symbol: Column) -> Column:
     return F.concat(safe_symbol(symbol), F.lit(".json"))
+
+
+def faulty_documents(prices: DataFrame) -> DataFrame:
+    """Raw texts of struct-record documents, with faults for the validator to find.
+
+    Faults of the document go by the last digit of its symbol, faults of a
+    record by its day of the month:
+
+    * symbol ..4 has a bad start date, ..5 a lower-case symbol, ..6 a null end
+      date, ..7 no interval; crypto symbols carry another source
+    * day 2 a null Low, 5 the record twice, 7 a High that is no number, 11 a
+      list, 13 a negative Volume, 29 no Close, 31 a Date that is no date
+    """
+    day = F.dayofmonth("price_date")
+    date = F.when(day == 31, F.lit("not-a-date")).otherwise(
+        F.date_format("price_date", "yyyy-MM-dd'T00:00:00+10:00'")
+    )
+
+    def text(name: str) -> Column:
+        return F.col(name).cast("string")
+
+    fields = F.concat(
+        F.lit('{"Date":"'), date,
+        F.lit('","Open":'), text("open_price"),
+        F.lit(',"High":'), F.when(day == 7, F.lit('"n/a"')).otherwise(text("high_price")),
+        F.lit(',"Low":'), F.when(day == 2, F.lit("null")).otherwise(text("low_price")),
+        F.when(day == 29, F.lit("")).otherwise(F.concat(F.lit(',"Close":'), text("close_price"))),
+        F.lit(',"Volume":'), F.when(day == 13, F.lit("-")).otherwise(F.lit("")), text("volume"),
+        F.lit("}"),
+    )
+    record = F.when(day == 11, F.lit("[1,2]")).otherwise(fields)
+    copies = F.sequence(F.lit(1), F.when(day == 5, F.lit(2)).otherwise(F.lit(1)))
+    rows = prices.select(
+        "symbol", "source", F.explode(copies).alias("copy"), "price_date", record.alias("record")
+    )
+    # At most two records per symbol and day.
+    grouped = rows.groupBy("symbol", "source").agg(
+        F.sort_array(F.collect_list(F.struct("price_date", "copy", "record"))).alias("rs")
+    )
+    last = F.right("symbol", F.lit(1))
+    body = F.concat(
+        F.lit('{"source":"'), F.col("source"),
+        F.lit('","symbol":"'), F.when(last == "5", F.lower("symbol")).otherwise(F.col("symbol")),
+        F.lit('","start_date":"'), F.when(last == "4", F.lit("n/a")).otherwise(F.lit("1996-01-01")),
+        F.lit('","end_date":'), F.when(last == "6", F.lit("null")).otherwise(F.lit('"2001-01-01"')),
+        F.when(last == "7", F.lit("")).otherwise(F.lit(',"interval":"1d"')),
+        F.lit(',"records":['), F.array_join("rs.record", ","), F.lit("]}"),
+    )
+    return grouped.select(F.lit("yahoo").alias("source"), "symbol", body.alias("text"))
+
+
+def faulty_klines(klines: DataFrame) -> DataFrame:
+    """Raw texts of array-record documents, with faults by day of the month.
+
+    Day 3 has too few values, 5 comes twice, 7 closes before it opens, 13 has a
+    negative volume, 17 an open time that is no number, 19 an object, 23 a trade
+    count with a fraction in a text.
+    """
+    day = F.dayofmonth("day")
+    opened = F.unix_date("day").cast("bigint") * 86_400_000
+    closed = F.when(day == 7, opened - 1).otherwise(opened + 86_399_999)
+    trades = F.col("trades").cast("string")
+
+    def quoted(value: Column) -> Column:
+        return F.concat(F.lit('"'), value, F.lit('"'))
+
+    low, high = quoted(F.col("low").cast("string")), quoted(F.col("high").cast("string"))
+    values = F.array(
+        F.when(day == 17, F.lit('"open"')).otherwise(opened.cast("string")),
+        low, high, low, high,
+        quoted(F.when(day == 13, F.concat(F.lit("-"), trades)).otherwise(trades)),
+        closed.cast("string"),
+        high,
+        F.when(day == 23, F.lit('"1.5"')).otherwise(trades),
+        low, low, F.lit('"0"'),
+    )
+    kept = F.when(day == 3, F.slice(values, 1, 5)).otherwise(values)
+    record = F.when(day == 19, F.lit('{"a":1}')).otherwise(
+        F.concat(F.lit("["), F.array_join(kept, ","), F.lit("]"))
+    )
+    copies = F.sequence(F.lit(1), F.when(day == 5, F.lit(2)).otherwise(F.lit(1)))
+    rows = klines.select("symbol", "day", F.explode(copies).alias("copy"), record.alias("record"))
+    # At most two records per pair and day.
+    grouped = rows.groupBy("symbol").agg(
+        F.sort_array(F.collect_list(F.struct("day", "copy", "record"))).alias("rs")
+    )
+    body = F.concat(
+        F.lit('{"source":"binance","symbol":"'), F.col("symbol"),
+        F.lit('","start_date":"2024-01-04","end_date":"2024-01-25","interval":"1d","records":['),
+        F.array_join("rs.record", ","), F.lit("]}"),
+    )
+    return grouped.select(F.lit("binance").alias("source"), "symbol", body.alias("text"))
