@@ -115,32 +115,33 @@ def score(
 
     The moments are one row and reach the candidates as a scalar subquery.
     """
-    w = F.col("weights")
-
-    def dot(a: Column, b: Column) -> Column:
-        products = F.zip_with(a, b, lambda x, y: x * y)
-        return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-
-    moment = moments.select(F.struct("annual_returns", "annual_covariances")).scalar()
-    scored = (
+    moment = moments.select(F.struct("annual_returns", "annual_covariances").alias("_m")).scalar()
+    dot = "aggregate(zip_with({}, {}, (x, y) -> x * y), 0D, (total, x) -> total + x)"
+    row_products = f"transform(_m.annual_covariances, r -> {dot.format('r', 'weights')})"
+    return (
         vectors.withColumn("_m", moment)
-        .withColumn("annual_return", dot(w, F.col("_m.annual_returns")))
-        .withColumn("_sw", F.transform("_m.annual_covariances", lambda row: dot(row, w)))
-        .withColumn("_var", dot(w, F.col("_sw")))
-        .drop("_m", "_sw")
-    )
-    variance = F.when(F.col("_var").between(-1e-12, 0.0), F.lit(0.0)).otherwise(F.col("_var"))
-    volatility = F.when(variance >= 0, F.sqrt(variance))
-    scored = scored.withColumn("annual_volatility", volatility).drop("_var")
-    sharpe = F.when(
-        F.col("annual_volatility") > 0,
-        (F.col("annual_return") - risk_free_rate) / F.col("annual_volatility"),
+        .selectExpr(
+            "*",
+            f"{dot.format('weights', '_m.annual_returns')} AS annual_return",
+            f"{dot.format('weights', row_products)} AS _variance",
+        )
+        # A variance just below 0 is 0; one further below has no root.
+        .selectExpr(
+            "* EXCEPT (_m, _variance)",
+            "CASE WHEN _variance > -1e-12 THEN sqrt(greatest(_variance, 0D)) END "
+            "AS annual_volatility",
+        )
+        .selectExpr(
+            "*",
+            f"CASE WHEN annual_volatility > 0 THEN (annual_return - {float(risk_free_rate)!r}D) "
+            "/ annual_volatility END AS sharpe_ratio",
+        )
+        .selectExpr(
+            "*",
+            "CASE WHEN sharpe_ratio IS NULL OR isnan(sharpe_ratio) "
+            f"THEN {UNDEFINED_SHARPE_OBJECTIVE!r}D ELSE -sharpe_ratio END AS objective",
+        )
     )
-    objective = F.when(
-        F.col("sharpe_ratio").isNull() | F.isnan("sharpe_ratio"),
-        F.lit(UNDEFINED_SHARPE_OBJECTIVE),
-    ).otherwise(-F.col("sharpe_ratio"))
-    return scored.withColumn("sharpe_ratio", sharpe).withColumn("objective", objective)
 
 
 def best(scored: DataFrame, tie_break: str = "candidate_id") -> DataFrame:
@@ -218,10 +219,10 @@ class Grid:
 
 def _as_candidates(units: DataFrame, grid: Grid) -> DataFrame:
     """Unit arrays with an id and their weights."""
-    return units.select(
-        F.array_join(F.transform("units", lambda u: u.cast("string")), "-").alias("candidate_id"),
+    return units.selectExpr(
+        "array_join(cast(units AS array<string>), '-') AS candidate_id",
         "units",
-        F.transform("units", lambda u: u / F.lit(float(grid.units))).alias("weights"),
+        f"transform(units, u -> u / {float(grid.units)!r}D) AS weights",
     )
 
 
