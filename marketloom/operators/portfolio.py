@@ -12,46 +12,25 @@ from marketloom.functions.returns import (
     log_growth,
     sharpe_ratio,
 )
-
-
-def _has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether the table has no more than ``rows`` rows, counting no further."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+from marketloom.operators.joins import BROADCAST_ROWS, has_at_most, sliced_join
 
 
 def join_weights(
     fact: DataFrame,
     weights: DataFrame,
-    broadcast_rows: int = 100_000,
+    broadcast_rows: int = BROADCAST_ROWS,
     slice_rows: int = 10_000,
 ) -> DataFrame:
     """Asset rows joined to the portfolios that hold the asset.
 
     A weight table of up to ``broadcast_rows`` rows is broadcast. Beyond that
     both sides are shuffled, and a symbol that more than ``slice_rows``
-    portfolios hold is cut into slices: its weights are spread over them and
-    its daily rows repeated in each, so that no task has to build all of its
-    output.
+    portfolios hold is worked on in slices of its portfolios, so that no task
+    has to build all of its output.
     """
-    if _has_at_most(weights, broadcast_rows):
+    if has_at_most(weights, broadcast_rows):
         return fact.join(F.broadcast(weights), "symbol")
-    # Rows in here are at most weights / slice_rows.
-    popular = (
-        weights.groupBy("symbol")
-        .agg(F.count(F.lit(1)).alias("holders"))
-        .filter(F.col("holders") > slice_rows)
-        .select("symbol", F.ceil(F.col("holders") / slice_rows).cast("int").alias("slices"))
-    )
-    slices = F.coalesce("slices", F.lit(1))
-    sliced_weights = weights.join(popular, "symbol", "left").withColumn(
-        "slice", F.pmod(F.xxhash64("portfolio_name"), slices).cast("int")
-    )
-    repeated = fact.join(popular, "symbol", "left").withColumn(
-        "slice", F.explode(F.sequence(F.lit(0), slices - 1))
-    )
-    return repeated.drop("slices").join(
-        sliced_weights.drop("slices"), ["symbol", "slice"]
-    ).drop("slice")
+    return sliced_join(weights, fact, "symbol", "portfolio_name", slice_rows)
 
 
 def weighted_returns(fact: DataFrame, weights: DataFrame) -> DataFrame:

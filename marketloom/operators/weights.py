@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from math import comb
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketloom import config, schemas
+from marketloom.operators.joins import join_small
 
 UNDEFINED_SHARPE_OBJECTIVE = 1e9
 
@@ -81,7 +82,7 @@ def feasible_candidates(
         weight > F.col("upper_bound") + tolerance
     )
     totals = (
-        candidates.join(bounds, "symbol")
+        join_small(candidates, bounds, "symbol", spread_by="candidate_id")
         .groupBy("candidate_id")
         .agg(
             F.sum("weight").alias("total_weight"),
@@ -339,14 +340,21 @@ def search_best(
 
 
 def clean_weights(candidates: DataFrame, smallest: float = 1e-10) -> DataFrame:
-    """Set negligible weights to 0 and scale each candidate's weights to sum 1."""
+    """Set negligible weights to 0 and scale each candidate's weights to sum 1.
+
+    A candidate has one row per symbol of its universe.
+    """
     weight = F.when(F.abs("weight") < smallest, F.lit(0.0)).otherwise(F.col("weight"))
-    cleaned = candidates.withColumn("weight", weight)
-    totals = cleaned.groupBy("candidate_id").agg(F.sum("weight").alias("_total"))
-    scaled = F.when(F.col("_total") > 0, F.col("weight") / F.col("_total"))
+    total = F.sum("weight").over(Window.partitionBy("candidate_id"))
     return (
-        cleaned.join(totals, "candidate_id")
-        .withColumn("weight", F.coalesce(scaled, F.col("weight")))
+        candidates.withColumn("weight", weight)
+        .withColumn("_total", total)
+        .withColumn(
+            "weight",
+            F.when(F.col("_total") > 0, F.col("weight") / F.col("_total")).otherwise(
+                F.col("weight")
+            ),
+        )
         .drop("_total")
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.sources.raw import safe_symbol
+from marketloom.operators.joins import join_small
 
 # Run date of all derived inputs, and the weights of five assets.
 RUN_DATE = "2026-06-16"
@@ -118,9 +118,10 @@ def customer_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nation_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One portfolio per nation, holding its customers at equal weight."""
-    customers = table(spark, sf_dir, "customer")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     sizes = customers.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("holdings"))
-    return customers.join(sizes, "c_nationkey").select(
+    held = join_small(customers, sizes, "c_nationkey", spread_by="c_custkey")
+    return held.select(
         F.concat(F.lit("NATION-"), F.col("c_nationkey").cast("string")).alias("portfolio_name"),
         customer_symbol(F.col("c_custkey")).alias("symbol"),
         (F.lit(1.0) / F.col("holdings")).alias("target_weight"),
@@ -224,10 +225,6 @@ def kline_documents(klines: DataFrame) -> DataFrame:
     )
 
 
-def file_name(symbol: Column) -> Column:
-    return F.concat(safe_symbol(symbol), F.lit(".json"))
-
-
 def faulty_documents(prices: DataFrame) -> DataFrame:
     """Raw texts of struct-record documents, with faults for the validator to find.
 
