@@ -16,6 +16,12 @@ _GROUPED_NUMBER = (
     f"(e[+-]?{_GROUPED_DIGITS})?[ ]*$"
 )
 _GROUPED_INTEGER = f"^[ ]*[+-]?{_GROUPED_DIGITS}[ ]*$"
+# A list in plain form: whole numbers at 0, 6 and 8, and no sign, exponent or name anywhere.
+_WHOLE, _DECIMAL = "[0-9]{1,18}", "[0-9]{1,18}([.][0-9]+)?"
+PLAIN_LIST = (
+    f"^{_WHOLE},({_DECIMAL},){{5}}{_WHOLE},{_DECIMAL},{_WHOLE},{_DECIMAL},{_DECIMAL}$"
+)
+NO_FLAGS = "cast(array() AS array<boolean>)"
 _WEEK_FORM = "^([0-9]{4})-?W([0-9]{2})(?:-?([1-7]))?$"
 
 
@@ -66,7 +72,8 @@ def number(value: str) -> str:
         f"try_variant_get({value}, '$', 'double')",
         "_n",
         f"CASE WHEN _n IS NULL THEN CASE WHEN {text(value)} RLIKE '{_GROUPED_NUMBER}' "
-        f"THEN {grouped} END WHEN NOT {text(value)} RLIKE '{_JVM_ONLY}' THEN _n END",
+        f"THEN {grouped} END WHEN {is_string(value)} AND {text(value)} RLIKE '{_JVM_ONLY}' "
+        "THEN NULL ELSE _n END",
     )
 
 
@@ -114,16 +121,17 @@ def iso_date(text: str) -> str:
     )
 
 
-def record_date(value: str) -> str:
-    """Date in the first ten characters of the value's text."""
-    return bind(f"substring({text(value)}, 1, 10)", "_t", iso_date("_t"))
+def record_date(text: str) -> str:
+    """Date in the first ten characters of a text."""
+    return bind(f"substring({text}, 1, 10)", "_t", iso_date("_t"))
 
 
 def repeat_flags(keys: str) -> str:
     """Whether each key of a list occurred earlier in it; NULL keys do not count.
 
-    The keys are sorted with their positions, compared with the key before and
-    put back in order, so the cost does not grow with the square of the list.
+    Empty where no key occurs twice. Else the keys are sorted with their
+    positions, compared with the key before and put back in order, so the cost
+    does not grow with the square of the list.
     """
     positioned = f"transform({keys}, (k, i) -> named_struct('key', k, 'pos', i))"
     pairs = (
@@ -133,8 +141,9 @@ def repeat_flags(keys: str) -> str:
     first = "transform(slice(_k, 1, 1), a -> named_struct('pos', a.pos, 'again', false))"
     # The last pair has no element after it.
     flags = f"concat({first}, filter({pairs}, f -> f.pos IS NOT NULL))"
-    body = f"transform(array_sort({flags}), f -> coalesce(f.again, false))"
-    return bind(f"array_sort({positioned})", "_k", body)
+    marked = f"transform(array_sort({flags}), f -> coalesce(f.again, false))"
+    sort = bind(f"array_sort({positioned})", "_k", marked)
+    return f"CASE WHEN size(array_distinct({keys})) = size({keys}) THEN {NO_FLAGS} ELSE {sort} END"
 
 
 def _sign_error(parsed: str, label: str, kind: str) -> str:

@@ -101,11 +101,31 @@ def _errors(rules: list[str]) -> str:
     return f"array_compact(array({', '.join(rules)}))"
 
 
+_NO_ERRORS = "cast(array() AS array<string>)"
+
+
+def _record_errors(parsed: str, key: str, day: str, rules: str) -> str:
+    """Errors of all records of ``d.records``, in order.
+
+    ``parsed`` gives each record's value, pos, key, day and ``plain``: that all
+    of its values are in the form they usually have, and right. Such a record is
+    only compared with the others and with the document's bounds; the rules,
+    which name what is wrong, run for the rest.
+    """
+    fine = (
+        "p.plain AND NOT coalesce(again, false) "
+        f"AND coalesce({day} >= d.start, true) AND coalesce({day} <= d.end, true)"
+    )
+    record = f"CASE WHEN {fine} THEN {_NO_ERRORS} ELSE {rules} END"
+    flags = J.repeat_flags(f"transform(ps, p -> p.{key})")
+    return J.bind(parsed, "ps", f"flatten(zip_with(ps, {flags}, (p, again) -> {record}))")
+
+
 def _struct_record_errors() -> str:
-    """Errors of the Date/Open/High/Low/Close/Volume objects in ``d.records``."""
+    """Errors of Date/Open/High/Low/Close/Volume objects."""
     repeated = f"concat({_label('p.pos', 'has duplicate date ')}, p.day)"
     rules = [
-        f"CASE WHEN {J.field('p.entries', 'Date')} IS NULL "
+        f"CASE WHEN {J.field('_e', 'Date')} IS NULL "
         f"THEN {_label('p.pos', 'missing field Date')} "
         f"WHEN p.day IS NULL THEN {_label('p.pos', 'field Date is not a valid date')} END",
         f"CASE WHEN again THEN {repeated} END",
@@ -116,22 +136,38 @@ def _struct_record_errors() -> str:
         wrong = J.number_error("_v", _label("p.pos", f"field {name}"))
         rules.append(
             J.bind(
-                J.field("p.entries", name),
+                J.field("_e", name),
                 "_v",
                 f"CASE WHEN _v IS NULL THEN {missing} ELSE {wrong} END",
             )
         )
     not_object = f"array({_label('p.pos', 'is not an object')})"
-    record = f"CASE WHEN p.entries IS NULL THEN {not_object} ELSE {_errors(rules)} END"
-    entries = f"transform(d.records, r -> {J.fields('r')})"
-    day = J.record_date(J.field("e", "Date"))
-    parsed = f"transform({entries}, (e, i) -> named_struct('entries', e, 'pos', i, 'day', {day}))"
-    flags = J.repeat_flags("transform(ps, p -> p.day)")
-    return J.bind(parsed, "ps", f"flatten(zip_with(ps, {flags}, (p, again) -> {record}))")
+    named = J.bind(
+        J.fields("p.value"),
+        "_e",
+        f"CASE WHEN _e IS NULL THEN {not_object} ELSE {_errors(rules)} END",
+    )
+    typed = "struct<Date string, " + ", ".join(f"{f} double" for f in PRICE_FIELDS) + ">"
+    # Numbers in texts have forms of their own, which the rules look at; the date
+    # is the one text of a plain record.
+    one_text = "locate('STRING', s, locate('STRING', s) + 1) = 0"
+    no_texts = J.bind("schema_of_variant(r)", "s", one_text)
+    plain = " AND ".join(["q.day IS NOT NULL", *(f"t.{f} >= 0" for f in PRICE_FIELDS), no_texts])
+    record = J.bind(
+        f"try_variant_get(r, '$', '{typed}')",
+        "t",
+        J.bind(
+            f"named_struct('day', {J.record_date('t.Date')})",
+            "q",
+            "named_struct('value', r, 'pos', i, 'day', q.day, "
+            f"'plain', coalesce({plain}, false))",
+        ),
+    )
+    return _record_errors(f"transform(d.records, (r, i) -> {record})", "day", "p.day", named)
 
 
 def _array_record_errors() -> str:
-    """Errors of the positional lists of at least 12 values in ``d.records``."""
+    """Errors of positional lists of at least 12 values."""
 
     def slot(values: str, name: str) -> str:
         return f"get({values}, {ARRAY_SLOTS.index(name)})"
@@ -140,7 +176,7 @@ def _array_record_errors() -> str:
     for name in ARRAY_SLOTS:
         check = J.integer_error if name in INTEGER_SLOTS else J.number_error
         wrong = check("_v", _label("p.pos", f"field {name}"))
-        rules.append(J.bind(slot("p.vals", name), "_v", wrong))
+        rules.append(J.bind(slot("_e", name), "_v", wrong))
     late = _label("p.pos", "close_time must be greater than open_time")
     repeated = f"concat({_label('p.pos', 'has duplicate open_time ')}, p.opened)"
     day = "date_add(date'1970-01-01', int(floor(p.opened / 86400000)))"
@@ -149,24 +185,49 @@ def _array_record_errors() -> str:
         f"CASE WHEN again THEN {repeated} END",
         *_range_errors(day, "p.pos"),
     ]
-    record = (
-        f"CASE WHEN p.vals IS NULL THEN array({_label('p.pos', 'is not a list')}) "
-        f"WHEN size(p.vals) < {ARRAY_LENGTH} "
+    named = J.bind(
+        J.elements("p.value"),
+        "_e",
+        f"CASE WHEN _e IS NULL THEN array({_label('p.pos', 'is not a list')}) "
+        f"WHEN size(_e) < {ARRAY_LENGTH} "
         f"THEN array({_label('p.pos', f'has fewer than {ARRAY_LENGTH} fields')}) "
-        f"ELSE {_errors(rules)} END"
+        f"ELSE {_errors(rules)} END",
     )
 
-    def non_negative(name: str) -> str:
-        value = J.integer(f"CASE WHEN size(v) >= {ARRAY_LENGTH} THEN {slot('v', name)} END")
-        return J.bind(value, "_n", "CASE WHEN _n >= 0 THEN _n END")
+    def whole(plain: str, name: str) -> str:
+        careful = J.bind(
+            slot("_l", name),
+            "_v",
+            J.bind(J.integer("_v"), "_n", "CASE WHEN _n >= 0 THEN _n END"),
+        )
+        long_enough = J.bind(
+            J.elements("r"), "_l", f"CASE WHEN size(_l) >= {ARRAY_LENGTH} THEN {careful} END"
+        )
+        return f"CASE WHEN {plain} THEN bigint({slot('t', name)}) ELSE {long_enough} END"
 
-    values = f"transform(d.records, r -> {J.elements('r')})"
-    parsed = (
-        f"transform({values}, (v, i) -> named_struct('vals', v, 'pos', i, "
-        f"'opened', {non_negative('open_time')}, 'closed', {non_negative('close_time')}))"
+    is_plain = (
+        f"size(t) >= {ARRAY_LENGTH} "
+        f"AND array_join(slice(t, 1, {len(ARRAY_SLOTS)}), ',') RLIKE '{J.PLAIN_LIST}'"
     )
-    flags = J.repeat_flags("transform(ps, p -> p.opened)")
-    return J.bind(parsed, "ps", f"flatten(zip_with(ps, {flags}, (p, again) -> {record}))")
+    times = (
+        f"named_struct('opened', {whole('q', 'open_time')}, "
+        f"'closed', {whole('q', 'close_time')})"
+    )
+    record = J.bind(
+        "try_variant_get(r, '$', 'array<string>')",
+        "t",
+        J.bind(
+            f"coalesce({is_plain}, false)",
+            "q",
+            J.bind(
+                times,
+                "w",
+                "named_struct('value', r, 'pos', i, 'opened', w.opened, 'closed', w.closed, "
+                "'plain', q AND w.closed > w.opened)",
+            ),
+        ),
+    )
+    return _record_errors(f"transform(d.records, (r, i) -> {record})", "opened", day, named)
 
 
 def payload_errors(document: str, source: str, symbol: str) -> str:
@@ -187,7 +248,7 @@ def payload_errors(document: str, source: str, symbol: str) -> str:
     unsupported = f"concat('unsupported source for record validation: ', {source})"
     records = (
         f"CASE WHEN {J.field('d.entries', 'records')} IS NULL "
-        "THEN cast(array() AS array<string>) "
+        f"THEN {_NO_ERRORS} "
         "WHEN d.records IS NULL THEN array('records is not a list') "
         "WHEN size(d.records) = 0 THEN array('records is empty') "
         f"WHEN {source} = 'yahoo' THEN {_struct_record_errors()} "

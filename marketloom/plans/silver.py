@@ -49,6 +49,13 @@ def fx_rates(
     return silver.struct_records_to_rates(_without(documents, rejected), run_date)
 
 
+def write_assets(
+    spark: SparkSession, silver_root: str, assets: DataFrame | None = None, mode: str = "overwrite"
+) -> int:
+    assets = assets_table(spark) if assets is None else assets
+    return write_table(assets, silver_root, "assets", mode)
+
+
 def write_equities(
     spark: SparkSession, raw_root: str, silver_root: str, run_date: str,
     mode: str = "overwrite", multi_line: bool = True,
@@ -84,11 +91,10 @@ def build_silver(
     rejected: DataFrame | None = None,
 ) -> dict[str, int]:
     """Write assets, asset prices and FX rates; returns their row counts."""
-    assets = assets_table(spark) if assets is None else assets
     source = (spark, raw_root, run_date, multi_line, rejected)
     prices = silver.union_prices(equity_prices(*source), crypto_prices(*source))
     return {
-        "assets": write_table(assets, silver_root, "assets", mode),
+        "assets": write_assets(spark, silver_root, assets, mode),
         "asset_prices": write_table(prices, silver_root, "asset_prices", mode),
         "fx_rates": write_table(fx_rates(*source), silver_root, "fx_rates", mode),
     }
