@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from marketloom import config, schemas
 from marketloom.functions.returns import (
@@ -88,7 +89,14 @@ def fact_portfolio_daily(fact: DataFrame, weights: DataFrame) -> DataFrame:
     return schemas.conform(cumulative_return(totals), schemas.FACT_PORTFOLIO_DAILY)
 
 
-def _this_year():
+def _with_year(portfolio_daily: DataFrame) -> DataFrame:
+    """Add the calendar year, once, so that all yearly windows share one sort."""
+    if "summary_year" in portfolio_daily.columns:
+        return portfolio_daily
+    return portfolio_daily.withColumn("summary_year", F.year("date_key"))
+
+
+def _this_year() -> WindowSpec:
     return (
         Window.partitionBy("portfolio_name", "summary_year")
         .orderBy("date_key")
@@ -101,12 +109,8 @@ def drawdowns(portfolio_daily: DataFrame) -> DataFrame:
     this_year = _this_year()
     value = F.col("portfolio_value")
     return (
-        portfolio_daily.withColumns(
-            {
-                "portfolio_value": F.col("cumulative_return") + F.lit(1.0),
-                "summary_year": F.year("date_key"),
-            }
-        )
+        _with_year(portfolio_daily)
+        .withColumn("portfolio_value", F.col("cumulative_return") + F.lit(1.0))
         .withColumn("running_peak_value", F.max(value).over(this_year))
         .withColumn("drawdown", F.try_divide(value, F.col("running_peak_value")) - F.lit(1.0))
         .withColumn("max_drawdown", F.min("drawdown").over(this_year))
@@ -117,7 +121,7 @@ def year_to_date(portfolio_daily: DataFrame) -> DataFrame:
     """Running count, mean, volatility and compounded return within the year."""
     this_year = _this_year()
     daily = F.col("daily_return")
-    return portfolio_daily.withColumn("summary_year", F.year("date_key")).withColumns(
+    return _with_year(portfolio_daily).withColumns(
         {
             "observation_count": F.count(daily).over(this_year),
             "average_daily_return": F.avg(daily).over(this_year),
