@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +39,8 @@ def complete_returns(
         .pivot("symbol", list(symbols))
         .agg(F.first("daily_return", ignorenulls=True))
     )
-    complete = matrix.dropna("any", subset=[f"`{s}`" for s in symbols])
+    # dropna would drop NaN as well.
+    complete = matrix.filter(reduce(and_, [symbol_column(s).isNotNull() for s in symbols]))
     columns = [symbol_column(s).cast("double").alias(s) for s in symbols]
     return complete.select("date_key", *columns)
 
