@@ -287,19 +287,23 @@ def _comparable(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "/")
 
 
-def _hidden_entries(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """Folders and empty files among a run's files; file readers list neither."""
+def _list_folders(spark: SparkSession, folders: list[str]) -> tuple[list[str], DataFrame]:
+    """The folders that exist, and their entries that file readers leave out.
+
+    Those are folders and empty files: (path, is_folder).
+    """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    rows = []
+    present, rows = [], []
     for folder in folders:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         files = path.getFileSystem(conf)
         if not files.exists(path):
             continue
+        present.append(folder)
         for entry in files.listStatus(path):
             if entry.isDirectory() or entry.getLen() == 0:
                 rows.append((entry.getPath().toString(), entry.isDirectory()))
-    return spark.createDataFrame(rows, "path string, is_folder boolean")
+    return present, spark.createDataFrame(rows, "path string, is_folder boolean")
 
 
 def validate_files(spark: SparkSession, manifest: DataFrame, folders: list[str]) -> DataFrame:
@@ -309,12 +313,8 @@ def validate_files(spark: SparkSession, manifest: DataFrame, folders: list[str])
     file_size_bytes, errors.
     """
     expected = manifest.withColumn("_key", _comparable(F.col("path")))
-    hidden = _hidden_entries(spark, folders).select(
-        _comparable(F.col("path")).alias("_key"), "is_folder"
-    )
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    paths = [jvm.org.apache.hadoop.fs.Path(f) for f in folders]
-    present = [f for f, p in zip(folders, paths) if p.getFileSystem(conf).exists(p)]
+    present, hidden = _list_folders(spark, folders)
+    hidden = hidden.select(_comparable(F.col("path")).alias("_key"), "is_folder")
     if present:
         contents = spark.read.format("binaryFile").load(present)
     else:
