@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,21 @@ def flat_lists(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return offsets - offsets[0], values[offsets[0] : offsets[-1]]
 
 
+def slices(batch: pa.RecordBatch, column: str, units: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch that hold few units (bytes of text, list values), or one long row."""
+    kind = batch.schema.field(column).type
+    measure = pc.list_value_length if pa.types.is_list(kind) else pc.binary_length
+    lengths = pc.fill_null(measure(batch[column]), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, length in enumerate(lengths):
+        if i > start and held + length > units:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += int(length) + 16
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = x.astype(np.uint64, copy=True)

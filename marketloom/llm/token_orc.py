@@ -28,10 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from marketloom.llm.common import slices
 from marketloom.sources.tables import shared_folder
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 0
-CACHED_PIECES, SLICE = 400_000, 256
+# Pieces that an encoder keeps, and bytes of text that it takes at a time.
+CACHED_PIECES, SLICE = 400_000, 1_000_000
 SCHEMA = "doc_id long, part int, part_offset long, n_tokens int, ids array<int>"
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -93,8 +95,7 @@ def _encoded(batches: Iterable[pa.RecordBatch], path: str | None, end_id: int):
     encoder, part, offset = Encoder(path or tokenizer_path()), TaskContext.get().partitionId(), 0
     end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
-            rows = batch.slice(at, SLICE)
+        for rows in slices(batch, "text", SLICE):
             ids = [i + end for i in encoder.encode([t or "" for t in rows["text"].to_pylist()])]
             lengths = np.array([len(i) // 4 for i in ids], np.int64)
             ends = np.cumsum(lengths)
