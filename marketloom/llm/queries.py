@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marketloom.llm import (
     chat_schema,
     decontaminate,
+    pivot_topk,
     ppm_language,
     source_schedule,
     token_orc,
@@ -34,6 +35,12 @@ def op5_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.tokenized(table(spark, sf_dir, "documents"))
 
 
+def op6_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five greatest inner products of every fiftieth vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return pivot_topk.search(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op8_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     return ppm_language.language_of(table(spark, sf_dir, "documents"))
@@ -65,6 +72,7 @@ QUERIES: dict[str, Query] = {
     for build in (
         op4_containment,
         op5_token_orc,
+        op6_pivot_topk,
         op8_ppm_language,
         op9_chat_schema,
         op10_source_schedule,
@@ -93,6 +101,22 @@ SELECT doc_id, item_id, count(*) AS n_shared, n_item,
 FROM item_shingles JOIN doc_shingles USING (shingle) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id, n_item
 HAVING count(*) >= 0.8 * n_item - 1e-9
+""",
+    "op6_pivot_topk": """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+    FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """,
     "op9_chat_schema": r"""
 WITH turns AS (
