@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from marketloom.llm import (
     chat_schema,
+    chunk_dedup,
     decontaminate,
     pivot_topk,
     ppm_language,
     source_schedule,
     token_orc,
+    winnow_lines,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of all documents that repeat what stands earlier."""
+    return chunk_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+def op3_winnow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines removed from all documents, and a digest of what is left."""
+    kept = winnow_lines.deduplicated(table(spark, sf_dir, "documents"))
+    removed = F.coalesce(F.col("__removed"), F.array().cast("array<int>"))
+    return kept.select(
+        "doc_id",
+        F.size(removed).cast("long").alias("n_removed"),
+        F.array_join(removed.cast("array<string>"), ",").alias("removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op4_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents contain."""
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -70,6 +89,8 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     build.__name__: build
     for build in (
+        op2_chunk_dedup,
+        op3_winnow_lines,
         op4_containment,
         op5_token_orc,
         op6_pivot_topk,
@@ -80,6 +101,36 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_winnow_lines": """
+WITH lines AS (
+    SELECT doc_id, i - 1 AS i, parts[i] AS line, trim(parts[i], ' ' || chr(9) || chr(13)) AS bare
+    FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
+), numbered AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n, bare
+    FROM lines WHERE bare <> ''
+), runs AS (
+    SELECT doc_id, n, bare || chr(10) || lead(bare) OVER w || chr(10) || lead(bare, 2) OVER w AS run
+    FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+), later AS (
+    SELECT doc_id, n FROM (
+        SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS place
+        FROM runs WHERE run IS NOT NULL)
+    WHERE place > 1
+), gone AS (
+    SELECT DISTINCT doc_id, i
+    FROM numbered JOIN (SELECT doc_id, n + k AS n FROM later, range(3) AS t(k)) USING (doc_id, n)
+), kept AS (
+    SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text
+    FROM lines LEFT JOIN gone USING (doc_id, i) WHERE gone.doc_id IS NULL GROUP BY doc_id
+), lost AS (
+    SELECT doc_id, count(*) AS n, string_agg(i::VARCHAR, ',' ORDER BY i) AS removed
+    FROM gone GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_removed, coalesce(removed, '') AS removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+""",
     "op4_containment": r"""
 WITH doc_words AS (
     SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w
