@@ -12,6 +12,7 @@ from marketloom.llm import (
     chat_schema,
     chunk_dedup,
     decontaminate,
+    pii_patterns,
     pivot_topk,
     ppm_language,
     source_schedule,
@@ -60,6 +61,11 @@ def op6_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_topk.search(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def op7_pii_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii_patterns.summary(table(spark, sf_dir, "documents"))
+
+
 def op8_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     return ppm_language.language_of(table(spark, sf_dir, "documents"))
@@ -94,6 +100,7 @@ QUERIES: dict[str, Query] = {
         op4_containment,
         op5_token_orc,
         op6_pivot_topk,
+        op7_pii_patterns,
         op8_ppm_language,
         op9_chat_schema,
         op10_source_schedule,
