@@ -16,10 +16,11 @@ rows. Extra columns are not written.
 from __future__ import annotations
 
 import os
-import re
+import unicodedata
 import zlib
-from collections import ChainMap
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,43 +46,76 @@ ORC_OPTIONS = {
 }
 
 
+# How the byte-level tokenizer splits a text before merging; fixed by the vocabulary's files.
+PRETOKENS = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+
+
+class _Kept(dict):
+    """Ids of the pretokens met so far."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenize = tokenizer.model.tokenize
+        # Bytes stand for themselves where they print, else for the next character from 256 on.
+        printing = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        others = [b for b in range(256) if b not in printing]
+        self.letters = {b: 256 + i for i, b in enumerate(others)}
+
+    def __missing__(self, pretoken: str) -> bytes:
+        spelled = pretoken.encode().decode("latin-1").translate(self.letters)
+        ids = array("I", [token.id for token in self.tokenize(spelled)]).tobytes()
+        if len(pretoken) < 64:
+            self[pretoken] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer splits a text before any single space that stands between two characters other than
-    white space, whatever else surrounds it. The pieces between such points are encoded once
-    and kept.
+    A text is split into pretokens, and the library's model merges each one it has not met
+    before. Texts with a special token, or with characters on whose class versions of Unicode
+    differ, go through the library's whole pipeline instead; results are the same.
     """
 
-    POINT = re.compile(r"(?<=\S)(?= \S)")
-
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        first, *rest = text.split(" ")
-        if first[-1:].isspace():
-            return self.POINT.split(text)
-        for i, bare in enumerate(rest):
-            piece = rest[i] = " " + bare
-            # A kept piece that begins with a space has passed this test before.
-            if piece not in self.cache and (not bare or bare != bare.strip()):
-                return self.POINT.split(text)
-        return [first, *rest]
+        self.cache = _Kept(self.tokenizer)
+        self.split = regex.compile(PRETOKENS).findall
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.sure: set[str] = set()
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         if len(self.cache) > CACHED_PIECES:
-            self.cache.clear()
-        split = [self.pieces(text) for text in texts]
-        new = list({p for pieces in split for p in pieces if p not in self.cache})
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        own = dict(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
-        self.cache |= {p: ids for p, ids in own.items() if len(p) < 64 and p == " " + p.strip()}
-        one = ChainMap(own, self.cache)
-        return [b"".join([self.cache.get(p) or one[p] for p in pieces]) for pieces in split]
+            # Frequent pretokens are met early, so the first half stays.
+            for pretoken in list(self.cache)[CACHED_PIECES // 2 :]:
+                del self.cache[pretoken]
+        look, split = self.cache.__getitem__, self.split
+        return [
+            b"".join(map(look, split(text))) if self._usual(text) else self._whole(text)
+            for text in texts
+        ]
+
+    def _usual(self, text: str) -> bool:
+        others = set(text) - self.sure
+        self.sure.update(filter(_settled, others))
+        return others <= self.sure and not any(mark in text for mark in self.special)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+def _settled(character: str) -> bool:
+    """Whether it is a letter, a number, a space or none of them since Unicode 3.2."""
+    if character in "\x1c\x1d\x1e\x1f\x85\u180e\u200b\ufeff":
+        return False
+    old = unicodedata.ucd_3_2_0.category(character)
+    new = unicodedata.category(character)
+    return new != "Cn" and (old == new or not {old[0], new[0]} & set("LNZ"))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -90,9 +124,15 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _encoded(batches: Iterable[pa.RecordBatch], path: str | None, end_id: int):
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    """One for each Python worker: tasks that follow in it find its pretokens."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    encoder, part, offset = Encoder(path or tokenizer_path()), TaskContext.get().partitionId(), 0
+    return Encoder(path)
+
+
+def _encoded(batches: Iterable[pa.RecordBatch], path: str | None, end_id: int):
+    encoder, part, offset = _encoder(path or tokenizer_path()), TaskContext.get().partitionId(), 0
     end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
         for rows in slices(batch, "text", SLICE):
@@ -151,13 +191,16 @@ def read_documents(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> Da
 
 
 def offsets(tokens: DataFrame) -> DataFrame:
-    """Add ``start``: ids of all documents before. One row per file passes the window."""
+    """Add ``start``: ids of all documents before.
+
+    One row for each file passes the window and is broadcast; ``write_tokens`` sets how many.
+    """
     totals = tokens.groupBy("part").agg(F.sum("n_tokens").alias("ids_in_part"))
     before = totals.select(
         F.col("part").alias("p"),
         (F.sum("ids_in_part").over(W.orderBy("part")) - F.col("ids_in_part")).alias("ids_before"),
     )
-    joined = tokens.join(before, F.col("part") == F.col("p"))
+    joined = tokens.join(F.broadcast(before), F.col("part") == F.col("p"))
     return joined.withColumn("start", F.col("ids_before") + F.col("part_offset"))
 
 
