@@ -12,6 +12,7 @@ from marketloom.llm import (
     chat_schema,
     chunk_dedup,
     decontaminate,
+    order_minhash,
     pii_patterns,
     pivot_topk,
     ppm_language,
@@ -27,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near-duplicates of every document."""
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of all documents that repeat what stands earlier."""
     return chunk_dedup.repeated_spans(table(spark, sf_dir, "documents"))
@@ -95,6 +101,7 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     build.__name__: build
     for build in (
+        op1_order_minhash,
         op2_chunk_dedup,
         op3_winnow_lines,
         op4_containment,
