@@ -8,7 +8,7 @@ The instances of a pattern are the seeds and all other words with a digit or an
 such a context. On that graph scores spread for each kind in rounds: a pattern's score is
 the mean score of its instances, an instance's the mean score of its patterns; seeds keep 1
 for their kind and 0 for others. Patterns of enough seeds and a high score then mark
-unseen words, if such patterns alone surround them, as personal data of their kind.
+unseen words, if all their patterns are such, as personal data of their kind.
 
 All regular expressions take linear time: repetitions are possessive, and a match begins
 where its run of characters begins or where the match before ended.
@@ -115,7 +115,8 @@ def _contexts(matches: DataFrame) -> DataFrame:
         F.concat(left, F.lit(" _ "), right),
     )
     known = F.filter(around, lambda p: p.isNotNull())
-    return matches.withColumn("pattern", F.explode(known)).drop("before", "after")
+    counted = matches.withColumns({"known": known, "contexts": F.size(known)})
+    return counted.withColumn("pattern", F.explode("known")).drop("known", "before", "after")
 
 
 def _spread(edges: DataFrame, seeds: DataFrame, rounds: int) -> DataFrame:
@@ -177,7 +178,7 @@ def discovered(
         "spans", lambda s: (s["start"] < F.col("b.end")) & (F.col("b.start") < s["end"])
     )
     free = b.join(t, same, "left").filter(~F.coalesce(overlaps, F.lit(False))).select("b.*")
-    fields = [*DOCUMENT, "start", "end", "instance", "seed_kind", "pattern"]
+    fields = [*DOCUMENT, "start", "end", "instance", "seed_kind", "pattern", "contexts"]
     matches = base.withColumn("seed_kind", F.col("kind")).unionByName(
         free.withColumn("seed_kind", F.lit(None).cast("string"))
     )
@@ -192,11 +193,10 @@ def discovered(
     patterns = _spread(edges, written(seeds, "pii-instances"), rounds)
     good = patterns.filter((F.col("score") >= least_score) & (F.col("seeds") >= least_seeds))
     unseen = found.filter("seed_kind IS NULL").drop("seed_kind")
-    marked = unseen.join(good.select("pattern", "kind", "score"), "pattern")
-    best = marked.groupBy(*DOCUMENT, "start", "end").agg(
-        F.max_by("kind", F.struct("score", "kind")).alias("kind")
-    )
-    return best.select(*DOCUMENT, "kind", "start", "end")
+    marked = unseen.join(good.select("pattern", "kind"), "pattern")
+    # All that surrounds a word must point to the kind; no word can be of two kinds then.
+    agreed = marked.groupBy(*DOCUMENT, "start", "end", "contexts", "kind").count()
+    return agreed.filter("count = contexts").select(*DOCUMENT, "kind", "start", "end")
 
 
 def spans(documents: DataFrame, **options) -> DataFrame:

@@ -17,7 +17,8 @@ Pivots come from a bounded sample of rows; every row is indexed.
 Cases: vectors that are null, or hold null or non-finite components, take no part; shorter
 vectors count as filled with zeros; a squared norm of 2**52 or
 more, whose sums would not be exact, raises an error;
-rows that repeat an id are candidates each, and a query's own id is never its candidate;
+rows that repeat an id are candidates each, and a query's own id is never its candidate; a
+query id that is repeated is asked once, with its least vector;
 equal scores go to the smaller id; null ids take no part; an empty table gives no rows.
 """
 
@@ -257,8 +258,9 @@ def search(
         return whole.filter("vec_id IS NOT NULL AND v IS NOT NULL")
 
     rows = usable(vectors)
+    wanted = usable(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    facts = rows.unionByName(usable(queries)).agg(F.max(F.size("v")), F.max(square))
+    facts = rows.unionByName(wanted).agg(F.max(F.size("v")), F.max(square))
     width, most = facts.first()
     result = "query_id long, rank int, vec_id long, score long"
     if not width:
@@ -272,7 +274,7 @@ def search(
     shared = spark.sparkContext.broadcast(space)
 
     index = _blocks(rows, space, ANNULUS_ROWS, "annulus", False)
-    asked = _blocks(usable(queries), space, BLOCK_QUERIES, "query_block", True)
+    asked = _blocks(wanted, space, BLOCK_QUERIES, "query_block", True)
     around = asked.select("query_block", "matrix").mapInArrow(
         lambda b: _around(b, shared.value),
         "query_block long, pivot int, near double, far double",
