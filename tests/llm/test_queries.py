@@ -1,0 +1,29 @@
+"""Queries of the operators against SQL where SQL can say the same."""
+
+import pytest
+
+from marketloom.llm import queries
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, duck, sf_dir, name):
+    got = queries.QUERIES[name](spark, sf_dir).toPandas()
+    expected = duck.execute(queries.ORACLES[name]).fetchdf()
+    columns = sorted(got.columns)
+    assert columns == sorted(expected.columns)
+
+    def rows(frame):
+        return sorted(map(tuple, frame[columns].astype(str).values))
+
+    assert rows(got) == rows(expected)
+
+
+def test_ten_operators():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
+    assert numbers == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", ["op7_pii_patterns", "op9_chat_schema"])
+def test_native_plans(spark, sf_dir, name):
+    plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
