@@ -11,7 +11,15 @@ def market_date(text: Column) -> Column:
     return F.substring(text, 1, 10).try_cast("date")
 
 
+# Days from 1970-01-01 to the first and the last day that a date text can name.
+FIRST_DAY, LAST_DAY = -719162, 2932896
+
+
 def epoch_ms_date(ms: Column) -> Column:
-    """UTC date of epoch milliseconds, whatever the session time zone is."""
-    seconds = (ms / F.lit(1000)).try_cast("bigint")
-    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int"))
+    """UTC date of epoch milliseconds, whatever the session time zone is.
+
+    NULL where it lies outside the years 1 to 9999, as for nanoseconds.
+    """
+    days = F.floor((ms / F.lit(86_400_000)).cast("double")).try_cast("int")
+    inside = F.when(days.between(FIRST_DAY, LAST_DAY), days)
+    return F.date_add(F.lit("1970-01-01").cast("date"), inside)

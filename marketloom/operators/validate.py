@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marketloom import config
 from marketloom.functions import json_rules as J
+from marketloom.functions.parsing import FIRST_DAY, LAST_DAY
 from marketloom.sources.raw import RAW_FOLDERS, safe_symbol
 
 # Fields of a document and of its records, and the array slots.
@@ -166,6 +167,11 @@ def _struct_record_errors() -> str:
     return _record_errors(f"transform(d.records, (r, i) -> {record})", "day", "p.day", named)
 
 
+def _has_day(opened: str) -> str:
+    """Whether an open time lies in the years that dates have; NULL for a missing one."""
+    return f"(floor({opened} / 86400000) BETWEEN {FIRST_DAY} AND {LAST_DAY})"
+
+
 def _array_record_errors() -> str:
     """Errors of positional lists of at least 12 values."""
 
@@ -179,10 +185,15 @@ def _array_record_errors() -> str:
         rules.append(J.bind(slot("_e", name), "_v", wrong))
     late = _label("p.pos", "close_time must be greater than open_time")
     repeated = f"concat({_label('p.pos', 'has duplicate open_time ')}, p.opened)"
-    day = "date_add(date'1970-01-01', int(floor(p.opened / 86400000)))"
+    no_day = _label("p.pos", "field open_time is out of range")
+    whole_days = "try_cast(floor(p.opened / 86400000) AS INT)"
+    day = (
+        f"date_add(date'1970-01-01', CASE WHEN {_has_day('p.opened')} THEN {whole_days} END)"
+    )
     rules += [
         f"CASE WHEN p.closed <= p.opened THEN {late} END",
         f"CASE WHEN again THEN {repeated} END",
+        f"CASE WHEN NOT {_has_day('p.opened')} THEN {no_day} END",
         *_range_errors(day, "p.pos"),
     ]
     named = J.bind(
@@ -223,7 +234,7 @@ def _array_record_errors() -> str:
                 times,
                 "w",
                 "named_struct('value', r, 'pos', i, 'opened', w.opened, 'closed', w.closed, "
-                "'plain', q AND w.closed > w.opened)",
+                f"'plain', q AND w.closed > w.opened AND {_has_day('w.opened')})",
             ),
         ),
     )

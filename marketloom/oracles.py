@@ -184,11 +184,15 @@ ORACLES["raw_struct_records"] = _rounded(
 )
 ORACLES["raw_array_records"] = _rounded(
     f"""SELECT 'U' || user_id || 'USDT' AS symbol, 'crypto' AS asset_class, 'binance' AS source,
-               CAST(ts AS DATE) AS price_date, min(value) AS open_price, max(value) AS high_price,
+               CASE WHEN day(ts) = 9 THEN DATE '1970-01-01'
+                    - CAST(datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER)
+                    ELSE CAST(ts AS DATE) END AS price_date,
+               min(value) AS open_price, max(value) AS high_price,
                min(value) AS low_price, max(value) AS close_price,
                CAST(count(*) AS DOUBLE) AS volume, 'USDT' AS currency,
                DATE '{RUN_DATE}' AS ingestion_run_date
-        FROM events WHERE day(ts) NOT IN (13, 17) GROUP BY user_id, CAST(ts AS DATE)""",
+        FROM events WHERE day(ts) NOT IN (8, 10, 13, 17)
+        GROUP BY user_id, CAST(ts AS DATE), day(ts)""",
     *_OHLC,
 )
 ORACLES["fx_rates"] = _rounded(f"SELECT * FROM ({RATES}) WHERE day(rate_date) <> 13", "rate")
@@ -626,13 +630,17 @@ _KLINE_RULES = [
     ("d = 19", "is not a list"),
     ("d = 3", "has fewer than 12 fields"),
     ("d = 17", "field open_time is not an integer"),
+    ("d = 9", "field open_time is negative"),
     ("d = 13", "field volume is negative"),
     ("d = 23", "field number_of_trades is not an integer"),
-    ("d = 7", "close_time must be greater than open_time"),
+    ("d IN (7, 8, 10)", "close_time must be greater than open_time"),
     ("copy = 2", "has duplicate open_time '"
      " || datediff('day', DATE '1970-01-01', price_date) * 86400000 || '"),
-    ("d NOT IN (3, 17, 19) AND price_date < DATE '2024-01-04'", "date is before start_date"),
-    ("d NOT IN (3, 17, 19) AND price_date > DATE '2024-01-25'", "date is after end_date"),
+    ("d IN (8, 10)", "field open_time is out of range"),
+    ("d NOT IN (3, 8, 9, 10, 17, 19) AND price_date < DATE '2024-01-04'",
+     "date is before start_date"),
+    ("d NOT IN (3, 8, 9, 10, 17, 19) AND price_date > DATE '2024-01-25'",
+     "date is after end_date"),
 ]
 _kline_errors = " UNION ALL ".join(
     f"SELECT symbol, pos, {rule} AS rule, 'record ' || pos || ' {text}' AS error "

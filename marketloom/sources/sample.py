@@ -194,17 +194,29 @@ def user_klines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _odd_times(day: Column, ms: Column) -> Column:
+    """Text of an open time: nanoseconds, negative or twenty digits on some days."""
+    text = ms.cast("string")
+    return (
+        F.when(day == 8, F.concat(text, F.lit("000000")))
+        .when(day == 9, F.concat(F.lit("-"), text))
+        .when(day == 10, F.lit("9" * 20))
+        .otherwise(text)
+    )
+
+
 def kline_documents(klines: DataFrame) -> DataFrame:
     """One array-record document per pair, 12 texts per record.
 
     Volumes of every 13th are negative, and open times of every 17th are not
-    numbers. A document holds at most one record per calendar day.
+    numbers. Open times are nanoseconds on the 8th, negative on the 9th and have twenty
+    digits on the 10th. A document holds at most one record per calendar day.
     """
     day_ms = F.unix_date("day").cast("bigint") * 86_400_000
     day = F.dayofmonth("day")
     trades = F.col("trades").cast("string")
     slots = [
-        F.when(day == 17, F.lit("open")).otherwise(day_ms.cast("string")),
+        F.when(day == 17, F.lit("open")).otherwise(_odd_times(day, day_ms)),
         F.col("low").cast("string"),
         F.col("high").cast("string"),
         F.col("low").cast("string"),
@@ -279,7 +291,8 @@ def faulty_klines(klines: DataFrame) -> DataFrame:
 
     Day 3 has too few values, 5 comes twice, 7 closes before it opens, 13 has a
     negative volume, 17 an open time that is no number, 19 an object, 23 a trade
-    count with a fraction in a text.
+    count with a fraction in a text. Open times are nanoseconds on day 8, negative on
+    day 9 and have twenty digits on day 10.
     """
     day = F.dayofmonth("day")
     opened = F.unix_date("day").cast("bigint") * 86_400_000
@@ -291,7 +304,7 @@ def faulty_klines(klines: DataFrame) -> DataFrame:
 
     low, high = quoted(F.col("low").cast("string")), quoted(F.col("high").cast("string"))
     values = F.array(
-        F.when(day == 17, F.lit('"open"')).otherwise(opened.cast("string")),
+        F.when(day == 17, F.lit('"open"')).otherwise(_odd_times(day, opened)),
         low, high, low, high,
         quoted(F.when(day == 13, F.concat(F.lit("-"), trades)).otherwise(trades)),
         closed.cast("string"),

@@ -7,11 +7,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry_module
-from marketloom import catalog
+from marketloom import catalog, oracles
 from marketloom.operators import calendar
 from marketloom.sources import sample
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +43,8 @@ def _rows(frame):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_module.queries().items()
+    assert ORACLES.items() <= entry_module.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
