@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from marketloom import schemas
+from marketloom import config, schemas
 from marketloom.operators import (
+    allocate,
     assets,
     calendar,
     moments,
@@ -48,6 +49,11 @@ def query(build: Query) -> Query:
     return build
 
 
+def _coarse(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """Fewer digits, for results that two searches reach to within their steps."""
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
 def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar.dim_date(sample.price_days(spark, sf_dir))
 
@@ -79,10 +85,6 @@ def _returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moments.complete_returns(_fact(spark, sf_dir), sample.SYMBOLS)
 
 
-def _grid() -> weights.Grid:
-    return weights.Grid(sample.SYMBOLS, sample.PRIORITY_CRYPTO)
-
-
 _without_path = ["bronze_file_path"]
 
 
@@ -483,23 +485,73 @@ def _optimized(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         _returns(spark, sf_dir),
         sample.SYMBOLS,
         sample.PRIORITY_WEIGHTS,
-        grid=_grid(),
+        crypto=sample.PRIORITY_CRYPTO,
     )
 
 
 @query
 def optimizer_summary(spark, sf_dir):
-    return _optimized(spark, sf_dir)[0].drop("optimizer_method", "optimization_message")
+    summary = _optimized(spark, sf_dir)[0].drop("optimizer_method", "optimization_message")
+    return _coarse(summary, 4, "annual_return", "annual_volatility", "sharpe_ratio")
 
 
 @query
 def weight_difference(spark, sf_dir):
-    return _optimized(spark, sf_dir)[1]
+    return _coarse(_optimized(spark, sf_dir)[1], 4, "optimized_weight", "weight_difference")
 
 
 @query
 def top_weight_changes(spark, sf_dir):
-    return weights.top_weight_changes(_optimized(spark, sf_dir)[1], 3)
+    top = weights.top_weight_changes(_optimized(spark, sf_dir)[1], 3)
+    return _coarse(top, 4, "optimized_weight", "weight_difference")
+
+
+def _certified(spark: SparkSession, sf_dir: str, members: int) -> DataFrame:
+    """Best weights of lists of customers, judged by their moments alone."""
+    key = F.substring("symbol", 2, 20).cast("long")
+    returns = _wide_fact(spark, sf_dir).select(
+        F.floor(key / members).alias("universe"), "symbol", "date_key", "daily_return"
+    )
+    known = moments.grouped(returns, ["universe"])
+    asked = known.withColumn(
+        "is_crypto", F.transform("symbols", lambda s: F.right(s, F.lit(1)).isin("8", "9"))
+    ).withColumns(
+        {
+            "upper_bounds": F.transform(
+                "is_crypto",
+                lambda c: F.when(c, config.MAX_CRYPTO_ASSET_WEIGHT).otherwise(
+                    config.MAX_SINGLE_ASSET_WEIGHT
+                ),
+            ),
+            "start_weights": F.lit(None).cast("array<double>"),
+        }
+    )
+    judged = allocate.certificates(allocate.optimize(asked, asked.columns))
+    solved = F.col("weights").isNotNull()
+    optimal = F.col("best_gain") <= allocate.GRADIENT_TOLERANCE
+    return judged.select(
+        "universe",
+        F.size("symbols").cast("bigint").alias("symbols"),
+        "observation_count",
+        (solved & F.col("within_limits")).alias("within_limits"),
+        (solved & optimal).alias("is_optimal"),
+    )
+
+
+@query
+def optimizer_certificate_12(spark, sf_dir):
+    return _certified(spark, sf_dir, 12)
+
+
+@query
+def optimizer_certificate_60(spark, sf_dir):
+    return _certified(spark, sf_dir, 60)
+
+
+@query
+def starting_weights(spark, sf_dir):
+    candidates = sample.order_mix_candidates(spark, sf_dir)
+    return weights.starting_weights(candidates, _symbol_limits(spark, sf_dir))
 
 
 # Validation
@@ -621,7 +673,7 @@ def _built_gold(spark: SparkSession, sf_dir: str) -> str:
     write_table(schemas.conform(prices, schemas.ASSET_PRICES), silver_root, "asset_prices")
     write_table(schemas.conform(rates, schemas.FX_RATES), silver_root, "fx_rates")
     gold.build_gold(spark, silver_root, gold_root, portfolio_weights=_weights(spark))
-    gold.optimize_gold(spark, gold_root, current=sample.PRIORITY_WEIGHTS, grid=_grid())
+    gold.optimize_gold(spark, gold_root, current=sample.PRIORITY_WEIGHTS, crypto=sample.PRIORITY_CRYPTO)
     return gold_root
 
 

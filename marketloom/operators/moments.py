@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations_with_replacement
 from operator import and_
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ def complete_returns(
 ) -> DataFrame:
     """One row per date, one column per symbol; only dates where every symbol has a return."""
     if not symbols:
-        raise ValueError("At least one symbol is required to build the return matrix.")
+        raise ValueError("A return matrix needs one symbol or more.")
     returns = fact.select("date_key", "symbol", "daily_return").filter(
         F.col("symbol").isin(*symbols) & F.col("daily_return").isNotNull()
     )
@@ -64,110 +65,99 @@ def lookback(matrix: DataFrame) -> DataFrame:
     )
 
 
-def _long(values: DataFrame, columns: list[str]) -> DataFrame:
-    """The structs in a row's ``columns`` as rows."""
-    structs = F.array(*[F.col(c) for c in columns])
-    return values.select(F.explode(structs).alias("v")).select("v.*")
+GROUPED = (
+    "symbols array<string>, observation_count long, annual_returns array<double>, "
+    "annual_covariances array<array<double>>"
+)
+
+
+def grouped(
+    returns: DataFrame, by: Sequence[str], days: int = config.CALENDAR_DAYS_PER_YEAR
+) -> DataFrame:
+    """Annual moments of many symbol lists at once, from rows (by, symbol, date_key, daily_return).
+
+    A group's matrix has one row per date on which all of its symbols have a return, as in
+    ``complete_returns``; it is as large as its calendar times its symbols, and tasks
+    hold one at a time. Below two such dates the moments are NULL. NaN counts as missing.
+    """
+    by = list(by)
+    kept = returns.select(*by, "symbol", "date_key", "daily_return").dropna(subset="daily_return")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.select(*by).schema]
+
+    def of_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        wide = rows.pivot(index="date_key", columns="symbol", values="daily_return").dropna()
+        values, enough = wide.to_numpy(float), len(wide) > 1
+        covariances = np.atleast_2d(np.cov(values, rowvar=False)) * days if enough else None
+        means = (values.mean(axis=0) * days).tolist() if enough else None
+        result = [list(wide.columns), len(wide), means, covariances.tolist() if enough else None]
+        return pd.DataFrame([[*key, *result]])
+
+    return kept.groupBy(*by).applyInPandas(of_group, ", ".join([*fields, GROUPED]))
+
+
+def _per_symbol(matrix: DataFrame, symbols: Sequence[str], days: int) -> DataFrame:
+    """(i, mean, covariances) for each symbol, in one pass over the matrix.
+
+    Each row is repeated for each of its symbols with the whole row beside it, and the sums of
+    symbol i with all others are running aggregates of group i. No pair rows are built,
+    and the plan has the same shape for any number of symbols.
+    """
+    values = F.array(*[symbol_column(s) for s in symbols])
+    each = matrix.select(values.alias("row")).select(
+        F.posexplode("row").alias("i", "x"), "row"
+    )
+    with_others = [
+        F.covar_samp("x", F.get("row", F.lit(j))) * days for j in range(len(symbols))
+    ]
+    return each.groupBy("i").agg(
+        (F.avg("x") * days).alias("mean"), F.array(*with_others).alias("covariances")
+    )
+
+
+def _named(symbols: Sequence[str], at: str) -> Column:
+    return F.get(F.array(*[F.lit(s) for s in symbols]), F.col(at))
 
 
 def annual_means(
     matrix: DataFrame, symbols: Sequence[str], days: int = config.CALENDAR_DAYS_PER_YEAR
 ) -> DataFrame:
-    """Arithmetic annual mean return per symbol."""
-    means = matrix.agg(
-        *[
-            F.struct(
-                F.lit(s).alias("symbol"), (F.avg(symbol_column(s)) * days).alias("annual_return")
-            ).alias(f"m{i}")
-            for i, s in enumerate(symbols)
-        ]
-    )
-    return _long(means, means.columns)
+    """Arithmetic annual mean return per symbol; NULL without a row in the matrix."""
+    columns = [
+        F.struct(F.lit(s).alias("symbol"), (F.avg(symbol_column(s)) * days).alias("annual_return"))
+        for s in symbols
+    ]
+    row = matrix.agg(*[c.alias(f"m{i}") for i, c in enumerate(columns)])
+    return row.select(F.inline(F.array(*row.columns)))
 
 
 def annual_covariances(
-    matrix: DataFrame,
-    symbols: Sequence[str],
-    days: int = config.CALENDAR_DAYS_PER_YEAR,
-    pairs_per_pass: int = 500,
+    matrix: DataFrame, symbols: Sequence[str], days: int = config.CALENDAR_DAYS_PER_YEAR
 ) -> DataFrame:
-    """Annual sample covariance of every ordered pair of symbols.
-
-    Each pair is one running aggregate over the matrix rows, so no pair rows
-    are built per date. Long symbol lists take several passes over the matrix.
-    """
-    pairs = list(combinations_with_replacement(symbols, 2))
-    half = None
-    for at in range(0, len(pairs), pairs_per_pass):
-        aggregates = [
-            F.struct(
-                F.lit(a).alias("symbol_i"),
-                F.lit(b).alias("symbol_j"),
-                (F.covar_samp(symbol_column(a), symbol_column(b)) * days).alias(
-                    "annual_covariance"
-                ),
-            ).alias(f"c{i}")
-            for i, (a, b) in enumerate(pairs[at : at + pairs_per_pass])
-        ]
-        row = matrix.agg(*aggregates)
-        part = _long(row, row.columns)
-        half = part if half is None else half.unionByName(part)
-    # The other triangle comes from the same rows, with the symbols swapped.
-    both = F.when(
-        F.col("symbol_i") == F.col("symbol_j"), F.array(F.struct("symbol_i", "symbol_j"))
-    ).otherwise(
-        F.array(
-            F.struct("symbol_i", "symbol_j"),
-            F.struct(F.col("symbol_j").alias("symbol_i"), F.col("symbol_i").alias("symbol_j")),
-        )
-    )
-    return half.select(F.explode(both).alias("p"), "annual_covariance").select(
-        "p.symbol_i", "p.symbol_j", "annual_covariance"
+    """Annual sample covariance of every ordered pair of symbols; NULL below two dates."""
+    rows = _per_symbol(matrix, symbols, days)
+    pairs = rows.select("i", F.posexplode("covariances").alias("j", "annual_covariance"))
+    return pairs.select(
+        _named(symbols, "i").alias("symbol_i"),
+        _named(symbols, "j").alias("symbol_j"),
+        "annual_covariance",
     )
 
 
 def moments(
-    matrix: DataFrame,
-    symbols: Sequence[str],
-    days: int = config.CALENDAR_DAYS_PER_YEAR,
-    pairs_per_pass: int = 500,
+    matrix: DataFrame, symbols: Sequence[str], days: int = config.CALENDAR_DAYS_PER_YEAR
 ) -> DataFrame:
-    """One row: annual means and covariances as arrays in symbol order."""
-    n = len(symbols)
-    if n * (n + 1) // 2 <= pairs_per_pass:
-        columns = [symbol_column(s) for s in symbols]
-        means = F.array(*[F.avg(c) * days for c in columns])
-        rows = [
-            F.array(
-                *[F.covar_samp(columns[min(i, j)], columns[max(i, j)]) * days for j in range(n)]
-            )
-            for i in range(n)
-        ]
-        return matrix.agg(
-            means.alias("annual_returns"),
-            F.array(*rows).alias("annual_covariances"),
-            F.count(F.lit(1)).alias("observation_count"),
-            F.min("date_key").alias("lookback_start_date"),
-            F.max("date_key").alias("lookback_end_date"),
-        )
-    order = F.array(*[F.lit(s) for s in symbols])
-    means = annual_means(matrix, symbols, days).agg(
-        F.map_from_entries(F.collect_list(F.struct("symbol", "annual_return"))).alias("m")
-    )
-    pairs = annual_covariances(matrix, symbols, days, pairs_per_pass).select(
-        ((F.array_position(order, F.col("symbol_i")) - 1) * n
-         + F.array_position(order, F.col("symbol_j"))).alias("at"),
-        "annual_covariance",
+    """One row: annual means and covariances as arrays in symbol order, and the lookback.
+
+    The result has as many numbers as the symbol list squared.
+    """
+    rows = _per_symbol(matrix, symbols, days)
+    ordered = rows.agg(
+        F.array_sort(F.collect_list(F.struct("i", "mean", "covariances"))).alias("r")
     )
-    # n * n values, the size of the result itself.
-    flat = pairs.agg(F.sort_array(F.collect_list(F.struct("at", "annual_covariance"))).alias("c"))
-    row_starts = F.array(*[F.lit(i * n + 1) for i in range(n)])
     window = lookback(matrix).select(F.struct("*")).scalar()
-    return flat.withColumns({"m": means.scalar(), "w": window}).select(
-        F.transform(order, lambda s: F.element_at("m", s)).alias("annual_returns"),
-        F.transform(row_starts, lambda at: F.slice("c.annual_covariance", at, n)).alias(
-            "annual_covariances"
-        ),
+    return ordered.withColumn("w", window).select(
+        F.col("r.mean").alias("annual_returns"),
+        F.col("r.covariances").alias("annual_covariances"),
         "w.observation_count",
         "w.lookback_start_date",
         "w.lookback_end_date",

@@ -1,20 +1,17 @@
-"""Weight limits, feasibility, scoring and the search for the best weights.
+"""Weight limits, feasibility, scoring, and the report of the best weights.
 
-Weights are searched on a grid of whole units, so that sums and limits are
-exact. The search starts from the best point of a coarse lattice and then moves
-units between pairs of symbols, halving the step.
+The search itself is in ``allocate``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from math import comb
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom import config, schemas
-from marketloom.operators.joins import join_small
+from marketloom.operators.allocate import GRADIENT_TOLERANCE
 
 UNDEFINED_SHARPE_OBJECTIVE = 1e9
 
@@ -82,7 +79,7 @@ def feasible_candidates(
         weight > F.col("upper_bound") + tolerance
     )
     totals = (
-        join_small(candidates, bounds, "symbol", spread_by="candidate_id")
+        candidates.join(bounds, "symbol")
         .groupBy("candidate_id")
         .agg(
             F.sum("weight").alias("total_weight"),
@@ -150,193 +147,76 @@ def best(scored: DataFrame, tie_break: str = "candidate_id") -> DataFrame:
     return scored.orderBy("objective", tie_break).limit(1)
 
 
-class Grid:
-    """Whole-unit limits of a symbol list.
+def starting_weights(candidates: DataFrame, limits: DataFrame) -> DataFrame:
+    """Where a search begins, per candidate and symbol of ``limits``.
 
-    ``lattice * ratio ** levels`` units are weight 1. The first lattice has a
-    step of ``1 / lattice``; each level divides the step by ``ratio``.
+    The candidate's own weights, scaled to sum 1, if they keep the limits; else equal
+    weights if those do; else NULL: there is no such start.
     """
-
-    def __init__(
-        self,
-        symbols: Sequence[str],
-        crypto: Sequence[str] | None = None,
-        lattice: int = 20,
-        ratio: int = 4,
-        levels: int = 4,
-        max_rows: int = 2_000_000,
-        max_single: float = config.MAX_SINGLE_ASSET_WEIGHT,
-        max_crypto: float = config.MAX_CRYPTO_ASSET_WEIGHT,
-        max_crypto_total: float = config.MAX_CRYPTO_TOTAL_WEIGHT,
-    ):
-        if crypto is None:
-            crypto = [s for s in symbols if s.endswith("USDT")]
-        self.symbols = list(symbols)
-        self.is_crypto = [s in set(crypto) for s in symbols]
-        self.ratio = ratio
-        self.units = lattice * ratio**levels
-        self.steps = [ratio**level for level in reversed(range(levels + 1))]
-        whole = self.units + 1e-6
-        self.caps = [int((max_crypto if c else max_single) * whole) for c in self.is_crypto]
-        self.crypto_cap = int(max_crypto_total * whole)
-        others = len(symbols) - 1
-        self.starts_on_lattice = comb(lattice + others, others) <= max_rows
-        self.zooms_on_lattice = (2 * ratio + 1) ** others <= max_rows
-        open_capacity = sum(cap for cap, c in zip(self.caps, self.is_crypto) if not c)
-        crypto_capacity = sum(cap for cap, c in zip(self.caps, self.is_crypto) if c)
-        if open_capacity + min(crypto_capacity, self.crypto_cap) < self.units:
-            raise ValueError("Optimizer constraints are infeasible for the selected symbols.")
-
-    def is_feasible(self, units: Sequence[int]) -> bool:
-        crypto = sum(u for u, c in zip(units, self.is_crypto) if c)
-        return (
-            sum(units) == self.units
-            and all(0 <= u <= cap for u, cap in zip(units, self.caps))
-            and crypto <= self.crypto_cap
-        )
-
-    def apportion(self, weights: Sequence[float]) -> list[int]:
-        """Nearest whole units with the right total, largest remainders first."""
-        total = sum(weights)
-        exact = [w / total * self.units for w in weights]
-        units = [int(x + 1e-9) for x in exact]
-        order = sorted(range(len(units)), key=lambda i: units[i] - exact[i])
-        for i in order[: self.units - sum(units)]:
-            units[i] += 1
-        return units
-
-    def starting_units(self, current: Mapping[str, float]) -> list[int]:
-        """The current weights if they are feasible, else equal weights."""
-        held = [float(current.get(s, 0.0)) for s in self.symbols]
-        tries = ([held] if sum(held) > 0 else []) + [[1.0] * len(self.symbols)]
-        for weights in tries:
-            units = self.apportion(weights)
-            if self.is_feasible(units):
-                return units
-        raise ValueError(
-            "Could not build a feasible starting weight vector for the selected symbols."
-        )
-
-
-def _as_candidates(units: DataFrame, grid: Grid) -> DataFrame:
-    """Unit arrays with an id and their weights."""
-    return units.selectExpr(
-        "array_join(cast(units AS array<string>), '-') AS candidate_id",
-        "units",
-        f"transform(units, u -> u / {float(grid.units)!r}D) AS weights",
+    bounds = limits.select("symbol", "is_crypto", "lower_bound", "upper_bound")
+    symbols = bounds.agg(F.collect_list("symbol").alias("symbols")).scalar()
+    given = candidates.groupBy("candidate_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("symbol", "weight"))).alias("held"),
+        F.sum("weight").alias("total"),
     )
-
-
-def starting_candidate(
-    spark: SparkSession, grid: Grid, current: Mapping[str, float]
-) -> DataFrame:
-    units = F.lit(grid.starting_units(current)).cast("array<int>").alias("units")
-    return _as_candidates(spark.range(0, 1, 1, 1).select(units), grid)
-
-
-def lattice_candidates(
-    spark: SparkSession, grid: Grid, step: int, center: Sequence[int] | None = None
-) -> DataFrame:
-    """Every feasible weight vector in steps of ``step`` units.
-
-    Built one symbol at a time. A symbol's range stops at what is left to place,
-    at its own limit and at what is left for crypto, so nothing infeasible is
-    kept except vectors whose last symbol cannot take the rest. With a
-    ``center`` only ``grid.ratio`` steps to either side of it are tried.
-    """
-    rows = spark.range(0, 1, 1, 1).select(
-        F.lit(grid.units).alias("left"),
-        F.lit(grid.crypto_cap).alias("crypto_left"),
-        F.array().cast("array<int>").alias("units"),
+    each = given.withColumn("symbols", symbols).select(
+        "candidate_id", "held", "total", F.size("symbols").alias("n"), F.explode("symbols").alias("symbol")
     )
-    last = len(grid.symbols) - 1
-    for i, (cap, crypto) in enumerate(zip(grid.caps, grid.is_crypto)):
-        low, high = 0, cap
-        if center is not None:
-            low = max(low, center[i] - grid.ratio * step)
-            high = min(high, center[i] + grid.ratio * step)
-        left_for = "least(left, crypto_left)" if crypto else "left"
-        top = f"least({left_for}, {high})"
-        values = f"sequence({low}, {top}, {step})" if i < last else "array(left)"
-        rows = rows.selectExpr(
-            "*", f"explode(CASE WHEN {top} >= {low} THEN {values} END) AS u"
-        ).filter(f"u BETWEEN {low} AND {top}")
-        rows = rows.selectExpr(
-            "left - u AS left",
-            f"crypto_left - {'u' if crypto else '0'} AS crypto_left",
-            "concat(units, array(u)) AS units",
-        )
-        if i == 1 and center is None:
-            # The first two symbols give the rows that the tasks go on from.
-            rows = rows.repartition(spark.sparkContext.defaultParallelism, "units")
-    return _as_candidates(rows.select("units"), grid)
-
-
-def transfer_candidates(winner: DataFrame, grid: Grid, step: int) -> DataFrame:
-    """The winner, and every feasible move of up to ``grid.ratio`` steps between two symbols."""
-    last = len(grid.symbols) - 1
-    moved = (
-        winner.selectExpr("units", f"explode(sequence(0, {last})) AS a")
-        .selectExpr("*", f"explode(sequence(0, {last})) AS b")
-        .selectExpr("*", f"explode(sequence({step}, {step * grid.ratio}, {step})) AS k")
-        # One row with a = b keeps the winner itself.
-        .filter(f"a <> b OR (a = 0 AND k = {step})")
-        .selectExpr(
-            "transform(units, (u, i) -> u + if(i = b, k, 0) - if(i = a, k, 0)) AS units"
-        )
+    own = F.coalesce(F.try_element_at("held", F.col("symbol")), F.lit(0.0)) / F.col("total")
+    tries = each.select(
+        "candidate_id",
+        "symbol",
+        F.when(F.col("total") > 0, own).alias("own"),
+        (F.lit(1.0) / F.col("n")).alias("equal"),
     )
-    caps = f"array({', '.join(str(c) for c in grid.caps)})"
-    crypto = f"array({', '.join(str(int(c)) for c in grid.is_crypto)})"
-    within = f"forall(zip_with(units, {caps}, (u, c) -> u BETWEEN 0 AND c), ok -> ok)"
-    crypto_units = f"aggregate(zip_with(units, {crypto}, (u, c) -> u * c), 0, (t, x) -> t + x)"
-    return _as_candidates(moved.filter(f"{within} AND {crypto_units} <= {grid.crypto_cap}"), grid)
 
+    def fitting(column: str) -> DataFrame:
+        tried = tries.filter(F.col(column).isNotNull())
+        checked = feasible_candidates(
+            tried.select("candidate_id", "symbol", F.col(column).alias("weight")), limits
+        )
+        return checked.select("candidate_id", F.col("is_feasible").alias(f"{column}_fits"))
 
-def one_row(spark: SparkSession, row: DataFrame) -> DataFrame:
-    """A one-row result as literals, so that later steps do not run its plan again."""
-    (values,) = row.take(1)
-    columns = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, row.schema)]
-    return spark.range(0, 1, 1, 1).select(*columns)
+    chosen = F.when(F.col("own_fits"), F.col("own")).when(F.col("equal_fits"), F.col("equal"))
+    return (
+        tries.join(fitting("own"), "candidate_id", "left")
+        .join(fitting("equal"), "candidate_id", "left")
+        .select("candidate_id", "symbol", chosen.alias("weight"))
+    )
 
 
-def search_best(
-    spark: SparkSession,
+def problem(
     moments: DataFrame,
-    grid: Grid,
+    symbols: Sequence[str],
     current: Mapping[str, float],
-    risk_free_rate: float = config.RISK_FREE_RATE,
-    rounds_per_step: int = 100,
+    crypto: Sequence[str] | None = None,
+    max_single: float = config.MAX_SINGLE_ASSET_WEIGHT,
+    max_crypto: float = config.MAX_CRYPTO_ASSET_WEIGHT,
+    max_crypto_total: float = config.MAX_CRYPTO_TOTAL_WEIGHT,
 ) -> DataFrame:
-    """The best weights found, one row.
-
-    The first lattice is used where its size allows; every symbol list also
-    starts from the current weights. The Sharpe ratio has no local optima within
-    these limits, so finer and finer steps around the best weights lead on: all
-    symbols at once where that stays small, else units moved between two symbols
-    until no move helps. Each round is one job; between rounds only the moments
-    and the winning row, whose size the symbol list sets, are kept.
+    """Moments of a symbol list with the limits and the start of a search.
+
+    ``crypto`` names the crypto symbols; without it they are classed by name. Limits that
+    leave no room for full weight are an error.
     """
-    known = one_row(spark, moments.select("annual_returns", "annual_covariances"))
-
-    def pick(candidates: DataFrame) -> DataFrame:
-        return one_row(spark, best(score(candidates, known, risk_free_rate)))
-
-    starts = starting_candidate(spark, grid, current)
-    if grid.starts_on_lattice:
-        starts = starts.unionByName(lattice_candidates(spark, grid, grid.steps[0]))
-    winner = pick(starts)
-    for step in grid.steps[1:]:
-        units = winner.first()["units"]
-        if grid.zooms_on_lattice:
-            zoomed = lattice_candidates(spark, grid, step, center=units)
-            winner = pick(zoomed.unionByName(winner.select(*zoomed.columns)))
-            continue
-        for _ in range(rounds_per_step):
-            winner = pick(transfer_candidates(winner, grid, step))
-            before, units = units, winner.first()["units"]
-            if before == units:
-                break
-    return winner
+    spark = moments.sparkSession
+    is_crypto = [s.endswith("USDT") if crypto is None else s in set(crypto) for s in symbols]
+    rows = [(s, "crypto" if c else "equity") for s, c in zip(symbols, is_crypto, strict=True)]
+    universe = spark.createDataFrame(rows, "symbol string, asset_class string")
+    limits = asset_limits(universe, max_single, max_crypto)
+    if not universe_feasibility(limits, (), max_crypto_total).first()["is_feasible"]:
+        raise ValueError("The weight limits are infeasible: these symbols cannot take full weight.")
+    held = [float(current.get(s, 0.0)) for s in symbols]
+    total = sum(held)
+    bounds = [max_crypto if c else max_single for c in is_crypto]
+    start = F.array(*[F.lit(h / total) for h in held]) if total > 0 else F.lit(None)
+    return moments.withColumns(
+        {
+            "upper_bounds": F.array(*map(F.lit, bounds)),
+            "is_crypto": F.array(*map(F.lit, is_crypto)),
+            "start_weights": start.cast("array<double>"),
+        }
+    )
 
 
 def clean_weights(candidates: DataFrame, smallest: float = 1e-10) -> DataFrame:
@@ -393,12 +273,26 @@ def optimizer_summary(
     as_of: DataFrame,
     portfolio_name: str = config.OPTIMIZED_PORTFOLIO_NAME,
     risk_free_rate: float = config.RISK_FREE_RATE,
-    message: str = "Search finished at the smallest step.",
 ) -> DataFrame:
-    """The report row of the winning weights."""
+    """The report row of the winning weights.
+
+    ``winner`` has the score and the certificate of the weights. The search succeeded if the
+    weights keep the limits and no move between two symbols has a gain above the tolerance.
+    """
     window = as_of.select(
         F.struct("lookback_start_date", "lookback_end_date", "observation_count")
     ).scalar()
+    proven = (
+        F.col("sharpe_ratio").isNotNull()
+        & F.col("within_limits")
+        & (F.col("best_gain") <= GRADIENT_TOLERANCE)
+    )
+    message = (
+        F.when(F.col("sharpe_ratio").isNull(), "The Sharpe ratio is undefined for all weights.")
+        .when(~F.col("within_limits"), "The weights exceed a limit.")
+        .when(proven, "No move between two symbols improves the weights.")
+        .otherwise("A move between two symbols still improves the weights.")
+    )
     report = winner.withColumn("_w", window).select(
         F.lit(portfolio_name).alias("portfolio_name"),
         F.col("_w.lookback_end_date").alias("as_of_date"),
@@ -411,10 +305,8 @@ def optimizer_summary(
         "sharpe_ratio",
         F.lit(config.OPTIMIZER_METHOD).alias("optimizer_method"),
         F.lit(config.CONSTRAINT_SET_NAME).alias("constraint_set_name"),
-        F.col("sharpe_ratio").isNotNull().alias("optimization_success"),
-        F.when(F.col("sharpe_ratio").isNotNull(), F.lit(message))
-        .otherwise(F.lit("The Sharpe ratio is undefined for every candidate."))
-        .alias("optimization_message"),
+        F.coalesce(proven, F.lit(False)).alias("optimization_success"),
+        message.alias("optimization_message"),
     )
     return schemas.conform(report, schemas.FACT_OPTIMIZER_SUMMARY)
 

@@ -17,8 +17,8 @@ PRICE_COLUMNS = (
 )
 
 
-def _rounded(sql: str, *columns: str) -> str:
-    replaced = ", ".join(f'round("{c}", 6) + 0.0 AS "{c}"' for c in columns)
+def _rounded(sql: str, *columns: str, digits: int = 6) -> str:
+    replaced = ", ".join(f'round("{c}", {digits}) + 0.0 AS "{c}"' for c in columns)
     return f"SELECT * REPLACE ({replaced}) FROM ({sql})"
 
 
@@ -317,9 +317,9 @@ ORACLES["dim_portfolio"] = f"""
            'Customers of one nation at equal weight.' AS description, TRUE AS is_active
     FROM customer
     UNION ALL SELECT '{config.FIXED_PORTFOLIO_NAME}', 'fixed_weight',
-           'Fixed demo portfolio used for dashboard performance analysis.', TRUE
+           '{config.FIXED_PORTFOLIO_DESCRIPTION}', TRUE
     UNION ALL SELECT '{config.OPTIMIZED_PORTFOLIO_NAME}', 'optimizer',
-           'Historical max-Sharpe portfolio generated by the optimizer.', TRUE"""
+           '{config.OPTIMIZED_PORTFOLIO_DESCRIPTION}', TRUE"""
 ORACLES["portfolio_weighted"] = _rounded(
     f"""WITH {_with(*_FACT_STEPS, 'weights')}
         SELECT portfolio_name, symbol, date_key, daily_return * target_weight AS weighted_return
@@ -486,12 +486,17 @@ ORACLES["clean_weights"] = _rounded(
 )
 
 
+# How often the first lattice's step is quartered; results are compared to four digits.
+_LEVELS = 10
+
+
 def _search_steps() -> str:
     """The lattice and its finer and finer steps, as a chain of WITH entries."""
-    units, crypto_cap = 5120, 1280
-    caps = [3072, 3072, 3072, 768, 768]
+    units = 20 * 4**_LEVELS
+    crypto_cap = units // 4
+    caps = [units * 3 // 5] * 3 + [units * 3 // 20] * 2
     entries = []
-    for level, step in enumerate([256, 64, 16, 4, 1]):
+    for level, step in enumerate(4**power for power in range(_LEVELS, -1, -1)):
         names = [f"u{i}" for i in range(_n)]
         last = names[-1]
         rest = f"{units} - " + " - ".join(names[:-1])
@@ -531,11 +536,12 @@ ORACLES["optimizer_summary"] = _rounded(
                CAST({config.RISK_FREE_RATE} AS DOUBLE) AS risk_free_rate, annual_return,
                annual_volatility, sharpe_ratio,
                '{config.CONSTRAINT_SET_NAME}' AS constraint_set_name, TRUE AS optimization_success
-        FROM best4, lookback""",
+        FROM best{_LEVELS}, lookback""",
     "risk_free_rate", *_score_doubles,
 )
+ORACLES["optimizer_summary"] = _rounded(ORACLES["optimizer_summary"], *_score_doubles, digits=4)
 _chosen = " UNION ALL ".join(
-    f"SELECT '{s}' AS symbol, w{i} AS optimized_weight FROM best4" for i, s in enumerate(SYMBOLS)
+    f"SELECT '{s}' AS symbol, w{i} AS optimized_weight FROM best{_LEVELS}" for i, s in enumerate(SYMBOLS)
 )
 DIFFERENCES = f"""
     WITH {SEARCH_WITH}, weights AS ({WEIGHTS}), chosen AS ({_chosen})
@@ -544,9 +550,44 @@ DIFFERENCES = f"""
            optimized_weight - target_weight AS weight_difference
     FROM chosen JOIN weights USING (symbol)"""
 _difference_doubles = ("current_weight", "optimized_weight", "weight_difference")
-ORACLES["weight_difference"] = _rounded(DIFFERENCES, *_difference_doubles)
+ORACLES["weight_difference"] = _rounded(DIFFERENCES, *_difference_doubles, digits=4)
 ORACLES["top_weight_changes"] = _rounded(
-    f"{DIFFERENCES} ORDER BY weight_difference DESC LIMIT 3", *_difference_doubles
+    f"{DIFFERENCES} ORDER BY weight_difference DESC LIMIT 3", *_difference_doubles, digits=4
+)
+
+
+def _certificate(members: int) -> str:
+    """What must hold of the best weights: limits and certificate, wherever there are any."""
+    return f"""
+        WITH {FACT_WITH_WIDE},
+        listed AS (
+            SELECT CAST(substr(symbol, 2) AS BIGINT) // {members} AS universe, symbol,
+                   right(symbol, 1) IN ('8', '9') AS is_crypto, date_key
+            FROM fact WHERE daily_return IS NOT NULL),
+        sizes AS (
+            SELECT universe, count(*) AS symbols,
+                   0.60 * count(*) FILTER (WHERE NOT is_crypto)
+                   + least(0.25, 0.15 * count(*) FILTER (WHERE is_crypto)) AS capacity
+            FROM (SELECT DISTINCT universe, symbol, is_crypto FROM listed) GROUP BY universe),
+        listed_days AS (SELECT universe, date_key, count(*) AS n FROM listed GROUP BY ALL),
+        complete AS (
+            SELECT universe, count(*) FILTER (WHERE n = symbols) AS observation_count
+            FROM listed_days JOIN sizes USING (universe) GROUP BY universe)
+        SELECT universe, symbols, observation_count,
+               capacity + 1e-6 >= 1 AND observation_count > 1 AS within_limits,
+               capacity + 1e-6 >= 1 AND observation_count > 1 AS is_optimal
+        FROM sizes JOIN complete USING (universe)"""
+
+
+ORACLES["optimizer_certificate_12"] = _certificate(12)
+ORACLES["optimizer_certificate_60"] = _certificate(60)
+ORACLES["starting_weights"] = _rounded(
+    f"""WITH candidates AS ({CANDIDATES}), checked AS ({FEASIBLE}),
+        symbols AS (SELECT DISTINCT symbol FROM candidates)
+        SELECT candidate_id, s.symbol,
+               CASE WHEN is_feasible THEN coalesce(c.weight, 0.0) END AS weight
+        FROM checked CROSS JOIN symbols s LEFT JOIN candidates c USING (candidate_id, symbol)""",
+    "weight",
 )
 
 # Validation

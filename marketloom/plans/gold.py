@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketloom import config, schemas
 from marketloom.operators import assets as asset_ops
-from marketloom.operators import calendar, moments, portfolio, weights
-from marketloom.sources.tables import portfolios_table, read_table, weights_table, write_table
+from marketloom.operators import allocate, calendar, moments, portfolio, weights
+from marketloom.sources.tables import (
+    portfolios_table,
+    read_table,
+    stored,
+    weights_table,
+    write_table,
+)
 
 
 def build_gold(
@@ -44,6 +51,7 @@ def build_gold(
         "fact_portfolio_summary_daily",
         portfolio.fact_portfolio_summary_daily(daily, risk_free_rate),
     )
+    check_gold_keys(spark, gold_root, list(rows))
     return rows
 
 
@@ -64,24 +72,29 @@ def optimize_returns(
     current: Mapping[str, float] = config.FIXED_PORTFOLIO_WEIGHTS,
     portfolio_name: str = config.OPTIMIZED_PORTFOLIO_NAME,
     risk_free_rate: float = config.RISK_FREE_RATE,
-    grid: weights.Grid | None = None,
+    crypto: Sequence[str] | None = None,
+    **limits: float,
 ) -> tuple[DataFrame, DataFrame]:
     """The summary row and the weight rows of the best allocation of a return matrix."""
-    grid = grid or weights.Grid(symbols)
-    summary = moments.moments(returns, symbols)
-    # One row, as long as the symbol list squared.
-    known = weights.one_row(spark, summary)
+    # One row, as long as the symbol list squared; later steps read it instead of the returns.
+    known = stored(moments.moments(returns, symbols), "moments")
     if known.first()["observation_count"] < 2:
-        raise ValueError("At least two complete return observations are required for optimization.")
-    winner = weights.search_best(spark, known, grid, current, risk_free_rate)
-    lookback = known.select("lookback_start_date", "lookback_end_date", "observation_count")
+        raise ValueError("Optimization needs two or more days on which every symbol has a return.")
+    total = {k: v for k, v in limits.items() if k == "max_crypto_total"}
+    asked = weights.problem(known, symbols, current, crypto, **limits)
+    lookback = ["lookback_start_date", "lookback_end_date", "observation_count"]
+    solved = allocate.optimize(asked, [*asked.columns], risk_free_rate, **total)
+    proven = allocate.certificates(solved, risk_free_rate, **total)
+    named = proven.withColumn("candidate_id", F.lit(portfolio_name))
+    winner = stored(weights.score(named, known, risk_free_rate), "best-weights")
+    as_of = known.select(*lookback)
     chosen = weights.clean_weights(weights.weights_long(winner, symbols))
     held = spark.createDataFrame(
         [(s, float(w)) for s, w in current.items()], "symbol string, target_weight double"
     )
     return (
-        weights.optimizer_summary(winner, lookback, portfolio_name, risk_free_rate),
-        weights.weight_difference(chosen, held, lookback, portfolio_name),
+        weights.optimizer_summary(winner, as_of, portfolio_name, risk_free_rate),
+        weights.weight_difference(chosen, held, as_of, portfolio_name),
     )
 
 
@@ -95,14 +108,14 @@ def optimize_gold(
     portfolio_name: str = config.OPTIMIZED_PORTFOLIO_NAME,
     risk_free_rate: float = config.RISK_FREE_RATE,
     current: Mapping[str, float] = config.FIXED_PORTFOLIO_WEIGHTS,
-    grid: weights.Grid | None = None,
+    crypto: Sequence[str] | None = None,
 ) -> dict[str, int]:
     """Find the best weights from the asset fact and write the two report tables."""
     symbols = list(current) if symbols is None else list(symbols)
     fact = read_table(spark, gold_root, "fact_asset_daily")
     returns = moments.complete_returns(fact, symbols, start_date, end_date)
     summary, chosen = optimize_returns(
-        spark, returns, symbols, current, portfolio_name, risk_free_rate, grid
+        spark, returns, symbols, current, portfolio_name, risk_free_rate, crypto
     )
     return {
         "fact_optimizer_summary": write_table(summary, gold_root, "fact_optimizer_summary", mode),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -44,17 +43,20 @@ def write_table(
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for written tables that every executor can reach.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``. A local
-    session without that setting falls back to a temporary folder.
+    The cluster names the shared folder in ``spark.checkpoint.dir``; without that setting
+    it is the warehouse, which executors share as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="marketloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: its plan ends there."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def assets_table(
     spark: SparkSession,
     equities: Sequence[str] = config.EQUITY_SYMBOLS,
@@ -78,13 +80,13 @@ def portfolios_table(
         (
             fixed_name,
             "fixed_weight",
-            "Fixed demo portfolio used for dashboard performance analysis.",
+            config.FIXED_PORTFOLIO_DESCRIPTION,
             True,
         ),
         (
             optimized_name,
             "optimizer",
-            "Historical max-Sharpe portfolio generated by the optimizer.",
+            config.OPTIMIZED_PORTFOLIO_DESCRIPTION,
             True,
         ),
     ]

@@ -1,19 +1,24 @@
+import math
+import random
 from datetime import date, timedelta
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 
-from marketloom import config
-from marketloom.operators import moments, weights
+from marketloom.operators import allocate, moments, weights
 from marketloom.plans import gold
 
+# A trend for each symbol and waves that are shared in part, so that no two move alike.
+TRENDS = {"ALPHA": 3, "BETA": 5, "GAMMA": 1, "ONEUSDT": 9, "TWOUSDT": 14}
 RETURNS = {
-    "VAS.AX": [0.0010, 0.0020, 0.0015, -0.0010, 0.0025, 0.0005],
-    "CBA.AX": [0.0005, 0.0025, -0.0010, 0.0010, 0.0020, 0.0000],
-    "BHP.AX": [-0.0005, 0.0010, 0.0020, -0.0020, 0.0015, 0.0005],
-    "BTCUSDT": [0.0100, -0.0080, 0.0120, -0.0060, 0.0040, -0.0030],
-    "ETHUSDT": [0.0120, -0.0100, 0.0140, -0.0080, 0.0060, -0.0040],
+    s: [
+        (t + 20 * math.sin(1.3 * k + i) + 11 * math.cos(0.7 * k * (i + 1))) / 1e4
+        for k in range(24)
+    ]
+    for i, (s, t) in enumerate(TRENDS.items())
 }
+HELD = {"ALPHA": 0.3, "BETA": 0.3, "GAMMA": 0.2, "ONEUSDT": 0.1, "TWOUSDT": 0.1}
 SYMBOLS = list(RETURNS)
 SCHEMA = "date_key date, symbol string, daily_return double"
 
@@ -28,44 +33,64 @@ def fact_of(spark, returns=RETURNS):
 def test_matrix_keeps_complete_dates_only(spark):
     d1, d2, d3 = (date(2026, 1, k) for k in (1, 2, 3))
     rows = [
-        (d1, "CBA.AX", None), (d1, "BTCUSDT", 0.1),
-        (d2, "CBA.AX", 0.01), (d2, "BTCUSDT", 0.02), (d2, "OTHER", 0.5),
-        (d3, "CBA.AX", 0.03),
+        (d1, "A.X", None), (d1, "CUSDT", 0.1),
+        (d2, "A.X", 0.01), (d2, "CUSDT", 0.02), (d2, "OTHER", 0.5),
+        (d3, "A.X", 0.03),
     ]
     fact = spark.createDataFrame(rows, SCHEMA)
-    matrix = moments.return_matrix(fact, ["CBA.AX", "BTCUSDT"])
-    assert matrix.columns == ["date_key", "CBA.AX", "BTCUSDT"]
+    matrix = moments.return_matrix(fact, ["A.X", "CUSDT"])
+    assert matrix.columns == ["date_key", "A.X", "CUSDT"]
     assert [tuple(r) for r in matrix.collect()] == [(d2, 0.01, 0.02)]
-    assert moments.return_matrix(fact, ["CBA.AX"], "2026-01-03", "2026-01-03").count() == 1
-    with pytest.raises(ValueError, match="At least one symbol"):
+    assert moments.return_matrix(fact, ["A.X"], "2026-01-03", "2026-01-03").count() == 1
+    with pytest.raises(ValueError, match="one symbol or more"):
         moments.return_matrix(fact, [])
 
 
-@pytest.mark.parametrize("pairs_per_pass", [500, 4])
-def test_moments_equal_numpy(spark, pairs_per_pass):
+def test_moments_equal_numpy(spark):
     matrix = moments.complete_returns(fact_of(spark), SYMBOLS)
-    row = moments.moments(matrix, SYMBOLS, pairs_per_pass=pairs_per_pass).first()
+    row = moments.moments(matrix, SYMBOLS).first()
     values = np.array([RETURNS[s] for s in SYMBOLS])
     assert row["annual_returns"] == pytest.approx(list(values.mean(axis=1) * 365))
     assert np.allclose(np.array(row["annual_covariances"]), np.cov(values) * 365)
-    assert row["observation_count"] == 6
-    assert row["lookback_end_date"] == date(2026, 1, 7)
-    long = moments.annual_covariances(matrix, SYMBOLS, pairs_per_pass=pairs_per_pass)
-    assert long.count() == 25
+    assert row["observation_count"] == 24
+    assert row["lookback_end_date"] == date(2026, 1, 25)
+    assert moments.annual_covariances(matrix, SYMBOLS).count() == 25
+    fact = fact_of(spark).selectExpr("*", "'all' AS name")
+    (group,) = moments.grouped(fact, ["name"]).collect()
+    assert (group.symbols, group.observation_count) == (SYMBOLS, 24)
+    assert group.annual_returns == pytest.approx(row["annual_returns"])
+    assert np.allclose(np.array(group.annual_covariances), np.array(row["annual_covariances"]))
+
+
+@pytest.mark.parametrize("n", [5, 200])
+def test_covariances_take_one_pass_for_any_number_of_symbols(spark, n):
+    rng = np.random.default_rng(n)
+    values = rng.normal(size=(30, n))
+    names = [f"S{i:03}" for i in range(n)]
+    rows = [(date(2026, 1, 1) + timedelta(k), *map(float, v)) for k, v in enumerate(values)]
+    schema = ", ".join(["date_key date", *(f"{s} double" for s in names)])
+    matrix = spark.createDataFrame(rows, schema)
+    found = moments.moments(matrix, names)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode") == 1 and "Union" not in plan
+    assert np.allclose(np.array(found.first()["annual_covariances"]), np.cov(values.T) * 365)
 
 
 def test_score(spark):
     known = spark.createDataFrame(
-        [([0.1, 0.2], [[0.04, 0.0], [0.0, 0.09]])],
+        [([0.3, 0.06], [[0.16, 0.02], [0.02, 0.01]])],
         "annual_returns array<double>, annual_covariances array<array<double>>",
     )
-    vectors = spark.createDataFrame([("a", [0.5, 0.5]), ("b", [0.0, 0.0])], "candidate_id string, weights array<double>")
-    scored = {r.candidate_id: r for r in weights.score(vectors, known, 0.02).collect()}
-    assert scored["a"].annual_return == pytest.approx(0.15)
-    assert scored["a"].annual_volatility == pytest.approx(0.1802775638)
-    assert scored["a"].sharpe_ratio == pytest.approx(0.7211102551)
-    assert scored["b"].sharpe_ratio is None and scored["b"].objective == 1e9
-    assert weights.best(weights.score(vectors, known, 0.02)).first().candidate_id == "a"
+    vectors = spark.createDataFrame(
+        [("a", [0.25, 0.75]), ("none", [0.0, 0.0])], "candidate_id string, weights array<double>"
+    )
+    scored = {r.candidate_id: r for r in weights.score(vectors, known, 0.07).collect()}
+    volatility = math.sqrt(0.0625 * 0.16 + 2 * 0.1875 * 0.02 + 0.5625 * 0.01)
+    assert scored["a"].annual_return == pytest.approx(0.12)
+    assert scored["a"].annual_volatility == pytest.approx(volatility)
+    assert scored["a"].sharpe_ratio == pytest.approx(0.05 / volatility)
+    assert scored["none"].sharpe_ratio is None and scored["none"].objective == 1e9
+    assert weights.best(weights.score(vectors, known, 0.07)).first().candidate_id == "a"
 
 
 def test_tiny_negative_variance_is_zero(spark):
@@ -77,57 +102,124 @@ def test_tiny_negative_variance_is_zero(spark):
         assert (row.annual_volatility, row.sharpe_ratio) == (volatility, None)
 
 
-def test_lattice_is_every_feasible_vector(spark):
-    grid = weights.Grid(SYMBOLS, levels=0)
-    rows = weights.lattice_candidates(spark, grid, 1).collect()
-    units = range(21)
-    expected = {
-        (a, b, c, x, 20 - a - b - c - x)
-        for a in units for b in units for c in units for x in units
-        if max(a, b, c) <= 12 and x <= 3 and 0 <= 20 - a - b - c - x <= 3
-        and x + 20 - a - b - c - x <= 5
-    }
-    assert {tuple(r.units) for r in rows} == expected
-    assert len(rows) == len(expected) == 1865
+def _problem(returns, covariances, crypto, single=0.6, own=0.15, total=0.25, rate=0.04):
+    row = SimpleNamespace(
+        annual_returns=returns,
+        annual_covariances=covariances,
+        upper_bounds=[own if c else single for c in crypto],
+        is_crypto=crypto,
+    )
+    return allocate.Problem(row, rate, total)
 
 
-@pytest.mark.parametrize("max_rows", [2_000_000, 1])
-def test_search_reaches_the_finest_lattice_optimum(spark, max_rows):
-    """With and without lattices the search ends at one point that no single move betters."""
-    matrix = moments.complete_returns(fact_of(spark), SYMBOLS)
-    known = moments.moments(matrix, SYMBOLS)
-    grid = weights.Grid(SYMBOLS, max_rows=max_rows)
-    winner = weights.search_best(spark, known, grid, config.FIXED_PORTFOLIO_WEIGHTS, 0.04)
-    row = winner.first()
-    w = np.array(row["weights"])
-    assert w.sum() == pytest.approx(1.0)
-    assert (w >= 0).all() and (w[:3] <= 0.6).all() and (w[3:] <= 0.15).all()
-    assert w[3:].sum() <= 0.25
-    mu, cov = known.first()["annual_returns"], np.array(known.first()["annual_covariances"])
-
-    def sharpe(x):
-        return (x @ np.array(mu) - 0.04) / np.sqrt(x @ cov @ x)
-
-    assert row["sharpe_ratio"] == pytest.approx(sharpe(w))
-    # No better point on a 1 % lattice.
-    best = -np.inf
-    for a in range(61):
-        for b in range(61):
-            for x in range(16):
-                for y in range(16):
-                    c = 100 - a - b - x - y
-                    if 0 <= c <= 60 and x + y <= 25:
-                        best = max(best, sharpe(np.array([a, b, c, x, y]) / 100))
-    assert row["sharpe_ratio"] >= best - 1e-9
-
-
-def test_infeasible_universe_and_starting_weights(spark):
+def _random_problem(rng, n, rate):
+    factors = rng.normal(size=(n, 3))
+    covariances = factors @ factors.T * 0.02 + np.diag(rng.uniform(0.01, 0.1, n))
+    crypto = [i % 4 == 3 for i in range(n)]
+    return _problem(rng.uniform(-0.1, 0.4, n), covariances, crypto, rate=rate)
+
+
+def _feasible(problem, w):
+    return (
+        abs(w.sum() - 1) < 1e-9
+        and (w >= -1e-12).all()
+        and (w <= problem.caps + 1e-9).all()
+        and w[problem.crypto].sum() <= problem.crypto_total + 1e-9
+    )
+
+
+@pytest.mark.parametrize("n", [5, 12, 30, 60])
+def test_no_move_improves_the_best_weights(spark, n):
+    rng = np.random.default_rng(n)
+    problem = _random_problem(rng, n, 0.04)
+    best = problem.solve([])
+    assert _feasible(problem, best)
+    schema = (
+        "annual_returns array<double>, annual_covariances array<array<double>>, "
+        "is_crypto array<boolean>, upper_bounds array<double>, weights array<double>"
+    )
+    row = (
+        problem.returns.tolist(), problem.covariances.tolist(), problem.crypto.tolist(),
+        problem.caps.tolist(), best.tolist(),
+    )
+    worse = (*row[:4], problem.fill(range(n)).tolist())
+    judged = allocate.certificates(spark.createDataFrame([row, worse], schema), 0.04).collect()
+    assert all(r.within_limits for r in judged)
+    assert judged[0].best_gain <= allocate.GRADIENT_TOLERANCE < judged[1].best_gain
+    # Nor do random feasible weights.
+    for _ in range(2000):
+        other = problem.fill(rng.permutation(n))
+        mixed = best + rng.uniform() ** 3 * (other - best)
+        assert problem.sharpe(mixed) <= problem.sharpe(best) + 1e-9
+
+
+def test_the_best_weights_beat_a_fine_lattice():
+    values = np.array([RETURNS[s] for s in SYMBOLS])
+    crypto = [s.endswith("USDT") for s in SYMBOLS]
+    problem = _problem(values.mean(axis=1) * 365, np.cov(values) * 365, crypto)
+    best = problem.sharpe(problem.solve([]))
+    top = max(
+        problem.sharpe(np.array([a, b, 50 - a - b - x - y, x, y]) / 50)
+        for a in range(31)
+        for b in range(31)
+        for x in range(8)
+        for y in range(8)
+        if 0 <= 50 - a - b - x - y <= 30 and x + y <= 12
+    )
+    assert 0.9 * best < top <= best + 1e-12
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_without_excess_return_the_best_corner_wins(seed):
+    """All returns are below the rate: every start must end at the best corner."""
+    rng = np.random.default_rng(seed)
+    problem = _random_problem(rng, 12, 0.9)
+    found = problem.solve([problem.fill(rng.permutation(12)) for _ in range(2)])
+    assert _feasible(problem, found)
+    again = problem.solve([])
+    assert problem.sharpe(again) == pytest.approx(problem.sharpe(found))
+    # Corners are fillings in some order.
+    order = list(range(12))
+    rnd = random.Random(seed)
+    for _ in range(4000):
+        rnd.shuffle(order)
+        assert problem.sharpe(problem.fill(order)) <= problem.sharpe(found) + 1e-9
+
+
+def test_limits_of_exactly_a_third_are_feasible(spark):
+    known = spark.createDataFrame(
+        [([0.1, 0.2, 0.3], np.diag([0.1, 0.1, 0.1]).tolist())],
+        "annual_returns array<double>, annual_covariances array<array<double>>",
+    )
+    asked = weights.problem(known, ["A", "B", "C"], {}, max_single=1 / 3)
+    (row,) = allocate.optimize(asked, []).collect()
+    assert row.weights == pytest.approx([1 / 3] * 3)
+    with pytest.raises(ValueError, match="infeasible"):
+        weights.problem(known, ["A", "B", "C"], {}, max_single=0.33)
     with pytest.raises(ValueError, match="infeasible"):
-        weights.Grid(["BTCUSDT", "ETHUSDT"])
-    grid = weights.Grid(["A", "B", "C"])
-    assert grid.starting_units({}) == [1707, 1707, 1706]
-    assert grid.starting_units({"A": 0.9, "B": 0.1}) == [1707, 1707, 1706]
-    assert grid.starting_units({"A": 0.2, "B": 0.2}) == [2560, 2560, 0]
+        weights.problem(known, ["AUSDT", "BUSDT", "CUSDT"], {})
+
+
+def test_no_variance_has_no_best_weights():
+    zero = np.zeros((3, 3))
+    assert _problem([0.1, 0.2, 0.3], zero, [False] * 3).solve([]) is None
+
+
+def test_starting_weights(spark):
+    limits = weights.asset_limits(
+        spark.createDataFrame([("A",), ("B",), ("CUSDT",)], "symbol string")
+    )
+    rows = [("own", "A", 0.6), ("own", "B", 0.6), ("equal", "A", 0.9), ("equal", "B", 0.1)]
+    candidates = spark.createDataFrame(rows, "candidate_id string, symbol string, weight double")
+    got = {(r[0], r[1]): r[2] for r in weights.starting_weights(candidates, limits).collect()}
+    # A third of crypto exceeds its limit, so equal weights are no start here.
+    assert got == {
+        ("own", "A"): 0.5, ("own", "B"): 0.5, ("own", "CUSDT"): 0.0,
+        ("equal", "A"): None, ("equal", "B"): None, ("equal", "CUSDT"): None,
+    }
+    plain = weights.asset_limits(spark.createDataFrame([("A",), ("B",)], "symbol string"))
+    got = weights.starting_weights(candidates.filter("candidate_id = 'equal'"), plain).collect()
+    assert {r.symbol: r.weight for r in got} == {"A": 0.5, "B": 0.5}
 
 
 def test_clean_weights(spark):
@@ -139,20 +231,20 @@ def test_clean_weights(spark):
 
 def test_optimize_reports_lookback_and_differences(spark):
     matrix = moments.complete_returns(fact_of(spark), SYMBOLS)
-    summary, chosen = gold.optimize_returns(spark, matrix, SYMBOLS, risk_free_rate=0.04)
+    summary, chosen = gold.optimize_returns(spark, matrix, SYMBOLS, HELD, risk_free_rate=0.04)
     (row,) = summary.collect()
-    assert (row.as_of_date, row.observation_count) == (date(2026, 1, 7), 6)
-    assert row.optimization_success
+    assert (row.as_of_date, row.observation_count) == (date(2026, 1, 25), 24)
+    assert row.optimization_success and row.optimization_message.startswith("No move")
     rows = {r.symbol: r for r in chosen.collect()}
     assert set(rows) == set(SYMBOLS)
     for s, r in rows.items():
-        assert r.current_weight == config.FIXED_PORTFOLIO_WEIGHTS[s]
+        assert r.current_weight == HELD[s]
         assert r.weight_difference == pytest.approx(r.optimized_weight - r.current_weight)
 
 
 def test_optimize_needs_two_observations(spark):
     matrix = moments.complete_returns(fact_of(spark, {"A": [0.1], "B": [0.2]}), ["A", "B"])
-    with pytest.raises(ValueError, match="At least two"):
+    with pytest.raises(ValueError, match="two or more days"):
         gold.optimize_returns(spark, matrix, ["A", "B"], {"A": 0.5, "B": 0.5})
 
 
