@@ -105,35 +105,86 @@ def raw_array_records(spark, sf_dir):
 
 @query
 def fx_rates(spark, sf_dir):
-    documents = sample.rate_documents(sample.shipment_rates(spark, sf_dir))
+    documents = sample.rate_documents(sample.shipment_rates(spark, sf_dir, every_day=True))
     return silver.struct_records_to_rates(documents, sample.RUN_DATE).drop(*_without_path)
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _land(spark: SparkSession, sf_dir: str) -> str:
+    """All derived documents, landed: equities, crypto pairs and FX."""
     root = shared_folder(spark, "raw")
-    documents = sample.price_documents(sample.customer_prices(spark, sf_dir))
-    equities = documents.filter(F.col("source") == "yahoo")
-    raw.write_documents(equities, root, "equity", sample.RUN_DATE)
-    return raw.read_equity_documents(spark, root, sample.RUN_DATE, multi_line=False)
+    prices = sample.customer_prices(spark, sf_dir)
+    is_crypto = F.col("source") == "binance"
+    documents = {
+        "equity": sample.price_documents(prices.filter(~is_crypto)),
+        "crypto": sample.price_klines(prices.filter(is_crypto)),
+        "fx": sample.rate_documents(sample.shipment_rates(spark, sf_dir)),
+    }
+    for kind, table in documents.items():
+        raw.write_documents(table, root, kind, sample.RUN_DATE, "1990-01-01")
+    return root
 
 
 @query
 def land_raw(spark, sf_dir):
-    prices = silver.struct_records_to_prices(_landed(spark, sf_dir), sample.RUN_DATE)
+    root = _land(spark, sf_dir)
+    equities = raw.read_equity_documents(spark, root, sample.RUN_DATE, multi_line=False)
+    pairs = raw.read_crypto_documents(spark, root, sample.RUN_DATE, multi_line=False)
+    prices = silver.union_prices(
+        silver.struct_records_to_prices(equities, sample.RUN_DATE),
+        silver.array_records_to_prices(pairs, sample.RUN_DATE),
+    )
     return prices.select("symbol", "source", "price_date", "close_price", "volume")
 
 
 @query
-def raw_lineage(spark, sf_dir):
-    folder = f"/equities/source=yahoo/date={sample.RUN_DATE}/"
-    documents = _landed(spark, sf_dir)
-    return documents.select(
+def land_fx(spark, sf_dir):
+    # One document in one file, which the reader of indented documents takes as well.
+    root = _land(spark, sf_dir)
+    documents = raw.read_fx_documents(spark, root, sample.RUN_DATE, multi_line=True)
+    return silver.struct_records_to_rates(documents, sample.RUN_DATE).drop(*_without_path)
+
+
+@query
+def land_validate(spark, sf_dir):
+    root = _land(spark, sf_dir)
+    key = ["symbol", "asset_class"]
+    assets = sample.customer_assets(spark, sf_dir).select(*key).unionByName(
+        spark.createDataFrame([("AUDUSD=X", "fx")], "symbol string, asset_class string")
+    )
+    manifest = validate.expected_files(assets, root, sample.RUN_DATE)
+    folders = [
+        raw.partition_folder(root, folder, source, sample.RUN_DATE)
+        for folder, source in raw.RAW_FOLDERS.values()
+    ]
+    results = validate.validate_lines(spark, manifest, folders)
+    return results.select(
         "symbol",
-        F.size("records").cast("bigint").alias("record_count"),
-        F.contains("bronze_file_path", F.lit(folder)).alias("is_in_run_folder"),
+        "asset_class",
+        "status",
+        F.size("errors").cast("bigint").alias("error_count"),
+        F.get("errors", F.lit(0)).alias("first_error"),
     )
 
 
+@query
+def raw_lineage(spark, sf_dir):
+    root = _land(spark, sf_dir)
+    found = [
+        reader(spark, root, sample.RUN_DATE, multi_line=False).select(
+            "symbol",
+            F.size("records").cast("bigint").alias("record_count"),
+            F.contains("bronze_file_path", F.lit(f"/{folder}/date={sample.RUN_DATE}/")).alias(
+                "is_in_run_folder"
+            ),
+        )
+        for reader, folder in (
+            (raw.read_equity_documents, "equities/source=yahoo"),
+            (raw.read_crypto_documents, "crypto/source=binance"),
+        )
+    ]
+    return found[0].unionByName(found[1])
+
+
 @query
 def assets_silver(spark, sf_dir):
     return schemas.conform(sample.customer_assets(spark, sf_dir), schemas.ASSETS)
@@ -180,7 +231,8 @@ def clean_prices(spark, sf_dir):
 def clean_fx(spark, sf_dir):
     day = F.dayofmonth("rate_date")
     rate = F.when(day == 13, 0.0).when(day != 29, F.col("rate"))
-    return silver.clean_rates(sample.shipment_rates(spark, sf_dir).withColumn("rate", rate))
+    rates = sample.shipment_rates(spark, sf_dir, every_day=True)
+    return silver.clean_rates(rates.withColumn("rate", rate))
 
 
 @query
@@ -252,6 +304,13 @@ def fx_calendar_fill(spark, sf_dir):
     return calendar.fx_calendar(sample.shipment_rates(spark, sf_dir), _dates(spark, sf_dir))
 
 
+@query
+def fx_pairs_fill(spark, sf_dir):
+    return calendar.fill_pairs(sample.mode_rates(spark, sf_dir), _dates(spark, sf_dir)).drop(
+        "previous_rate"
+    )
+
+
 @query
 def asof_fx(spark, sf_dir):
     rates = calendar.fill_rates(sample.shipment_rates(spark, sf_dir), _dates(spark, sf_dir))
@@ -287,6 +346,20 @@ def fact_asset_daily(spark, sf_dir):
     return _fact(spark, sf_dir)
 
 
+@query
+def fact_asset_pairs(spark, sf_dir):
+    prices, rates = sample.priority_prices(spark, sf_dir), sample.mode_rates(spark, sf_dir)
+    return assets.fact_asset_daily(prices, rates, _dates(spark, sf_dir))
+
+
+@query
+def fact_asset_hard(spark, sf_dir):
+    late = F.col("rate_date") >= "1996-05-01"
+    rates = sample.mode_rates(spark, sf_dir).filter(late)
+    prices = sample.hard_prices(spark, sf_dir)
+    return assets.fact_asset_daily(prices, rates, _dates(spark, sf_dir))
+
+
 @query
 def fact_asset_daily_wide(spark, sf_dir):
     return _wide_fact(spark, sf_dir).groupBy("symbol").agg(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom import schemas
 from marketloom.functions.returns import simple_return, to_aud
-from marketloom.operators.calendar import expand_days, fill_rates, valid_until
+from marketloom.operators.calendar import expand_days, fill_rates, of_pair, valid_until
 from marketloom.operators.silver import one_per_day
 
 
@@ -53,10 +53,13 @@ def _newest_rows(prices: DataFrame, rates: DataFrame) -> tuple[DataFrame, DataFr
         return [c for c in table.columns if c == "ingestion_run_date"]
 
     price_rows = prices.select("symbol", "price_date", "close_price", "currency", *run(prices))
-    rate_rows = rates.select(F.lit("AUDUSD").alias("pair"), "rate_date", "rate", *run(rates))
+    # Only AUD/USD converts prices; rates of other pairs are not mixed in.
+    rate_rows = of_pair(rates).select(
+        "base_currency", "quote_currency", "rate_date", "rate", *run(rates)
+    )
     return (
         one_per_day(price_rows, "symbol", "price_date", "close_price"),
-        one_per_day(rate_rows, "pair", "rate_date", "rate"),
+        one_per_day(rate_rows, ["base_currency", "quote_currency"], "rate_date", "rate"),
     )
 
 

@@ -144,35 +144,35 @@ def fill_prices_windowed(prices: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def fill_rates(rates: DataFrame, dates: DataFrame) -> DataFrame:
-    """Forward-filled FX rates from the first rate inside the calendar on.
+PAIR = ["base_currency", "quote_currency"]
+
 
-    Expects one positive rate per day. A rate dated before the first calendar
-    day is not carried in. The result has at most one row per calendar day.
+def fill_pairs(rates: DataFrame, dates: DataFrame) -> DataFrame:
+    """Forward-filled rates of each currency pair, from its first rate inside the calendar on.
+
+    Expects one positive rate per pair and day. A rate dated before the first calendar
+    day is not carried in. A pair has at most one row per calendar day.
     ``previous_rate`` is the filled rate of the day before.
     """
     bounds = spine(dates)
     inside = F.col("source_fx_date").between(bounds["start_date"], bounds["end_date"])
-    observed = rates.select(
-        F.col("rate_date").alias("source_fx_date"),
-        F.col("rate").alias("aud_usd_rate"),
-    ).filter(inside)
-    # One series of at most one row per calendar day, so one task can hold it.
-    by_day = Window.partitionBy(F.lit("AUDUSD")).orderBy("source_fx_date")
+    observed = rates.select(*PAIR, F.col("rate_date").alias("source_fx_date"), "rate").filter(inside)
+    by_day = Window.partitionBy(*PAIR).orderBy("source_fx_date")
     intervals = observed.withColumns(
         {
             "valid_to": F.coalesce(
                 F.date_sub(F.lead("source_fx_date").over(by_day), 1), bounds["end_date"]
             ),
-            "rate_before": F.lag("aud_usd_rate").over(by_day),
+            "rate_before": F.lag("rate").over(by_day),
         }
     )
     filled = expand_days(intervals, "source_fx_date")
     is_observed = F.col("date_key") == F.col("source_fx_date")
-    previous = F.when(is_observed, F.col("rate_before")).otherwise(F.col("aud_usd_rate"))
+    previous = F.when(is_observed, F.col("rate_before")).otherwise(F.col("rate"))
     return filled.select(
+        *PAIR,
         "date_key",
-        "aud_usd_rate",
+        "rate",
         previous.alias("previous_rate"),
         "source_fx_date",
         is_observed.alias("is_fx_observed"),
@@ -180,6 +180,19 @@ def fill_rates(rates: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
+def of_pair(rates: DataFrame, base: str = "AUD", quote: str = "USD") -> DataFrame:
+    """The rates of one pair; a table that names no currencies holds that pair alone."""
+    if not set(PAIR) <= set(rates.columns):
+        return rates.withColumns(dict(zip(PAIR, (F.lit(base), F.lit(quote)))))
+    return rates.filter((F.col("base_currency") == base) & (F.col("quote_currency") == quote))
+
+
+def fill_rates(rates: DataFrame, dates: DataFrame) -> DataFrame:
+    """``fill_pairs`` of AUD/USD alone: at most one row per calendar day."""
+    filled = fill_pairs(of_pair(rates), dates).drop(*PAIR)
+    return filled.withColumnRenamed("rate", "aud_usd_rate")
+
+
 def fx_calendar(rates: DataFrame, dates: DataFrame) -> DataFrame:
     """``fill_rates`` on every calendar day, with NULL rates before the first one."""
     # Both sides have one row per calendar day at most.

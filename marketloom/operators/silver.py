@@ -115,16 +115,18 @@ def union_prices(*tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
-def one_per_day(table: DataFrame, key: str, day: str, value: str) -> DataFrame:
+def one_per_day(table: DataFrame, key: str | list[str], day: str, value: str) -> DataFrame:
     """One value per key and day: the latest ingestion run's, then the greatest value.
 
     Overlapping runs may hold a key's day more than once, and one key may hold
     much of the table, so the rows are reduced before the shuffle.
     """
     order = [c for c in ("ingestion_run_date",) if c in table.columns]
-    others = [c for c in table.columns if c not in {key, day, value, *order, "bronze_file_path"}]
+    keys = [key] if isinstance(key, str) else list(key)
+    known = {*keys, day, value, *order, "bronze_file_path"}
+    others = [c for c in table.columns if c not in known]
     newest = F.max(F.struct(*order, value, *others)).alias("_newest")
-    kept = table.groupBy(key, day).agg(newest)
+    kept = table.groupBy(*keys, day).agg(newest)
     return kept.select(
-        key, day, *[F.col(f"_newest.{c}").alias(c) for c in (*others, *order, value)]
+        *keys, day, *[F.col(f"_newest.{c}").alias(c) for c in (*others, *order, value)]
     )

@@ -35,7 +35,11 @@ ARRAY_LENGTH = 12
 
 
 def expected_files(assets: DataFrame, root: str, run_date: str) -> DataFrame:
-    """One row per file that a run must have landed, in order of ``file_no``."""
+    """One row per file that a run must have landed.
+
+    ``file_no`` is the manifest's order: equities, FX, crypto, each as ``assets`` lists them
+    if it has a column ``asset_no``, else by symbol.
+    """
     order = ["equity", "fx", "crypto"]
     group = F.array_position(F.array(*[F.lit(k) for k in order]), F.col("asset_class"))
 
@@ -304,13 +308,10 @@ def _list_folders(spark: SparkSession, folders: list[str]) -> tuple[list[str], D
     Those are folders and empty files: (path, is_folder).
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    present, rows = [], []
-    for folder in folders:
+    present, rows = [f for f in folders if _exists(spark, f)], []
+    for folder in present:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         files = path.getFileSystem(conf)
-        if not files.exists(path):
-            continue
-        present.append(folder)
         for entry in files.listStatus(path):
             if entry.isDirectory() or entry.getLen() == 0:
                 rows.append((entry.getPath().toString(), entry.isDirectory()))
@@ -342,6 +343,48 @@ def validate_files(spark: SparkSession, manifest: DataFrame, folders: list[str])
     return file_results(expected, checked, hidden).drop("_key")
 
 
+def validate_lines(spark: SparkSession, manifest: DataFrame, folders: list[str]) -> DataFrame:
+    """``validate_files`` for documents landed as JSON Lines, found by folder and symbol.
+
+    ``path`` is that of the manifest; a symbol without a document has a missing file, and
+    one with several documents is an error.
+    """
+    present = [f for f in folders if _exists(spark, f)]
+    if present:
+        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        lines = reader.text(present).select(
+            F.col("value").alias("text"), F.col("_metadata.file_path").alias("file")
+        )
+    else:
+        lines = spark.createDataFrame([], "text string, file string")
+    place = r"([^/]+)/source=([^/]+)/date=[^/]+/"
+    found = lines.select(
+        F.regexp_extract("file", place, 1).alias("_class"),
+        F.regexp_extract("file", place, 2).alias("_source"),
+        F.get_json_object("text", "$.symbol").alias("_symbol"),
+        "text",
+    )
+    keys = [F.col("asset_class") == F.col("_class"), F.col("source") == F.col("_source")]
+    keys.append(F.col("symbol") == F.col("_symbol"))
+    expected = manifest.withColumn("_key", F.col("path"))
+    matched = found.join(expected.select("_key", "asset_class", "source", "symbol"), keys)
+    checked = validate_documents(matched.select("_key", "source", "symbol", "text"))
+    several = F.when(F.count(F.lit(1)) > 1, F.lit("symbol has more than one document"))
+    merged = checked.groupBy("_key").agg(
+        F.array_compact(
+            F.concat(F.array(several), F.flatten(F.array_sort(F.collect_list("errors"))))
+        ).alias("payload_errors")
+    )
+    checked = merged.withColumn("file_size_bytes", F.lit(None).cast("bigint"))
+    hidden = spark.createDataFrame([], "_key string, is_folder boolean")
+    return file_results(expected, checked, hidden).drop("_key")
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def file_results(expected: DataFrame, checked: DataFrame, hidden: DataFrame) -> DataFrame:
     """Status and errors per expected file, joined on ``_key``.
 

@@ -47,6 +47,14 @@ RATES = f"""
            CAST(0.6 AS DOUBLE) + min(l_tax) AS rate, DATE '{RUN_DATE}' AS ingestion_run_date
     FROM lineitem WHERE isodow(l_shipdate) <= 5 GROUP BY CAST(l_shipdate AS DATE)"""
 
+EVERY_RATE = RATES.replace("WHERE isodow(l_shipdate) <= 5 ", "")
+
+MODE_RATES = f"""
+    SELECT quote_currency, rate_date, rate FROM ({RATES})
+    UNION ALL
+    SELECT l_returnflag, CAST(l_shipdate AS DATE), CAST(2.0 AS DOUBLE) + max(l_tax)
+    FROM lineitem GROUP BY 1, 2"""
+
 DAYS = """
     SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)),
            max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS date_key FROM orders"""
@@ -195,15 +203,18 @@ ORACLES["raw_array_records"] = _rounded(
         GROUP BY user_id, CAST(ts AS DATE), day(ts)""",
     *_OHLC,
 )
-ORACLES["fx_rates"] = _rounded(f"SELECT * FROM ({RATES}) WHERE day(rate_date) <> 13", "rate")
+ORACLES["fx_rates"] = _rounded(
+    f"SELECT * FROM ({EVERY_RATE}) WHERE day(rate_date) <> 13", "rate"
+)
 ORACLES["land_raw"] = _rounded(
     f"""SELECT symbol, source, price_date, close_price, volume FROM ({WIDE})
-        WHERE source = 'yahoo' AND day(price_date) <> 13""",
+        WHERE source = 'binance' OR day(price_date) <> 13""",
     "close_price", "volume",
 )
+ORACLES["land_fx"] = _rounded(f"SELECT * FROM ({RATES}) WHERE day(rate_date) <> 13", "rate")
 ORACLES["raw_lineage"] = f"""
     SELECT symbol, count(*) AS record_count, TRUE AS is_in_run_folder
-    FROM ({WIDE}) WHERE source = 'yahoo' GROUP BY symbol"""
+    FROM ({WIDE}) GROUP BY symbol"""
 
 _IS_CRYPTO = "right(CAST(c_custkey AS VARCHAR), 1) IN ('8', '9')"
 CUSTOMER_ASSETS = f"""
@@ -224,7 +235,7 @@ ORACLES["clean_prices"] = _rounded(
     *_OHLC,
 )
 ORACLES["clean_fx"] = _rounded(
-    f"SELECT * FROM ({RATES}) WHERE day(rate_date) NOT IN (13, 29)", "rate"
+    f"SELECT * FROM ({EVERY_RATE}) WHERE day(rate_date) NOT IN (13, 29)", "rate"
 )
 ORACLES["union_prices"] = _rounded(
     f"SELECT {PRICE_COLUMNS} FROM ({NARROW}) UNION ALL SELECT {PRICE_COLUMNS} FROM ({WIDE})",
@@ -269,6 +280,24 @@ ORACLES["asset_calendar_fill_wide"] = _rounded(
 ORACLES["fx_calendar_fill"] = _rounded(
     f"WITH {_with('rates', 'days', 'fx')} SELECT * FROM fx", "aud_usd_rate"
 )
+ORACLES["fx_pairs_fill"] = _rounded(
+    f"""WITH pairs AS ({MODE_RATES}), days AS ({DAYS}),
+        inside AS (SELECT * FROM pairs SEMI JOIN days ON rate_date = date_key),
+        grid AS (SELECT quote_currency, date_key
+                 FROM (SELECT DISTINCT quote_currency FROM inside), days),
+        filled AS (
+            SELECT g.quote_currency, g.date_key,
+                   last_value(rate IGNORE NULLS) OVER w AS rate,
+                   last_value(rate_date IGNORE NULLS) OVER w AS source_fx_date,
+                   rate_date IS NOT NULL AS is_fx_observed,
+                   rate_date IS NULL AS is_fx_forward_filled
+            FROM grid g LEFT JOIN inside i
+                 ON i.quote_currency = g.quote_currency AND rate_date = date_key
+            WINDOW w AS (PARTITION BY g.quote_currency ORDER BY g.date_key
+                         ROWS UNBOUNDED PRECEDING))
+        SELECT 'AUD' AS base_currency, * FROM filled WHERE source_fx_date IS NOT NULL""",
+    "rate",
+)
 ORACLES["asof_fx"] = _rounded(
     f"""WITH {_with('rates', 'days', 'fx')}
         SELECT o_orderkey, date_key AS order_date, aud_usd_rate, source_fx_date
@@ -292,6 +321,21 @@ ORACLES["currency_conversion"] = _rounded(
 ORACLES["fact_asset_daily"] = _rounded(
     f"WITH {FACT_WITH} SELECT * FROM fact", "close_price_native", "close_price_aud", "daily_return"
 )
+ORACLES["fact_asset_pairs"] = ORACLES["fact_asset_daily"]
+_HARD = {
+    "prices": f"""SELECT * REPLACE (
+                      CASE WHEN day(price_date) = 9 THEN 0.0 ELSE close_price END AS close_price,
+                      CASE WHEN symbol = '3-MEDIUM' THEN 'EUR' ELSE currency END AS currency)
+                  FROM ({NARROW})""",
+    "rates": f"SELECT * FROM ({RATES}) WHERE rate_date >= DATE '1996-05-01'",
+}
+_hard_steps = ", ".join(
+    f"{name} AS ({_HARD[name]})" if name in _HARD else _with(name) for name in _FACT_STEPS
+)
+ORACLES["fact_asset_hard"] = _rounded(
+    f"WITH {_hard_steps} SELECT * FROM fact",
+    "close_price_native", "close_price_aud", "daily_return",
+)
 ORACLES["fact_asset_daily_wide"] = _rounded(
     f"""WITH {FACT_WITH_WIDE}
         SELECT symbol, count(*) AS days, count(daily_return) AS returns,
@@ -601,6 +645,33 @@ ORACLES["expected_files"] = f"""
            || '/source=' || source || '/{_DAY_FOLDER}/' || symbol || '.json' AS path
     FROM ({CUSTOMER_ASSETS})"""
 
+# Landed documents: volumes and rates of every 13th are negative in struct records.
+ORACLES["land_validate"] = f"""
+    WITH documents AS (
+        SELECT symbol, source, price_date, row_number() OVER w - 1 AS pos
+        FROM ({WIDE}) WINDOW w AS (PARTITION BY symbol ORDER BY price_date)),
+    rates AS (
+        SELECT rate_date, row_number() OVER (ORDER BY rate_date) - 1 AS pos FROM ({RATES})),
+    faults AS (
+        SELECT symbol, pos, 'record ' || pos || ' field Volume is negative' AS error
+        FROM documents WHERE source = 'yahoo' AND day(price_date) = 13
+        UNION ALL
+        SELECT 'AUDUSD=X', pos, 'record ' || pos || ' field Close is negative'
+        FROM rates WHERE day(rate_date) = 13
+        UNION ALL
+        SELECT symbol, -1, 'file does not exist' FROM ({CUSTOMER_ASSETS})
+        WHERE symbol NOT IN (SELECT symbol FROM documents)),
+    counted AS (
+        SELECT symbol, count(*) AS n, arg_min(error, pos) AS first_error
+        FROM faults GROUP BY symbol),
+    expected AS (
+        SELECT symbol, CASE asset_class WHEN 'equity' THEN 'equities' ELSE asset_class END
+               AS asset_class FROM ({CUSTOMER_ASSETS})
+        UNION ALL SELECT 'AUDUSD=X', 'fx')
+    SELECT symbol, asset_class, CASE WHEN n IS NULL THEN 'valid' ELSE 'invalid' END AS status,
+           coalesce(n, 0) AS error_count, first_error
+    FROM expected LEFT JOIN counted USING (symbol)"""
+
 # Every record of the faulty documents with its position and the rule inputs.
 RECORDS = f"""
     SELECT *, day(price_date) AS d, right(symbol, 1) AS last,

@@ -10,7 +10,7 @@ from marketloom import config
 from marketloom.operators import publish, validate
 from marketloom.plans import gold, silver
 from marketloom.sources import raw
-from marketloom.sources.tables import assets_table, write_table
+from marketloom.sources.tables import assets_table, stored, write_table
 
 
 def validate_run(
@@ -21,13 +21,15 @@ def validate_run(
     failure_threshold: float = config.VALIDATION_FAILURE_THRESHOLD,
     rejected_root: str | None = None,
     results_root: str | None = None,
+    multi_line: bool = True,
 ) -> tuple[Row, DataFrame, DataFrame | None]:
     """Validate a run's files.
 
     Returns the summary row, the results and, where ``rejected_root`` is given,
     the rejected files, which are recorded there with their errors. The raw
-    files stay where they are. With ``results_root`` the results are written
-    first and read back, so that the files are read once.
+    files stay where they are. Results are written, to ``results_root`` or else to the
+    shared folder, and read back, so that the files are read once. Without
+    ``multi_line`` documents are lines, as ``raw.write_documents`` lands them.
     """
     assets = assets_table(spark) if assets is None else assets
     manifest = validate.expected_files(assets, raw_root, run_date)
@@ -35,11 +37,14 @@ def validate_run(
         raw.partition_folder(raw_root, folder, source, run_date)
         for folder, source in raw.RAW_FOLDERS.values()
     ]
-    results = validate.validate_files(spark, manifest, folders)
+    check = validate.validate_files if multi_line else validate.validate_lines
+    results = check(spark, manifest, folders)
     if results_root is not None:
         name = f"validation/date={run_date}"
         write_table(results, results_root, name)
         results = spark.read.parquet(f"{results_root}/{name}")
+    else:
+        results = stored(results, "validation")
     summary = validate.summarize(results, failure_threshold).first()
     rejected = None
     if rejected_root is not None:
@@ -81,7 +86,14 @@ def run_market(
     rejected = None
     if not skip_validation:
         summary, _, rejected = validate_run(
-            spark, raw_root, run_date, assets, failure_threshold, rejected_root, results_root
+            spark,
+            raw_root,
+            run_date,
+            assets,
+            failure_threshold,
+            rejected_root,
+            results_root,
+            multi_line,
         )
         done["validation"] = summary.asDict()
         if summary["should_fail_run"]:

@@ -59,7 +59,7 @@ def _read_partition(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise ValueError(message) from error
-    if not documents.inputFiles():
+    if documents.select("bronze_file_path").isEmpty():
         raise ValueError(message)
     return documents
 
@@ -82,26 +82,42 @@ def read_fx_documents(
     return _read_partition(spark, "fx", root, run_date, RAW_STRUCT, multi_line)
 
 
+def complete(
+    documents: DataFrame, start_date: str | None, end_date: str | None, interval: str
+) -> DataFrame:
+    """Documents with all top-level fields that validation expects, in their usual order."""
+    given = {"start_date": start_date, "end_date": end_date, "interval": interval}
+    missing = {k: F.lit(v).cast("string") for k, v in given.items() if k not in documents.columns}
+    fields = ["source", "symbol", *given, "records"]
+    others = [c for c in documents.columns if c not in fields]
+    return documents.withColumns(missing).select(*fields, *others) if missing else documents
+
+
 def write_documents(
     documents: DataFrame,
     root: str,
     kind: str,
     run_date: str,
+    start_date: str | None = None,
+    end_date: str | None = None,
+    interval: str = "1d",
     per_symbol: bool = False,
     mode: str = "overwrite",
 ) -> str:
-    """Land documents as JSON Lines in the run's ``source=/date=`` folder.
+    """Land complete documents as JSON Lines in the run's ``source=/date=`` folder.
 
-    Landing again replaces the folder's documents. With ``per_symbol`` there is
-    a folder per symbol, and only those of the symbols landed are replaced; that
-    means a file per symbol, so it is for small universes.
+    Lines are found by the symbol they hold (``validate.validate_lines``). Landing again replaces
+    the folder's documents. With ``per_symbol`` there is a folder per symbol, and only those of
+    the symbols landed are replaced; that means a file per symbol, so it is for small universes.
     """
     folder, source = RAW_FOLDERS[kind]
     path = partition_folder(root, folder, source, run_date)
+    documents = complete(documents, start_date, end_date, interval)
     if per_symbol:
         keyed = documents.withColumn("file", safe_symbol(F.col("symbol")))
         writer = keyed.write.partitionBy("file").option("partitionOverwriteMode", "dynamic")
     else:
         writer = documents.write
-    writer.mode(mode).json(path)
+    # A null end date must stay a field.
+    writer.option("ignoreNullFields", False).mode(mode).json(path)
     return path

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.operators.joins import join_small
-
 # Run date of all derived inputs, and the weights of five assets.
 RUN_DATE = "2026-06-16"
 PRIORITY_WEIGHTS = {
@@ -84,12 +82,13 @@ def price_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("price_date"))
 
 
-def shipment_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One FX rate per weekday."""
+def shipment_rates(spark: SparkSession, sf_dir: str, every_day: bool = False) -> DataFrame:
+    """One FX rate per weekday, or per day."""
     day = F.to_date("l_shipdate")
-    weekdays = table(spark, sf_dir, "lineitem").filter(F.weekday(day) < 5)
+    shipped = table(spark, sf_dir, "lineitem")
+    days = shipped if every_day else shipped.filter(F.weekday(day) < 5)
     return (
-        weekdays.groupBy(day.alias("rate_date"))
+        days.groupBy(day.alias("rate_date"))
         .agg((F.lit(0.6) + F.min("l_tax")).alias("rate"))
         .select(
             F.lit("AUDUSD=X").alias("symbol"),
@@ -103,6 +102,34 @@ def shipment_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mode_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUD/USD, and as many other pairs as there are return flags, each with days of its own."""
+    day = F.to_date("l_shipdate")
+    modes = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_returnflag").alias("quote_currency"), day.alias("rate_date")
+    ).agg((F.lit(2.0) + F.max("l_tax")).alias("rate"))
+    aud_usd = shipment_rates(spark, sf_dir)
+    others = modes.select(
+        F.concat(F.lit("AUD"), "quote_currency", F.lit("=X")).alias("symbol"),
+        F.lit("yahoo").alias("source"),
+        "rate_date",
+        F.lit("AUD").alias("base_currency"),
+        "quote_currency",
+        "rate",
+        F.lit(RUN_DATE).cast("date").alias("ingestion_run_date"),
+    )
+    return aud_usd.unionByName(others)
+
+
+def hard_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priority prices with zeros on every 9th and a currency without a conversion rule."""
+    close = F.when(F.dayofmonth("price_date") == 9, 0.0).otherwise(F.col("close_price"))
+    currency = F.when(F.col("symbol") == "3-MEDIUM", "EUR").otherwise(F.col("currency"))
+    return priority_prices(spark, sf_dir).withColumns(
+        {"close_price": close, "currency": currency}
+    )
+
+
 def customer_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     crypto = customer_is_crypto(key)
@@ -120,7 +147,7 @@ def nation_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One portfolio per nation, holding its customers at equal weight."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     sizes = customers.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("holdings"))
-    held = join_small(customers, sizes, "c_nationkey", spread_by="c_custkey")
+    held = customers.join(sizes, "c_nationkey")
     return held.select(
         F.concat(F.lit("NATION-"), F.col("c_nationkey").cast("string")).alias("portfolio_name"),
         customer_symbol(F.col("c_custkey")).alias("symbol"),
@@ -153,6 +180,31 @@ def _bar(price: DataFrame) -> Column:
     )
 
 
+def price_klines(prices: DataFrame) -> DataFrame:
+    """One array-record document per symbol, 12 texts per record, without faults."""
+    day_ms = F.unix_date("price_date").cast("bigint") * 86_400_000
+    prices_of = [F.col(c).cast("string") for c in ("open_price", "high_price", "low_price", "close_price")]
+    slots = [
+        day_ms.cast("string"),
+        *prices_of,
+        F.col("volume").cast("string"),
+        (day_ms + 86_399_999).cast("string"),
+        F.lit("0"),
+        F.lit("1"),
+        F.lit("0"),
+        F.lit("0"),
+        F.lit("0"),
+    ]
+    keyed = prices.select(
+        "source", "symbol", F.struct("price_date", F.array(*slots).alias("record")).alias("r")
+    )
+    return (
+        keyed.groupBy("source", "symbol")
+        .agg(F.sort_array(F.collect_list("r")).alias("rs"))
+        .select("source", "symbol", F.col("rs.record").alias("records"))
+    )
+
+
 def price_documents(prices: DataFrame) -> DataFrame:
     """One struct-record document per symbol; volumes of every 13th are negative.
 
