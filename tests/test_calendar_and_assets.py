@@ -58,45 +58,66 @@ def test_calendar_of_no_prices_is_empty(spark):
     assert calendar.dim_date(prices_of(spark, [])).count() == 0
 
 
-def test_usdt_is_divided_by_the_rate(spark):
+def test_conversion_by_currency(spark):
+    """A quarter of a year of one price: only the rate and the currency tell rows apart."""
+    days = [d(1, 3) + timedelta(k) for k in range(90)]
+    rows = [(c, day, 12.0, c) for c in ("AUD", "USDT", "NZD") for day in days]
+    rates = rates_of(spark, [(day, 0.5 + k / 180) for k, day in enumerate(days)])
+    prices = prices_of(spark, rows)
+    got = by_key(assets.fact_asset_daily(prices, rates, calendar.dim_date(prices)))
+    assert {s for s, _ in got} == {"AUD", "USDT"}
+    for k, day in enumerate(days):
+        assert got["AUD", day].close_price_aud == 12.0
+        assert got["USDT", day].close_price_aud == pytest.approx(12 / (0.5 + k / 180))
+        if k:
+            falls = (0.5 + (k - 1) / 180) / (0.5 + k / 180) - 1
+            assert got["USDT", day].daily_return == pytest.approx(falls)
+
+
+def test_fills_tell_where_values_come_from(spark):
+    """Prices every seventh day, rates every fifth: each row names both sources."""
+    days = [d(1, 4) + timedelta(k) for k in range(36)]
     prices = prices_of(
         spark,
-        [("B", d(1), 50.0, "USDT"), ("B", d(2), 60.0, "USDT"), ("E", d(1), 1.0, "EUR")],
+        [("N", day, 2.0 + k, "AUD") for k, day in enumerate(days) if k % 7 == 0]
+        + [("T", day, 3.0 + k, "USDT") for k, day in enumerate(days) if k % 7 == 0],
     )
-    rates = rates_of(spark, [(d(1), 0.5), (d(2), 0.5)])
-    rows = by_key(assets.fact_asset_daily(prices, rates, calendar.dim_date(prices)))
-    assert set(rows) == {("B", d(1)), ("B", d(2))}
-    assert rows["B", d(2)].close_price_aud == 120.0
-    assert rows["B", d(2)].daily_return == pytest.approx(0.2)
-    assert rows["B", d(1)].daily_return is None
-
-
-def test_prices_and_rates_are_carried_forward(spark):
-    prices = prices_of(
-        spark,
-        [
-            ("C", d(2), 100.0, "AUD"), ("C", d(5), 110.0, "AUD"),
-            ("B", d(2), 50.0, "USDT"), ("B", d(3), 55.0, "USDT"),
-            ("B", d(4), 60.0, "USDT"), ("B", d(5), 66.0, "USDT"),
-        ],
+    rates = rates_of(spark, [(day, 1 / (4 + k)) for k, day in enumerate(days) if k % 5 == 0])
+    got = by_key(assets.fact_asset_daily(prices, rates, calendar.dim_date(prices)))
+    assert len(got) == 72
+    for k, day in enumerate(days):
+        week, five = k - k % 7, k - k % 5
+        own, usdt = got["N", day], got["T", day]
+        assert own.close_price_aud == 2.0 + week
+        assert usdt.close_price_aud == pytest.approx((3.0 + week) * (4 + five))
+        for row in (own, usdt):
+            assert row.source_price_date == days[week]
+            assert row.is_price_observed is (k % 7 == 0)
+            assert row.is_price_forward_filled is (k % 7 != 0)
+        assert (own.is_fx_observed, own.is_fx_forward_filled, own.source_fx_date) == (False, False, None)
+        assert usdt.source_fx_date == days[five]
+        assert (usdt.is_fx_observed, usdt.is_fx_forward_filled) == (k % 5 == 0, k % 5 != 0)
+
+
+def test_pairs_are_filled_and_used_apart(spark):
+    rows = [
+        ("EUR", "USD", d(1), 1.1), ("AUD", "USD", d(1), 0.5), ("AUD", "NZD", d(2), 1.3),
+        ("EUR", "USD", d(3), 1.2),
+    ]
+    table = spark.createDataFrame(
+        rows, "base_currency string, quote_currency string, rate_date date, rate double"
     )
-    rates = rates_of(spark, [(d(2), 0.5), (d(5), 0.6)])
-    rows = by_key(assets.fact_asset_daily(prices, rates, calendar.dim_date(prices)))
-    assert len(rows) == 8
-    filled = rows["C", d(3)]
-    assert (filled.close_price_native, filled.close_price_aud, filled.daily_return) == (100, 100, 0)
-    assert (filled.is_price_observed, filled.is_price_forward_filled) == (False, True)
-    assert (filled.is_fx_observed, filled.is_fx_forward_filled) == (False, False)
-    assert (filled.source_price_date, filled.source_fx_date) == (d(2), None)
-    weekend = rows["B", d(3)]
-    assert weekend.close_price_aud == 110.0
-    assert weekend.daily_return == pytest.approx(0.10)
-    assert (weekend.is_fx_observed, weekend.is_fx_forward_filled) == (False, True)
-    assert weekend.source_fx_date == d(2)
-    monday = rows["B", d(5)]
-    assert monday.close_price_aud == pytest.approx(110.0)
-    assert monday.daily_return == pytest.approx(110 / 120 - 1)
-    assert (monday.is_fx_observed, monday.source_fx_date) == (True, d(5))
+    prices = prices_of(spark, [("B", d(1), 60.0, "USDT"), ("B", d(3), 60.0, "USDT")])
+    dates = calendar.dim_date(prices)
+    filled = calendar.fill_pairs(table, dates).collect()
+    got = {(r.base_currency + r.quote_currency, r.date_key.day): r.rate for r in filled}
+    assert got == {
+        ("EURUSD", 1): 1.1, ("EURUSD", 2): 1.1, ("EURUSD", 3): 1.2,
+        ("AUDUSD", 1): 0.5, ("AUDUSD", 2): 0.5, ("AUDUSD", 3): 0.5,
+        ("AUDNZD", 2): 1.3, ("AUDNZD", 3): 1.3,
+    }
+    fact = by_key(assets.fact_asset_daily(prices, table, dates))
+    assert {r.close_price_aud for r in fact.values()} == {120.0}
 
 
 def test_rates_before_the_first_price_are_not_carried_in(spark):

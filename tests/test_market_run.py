@@ -6,7 +6,8 @@ import pytest
 from marketloom import schemas
 from marketloom.operators import portfolio, publish, weights
 from marketloom.plans import gold, market_run
-from marketloom.sources.tables import assets_table, read_table
+from marketloom.sources import raw
+from marketloom.sources.tables import assets_table, read_table, weights_table
 
 RUN = "2026-06-16"
 START = date(2026, 1, 1)
@@ -80,6 +81,54 @@ def test_all_stages(spark, roots):
     assert preview["gold.fact_optimizer_weights"] == 5
 
 
+def _documents(spark, symbols, first):
+    """Landed form of the fixture's files: one row per document."""
+    rows = []
+    for n, symbol in enumerate(symbols):
+        records = []
+        for k in range(12):
+            day = START + timedelta(k)
+            price = float(first + n + k)
+            records.append((f"{day}T00:00:00+10:00", price, price, price, price, 1.0))
+        rows.append(("yahoo", symbol, records))
+    record = "struct<Date string, Open double, High double, Low double, Close double, Volume double>"
+    return spark.createDataFrame(rows, f"source string, symbol string, records array<{record}>")
+
+
+@pytest.mark.parametrize("per_symbol", [False, True])
+def test_landed_documents_pass_validation_and_reach_gold(spark, tmp_path, per_symbol):
+    root = str(tmp_path / "raw")
+    options = {"start_date": "2026-01-01", "per_symbol": per_symbol}
+    raw.write_documents(_documents(spark, ["VAS.AX", "CBA.AX"], 10), root, "equity", RUN, **options)
+    raw.write_documents(_documents(spark, ["AUDUSD=X"], 1), root, "fx", RUN, **options)
+    pairs = spark.createDataFrame(
+        [("binance", "BTCUSDT", [[str(1767225600000 + k * DAY_MS), *["5"] * 5, str(1767225600000 + (k + 1) * DAY_MS), "1", "1", "1", "1", "0"] for k in range(12)])],
+        "source string, symbol string, records array<array<string>>",
+    )
+    raw.write_documents(pairs, root, "crypto", RUN, **options)
+    assets = assets_table(spark, ["VAS.AX", "CBA.AX"], ["BTCUSDT"])
+    held = weights_table(spark, "p", {"VAS.AX": 0.5, "CBA.AX": 0.5})
+    done = market_run.run_market(
+        spark, root, str(tmp_path / "silver"), str(tmp_path / "gold"), str(tmp_path / "out"), RUN,
+        assets=assets, portfolio_weights=held, current={"VAS.AX": 0.5, "CBA.AX": 0.5},
+        multi_line=False, rejected_root=str(tmp_path / "rejected"),
+    )
+    assert done["validation"]["valid_count"] == done["validation"]["total_files"] == 4
+    assert done["silver"]["asset_prices"] == 36
+    assert done["gold"]["fact_portfolio_daily"] == 11
+
+
+def test_lines_that_are_missing_or_double_are_errors(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    both = _documents(spark, ["VAS.AX"], 10).unionByName(_documents(spark, ["VAS.AX"], 20))
+    raw.write_documents(both, root, "equity", RUN, "2026-01-01")
+    assets = assets_table(spark, ["VAS.AX", "CBA.AX"], [])
+    _, results, _ = market_run.validate_run(spark, root, RUN, assets, multi_line=False)
+    errors = {r.symbol: r.errors for r in results.collect()}
+    assert errors["VAS.AX"] == ["symbol has more than one document"]
+    assert errors["CBA.AX"] == errors["AUDUSD=X"] == ["file does not exist"]
+
+
 def test_a_failed_validation_stops_the_run(spark, roots, tmp_path):
     folder = tmp_path / "raw/equities/source=yahoo" / f"date={RUN}"
     for name in ("VAS.AX", "CBA.AX"):

@@ -16,24 +16,28 @@ def fact_of(spark, rows):
     return spark.createDataFrame([(*r, True, False, False) if len(r) == 3 else r for r in rows], FACT)
 
 
-def test_weighted_returns_and_drawdown(spark):
-    day1, day2, day3 = date(2026, 1, 1), date(2026, 1, 2), date(2026, 1, 3)
-    fact = fact_of(
-        spark,
-        [
-            ("A", day1, None), ("B", day1, None),
-            ("A", day2, 0.10), ("B", day2, 0.20),
-            ("A", day3, -0.10), ("B", day3, -0.10),
-        ],
-    )
-    weights = weights_table(spark, "p", {"A": 0.5, "B": 0.5})
-    daily = portfolio.fact_portfolio_daily(fact, weights)
-    rows = daily.orderBy("date_key").collect()
-    assert [r.daily_return for r in rows] == pytest.approx([0.15, -0.10])
-    assert rows[1].cumulative_return == pytest.approx(0.035)
-    last = portfolio.fact_portfolio_summary_daily(daily, 0.04).orderBy("date_key").collect()[-1]
-    assert last.max_drawdown == pytest.approx(-0.10)
-    assert (last.annual_return, last.annual_volatility, last.sharpe_ratio) == (None, None, None)
+def test_portfolio_follows_its_holdings(spark):
+    """Three holdings over eighty days, against the sums written out."""
+    held = {"X": 0.55, "Y": 0.3, "Z": 0.15}
+    days = [date(2027, 2, 1) + timedelta(k) for k in range(80)]
+    moves = {
+        s: [((k * (n + 3)) % 11 - 5) / 100 for k in range(80)] for n, s in enumerate(held)
+    }
+    rows = [(s, day, moves[s][k] if k else None) for s in held for k, day in enumerate(days)]
+    daily = portfolio.fact_portfolio_daily(fact_of(spark, rows), weights_table(spark, "p", held))
+    summary = portfolio.fact_portfolio_summary_daily(daily, 0.02).orderBy("date_key").collect()
+    by_day = {r.date_key: r for r in daily.collect()}
+    assert days[0] not in by_day and len(summary) == 79
+    value, peak, worst = 1.0, 1.0, 0.0
+    for k, day in enumerate(days[1:], 1):
+        change = sum(w * moves[s][k] for s, w in held.items())
+        value *= 1 + change
+        peak = value if k == 1 else max(peak, value)
+        worst = min(worst, value / peak - 1)
+        assert by_day[day].daily_return == pytest.approx(change, abs=1e-12)
+        assert by_day[day].cumulative_return == pytest.approx(value - 1)
+        assert summary[k - 1].max_drawdown == pytest.approx(worst, abs=1e-12)
+        assert (summary[k - 1].sharpe_ratio is None) == (k < 30)
 
 
 def test_a_missing_holding_drops_the_day(spark):
@@ -64,26 +68,32 @@ def daily_of(spark, rows):
 
 
 def test_running_metrics_start_again_each_year(spark):
-    rows = [
-        ("p", date(2025, 12, 31), 0.01, 0.01),
-        ("p", date(2026, 1, 1), 0.02, 1.01 * 1.02 - 1),
-        ("p", date(2026, 1, 2), 0.04, 1.01 * 1.02 * 1.04 - 1),
-    ]
-    summary = portfolio.fact_portfolio_summary_daily(daily_of(spark, rows)).orderBy("date_key")
-    _, first, second = summary.collect()
-    assert (first.observation_count, second.observation_count) == (1, 2)
-    assert first.ytd_return == pytest.approx(0.02)
-    assert second.ytd_return == pytest.approx(0.0608)
+    """Returns that rise by the day, over two year ends."""
+    start = date(2027, 12, 20)
+    rows, value = [], 1.0
+    for k in range(400):
+        value *= 1 + k / 1e5
+        rows.append(("p", start + timedelta(k), k / 1e5, value - 1))
+    summary = portfolio.fact_portfolio_summary_daily(daily_of(spark, rows)).collect()
+    assert len(summary) == 400
+    for r in summary:
+        first = max(0, (date(r.date_key.year, 1, 1) - start).days)
+        last = (r.date_key - start).days
+        grown = 1.0
+        for k in range(first, last + 1):
+            grown *= 1 + k / 1e5
+        assert r.observation_count == last - first + 1
+        assert r.ytd_return == pytest.approx(grown - 1)
 
 
 def test_annual_figures_need_thirty_days(spark):
-    start = date(2026, 1, 1)
-    rows = [("p", start + timedelta(k), 0.001, 1.001 ** (k + 1) - 1) for k in range(30)]
+    start = date(2028, 3, 1)
+    rows = [("p", start + timedelta(k), 0.0004, 1.0004 ** (k + 1) - 1) for k in range(30)]
     summary = portfolio.fact_portfolio_summary_daily(daily_of(spark, rows)).orderBy("date_key")
     *_, before, last = summary.collect()
     assert before.annual_return is None
     assert last.observation_count == 30
-    assert last.annual_return == pytest.approx(1.001**365 - 1)
+    assert last.annual_return == pytest.approx(1.0004**365 - 1)
 
 
 def test_a_total_loss_is_skipped_by_the_running_sum(spark):
