@@ -706,7 +706,8 @@ def validation_summary(spark, sf_dir):
 
 @query
 def validation_report(spark, sf_dir):
-    return validate.report_lines(_file_results(spark, sf_dir), ["symbol"])
+    lines = validate.report_lines(_file_results(spark, sf_dir), ["file_no"])
+    return lines.fillna(0, subset=["file_no"])
 
 
 @query

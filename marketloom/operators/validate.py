@@ -6,7 +6,9 @@ functions. No records are shuffled, whatever their number per document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketloom import config
@@ -34,14 +36,20 @@ INTEGER_SLOTS = {"open_time", "close_time", "number_of_trades"}
 ARRAY_LENGTH = 12
 
 
-def expected_files(assets: DataFrame, root: str, run_date: str) -> DataFrame:
+def expected_files(
+    assets: DataFrame, root: str, run_date: str, order: Sequence[str] = ()
+) -> DataFrame:
     """One row per file that a run must have landed.
 
-    ``file_no`` is the manifest's order: equities, FX, crypto, each as ``assets`` lists them
-    if it has a column ``asset_no``, else by symbol.
+    ``file_no`` counts them in the manifest's order: equities, FX, crypto, each as ``order``
+    lists the symbols, and by symbol beyond that. The window holds a row per file of a run.
     """
-    order = ["equity", "fx", "crypto"]
-    group = F.array_position(F.array(*[F.lit(k) for k in order]), F.col("asset_class"))
+    classes = ["equity", "fx", "crypto"]
+    group = F.array_position(F.array(*[F.lit(k) for k in classes]), F.col("asset_class"))
+    place = F.array_position(
+        F.array(*[F.lit(s) for s in order]).cast("array<string>"), F.col("symbol")
+    )
+    manifest = Window.orderBy(group, F.nullif(place, F.lit(0)).asc_nulls_last(), "symbol")
 
     def by_class(values: dict[str, str]) -> Column:
         pairs = [F.lit(x) for pair in values.items() for x in pair]
@@ -55,6 +63,7 @@ def expected_files(assets: DataFrame, root: str, run_date: str) -> DataFrame:
     )
     return assets.select(
         group.alias("group_no"),
+        F.row_number().over(manifest).cast("bigint").alias("file_no"),
         folder.alias("asset_class"),
         source.alias("source"),
         "symbol",
@@ -287,7 +296,12 @@ def payload_errors(document: str, source: str, symbol: str) -> str:
 
 
 def validate_documents(documents: DataFrame) -> DataFrame:
-    """Add ``errors`` to rows of (source, symbol, text): expected values and raw text."""
+    """Add ``errors`` to rows of (source, symbol, text): expected values and raw text.
+
+    Sets the session to accept objects that hold a key twice.
+    """
+    # As JSON parsers do, the last value of a key that an object holds twice counts.
+    documents.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     errors = J.bind(J.document("text"), "_doc", payload_errors("_doc", "source", "symbol"))
     return documents.withColumn("errors", F.expr(errors)).drop("text")
 

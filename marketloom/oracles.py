@@ -639,6 +639,7 @@ ORACLES["starting_weights"] = _rounded(
 _DAY_FOLDER = f"date={RUN_DATE}"
 ORACLES["expected_files"] = f"""
     SELECT CASE asset_class WHEN 'equity' THEN 1 ELSE 3 END AS group_no,
+           row_number() OVER (ORDER BY asset_class <> 'equity', symbol) AS file_no,
            CASE asset_class WHEN 'equity' THEN 'equities' ELSE asset_class END AS asset_class,
            source, symbol,
            'raw/' || CASE asset_class WHEN 'equity' THEN 'equities' ELSE asset_class END
@@ -825,7 +826,9 @@ ORACLES["validation_report"] = f"""
     {FILES_WITH}, summary AS ({_SUMMARY}),
     texts AS (
         SELECT symbol, pos, rule, error FROM errors
-        UNION ALL SELECT symbol, 0, 0, 'file does not exist' FROM files WHERE is_missing)
+        UNION ALL SELECT symbol, 0, 0, 'file does not exist' FROM files WHERE is_missing),
+    numbers AS (SELECT symbol, row_number() OVER (ORDER BY symbol) AS file_no FROM files)
+    SELECT section, coalesce(file_no, 0) AS file_no, line_no, line FROM (
     SELECT 1 AS section, symbol, 0 AS line_no,
            rpad(CASE WHEN status = 'valid' THEN 'VALID' ELSE 'INVALID' END, 8, ' ')
            || rpad(symbol, 12, ' ') || ' ' || path AS line FROM results
@@ -837,7 +840,8 @@ ORACLES["validation_report"] = f"""
            'Validation failure rate: ' || printf('%.2f', failure_rate * 100) || '%' FROM summary
     UNION ALL SELECT 2, NULL, 1, 'Validation failure threshold: 25.00%'
     UNION ALL SELECT 2, NULL, 2, 'Validation decision: '
-           || CASE WHEN should_fail_run THEN 'FAIL run' ELSE 'PASS run' END FROM summary"""
+           || CASE WHEN should_fail_run THEN 'FAIL run' ELSE 'PASS run' END FROM summary)
+    LEFT JOIN numbers USING (symbol)"""
 ORACLES["quarantine_split"] = f"""
     {FILES_WITH}
     SELECT symbol, status,

@@ -28,11 +28,13 @@ def validate_run(
     Returns the summary row, the results and, where ``rejected_root`` is given,
     the rejected files, which are recorded there with their errors. The raw
     files stay where they are. Results are written, to ``results_root`` or else to the
-    shared folder, and read back, so that the files are read once. Without
+    shared folder, and read back, so that the files are read once; the report in manifest
+    order goes beside them in ``results_root``. Without
     ``multi_line`` documents are lines, as ``raw.write_documents`` lands them.
     """
     assets = assets_table(spark) if assets is None else assets
-    manifest = validate.expected_files(assets, raw_root, run_date)
+    order = (*config.EQUITY_SYMBOLS, config.FX_SYMBOL, *config.CRYPTO_SYMBOLS)
+    manifest = validate.expected_files(assets, raw_root, run_date, order)
     folders = [
         raw.partition_folder(raw_root, folder, source, run_date)
         for folder, source in raw.RAW_FOLDERS.values()
@@ -45,6 +47,9 @@ def validate_run(
         results = spark.read.parquet(f"{results_root}/{name}")
     else:
         results = stored(results, "validation")
+    if results_root is not None:
+        report = validate.report_lines(results, ["file_no"], failure_threshold)
+        write_table(report, results_root, f"report/date={run_date}")
     summary = validate.summarize(results, failure_threshold).first()
     rejected = None
     if rejected_root is not None:

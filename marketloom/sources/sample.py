@@ -295,8 +295,9 @@ def faulty_documents(prices: DataFrame) -> DataFrame:
     Faults of the document go by the last digit of its symbol, faults of a
     record by its day of the month:
 
-    * symbol ..4 has a bad start date, ..5 a lower-case symbol, ..6 a null end
-      date, ..7 no interval; crypto symbols carry another source
+    * symbol ..3 holds the interval twice, which is no fault; ..4 has a bad start date,
+      ..5 a lower-case symbol, ..6 a null end date, ..7 no interval; crypto symbols carry
+      another source
     * day 2 a null Low, 5 the record twice, 7 a High that is no number, 11 a
       list, 13 a negative Volume, 29 no Close, 31 a Date that is no date
     """
@@ -332,6 +333,7 @@ def faulty_documents(prices: DataFrame) -> DataFrame:
         F.lit('","symbol":"'), F.when(last == "5", F.lower("symbol")).otherwise(F.col("symbol")),
         F.lit('","start_date":"'), F.when(last == "4", F.lit("n/a")).otherwise(F.lit("1996-01-01")),
         F.lit('","end_date":'), F.when(last == "6", F.lit("null")).otherwise(F.lit('"2001-01-01"')),
+        F.when(last == "3", F.lit(',"interval":null')).otherwise(F.lit("")),
         F.when(last == "7", F.lit("")).otherwise(F.lit(',"interval":"1d"')),
         F.lit(',"records":['), F.array_join("rs.record", ","), F.lit("]}"),
     )
