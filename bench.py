@@ -36,6 +36,7 @@ HEADLINE = [
     "score_candidates",
     "best_portfolio",
     "optimizer_summary",
+    "optimizer_certificate_60",
     "validate_struct_records",
     "validate_array_records",
     "validation_report",

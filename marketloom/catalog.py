@@ -493,8 +493,14 @@ def annual_covariance(spark, sf_dir):
 
 
 def _symbol_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classes = sample.priority_prices(spark, sf_dir).select("symbol", "asset_class").distinct()
-    return weights.asset_limits(classes)
+    symbol = F.col("o_orderpriority")
+    classes = sample.table(spark, sf_dir, "orders").select(
+        symbol.alias("symbol"),
+        F.when(symbol.isin(*sample.PRIORITY_CRYPTO), "crypto").otherwise("equity").alias(
+            "asset_class"
+        ),
+    )
+    return weights.asset_limits(classes.distinct())
 
 
 @query

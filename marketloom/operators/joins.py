@@ -23,9 +23,9 @@ def sliced_join(
     ``repeated`` rows are copied into each of them. Every pair meets in exactly
     one slice, so the result is that of the plain join.
     """
-    # At most rows / slice_rows keys: a hundred thousand where 10^11 rows go a million to
-    # a slice, or 10^9 weights ten thousand to a slice.
-    heavy = F.broadcast(
+    # At most rows / slice_rows keys, which grow with the table: whether they are few enough to be
+    # broadcast is left to adaptive execution.
+    heavy = (
         spread.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > slice_rows)
