@@ -12,10 +12,14 @@ b shingles the similarity is c / (a + b - c), the Jaccard similarity of texts wh
 keep their order. A pair at the threshold of 0.8 agrees in an entry with a probability of 0.51
 and is missed in all 24 with one of 4e-8.
 
-Buckets are never paired off. In each round one leader of each component in a bucket is
-aligned with the members of its other components, the least documents of all buckets first, and
-verified links merge components. A bucket is done when those that have not led belong to
-one component: no pair that is left could then join two. The result are the components.
+Buckets are never paired off. First the members of a bucket are aligned with its least
+document, and verified links merge components, however large the group. Buckets that still
+hold several components are then packed into blocks of a bounded number of rows, and blocks
+of one bucket are compared within tasks: pairs of one component, of sizes that differ
+too much, or whose signatures of one byte for each of 1024 bins put the Jaccard similarity more
+than a margin below the threshold (four standard errors) are passed over; the others are
+aligned, once, for the least bucket that they share. So every two components that share a bucket are compared, and only likely pairs
+become rows. The result are the components of all verified links.
 
 Cases: a null text is a class of its own, a null id has class null; texts without words are
 a class if equal; those under five words match equal words only; rows that repeat a doc_id
@@ -30,6 +34,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +52,7 @@ from marketloom.llm.graph import components
 SIMILARITY = 0.8
 HASHES, PICKS = 24, 3
 SLICE, CELLS = 400_000, 2_000_000
+BINS, MARGIN, BLOCK_ROWS = 1024, 0.05, 256
 # Elements that occur more often are kept as bits.
 FREQUENT = 256
 SEEDS = mix(np.arange(1, 1025, dtype=np.uint64))
@@ -63,12 +69,22 @@ def labelled(shingles: np.ndarray) -> np.ndarray:
     return mix(shingles + occurrence * np.uint64(0x9E3779B97F4A7C15))
 
 
-def sketch(words: np.ndarray, hashes: int = HASHES, picks: int = PICKS) -> np.ndarray:
-    """One number for each random order; empty for texts without a shingle."""
+def signature(labels: np.ndarray) -> np.ndarray:
+    """A byte for the least label in each bin, 0 for an empty bin."""
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    low = np.full(BINS, none, np.uint64)
+    np.minimum.at(low, (labels % np.uint64(BINS)).astype(np.int64), labels // np.uint64(BINS))
+    return np.where(low == none, 0, low % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+
+
+def sketch(
+    words: np.ndarray, hashes: int = HASHES, picks: int = PICKS
+) -> tuple[np.ndarray, np.ndarray]:
+    """One number for each random order, none for texts without a shingle; the signature."""
     shingles = shingle_hashes(words)
     n = len(shingles)
     if not n:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.zeros(BINS, np.uint8)
     labels, least = labelled(shingles), np.empty((hashes, min(n, picks)), np.int64)
     step = max(1, CELLS // n)
     for at in range(0, hashes, step):
@@ -83,16 +99,17 @@ def sketch(words: np.ndarray, hashes: int = HASHES, picks: int = PICKS) -> np.nd
     entry = np.zeros(hashes, np.uint64)
     for place in np.sort(least, axis=1).T:
         entry = mix(entry * np.uint64(0x9E3779B97F4A7C15) + shingles[place])
-    return mix(entry + SEEDS[:hashes]).view(np.int64)
+    return mix(entry + SEEDS[:hashes]).view(np.int64), signature(labels)
 
 
 def _sketched(batches: Iterable[pa.RecordBatch], hashes: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch, "words", SLICE):
             offsets, words = flat_lists(rows["words"])
-            found = [
+            both = [
                 sketch(words[a:b], hashes) for a, b in zip(offsets[:-1], offsets[1:], strict=True)
             ]
+            found = [x for x, _ in both]
             ends = np.cumsum([0, *map(len, found)])
             entries = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), pa.array(np.concatenate(found), pa.int64())
@@ -104,8 +121,9 @@ def _sketched(batches: Iterable[pa.RecordBatch], hashes: int) -> Iterator[pa.Rec
                     rows["two"],
                     pa.array(np.maximum(np.diff(offsets) - SHINGLE_WORDS + 1, 0), pa.int32()),
                     entries,
+                    pa.array([x.tobytes() for _, x in both], pa.binary()),
                 ],
-                ["doc_id", "one", "two", "n", "sketch"],
+                ["doc_id", "one", "two", "n", "sketch", "signature"],
             )
 
 
@@ -180,9 +198,81 @@ def _members(reps: DataFrame) -> DataFrame:
     return written(entries.join(shared, "bucket", "left_semi"), "near-members")
 
 
-def links(
-    documents: DataFrame, reps: DataFrame, threshold: float = SIMILARITY
-) -> DataFrame:
+def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows as blocks of one bucket and at most ``BLOCK_ROWS`` rows each."""
+    task, number, held = TaskContext.get().partitionId(), 0, []
+    names = ["bucket", "block", "nodes", "components", "sizes", "signatures", "sketches"]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    kinds += [pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64())]
+
+    def batch_of(blocks: list[list]) -> pa.RecordBatch:
+        rows = []
+        for number, block in blocks:
+            bucket, node, component, size, signatures, sketches = zip(*block, strict=True)
+            entries = [x for sketch in sketches for x in sketch]
+            rows.append((bucket[0], number, node, component, size, b"".join(signatures), entries))
+        columns = zip(*rows, strict=True)
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    done = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and (row[0] != held[0][0] or len(held) == BLOCK_ROWS):
+                done.append((task << 32 | number, held))
+                number, held = number + 1, []
+            held.append(row)
+        if done:
+            yield batch_of(done)
+            done = []
+    if held:
+        yield batch_of([(task << 32 | number, held)])
+
+
+def _compared(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Likely pairs of two blocks of a bucket, or of a block with itself."""
+    names = ("block", "nodes", "components", "sizes", "signatures", "sketches")
+    none = np.iinfo(np.int64).max
+    for batch in batches:
+        found = []
+        columns = [batch[c].to_pylist() for c in (*names, *(f"{c}_" for c in names), "bucket")]
+        for *one, bucket in zip(*columns, strict=True):
+            a_no, a, a_comp, a_n, a_sig, a_entries = one[:6]
+            b_no, b, b_comp, b_n, b_sig, b_entries = one[6:]
+            x, y = (np.frombuffer(sig, np.uint8).reshape(-1, BINS) for sig in (a_sig, b_sig))
+            a_n, b_n = np.array(a_n), np.array(b_n)
+            open_ = np.array(a_comp)[:, None] != np.array(b_comp)[None, :]
+            fits = np.minimum(a_n[:, None], b_n) >= np.maximum(a_n[:, None], b_n) * threshold - 1e-9
+            open_ &= fits
+            if a_no == b_no:
+                open_ &= np.tri(len(a), k=-1, dtype=bool).T
+            used, used_ = x > 0, y > 0
+            p = np.array(a_entries, np.int64).reshape(len(a), -1)
+            q = np.array(b_entries, np.int64).reshape(len(b), -1)
+            for i in np.flatnonzero(open_.any(axis=1)):
+                at = np.flatnonzero(open_[i])
+                others = y[at]
+                same = ((others == x[i]) & used[i]).sum(axis=1)
+                either = (used_[at] | used[i]).sum(axis=1)
+                at = at[same >= (threshold - MARGIN) * either]
+                if not len(at):
+                    continue
+                shared = np.where(q[at] == p[i], p[i], none).min(axis=1)
+                for j in at[shared == bucket]:
+                    found.append((max(a[i], b[j]), min(a[i], b[j])))
+        columns = list(zip(*found, strict=True)) or [(), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+
+def _verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    x = words.select(F.col("node").alias("a"), F.col("words").alias("x"))
+    y = words.select(F.col("node").alias("b"), F.col("words").alias("y"))
+    joined = pairs.distinct().join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    checked = joined.mapInArrow(lambda b: _verified(b, threshold), "a long, b long")
+    return written(checked.distinct(), "near-links")
+
+
+def links(documents: DataFrame, reps: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """(a, b): verified pairs of representatives, enough to hold every class together."""
     spark = documents.sparkSession
     members = _members(reps)
@@ -193,45 +283,43 @@ def links(
         ),
         "near-words",
     )
-    found = spark.createDataFrame([], "a long, b long")
-    led = spark.createDataFrame([], "bucket long, node long")
-    active = members.withColumn("component", F.col("node"))
-    key = ["bucket"]
-    while True:
-        leaders = active.groupBy(*key).agg(
-            F.min("node").alias("leader"),
-            F.min_by("component", "node").alias("own"),
-            F.min_by("n", "node").alias("leader_n"),
-        )
-        leaders = written(leaders.select("bucket", "leader", "own", "leader_n"), "near-leaders")
-        # Sequences whose lengths differ too much cannot reach the threshold.
-        fits = F.least("n", "leader_n") >= F.greatest("n", "leader_n") * threshold - 1e-9
-        pairs = (
-            active.join(leaders, "bucket")
-            .filter((F.col("component") != F.col("own")) & fits)
-            .select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
-            .distinct()
-        )
-        x = words.select(F.col("node").alias("a"), F.col("words").alias("x"))
-        y = words.select(F.col("node").alias("b"), F.col("words").alias("y"))
-        new = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        new = new.mapInArrow(lambda b: _verified(b, threshold), "a long, b long").distinct()
-        found = found.unionByName(written(new, "near-links"))
-        comps = components(found)
-        led = led.unionByName(leaders.select("bucket", F.col("leader").alias("node")))
-        rest = members.join(led, ["bucket", "node"], "left_anti")
-        rest = rest.join(comps, "node", "left").select(
-            "bucket", "node", "n", F.coalesce("component", "node").alias("component")
-        )
-        rest = written(rest, "near-rest")
-        several = rest.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        several = several.filter("low < high").select("bucket")
-        active = written(rest.join(several, "bucket", "left_semi"), "near-active")
-        if active.isEmpty():
-            return found
-        key = ["bucket", "component"]
+    leaders = members.groupBy("bucket").agg(
+        F.min("node").alias("leader"), F.min_by("n", "node").alias("leader_n")
+    )
+    leaders = written(leaders, "near-leaders")
+    # Sequences whose lengths differ too much cannot reach the threshold.
+    fits = F.least("n", "leader_n") >= F.greatest("n", "leader_n") * threshold - 1e-9
+    stars = members.join(leaders, "bucket").filter((F.col("node") != F.col("leader")) & fits)
+    stars = stars.select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    found = _verify(stars, words, threshold)
+
+    comps = components(found)
+    placed = members.join(comps, "node", "left").select(
+        "bucket", "node", "n", F.coalesce("component", "node").alias("component")
+    )
+    placed = written(placed, "near-placed")
+    several = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    several = several.filter("low < high").select("bucket")
+    rest = placed.join(several, "bucket", "left_semi").join(
+        reps.select("node", "signature", "sketch"), "node"
+    )
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rest.repartitionByRange(parts, "bucket", "node").sortWithinPartitions(
+        "bucket", "node"
+    )
+    schema = (
+        "bucket long, block long, nodes array<long>, components array<long>, "
+        "sizes array<int>, signatures binary, sketches array<long>"
+    )
+    fields = ["bucket", "node", "component", "n", "signature", "sketch"]
+    packed = ordered.select(*fields).mapInArrow(_packed, schema)
+    blocks = written(packed, "near-blocks")
+    others = blocks.select("bucket", *[F.col(c).alias(f"{c}_") for c in blocks.columns[1:]])
+    both = blocks.join(others, "bucket").filter(F.col("block") <= F.col("block_"))
+    pairs = both.mapInArrow(lambda b: _compared(b, threshold), "a long, b long")
+    return found.unionByName(_verify(pairs, words, threshold))
 
 
 def near_duplicates(
@@ -255,10 +343,11 @@ def near_duplicates(
         .otherwise(F.xxhash64(F.lit(1), "words"))
         .alias("two"),
     )
-    schema = "doc_id long, one long, two long, n int, sketch array<long>"
+    schema = "doc_id long, one long, two long, n int, sketch array<long>, signature binary"
     rows = written(digests.mapInArrow(lambda b: _sketched(b, hashes), schema), "near-sketches")
     exact = rows.filter("doc_id IS NOT NULL").groupBy("one", "two").agg(
-        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("node"),
+        *[F.first(c).alias(c) for c in ("n", "sketch", "signature")],
     )
     exact = written(exact, "near-representatives")
     comps = components(links(documents, exact, threshold))
