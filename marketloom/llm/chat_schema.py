@@ -40,8 +40,8 @@ SCALAR_TYPES = (
 class Layout:
     """Where a layout keeps its turns.
 
-    ``paths`` are its nested field paths, fields in alphabetical order. Either ``items`` names a list with the fields
-    ``role`` and ``text``, or ``parts`` lists (role, fields): one turn each, the fields
+    ``paths`` are its nested field paths, fields in alphabetical order. Either ``items`` names
+    a list with the fields ``role`` and ``text``, or ``parts`` lists (role, fields): one turn each, the fields
     that hold text joined by an empty line, and no turn where all are missing. A layout of
     single turns has neither; ``role``, ``text`` and ``turn`` are its fields.
     """

@@ -23,7 +23,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import mix, slices, written
@@ -70,7 +70,8 @@ def _chunks(batches: Iterable[pa.RecordBatch], digests: bool) -> Iterator[pa.Rec
     for batch in batches:
         for rows in slices(batch, "text", SLICE):
             ids, starts, sizes, found = [], [], [], []
-            for doc_id, text in zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist(), strict=True):
+            columns = (rows[c].to_pylist() for c in ("doc_id", "text"))
+            for doc_id, text in zip(*columns, strict=True):
                 raw = text.encode()
                 data = np.frombuffer(raw, np.uint8)
                 ends = cuts(data)
@@ -155,9 +156,15 @@ def deduplicated(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
     joined = documents.join(spans, documents["doc_id"] == F.col("__id"), "left")
     # What stands between the spans: from each end to the next start.
-    starts = F.concat(F.transform("__spans", lambda s: s["start"]), F.array(F.length("text").cast("long")))
+    whole = F.array(F.length("text").cast("long"))
+    starts = F.concat(F.transform("__spans", lambda s: s["start"]), whole)
     ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("__spans", lambda s: s["end"]))
-    pieces = F.zip_with(ends, starts, lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int")))
+
+    def between(a: Column, b: Column) -> Column:
+        length = F.greatest(b - a, F.lit(0)).cast("int")
+        return F.substring(F.col("text"), (a + 1).cast("int"), length)
+
+    pieces = F.zip_with(ends, starts, between)
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
     return joined.select(
         *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in documents.columns]

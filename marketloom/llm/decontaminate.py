@@ -11,8 +11,8 @@ document holds, counted exactly, must reach the threshold.
 Documents are not shuffled. Items go to the tasks in blocks of a bounded number of shingles,
 one pass over the documents for each block.
 
-An item wholly inside a document has at least a quarter of a window's shingles, so it is missed with a
-probability below 1e-5; one at the threshold is missed about once in 1e4 or less.
+An item wholly inside a document has at least a quarter of a window's shingles, so it is
+missed with a probability below 1e-5; one at the threshold about once in 1e4 or less.
 
 Cases: null and empty texts and those under five words have no shingle and match nothing;
 repeated rows are searched and reported each; empty tables give no pairs. Extra columns are

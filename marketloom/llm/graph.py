@@ -15,15 +15,14 @@ def components(links: DataFrame) -> DataFrame:
     paths shorten by halves and the number of rounds is about the logarithm of the longest.
     Neighbours are never gathered: a round is two sums over links and two joins.
     """
-    edges = written(
-        links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-        "links",
-    )
+    ends = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
+    edges = written(links.filter("a <> b").select(*ends).distinct(), "links")
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("a"), F.min("b")).alias("m"))
         # Large star: neighbours above a node go to its least neighbour.
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        above = both.filter("b > a").join(least, "a")
+        large = above.select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.filter("a <> b").distinct(), "links")
         # Small star: a node and its neighbours below it go to the least of them.
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))

@@ -1,7 +1,8 @@
 """Exact top-k inner products by a pivot-distance index.
 
-Vectors become whole numbers, floor(scale * x). With M the greatest norm, v -> (v, sqrt(M^2 - |v|^2))
-and q -> (q, 0) turn the greatest inner product into the nearest neighbour:
+Vectors become whole numbers, floor(scale * x). With M the greatest norm,
+v -> (v, sqrt(M^2 - |v|^2)) and q -> (q, 0) turn the greatest inner product into the nearest
+neighbour:
 |q - v|^2 = |q|^2 + M^2 - 2 q.v. The index keys every vector by its nearest pivot and its
 distance to it, sorts by that key and packs neighbours into annuli of a bounded number of
 rows. By the triangle inequality no vector of an annulus [low, high] around pivot p is closer
@@ -269,7 +270,9 @@ def search(
         raise ValueError(f"a squared norm of {most:g} is too large for exact sums")
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow()
     taken = _matrix(sample["v"], width)
-    chosen = _spread_pivots(_lifted(taken, most), pivots) if len(taken) else np.zeros((1, width + 1))
+    chosen = np.zeros((1, width + 1))
+    if len(taken):
+        chosen = _spread_pivots(_lifted(taken, most), pivots)
     space = Space(chosen, width, most)
     shared = spark.sparkContext.broadcast(space)
 
@@ -287,7 +290,9 @@ def search(
     pairs = around.join(directory, "pivot").select("query_block", "annulus", bound)
 
     def scan(pairs: DataFrame) -> DataFrame:
-        ask = asked.select("query_block", F.col("ids").alias("query_ids"), F.col("matrix").alias("queries"))
+        ask = asked.select(
+            "query_block", F.col("ids").alias("query_ids"), F.col("matrix").alias("queries")
+        )
         joined = pairs.select("query_block", "annulus").join(ask, "query_block").join(
             index.select("annulus", "ids", "matrix"), "annulus"
         )
@@ -328,10 +333,8 @@ def search(
         near = pairs.join(
             reach.select("query_block", radius.alias("radius")), "query_block"
         ).filter("bound <= radius")
-        new = written(
-            near.select("query_block", "annulus").join(done, ["query_block", "annulus"], "left_anti"),
-            "topk-pairs",
-        )
+        key = ["query_block", "annulus"]
+        new = written(near.select(*key).join(done, key, "left_anti"), "topk-pairs")
         merged = best.select("query_block", "query_id", "vec_id", "score").unionByName(scan(new))
         best = written(_top(merged, k), "topk-found")
         done = done.unionByName(new)

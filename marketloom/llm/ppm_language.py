@@ -137,7 +137,9 @@ class Model:
         if size == 0:
             return np.full((len(codes), len(self.languages)), 8.0)
         at = self.find(size, codes)
-        bits = self.costs[size][at] if len(self.costs[size]) else np.zeros((len(codes), len(self.languages)))
+        bits = np.zeros((len(codes), len(self.languages)))
+        if len(self.costs[size]):
+            bits = self.costs[size][at]
         missed = np.flatnonzero(at < 0)
         if len(missed):
             rest = codes[missed]

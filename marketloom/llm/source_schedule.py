@@ -84,8 +84,8 @@ def _shuffled(sized: DataFrame, seed: int) -> DataFrame:
     """Add ``begin``: words before the document in its source's shuffled order.
 
     A source may hold any share of the rows. Its order is bucket, hash, id. There are as many
-    buckets as the square root of the rows, so neither the windows within them nor those over one row
-    for each bucket grow with more than that root.
+    buckets as the square root of the rows, so neither the windows within them nor those over
+    one row for each bucket grow with more than that root.
     """
     buckets = sized.select(F.greatest(F.lit(1), F.ceil(F.sqrt(F.count(F.lit(1))))).alias("n"))
     key = F.xxhash64(F.lit(seed), "doc_id")

@@ -82,7 +82,8 @@ def _runs(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordB
         bounds, around = flat_lists(batch["around"])
         out = []
         for i in range(batch.num_rows):
-            own, n = hashes[offsets[i] : offsets[i + 1]].view(np.uint64), offsets[i + 1] - offsets[i]
+            own = hashes[offsets[i] : offsets[i + 1]].view(np.uint64)
+            n = len(own)
             starts = around[bounds[i] : bounds[i + 1], None] - np.arange(window)
             starts = np.unique(starts[(starts >= 0) & (starts <= n - window)])
             sums = np.zeros((2, len(starts)), np.uint64)
@@ -126,9 +127,13 @@ def repeated_lines(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 def deduplicated(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """All documents with text less its removed lines; ``__removed`` lists those lines."""
     removed = repeated_lines(documents, window).select(
-        F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("removed").alias("__removed")
+        F.col("doc_id").alias("__id"),
+        F.col("version").alias("__version"),
+        F.col("removed").alias("__removed"),
+    )
+    same = (documents["doc_id"] == F.col("__id")) & (
+        version(documents["text"]) == F.col("__version")
     )
-    same = (documents["doc_id"] == F.col("__id")) & (version(documents["text"]) == F.col("__version"))
     joined = documents.join(removed, same, "left")
     # Membership by a map, so that long documents are not searched once per line.
     gone = F.map_from_entries(F.transform("__removed", lambda i: F.struct(i, F.lit(True))))
