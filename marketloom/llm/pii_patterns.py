@@ -7,8 +7,11 @@ Around the seeds stand lexical patterns: the word before, the word after, and bo
 The instances of a pattern are the seeds and all other words with a digit or an at sign in
 such a context. On that graph scores spread for each kind in rounds: a pattern's score is
 the mean score of its instances, an instance's the mean score of its patterns; seeds keep 1
-for their kind and 0 for others. Patterns of enough seeds and a high score then mark
-unseen words, if all their patterns are such, as personal data of their kind.
+for their kind and 0 for others. Patterns of enough seeds and a high score are sure of their
+kind. An unseen word is personal data of that kind if one of its patterns decides and none
+is sure of another kind. A sure pattern decides, whatever its other patterns know: a label
+stands before what it names, so the word before is enough. The word after alone is, where
+seeds stand before it with enough different words ahead, or where no word is ahead.
 
 All regular expressions take linear time: repetitions are possessive, and a match begins
 where its run of characters begins or where the match before ended.
@@ -115,8 +118,15 @@ def _contexts(matches: DataFrame) -> DataFrame:
         F.concat(left, F.lit(" _ "), right),
     )
     known = F.filter(around, lambda p: p.isNotNull())
-    counted = matches.withColumns({"known": known, "contexts": F.size(known)})
-    return counted.withColumn("pattern", F.explode("known")).drop("known", "before", "after")
+    # Only the word after, with what is ahead of the match; null for the other patterns.
+    each = F.transform(
+        known,
+        lambda p: F.struct(
+            p.alias("pattern"),
+            F.when(p.startswith("_ "), F.coalesce(left, F.lit(""))).alias("ahead"),
+        ),
+    )
+    return matches.select("*", F.inline(each)).drop("before", "after")
 
 
 def _spread(edges: DataFrame, seeds: DataFrame, rounds: int) -> DataFrame:
@@ -178,7 +188,7 @@ def discovered(
         "spans", lambda s: (s["start"] < F.col("b.end")) & (F.col("b.start") < s["end"])
     )
     free = b.join(t, same, "left").filter(~F.coalesce(overlaps, F.lit(False))).select("b.*")
-    fields = [*DOCUMENT, "start", "end", "instance", "seed_kind", "pattern", "contexts"]
+    fields = [*DOCUMENT, "start", "end", "instance", "seed_kind", "pattern", "ahead"]
     matches = base.withColumn("seed_kind", F.col("kind")).unionByName(
         free.withColumn("seed_kind", F.lit(None).cast("string"))
     )
@@ -192,11 +202,20 @@ def discovered(
     seeds = found.filter("seed_kind IS NOT NULL").select("instance", "seed_kind").distinct()
     patterns = _spread(edges, written(seeds, "pii-instances"), rounds)
     good = patterns.filter((F.col("score") >= least_score) & (F.col("seeds") >= least_seeds))
+    after = found.filter("seed_kind IS NOT NULL AND ahead IS NOT NULL")
+    varied = after.groupBy("pattern", F.col("seed_kind").alias("kind")).agg(
+        F.countDistinct("ahead").alias("different")
+    )
+    sure = good.select("pattern", "kind").join(varied, ["pattern", "kind"], "left")
     unseen = found.filter("seed_kind IS NULL").drop("seed_kind")
-    marked = unseen.join(good.select("pattern", "kind"), "pattern")
-    # All that surrounds a word must point to the kind; no word can be of two kinds then.
-    agreed = marked.groupBy(*DOCUMENT, "start", "end", "contexts", "kind").count()
-    return agreed.filter("count = contexts").select(*DOCUMENT, "kind", "start", "end")
+    marked = unseen.join(sure, "pattern")
+    alone = F.col("ahead").isNull() | (F.col("ahead") == "")
+    decides = alone | F.coalesce(F.col("different") >= least_seeds, F.lit(False))
+    kinds = marked.groupBy(*DOCUMENT, "start", "end").agg(
+        F.max(decides).alias("decided"), F.min("kind").alias("kind"), F.max("kind").alias("other")
+    )
+    # What is sure of two kinds is of neither.
+    return kinds.filter("decided AND kind = other").select(*DOCUMENT, "kind", "start", "end")
 
 
 def spans(documents: DataFrame, **options) -> DataFrame:

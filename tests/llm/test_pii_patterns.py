@@ -94,3 +94,39 @@ def test_contexts_discover_unseen_identifiers(documents):
     assert got[40].spans == f"phone:{at}:{at + 11}"
     assert got[41].spans == got[42].spans == ""
     assert all(got[i].n_added == 0 for i in range(40))
+
+
+def _word(rng):
+    return "".join(rng.choices("abcdefghijklmnop", k=7))
+
+
+def test_one_side_is_enough_where_the_other_varies(documents):
+    rng = random.Random(3)
+
+    def number():
+        return f"+49 30 {rng.randrange(10**6, 10**7)}"
+
+    texts = [f"{_word(rng)} Rufnummer {number()} {_word(rng)}" for _ in range(40)]
+    texts += [f"{_word(rng)} {number()} anrufen" for _ in range(40)]
+    # The word after the first is rare, common after other numbers, or missing.
+    texts += [f"um {n} und {n} und {_word(rng)}" for n in range(100)]
+    first = len(texts)
+    texts += ["Ihre Rufnummer 030/1234567 selten", "Ihre Rufnummer 030/2345678 und", "Rufnummer 030/3456789"]
+    texts += ["bitte 030/4567890 anrufen"]
+    texts += ["am 24.12. heute", "um 24 und"]
+    got = _check(documents, texts)
+    for i in range(first, first + 4):
+        at = texts[i].index("030/")
+        assert got[i].spans == f"phone:{at}:{at + 11}"
+    assert [got[first + 4].n_added, got[first + 5].n_added] == [0, 0]
+
+
+def test_contexts_sure_of_two_kinds_mark_nothing(documents):
+    rng = random.Random(4)
+    texts = []
+    for i in range(40):
+        texts.append(f"{_word(rng)} Rufnummer +49 30 {rng.randrange(10**6, 10**7)} {_word(rng)}")
+        texts.append(f"{_word(rng)} x{i}@y.z schreiben")
+    texts += ["Rufnummer 030/1234567 schreiben", "Rufnummer 030/1234567 nun"]
+    got = _check(documents, texts)
+    assert got[80].n_added == 0 and got[81].n_added == 1
