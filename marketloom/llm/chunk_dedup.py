@@ -7,13 +7,15 @@ so an insertion changes the chunks around it and the rest line up again.
 
 A chunk is repeated if a chunk of the same 128-bit digest stands earlier, by (doc_id, place).
 Neighbouring repeated chunks make up a span; spans of at least ``min_chars`` characters
-count, for shorter ones are common phrases. All but the first occurrence can thus be removed.
+count, for shorter ones are common phrases, unless they are a whole document: a text of fewer
+characters counts where all its chunks are repeated. All but the first occurrence can thus
+be removed.
 
 Chunks are counted by half their digest first, and only those counted twice are joined on.
 
 Cases: null and empty texts have no chunks and stay; rows that repeat a doc_id are versions
-of one document, in which the same place counts once; rows without doc_id take no part; an
-empty table gives no spans. Other columns are ignored, or kept by ``deduplicated``.
+of one document, in which the same place counts once, but short versions are looked at one by
+one; rows without doc_id take no part; an empty table gives no spans. Other columns are ignored, or kept by ``deduplicated``.
 """
 
 from __future__ import annotations
@@ -69,7 +71,7 @@ def _chunks(batches: Iterable[pa.RecordBatch], digests: bool) -> Iterator[pa.Rec
     """Half of each chunk's digest alone, or all that is known of the chunk."""
     for batch in batches:
         for rows in slices(batch, "text", SLICE):
-            ids, starts, sizes, found = [], [], [], []
+            ids, starts, sizes, found, counts = [], [], [], [], []
             columns = (rows[c].to_pylist() for c in ("doc_id", "text"))
             for doc_id, text in zip(*columns, strict=True):
                 raw = text.encode()
@@ -85,10 +87,12 @@ def _chunks(batches: Iterable[pa.RecordBatch], digests: bool) -> Iterator[pa.Rec
                     starts.append(np.concatenate([[0], places[:-1]]))
                     sizes.append(np.diff(places, prepend=0))
                     ids.append(np.full(len(ends), doc_id))
+                counts.append(len(ends))
             halves = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
             if not digests:
                 yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0].copy())], ["one"])
             elif ids:
+                own = np.repeat(np.arange(len(counts)), counts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(halves[:, 0].copy()),
@@ -96,8 +100,9 @@ def _chunks(batches: Iterable[pa.RecordBatch], digests: bool) -> Iterator[pa.Rec
                         pa.array(np.concatenate(ids), pa.int64()),
                         pa.array(np.concatenate(starts), pa.int64()),
                         pa.array(np.concatenate(sizes), pa.int32()),
+                        *(rows[c].take(pa.array(own)) for c in ("short", "total")),
                     ],
-                    ["one", "two", "doc_id", "start", "size"],
+                    ["one", "two", "doc_id", "start", "size", "short", "total"],
                 )
 
 
@@ -107,54 +112,92 @@ def repeated_spans(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFram
     Places are code points, end exclusive. ``first_doc_id`` holds the first occurrence of
     the span's first chunk.
     """
+    return _repeated(documents, min_chars).drop("short")
+
+
+def version(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def _repeated(documents: DataFrame, min_chars: int) -> DataFrame:
+    """The spans, with ``short``: the version that a span below ``min_chars`` is the whole of."""
+    below = F.length("text") < min_chars
     texts = documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        F.col("doc_id").cast("long"), "text"
+        F.col("doc_id").cast("long"),
+        "text",
+        F.when(below, version(F.col("text"))).alias("short"),
+        F.when(below, F.length("text")).alias("total"),
     )
-    halves = texts.mapInArrow(lambda b: _chunks(b, False), "one long")
+    halves = texts.select("doc_id", "text").mapInArrow(lambda b: _chunks(b, False), "one long")
     twice = halves.groupBy("one").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("one")
-    schema = "one long, two long, doc_id long, start long, size int"
+    schema = "one long, two long, doc_id long, start long, size int, short long, total int"
     chunks = texts.mapInArrow(lambda b: _chunks(b, True), schema)
     shared = written(chunks.join(twice, "one", "left_semi"), "shared-chunks")
     place = F.struct("doc_id", "start")
     first = shared.groupBy("one", "two").agg(F.min(place).alias("first"))
     later = shared.join(first, ["one", "two"]).filter(place > F.col("first"))
     chunk = F.struct(
-        "start", (F.col("start") + F.col("size")).alias("end"), F.col("first.doc_id").alias("first")
+        "start",
+        (F.col("start") + F.col("size")).alias("end"),
+        F.col("first.doc_id").alias("first"),
+        "short",
+        "total",
     )
     own = later.groupBy("doc_id").agg(F.array_sort(F.collect_set(chunk)).alias("chunks"))
-    schema = "doc_id long, start long, end long, first_doc_id long, n_chunks int"
+    schema = "doc_id long, start long, end long, first_doc_id long, n_chunks int, short long"
     return own.mapInArrow(lambda b: _spans(b, min_chars), schema)
 
 
 def _spans(batches: Iterable[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
     """Neighbouring chunks as one span; overlaps come from versions of one document."""
-    names = ["doc_id", "start", "end", "first_doc_id", "n_chunks"]
+    names = ["doc_id", "start", "end", "first_doc_id", "n_chunks", "short"]
     for batch in batches:
         out = []
         for doc_id, chunks in zip(
             batch["doc_id"].to_pylist(), batch["chunks"].to_pylist(), strict=True
         ):
-            span = None
+            places = dict.fromkeys((c["start"], c["end"], c["first"]) for c in chunks)
+            long = [s for s in _merged(doc_id, places) if s[2] - s[1] >= min_chars]
+            out += [(*s, None) for s in long]
+            if long and long[0][1] == 0:
+                continue
+            versions = {}
             for c in chunks:
-                if span and c["start"] <= span[2]:
-                    span[2], span[4] = max(span[2], c["end"]), span[4] + 1
-                else:
-                    span = [doc_id, c["start"], c["end"], c["first"], 1]
-                    out.append(span)
-        kept = [s for s in out if s[2] - s[1] >= min_chars]
-        columns = list(zip(*kept, strict=True)) or [()] * 5
-        kinds = [pa.int64()] * 4 + [pa.int32()]
+                if c["short"] is not None:
+                    places = versions.setdefault((c["short"], c["total"]), [])
+                    places.append((c["start"], c["end"], c["first"]))
+            for (short, total), places in versions.items():
+                out += [(*s, short) for s in _merged(doc_id, places) if s[1:3] == [0, total]]
+        columns = list(zip(*out, strict=True)) or [()] * 6
+        kinds = [pa.int64()] * 4 + [pa.int32(), pa.int64()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
         )
 
 
+def _merged(doc_id: int, places: Iterable[tuple[int, int, int]]) -> list[list[int]]:
+    """Spans [doc_id, start, end, first, n_chunks] of places in order."""
+    out = []
+    for start, end, first in places:
+        if out and start <= out[-1][2]:
+            out[-1][2], out[-1][4] = max(out[-1][2], end), out[-1][4] + 1
+        else:
+            out.append([doc_id, start, end, first, 1])
+    return out
+
+
 def deduplicated(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """All documents, their text without the repeated spans."""
-    spans = repeated_spans(documents, min_chars).groupBy(F.col("doc_id").alias("__id")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans")
+    spans = _repeated(documents, min_chars).groupBy(F.col("doc_id").alias("__id")).agg(
+        F.array_sort(F.collect_list(F.struct("start", "end", "short"))).alias("__spans")
+    )
+    # A short whole is that of its own version only.
+    own = F.filter(
+        "__spans", lambda s: s["short"].isNull() | (s["short"] == version(F.col("text")))
+    )
+    joined = documents.join(spans, documents["doc_id"] == F.col("__id"), "left").withColumn(
+        "__spans", own
     )
-    joined = documents.join(spans, documents["doc_id"] == F.col("__id"), "left")
     # What stands between the spans: from each end to the next start.
     whole = F.array(F.length("text").cast("long"))
     starts = F.concat(F.transform("__spans", lambda s: s["start"]), whole)

@@ -73,6 +73,23 @@ def test_copies_lose_all_but_the_first(documents):
     assert chunk_dedup.repeated_spans(documents([])).collect() == []
 
 
+def test_short_whole_copies_are_found(documents):
+    rng = random.Random(5)
+    short = {n: _prose(rng, 20)[:n] for n in (1, 20, 50, 95)}
+    cjk = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(90))
+    texts = [*short.values(), cjk]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts)]
+    # Another version of a copy, and a long text that holds a short one, stay.
+    other = _prose(rng, 40)
+    rows += [(101, other), (200, f"{_prose(rng, 30)} {short[95]} {_prose(rng, 30)}")]
+    frame = documents(rows)
+    found = {tuple(r)[:4] for r in chunk_dedup.repeated_spans(frame).collect()}
+    assert found == {(100 + i, 0, len(t), i) for i, t in enumerate(texts)}
+    kept = {(r.doc_id, r.text) for r in chunk_dedup.deduplicated(frame).collect()}
+    gone = {(100 + i, "") for i in range(len(texts))}
+    assert kept == {r for r in rows if not 100 <= r[0] < 200} | gone | {(101, other)}
+
+
 def test_spans_point_at_equal_text(documents):
     rng = random.Random(4)
     shared = _prose(rng, 80)
