@@ -11,7 +11,8 @@ with ``\\`` before every ``\\`` and ``<`` of a text, and also before every ``|``
 unescaped ``<`` or ``|`` is thus always the template's, and ``parsed`` restores every text.
 
 Cases: null texts and roles are empty; an empty list of messages has no turns; a null record
-or one of an unknown layout has layout null and no turns, and is not dropped. Turns that
+or one of an unknown layout has layout null and no turns, and is not dropped: a conversation
+without turns is an empty string, and ``unread`` lists its unknown fingerprints. Turns that
 share a number are ordered by record position, role and text; null numbers come first.
 Repeated rows are repeated turns. Rows with a null conv_id form one conversation. An empty
 table gives no conversations. Other columns are ignored.
@@ -184,7 +185,8 @@ def unescaped(text: Column) -> Column:
 
 
 def formatted(turns: DataFrame) -> DataFrame:
-    """(conv_id, formatted, loss_spans) of rows (conv_id, turn, position, role, text).
+    """(conv_id, formatted, loss_spans, layout, unread) of rows (conv_id, turn, position, role,
+    text, layout, unread); a row without position holds no turn and adds no text.
 
     ``loss_spans`` are the code points, end exclusive, of the assistant's texts. Where a turn
     begins is a running sum over its conversation, before anything is collected.
@@ -192,9 +194,16 @@ def formatted(turns: DataFrame) -> DataFrame:
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     keys = ["turn", "position", "role", "text"]
     head = F.concat(F.lit("<|"), escaped(role, "|"), F.lit("|>"))
+    held = F.col("position").isNotNull()
     pieces = turns.select(
-        "conv_id", *keys, head.alias("head"), escaped(text).alias("body")
-    ).withColumn("size", F.length("head") + F.length("body") + F.length(F.lit("<|end|>")))
+        "conv_id",
+        *keys,
+        "layout",
+        "unread",
+        F.when(held, head).otherwise("").alias("head"),
+        F.when(held, escaped(text)).otherwise("").alias("body"),
+        F.when(held, F.lit("<|end|>")).otherwise("").alias("tail"),
+    ).withColumn("size", F.length("head") + F.length("body") + F.length("tail"))
     ahead = W.partitionBy("conv_id").orderBy(*keys)
     before = F.coalesce(
         F.sum("size").over(ahead.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
@@ -203,12 +212,16 @@ def formatted(turns: DataFrame) -> DataFrame:
     placed = pieces.withColumns({"number": number, "begin": before + F.length("head")})
     piece = F.struct(
         "number",
-        F.concat("head", "body", F.lit("<|end|>")).alias("piece"),
+        F.concat("head", "body", "tail").alias("piece"),
         (F.col("role") == LOSS_ROLE).alias("masked"),
         F.col("begin").alias("start"),
         (F.col("begin") + F.length("body")).alias("end"),
     )
-    ordered = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    ordered = placed.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(piece)).alias("p"),
+        F.min("layout").alias("layout"),
+        F.array_sort(F.collect_set("unread")).alias("unread"),
+    )
     spans = F.transform(
         F.filter("p", lambda x: x["masked"]),
         lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")),
@@ -217,6 +230,8 @@ def formatted(turns: DataFrame) -> DataFrame:
         "conv_id",
         F.array_join(F.transform("p", lambda x: x["piece"]), "").alias("formatted"),
         spans.alias("loss_spans"),
+        "layout",
+        "unread",
     )
 
 
@@ -263,11 +278,22 @@ def read_back(conversations: DataFrame) -> DataFrame:
 def chat(records: DataFrame, layouts: Sequence[Layout] = LAYOUTS) -> DataFrame:
     """Format rows (conv_id, record) of any declared layouts, one string per conversation.
 
-    Records of one conversation, such as rows of single turns, are put together.
+    Records of one conversation, such as rows of single turns, are put together; ``layout`` is
+    the first by name of those read, null if none was. ``unread`` has the fingerprints of others.
     """
     turns = canonical_turns(records.select("conv_id", "record"), layouts=layouts)
-    each = turns.select("conv_id", F.posexplode("turns").alias("position", "t"))
-    return formatted(each.select("conv_id", "position", "t.turn", "t.role", "t.text"))
+    unread = F.when(
+        F.col("layout").isNull() & F.col("record").isNotNull(), fingerprint(F.col("record"))
+    )
+    each = turns.select(
+        "conv_id",
+        "layout",
+        unread.alias("unread"),
+        F.posexplode_outer("turns").alias("position", "t"),
+    )
+    return formatted(
+        each.select("conv_id", "position", "t.turn", "t.role", "t.text", "layout", "unread")
+    )
 
 
 def turn_records(conversations: DataFrame) -> DataFrame:

@@ -84,6 +84,21 @@ def test_odd_rows(spark):
     assert chat_schema.read_back(empty).collect() == []
 
 
+def test_conversations_without_turns_stay(spark):
+    unknown = '{"id":1,"messages":[{"role":"user","content":"q"}]}'
+    rows = [(1, unknown), (2, None), (3, '{"messages":[]}'), (4, RECORDS[0][0]), (4, unknown), (4, None)]
+    frame = spark.createDataFrame(rows, "conv_id long, j string")
+    chat = chat_schema.chat(frame.select("conv_id", F.try_parse_json("j").alias("record")))
+    got = {r.conv_id: r for r in chat.collect()}
+    assert sorted(got) == [1, 2, 3, 4]
+    assert [got[i].formatted for i in (1, 2, 3)] == ["", "", ""]
+    assert [got[i].layout for i in (1, 2, 3, 4)] == [None, None, "no messages", "messages"]
+    mark = spark.range(1).select(chat_schema.fingerprint(F.parse_json(F.lit(unknown)))).first()[0]
+    assert [got[i].unread for i in (1, 2, 3, 4)] == [[mark], [], [], [mark]]
+    assert got[4].formatted == "<|user|>q<|end|><|assistant|><|end|>"
+    assert chat_schema.read_back(chat).filter("conv_id = 1").first().n_turns == 0
+
+
 def test_fingerprints_differ(spark):
     names = [layout.paths for layout in chat_schema.LAYOUTS]
     marks = spark.range(1).select([F.xxhash64(F.lit(n)) for n in names]).first()
