@@ -15,7 +15,9 @@ rows. Extra columns are not written.
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 import unicodedata
 import zlib
 from array import array
@@ -33,8 +35,8 @@ from marketloom.llm.common import slices
 from marketloom.sources.tables import shared_folder
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 0
-# Pieces that an encoder keeps, and bytes of text that it takes at a time.
-CACHED_PIECES, SLICE = 400_000, 1_000_000
+# Pieces of each kind that an encoder keeps, and bytes of text that it takes at a time.
+CACHED_PIECES, SLICE = 600_000, 1_000_000
 SCHEMA = "doc_id long, part int, part_offset long, n_tokens int, ids array<int>"
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -50,10 +52,21 @@ ORC_OPTIONS = {
 PRETOKENS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
+# Runs without spaces hold whole pretokens: spaces are split off here as they are there.
+RUNS = r" ?\S+|\s+(?!\S)|\s+"
 
 
 class _Kept(dict):
-    """Ids of the pretokens met so far."""
+    """Ids of pieces met so far. A full table takes no more: frequent pieces come early."""
+
+    def keep(self, piece: str, ids: bytes) -> bytes:
+        if len(piece) < 64 and len(self) < CACHED_PIECES:
+            self[piece] = ids
+        return ids
+
+
+class _Pretokens(_Kept):
+    """Ids of pretokens."""
 
     def __init__(self, tokenizer):
         super().__init__()
@@ -61,40 +74,47 @@ class _Kept(dict):
         # Bytes stand for themselves where they print, else for the next character from 256 on.
         printing = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         others = [b for b in range(256) if b not in printing]
-        self.letters = {b: 256 + i for i, b in enumerate(others)}
+        codes = {b: 256 + i for i, b in enumerate(others)}
+        self.letters = "".join(chr(codes.get(b, b)) for b in range(256))
 
     def __missing__(self, pretoken: str) -> bytes:
-        spelled = pretoken.encode().decode("latin-1").translate(self.letters)
+        spelled = codecs.charmap_decode(pretoken.encode(), "strict", self.letters)[0]
         ids = array("I", [token.id for token in self.tokenize(spelled)]).tobytes()
-        if len(pretoken) < 64:
-            self[pretoken] = ids
-        return ids
+        return self.keep(pretoken, ids)
+
+
+class _Runs(_Kept):
+    """Ids of runs without spaces, each split into pretokens when it is met first."""
+
+    def __init__(self, pretokens: _Pretokens):
+        super().__init__()
+        import regex
+
+        self.look, self.split = pretokens.__getitem__, regex.compile(PRETOKENS).findall
+
+    def __missing__(self, run: str) -> bytes:
+        return self.keep(run, b"".join(map(self.look, self.split(run))))
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    A text is split into pretokens, and the library's model merges each one it has not met
-    before. Texts with a special token, or with characters on whose class versions of Unicode
+    A text is split into runs without spaces, a run not met before into pretokens, and the
+    library's model merges each pretoken it has not met before. Texts with a special token, or with characters on whose class versions of Unicode
     differ, go through the library's whole pipeline instead; results are the same.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache = _Kept(self.tokenizer)
-        self.split = regex.compile(PRETOKENS).findall
+        self.pretokens = _Pretokens(self.tokenizer)
+        self.runs = _Runs(self.pretokens)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.sure: set[str] = set()
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        if len(self.cache) > CACHED_PIECES:
-            # Frequent pretokens are met early, so the first half stays.
-            for pretoken in list(self.cache)[CACHED_PIECES // 2 :]:
-                del self.cache[pretoken]
-        look, split = self.cache.__getitem__, self.split
+        look, split = self.runs.__getitem__, re.compile(RUNS).findall
         return [
             b"".join(map(look, split(text))) if self._usual(text) else self._whole(text)
             for text in texts

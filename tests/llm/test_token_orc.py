@@ -34,7 +34,7 @@ def test_kept_pretokens_are_bounded(tokenizer, monkeypatch):
     for i in range(30):
         (ids,) = encoder.encode([text := f"the word{i} and other{i} words"])
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text).ids
-    assert len(encoder.cache) < 40
+    assert len(encoder.pretokens) == len(encoder.runs) == 20
 
 
 def test_files_hold_every_document_in_order(spark, documents, tokenizer, tmp_path):
