@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marketloom.llm import (
     chat_schema,
     chunk_dedup,
+    conversation_repair,
     decontaminate,
     order_minhash,
     pii_patterns,
@@ -98,6 +99,12 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_schedule.taken_words(segments, sizes)
 
 
+def op12_audit_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of all damaged conversations, the edits that repair them and the result."""
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repaired(rows)
+
+
 QUERIES: dict[str, Query] = {
     build.__name__: build
     for build in (
@@ -111,10 +118,118 @@ QUERIES: dict[str, Query] = {
         op8_ppm_language,
         op9_chat_schema,
         op10_source_schedule,
+        op12_audit_dp,
     )
 }
 
+# The checksum of a list of bytes, by the usual table of 256 remainders.
+CRC_TABLE = """
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) AS crc_table
+"""
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {}),
+        lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])))"""
+
+
+def _least(*offers: str) -> str:
+    """The cheapest of (cost, edits), ties by edits."""
+    return f"list_min([{', '.join(offers)}])"
+
+
+def _more(state: str, cost: str, letter: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 's': {state}.s || '{letter}'}}"
+
+
+def _audit_sql() -> str:
+    stays = "fault NOT IN (1, 2)"
+    own = {i: f"if(initial = '{i}' AND {stays}, cut, 1000000000)" for i in "sua"}
+    given = f"if({stays}, 2 + cut, 1000000000)"
+    before_user = [_more(x, own["u"], "K") for x in "nsa"] + [_more(x, given, "R") for x in "nsa"]
+    steps = {
+        "n": _more("n", "3", "D"),
+        "s": _least(_more("s", "3", "D"), _more("n", own["s"], "K")),
+        "u": _least(_more("u", "3", "D"), *before_user),
+        "a": _least(_more("a", "3", "D"), _more("u", own["a"], "K"), _more("u", given, "R")),
+    }
+    user = _least("u", *[_more(x, "2", "I") for x in "nsa"])
+    assistant = _least("a", _more("u", "2", "I"))
+    stepped = ", ".join(f"{sql} AS {name}" for name, sql in steps.items())
+    key = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+    crc = CRC.format(f"list_transform(string_split({key}, ''), lambda x: ascii(x)::BIGINT)")
+    none = "{'c': 1000000000, 's': ''}"
+    return rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE}), kinds AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {crc} % 20 AS kind
+    FROM conversations, crc
+), damaged AS (
+    SELECT conv_id, turn, if(kind = 4, 'user', role) AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+               ELSE text END AS text,
+           unnest(if(kind = 3, [0, 1], [0])) AS copy
+    FROM kinds WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (
+               PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+    FROM damaged
+), faults AS (
+    SELECT conv_id, turn, role, text, i, left(role, 1) AS initial,
+           CASE WHEN bare = '' THEN 1
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM placed
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+           count(*) FILTER (fault = 3) AS truncated,
+           count(*) FILTER (
+               before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+           count(*) AS n
+    FROM faults GROUP BY conv_id
+), raw(conv_id, i, n, s, u, a) AS (
+    SELECT conv_id, 0::BIGINT, {{'c': 0, 's': ''}}, {none}, {{'c': 2, 's': 'I'}},
+           {{'c': 4, 's': 'II'}}
+    FROM counts
+    UNION ALL
+    SELECT conv_id, i, n, s, u, {assistant}
+    FROM (SELECT conv_id, i, n, s, {user} AS u, a
+          FROM (SELECT raw.conv_id, f.i, {stepped}
+                FROM raw JOIN (SELECT *, if(fault = 3, 1, 0) AS cut FROM faults) f
+                  ON raw.conv_id = f.conv_id AND f.i = raw.i + 1))
+), ends AS (
+    SELECT conv_id, {_least("raw.n", "raw.a")} AS best
+    FROM raw JOIN counts USING (conv_id) WHERE i = counts.n
+), letters AS (
+    SELECT conv_id, k, best.s[k] AS edit, k - length(replace(best.s[:k], 'I', '')) AS inserted,
+           length(replace(best.s[:k], 'D', '')) AS place
+    FROM (SELECT conv_id, best, unnest(range(1, length(best.s) + 1)) AS k FROM ends)
+), joined AS (
+    SELECT l.conv_id, k, edit, place, role, if(edit = 'I', '', text) AS text, initial
+    FROM letters l LEFT JOIN faults f ON l.conv_id = f.conv_id AND f.i = k - inserted AND edit <> 'I'
+    WHERE edit <> 'D'
+), system AS (
+    SELECT conv_id, count(*) AS s FROM joined
+    WHERE place = 1 AND edit = 'K' AND initial = 's' GROUP BY conv_id
+), lines AS (
+    SELECT conv_id, string_agg(
+               if(edit = 'K', role, if((place - coalesce(s, 0)) % 2 = 1, 'user', 'assistant'))
+               || ':' || text, chr(10) ORDER BY k) AS text
+    FROM joined LEFT JOIN system USING (conv_id) GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.s, '') AS audit,
+       sha256(coalesce(lines.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts USING (conv_id)
+LEFT JOIN ends USING (conv_id) LEFT JOIN lines USING (conv_id)
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_audit_dp": _audit_sql(),
     "op3_winnow_lines": """
 WITH lines AS (
     SELECT doc_id, i - 1 AS i, parts[i] AS line, trim(parts[i], ' ' || chr(9) || chr(13)) AS bare
