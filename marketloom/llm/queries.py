@@ -18,6 +18,7 @@ from marketloom.llm import (
     pivot_topk,
     ppm_language,
     source_schedule,
+    spelling_variants,
     token_orc,
     winnow_lines,
 )
@@ -99,6 +100,11 @@ def op10_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_schedule.taken_words(segments, sizes)
 
 
+def op11_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their spelling variants and roots."""
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_audit_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults of all damaged conversations, the edits that repair them and the result."""
     rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
@@ -118,6 +124,7 @@ QUERIES: dict[str, Query] = {
         op8_ppm_language,
         op9_chat_schema,
         op10_source_schedule,
+        op11_spelling_trie,
         op12_audit_dp,
     )
 }
@@ -228,7 +235,48 @@ LEFT JOIN ends USING (conv_id) LEFT JOIN lines USING (conv_id)
 """
 
 
+RUN_BYTES = """flatten(list_transform(string_split(doc_id::VARCHAR || ':' || run, ''),
+        lambda x: if(unicode(x) < 128, [unicode(x)::BIGINT], [195::BIGINT, unicode(x) - 64])))"""
+
 ORACLES: dict[str, str] = {
+    "op11_spelling_trie": rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE}), runs AS (
+    SELECT doc_id, run, count(*) AS n
+    FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+          FROM documents)
+    WHERE length(run) >= 5 GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, n, {CRC.format(RUN_BYTES)} AS h FROM runs, crc
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n
+    FROM (SELECT if(h % 97 = 0, run[:h % length(run)] || run[h % length(run) + 2:], run) AS word, n
+          FROM hashed)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cuts AS (
+    SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+    SELECT a.word, b.word AS near, b.n AS near_n
+    FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, list_min(list({{'less': -near_n, 'near': near}})) AS best
+    FROM near GROUP BY word
+), formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near,
+           if(-best.less >= 2 * n, best.near, NULL) AS form,
+           if(-best.less >= 2 * n, -best.less, NULL) AS form_n
+    FROM words LEFT JOIN best USING (word)
+), chain(word, root, further) AS (
+    SELECT word, word, form FROM formed
+    UNION ALL
+    SELECT chain.word, f.word, f.form FROM chain JOIN formed f ON f.word = chain.further
+)
+SELECT word, n, n_near, form, form_n, root
+FROM formed JOIN (SELECT word, root FROM chain WHERE further IS NULL) USING (word)
+""",
     "op12_audit_dp": _audit_sql(),
     "op3_winnow_lines": """
 WITH lines AS (

@@ -7,15 +7,15 @@ from marketloom.llm import queries
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, duck, sf_dir, name):
-    got = queries.QUERIES[name](spark, sf_dir).toPandas()
-    expected = duck.execute(queries.ORACLES[name]).fetchdf()
-    columns = sorted(got.columns)
-    assert columns == sorted(expected.columns)
+    got = queries.QUERIES[name](spark, sf_dir)
+    expected = duck.execute(queries.ORACLES[name])
+    names = [column[0] for column in expected.description]
+    assert sorted(got.columns) == sorted(names)
 
-    def rows(frame):
-        return sorted(map(tuple, frame[columns].astype(str).values))
+    def rows(found):
+        return sorted(tuple(map(str, row)) for row in found)
 
-    assert rows(got) == rows(expected)
+    assert rows(got.select(*names).collect()) == rows(expected.fetchall())
 
 
 def test_every_operator_has_a_query():
