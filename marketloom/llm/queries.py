@@ -17,6 +17,7 @@ from marketloom.llm import (
     pii_patterns,
     pivot_topk,
     ppm_language,
+    pruned_graph,
     source_schedule,
     spelling_variants,
     token_orc,
@@ -111,6 +112,11 @@ def op12_audit_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repaired(rows)
 
 
+def op13_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of near-duplicate vectors of one label."""
+    return pruned_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     build.__name__: build
     for build in (
@@ -126,6 +132,7 @@ QUERIES: dict[str, Query] = {
         op10_source_schedule,
         op11_spelling_trie,
         op12_audit_dp,
+        op13_pruned_graph,
     )
 }
 
@@ -239,6 +246,33 @@ RUN_BYTES = """flatten(list_transform(string_split(doc_id::VARCHAR || ':' || run
         lambda x: if(unicode(x) < 128, [unicode(x)::BIGINT], [195::BIGINT, unicode(x) - 64])))"""
 
 ORACLES: dict[str, str] = {
+    "op13_pruned_graph": """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), usable AS (
+    SELECT vec_id, label, v FROM vectors
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL
+      AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id, b.vec_id AS other
+    FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+        AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reached(vec_id, other) AS (
+    SELECT vec_id, other FROM links
+    UNION
+    SELECT reached.vec_id, links.other FROM reached JOIN links ON reached.other = links.vec_id
+), degrees AS (
+    SELECT vec_id, count(*) AS n_links FROM links GROUP BY vec_id
+), least AS (
+    SELECT vec_id, min(other) AS least FROM reached GROUP BY vec_id
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links,
+       coalesce(least(vec_id, least), vec_id) AS component_id,
+       coalesce(vec_id <= least, true) AS kept
+FROM vectors LEFT JOIN degrees USING (vec_id) LEFT JOIN least USING (vec_id)
+""",
     "op11_spelling_trie": rf"""
 WITH RECURSIVE crc AS ({CRC_TABLE}), runs AS (
     SELECT doc_id, run, count(*) AS n
