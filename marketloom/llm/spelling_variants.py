@@ -35,9 +35,9 @@ from marketloom.llm.common import written
 LETTERS = "A-Za-zÀ-ÿ"
 LEAST_CHARS, LEAST_COUNT, DAMAGE = 5, 3, 97
 GROUPS, MOST_PREFIX = 12, 4
-SHARD_WORDS, VISITORS = 16_000, 64_000
+SHARD_WORDS, VISITORS = 48_000, 192_000
 # Pairs of words whose code points are compared at a time, and words that walk the trie together.
-COMPARED, BLOCK = 200_000, 4_096
+COMPARED, BLOCK = 200_000, 32_768
 
 GROUP_OF = np.arange(256) % GROUPS
 
