@@ -492,6 +492,12 @@ def annual_covariance(spark, sf_dir):
     return moments.annual_covariances(_returns(spark, sf_dir), sample.SYMBOLS)
 
 
+@query
+def rolling_covariance(spark, sf_dir):
+    returns = _fact(spark, sf_dir).withColumn("list_name", F.lit("priorities"))
+    return moments.rolling_covariances(returns, ["list_name"], 90)
+
+
 def _symbol_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     symbol = F.col("o_orderpriority")
     classes = sample.table(spark, sf_dir, "orders").select(
@@ -617,6 +623,11 @@ def _certified(spark: SparkSession, sf_dir: str, members: int) -> DataFrame:
     )
 
 
+@query
+def optimizer_certificate_5(spark, sf_dir):
+    return _certified(spark, sf_dir, 5)
+
+
 @query
 def optimizer_certificate_12(spark, sf_dir):
     return _certified(spark, sf_dir, 12)

@@ -1,8 +1,9 @@
 """Weights with the greatest Sharpe ratio under limits, for many symbol lists at once.
 
-A row is one problem: a symbol list with its moments and limits. Rows are solved in the
-tasks that hold them, so portfolios and lookbacks are searched side by side; a problem is
-as large as its covariances.
+The search is a table of states, a row for each problem and start: the weights with the slopes
+they lead to. A round moves every open row up to ``MOVES`` times, by expressions over its arrays, and
+writes the rows; those that no move improves are done. Starts of one problem are
+rows of their own, spread over the tasks, and the best of them goes on.
 
 Weight moves between two symbols. Limits on single symbols, on all crypto symbols and on
 the total form a family of nested sets, for which every feasible direction is a sum of such moves:
@@ -17,137 +18,211 @@ symbol besides the given and the equal weights.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom import config
+from marketloom.sources.tables import stored
 
 GRADIENT_TOLERANCE = 1e-6
-RESULT = "weights array<double>"
-
-
-class Problem:
-    """One symbol list: means, covariances and limits."""
-
-    def __init__(self, row, risk_free_rate: float, crypto_total: float):
-        self.returns = np.array(row.annual_returns, float)
-        self.covariances = np.array([list(r) for r in row.annual_covariances], float)
-        self.caps = np.array(row.upper_bounds, float)
-        self.crypto = np.array(row.is_crypto, bool)
-        self.rate, self.crypto_total = risk_free_rate, crypto_total
-
-    def fill(self, order: Iterable[int]) -> np.ndarray:
-        """All weight, given to the symbols in turn as far as the limits allow."""
-        weights, left, crypto = np.zeros(len(self.caps)), 1.0, self.crypto_total
-        for i in order:
-            room = min(self.caps[i], left, crypto if self.crypto[i] else left)
-            weights[i] = room
-            left -= room
-            crypto -= room if self.crypto[i] else 0.0
-        return weights
-
-    def sharpe(self, weights: np.ndarray) -> float:
-        variance = weights @ self.covariances @ weights
-        excess = weights @ self.returns - self.rate
-        return excess / variance**0.5 if variance > 0 else -np.inf
-
-    def room(self, weights: np.ndarray) -> np.ndarray:
-        """How much can move from symbol i to symbol j, as a matrix."""
-        room = np.minimum(weights[:, None], (self.caps - weights)[None, :])
-        crypto_left = max(0.0, self.crypto_total - weights[self.crypto].sum())
-        enters = ~self.crypto[:, None] & self.crypto[None, :]
-        room = np.where(enters, np.minimum(room, crypto_left), room)
-        np.fill_diagonal(room, 0.0)
-        return np.where(room > 1e-15, room, 0.0)
-
-    def gradient(self, weights: np.ndarray) -> np.ndarray:
-        risk = self.covariances @ weights
-        variance = weights @ risk
-        excess = weights @ self.returns - self.rate
-        return (self.returns * variance - excess * risk) / variance**1.5
-
-    def ascend(self, weights: np.ndarray) -> np.ndarray:
-        """Moves along the steepest pair, each to the best point on its way, until none helps.
-
-        Near the optimum a move gains less than a double shows. Such moves go on while the steepest
-        slope falls; when it has not fallen for as many moves as there are pairs, it is noise.
-        """
-        least, since, best = np.inf, 0, weights
-        while np.isfinite(self.sharpe(weights)):
-            slope, room = self.gradient(weights), self.room(weights)
-            gain = np.where(room > 0, slope[None, :] - slope[:, None], -np.inf)
-            i, j = np.unravel_index(np.argmax(gain), gain.shape)
-            since += 1
-            if gain[i, j] < least or self.sharpe(weights) > self.sharpe(best):
-                least, since, best = min(least, gain[i, j]), 0, weights
-            if gain[i, j] < GRADIENT_TOLERANCE / 100 or since > gain.size:
-                break
-            step = self._best_step(weights, i, j, room[i, j])
-            weights = weights.copy()
-            weights[i], weights[j] = weights[i] - step, weights[j] + step
-        return best
-
-    def _best_step(self, weights: np.ndarray, i: int, j: int, most: float) -> float:
-        risk = self.covariances @ weights
-        c, cov = weights @ risk, self.covariances
-        a, b = weights @ self.returns - self.rate, self.returns[j] - self.returns[i]
-        d, e = risk[j] - risk[i], cov[i, i] + cov[j, j] - 2 * cov[i, j]
-        # The slope of (a + b t) / sqrt(c + 2 d t + e t^2) has the sign of this line.
-        start, change = b * c - a * d, b * d - a * e
-        return min(most, -start / change) if change < 0 else most
-
-    def climb_corners(self, weights: np.ndarray) -> np.ndarray:
-        """The best of all whole moves between two symbols, until none helps."""
-        best = self.sharpe(weights)
-        while True:
-            room, risk = self.room(weights), self.covariances @ weights
-            diagonal = np.diag(self.covariances)
-            excess = weights @ self.returns - self.rate
-            excess = excess + room * (self.returns[None, :] - self.returns[:, None])
-            bend = diagonal[:, None] + diagonal[None, :] - 2 * self.covariances
-            variance = weights @ risk + 2 * room * (risk[None, :] - risk[:, None]) + room**2 * bend
-            positive = (variance > 0) & (room > 0)
-            values = np.where(positive, excess / np.sqrt(np.where(positive, variance, 1)), -np.inf)
-            i, j = np.unravel_index(np.argmax(values), values.shape)
-            moved = weights.copy()
-            moved[i], moved[j] = moved[i] - room[i, j], moved[j] + room[i, j]
-            if not self.sharpe(moved) > best + 1e-15:
-                return weights
-            weights, best = moved, self.sharpe(moved)
-
-    def solve(self, starts: list[np.ndarray]) -> np.ndarray | None:
-        """The best weights; None if the limits leave no room or every ratio is undefined."""
-        by_return = np.argsort(-self.returns, kind="stable")
-        richest = self.fill(by_return)
-        if abs(richest.sum() - 1) > config.WEIGHT_TOLERANCE:
-            return None
-        if richest @ self.returns > self.rate:
-            found = [self.ascend(richest)]
-        else:
-            firsts = [self.fill([i, *by_return[by_return != i]]) for i in range(len(self.caps))]
-            corners = [self.climb_corners(w) for w in [*starts, richest, *firsts]]
-            found = [self.ascend(max(corners, key=self.sharpe))]
-        best = max(found, key=self.sharpe)
-        return best if np.isfinite(self.sharpe(best)) else None
-
-
-def _solved(
-    batches: Iterable[pd.DataFrame], names: list[str], risk_free_rate: float, crypto_total: float
-) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = []
-        for row in batch.itertuples():
-            if row.annual_returns is None:
-                out.append(None)
-                continue
-            starts = [np.array(row.start_weights, float)] if row.start_weights is not None else []
-            out.append(Problem(row, risk_free_rate, crypto_total).solve(starts))
-        weights = [None if w is None else w.tolist() for w in out]
-        yield batch[names].assign(weights=pd.Series(weights, index=batch.index, dtype=object))
+# Moves of a row in one round, and the least weight that moves.
+MOVES, LEAST_MOVE = 200, 1e-15
+NEEDED = ["annual_returns", "annual_covariances", "upper_bounds", "is_crypto", "start_weights"]
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _dot(x: str, y: str) -> str:
+    return f"aggregate(zip_with({x}, {y}, (p, q) -> p * q), 0D, (t, p) -> t + p)"
+
+
+def _sharpe(excess: str, variance: str) -> str:
+    """Null where the ratio is undefined."""
+    return f"CASE WHEN {variance} > 0D THEN {excess} / sqrt({variance}) END"
+
+
+def _moved(state: str, move: str) -> tuple[str, str]:
+    """Weights and risk after ``move`` (i, j, t): t goes from symbol i to symbol j."""
+    weights = (
+        f"transform({state}.w, (x, k) -> CASE k WHEN {move}.i THEN x - {move}.t "
+        f"WHEN {move}.j THEN x + {move}.t ELSE x END)"
+    )
+    risk = (
+        f"zip_with({state}.risk, zip_with(annual_covariances[{move}.j], "
+        f"annual_covariances[{move}.i], (p, q) -> p - q), (r, d) -> r + {move}.t * d)"
+    )
+    return weights, risk
+
+
+def _state(weights: str, risk: str, rate: float, rest: str) -> str:
+    """Weights with their risk, variance and excess return, and the progress of the search."""
+    made = f"named_struct('w', {weights}, 'risk', {risk})"
+    return _let(
+        "z",
+        made,
+        f"named_struct('w', z.w, 'risk', z.risk, 'c', {_dot('z.w', 'z.risk')}, "
+        f"'a', {_dot('z.w', 'annual_returns')} - {rate!r}D, {rest})",
+    )
+
+
+def _steepest(crypto_total: float) -> str:
+    """The move of the greatest gain in slope that state s allows: gain, i, j, room.
+
+    The symbol of the least slope that can fall and that of the greatest that can rise are
+    found in each class; four pairs of them are compared.
+    """
+    slopes = "zip_with(annual_returns, s.risk, (m, r) -> (m * s.c - s.a * r) / pow(s.c, 1.5D))"
+    items = (
+        "transform(g, (y, k) -> named_struct('g', y, 'k', k, 'w', s.w[k], "
+        "'up', upper_bounds[k] - s.w[k], 'crypto', is_crypto[k]))"
+    )
+    room_left = (
+        f"greatest(0D, {crypto_total!r}D - aggregate(zip_with(s.w, is_crypto, "
+        "(w, c) -> if(c, w, 0D)), 0D, (t, x) -> t + x))"
+    )
+
+    def falls(crypto: str) -> str:
+        return f"array_min(filter(xs, x -> x.w > {LEAST_MOVE!r}D AND x.crypto = {crypto}))"
+
+    def rises(crypto: str) -> str:
+        return f"array_max(filter(xs, x -> x.up > {LEAST_MOVE!r}D AND x.crypto = {crypto}))"
+
+    def pair(fall: str, rise: str, room: str = "f.up") -> str:
+        most = "least(f.w, r.up)" if room == "f.up" else f"least(f.w, r.up, {room})"
+        made = f"named_struct('gain', r.g - f.g, 'i', f.k, 'j', r.k, 'room', {most})"
+        return _let("f", falls(fall), _let("r", rises(rise), made))
+
+    pairs = [pair("false", "false"), pair("true", "false"), pair("true", "true")]
+    enters = pair("false", "true", "cl")
+    best = (
+        f"array_max(filter(array({', '.join(pairs)}, "
+        f"if(cl > {LEAST_MOVE!r}D, {enters}, NULL)), x -> x.gain IS NOT NULL))"
+    )
+    return _let("g", slopes, _let("xs", items, _let("cl", room_left, best)))
+
+
+def _ascended(rate: float, crypto_total: float) -> str:
+    """State s after a move along the steepest pair, to the best point on its way.
+
+    Near the optimum a move gains less than a double shows. Such moves go on while the steepest
+    slope falls; when it has not fallen for as many moves as there are pairs, it is noise.
+    """
+    # The slope of (a + b t) / sqrt(c + 2 d t + e t^2) has the sign of b c - a d + (b d - a e) t.
+    parts = (
+        "named_struct('d', s.risk[v.j] - s.risk[v.i], 'b', annual_returns[v.j] - annual_returns[v.i], "
+        "'e', annual_covariances[v.i][v.i] + annual_covariances[v.j][v.j] "
+        "- 2D * annual_covariances[v.i][v.j])"
+    )
+    step = (
+        "if(p.b * p.d - s.a * p.e < 0D, least(v.room, "
+        "-(p.b * s.c - s.a * p.d) / (p.b * p.d - s.a * p.e)), v.room)"
+    )
+    move = _let("p", parts, f"named_struct('i', v.i, 'j', v.j, 't', {step})")
+    better = f"(v.gain < s.least OR {_sharpe('s.a', 's.c')} > s.best_ratio)"
+    progress = (
+        f"'least', least(s.least, v.gain), 'since', if({better}, 0, s.since + 1), "
+        f"'best', if({better}, s.w, s.best), "
+        f"'best_ratio', if({better}, {_sharpe('s.a', 's.c')}, s.best_ratio)"
+    )
+    after = _state(*_moved("s", "u"), rate, f"{progress}, 'done', false")
+    stays = (
+        "named_struct('w', s.w, 'risk', s.risk, 'c', s.c, 'a', s.a, "
+        f"{progress}, 'done', true)"
+    )
+    ends = f"(v.gain < {GRADIENT_TOLERANCE / 100!r}D OR s.since > size(s.w) * size(s.w))"
+    moved = _let("u", move, after)
+    done = (
+        "named_struct('w', s.w, 'risk', s.risk, 'c', s.c, 'a', s.a, 'least', s.least, "
+        "'since', s.since, 'best', s.best, 'best_ratio', s.best_ratio, 'done', true)"
+    )
+    # Nothing can move: these weights are the only ones.
+    alone = (
+        "named_struct('w', s.w, 'risk', s.risk, 'c', s.c, 'a', s.a, 'least', s.least, "
+        f"'since', s.since, 'best', s.w, 'best_ratio', {_sharpe('s.a', 's.c')}, 'done', true)"
+    )
+    chosen = f"CASE WHEN v IS NULL THEN {alone} WHEN {ends} THEN {stays} ELSE {moved} END"
+    return f"if(s.done OR NOT s.c > 0D, {done}, {_let('v', _steepest(crypto_total), chosen)})"
+
+
+def _cornered(rate: float, crypto_total: float) -> str:
+    """State s after the best of all whole moves between two symbols, if it is better."""
+    cl = (
+        f"greatest(0D, {crypto_total!r}D - aggregate(zip_with(s.w, is_crypto, "
+        "(w, c) -> if(c, w, 0D)), 0D, (t, x) -> t + x))"
+    )
+    room = (
+        "least(s.w[i], upper_bounds[j] - s.w[j], "
+        "if(is_crypto[j] AND NOT is_crypto[i], cl, s.w[i]))"
+    )
+    variance = (
+        "s.c + 2D * m * (s.risk[j] - s.risk[i]) + m * m * (annual_covariances[i][i] "
+        "+ annual_covariances[j][j] - 2D * annual_covariances[i][j])"
+    )
+    excess = "s.a + m * (annual_returns[j] - annual_returns[i])"
+    value = (
+        f"named_struct('ratio', CASE WHEN m > {LEAST_MOVE!r}D AND i <> j THEN "
+        f"{_sharpe(f'({excess})', f'({variance})')} END, 'ni', -i, 'nj', -j, 't', m)"
+    )
+    places = "filter(sequence(0, size(s.w) - 1), k -> {} > " + f"{LEAST_MOVE!r}D)"
+    falls, rises = places.format("s.w[k]"), places.format("upper_bounds[k] - s.w[k]")
+    pairs = (
+        f"flatten(transform({falls}, i -> transform(rising, j -> {_let('m', room, value)})))"
+    )
+    pairs = _let("rising", rises, pairs)
+    best = _let("cl", cl, f"array_max(filter({pairs}, x -> x.ratio IS NOT NULL))")
+    move = "named_struct('i', -v.ni, 'j', -v.nj, 't', v.t)"
+    rest = (
+        "'least', s.least, 'since', s.since, 'best', s.best, 'best_ratio', s.best_ratio"
+    )
+    after = _let("u", move, _state(*_moved("s", "u"), rate, f"{rest}, 'done', false"))
+    done = f"named_struct('w', s.w, 'risk', s.risk, 'c', s.c, 'a', s.a, {rest}, 'done', true)"
+    ratio = _sharpe("s.a", "s.c")
+    improves = f"v.ratio > coalesce({ratio}, double('-infinity')) + 1e-15D"
+    chosen = f"CASE WHEN {improves} THEN {after} ELSE {done} END"
+    return f"if(s.done, {done}, {_let('v', best, chosen)})"
+
+
+def _begun(rate: float) -> str:
+    """The state of ``_start``; its risk is computed anew, which ends rounding errors of moves."""
+    rest = (
+        "'least', double('infinity'), 'since', 0, 'best', _start, "
+        "'best_ratio', CAST(NULL AS DOUBLE), 'done', false"
+    )
+    return _state("_start", f"transform(annual_covariances, r -> {_dot('r', '_start')})", rate, rest)
+
+
+def _filled(order: str, crypto_total: float) -> str:
+    """All weight, given to the symbols in turn as far as the limits allow."""
+    room = "least(upper_bounds[k], t.rest, if(is_crypto[k], t.crypto, t.rest))"
+    step = _let(
+        "m",
+        room,
+        "named_struct('rest', t.rest - m, 'crypto', if(is_crypto[k], t.crypto - m, t.crypto), "
+        "'placed', array_append(t.placed, named_struct('k', k, 'w', m)))",
+    )
+    empty = "CAST(array() AS array<struct<k: int, w: double>>)"
+    start = f"named_struct('rest', 1D, 'crypto', {crypto_total!r}D, 'placed', {empty})"
+    placed = f"aggregate({order}, {start}, (t, k) -> {step}).placed"
+    return f"transform(array_sort({placed}), x -> x.w)"
+
+
+def _searched(rows: DataFrame, step: str, rate: float) -> DataFrame:
+    """Rows with ``_state`` after rounds of moves, until every row is done."""
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    done, open_rows = None, rows.withColumn("_state", F.expr(_begun(rate)))
+    while True:
+        moved = open_rows.repartition(tasks, "_problem", "_number").withColumn(
+            "_state", F.expr(f"aggregate(sequence(1, {MOVES}), _state, (s, n) -> {step})")
+        )
+        moved = stored(moved, "weight-search")
+        ended = moved.filter("_state.done")
+        done = ended if done is None else done.unionByName(ended)
+        open_rows = moved.filter("NOT _state.done")
+        if open_rows.isEmpty():
+            return done
 
 
 def optimize(
@@ -162,13 +237,59 @@ def optimize(
     start_weights (or NULL). ``weights`` is NULL where the limits leave no room for full
     weight or no weights have a positive variance.
     """
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in problems.select(*by).schema]
-    schema = ", ".join([*fields, RESULT])
-    needed = ["annual_returns", "annual_covariances", "upper_bounds", "is_crypto", "start_weights"]
-    others = [c for c in needed if c not in by]
-    return problems.select(*by, *others).mapInPandas(
-        lambda b: _solved(b, by, risk_free_rate, max_crypto_total), schema
+    rate, crypto_total = float(risk_free_rate), float(max_crypto_total)
+    others = [c for c in NEEDED if c not in by]
+    asked = stored(
+        problems.select(*by, *others).withColumn("_problem", F.monotonically_increasing_id()),
+        "weight-problems",
+    )
+    by_return = (
+        "transform(array_sort(transform(annual_returns, (m, k) -> "
+        "named_struct('m', -m, 'k', k))), x -> x.k)"
+    )
+    known = asked.select("_problem", *NEEDED).filter(
+        "annual_returns IS NOT NULL AND size(annual_returns) > 0"
+    )
+    ordered = known.withColumn("_order", F.expr(by_return))
+    rich = ordered.withColumn("_richest", F.expr(_filled("_order", crypto_total)))
+    full = f"abs(aggregate(_richest, 0D, (t, x) -> t + x) - 1D) <= {config.WEIGHT_TOLERANCE!r}D"
+    rich = rich.filter(full).withColumn(
+        "_rich", F.expr(f"{_dot('_richest', 'annual_returns')} > {rate!r}D")
+    )
+    rich = stored(rich, "weight-starts")
+    # Where nothing returns more than the rate, the best corner over many starts comes first.
+    first = (
+        f"transform(_order, i -> {_filled('concat(array(i), array_remove(_order, i))', crypto_total)})"
+    )
+    given = "if(start_weights IS NULL, array(_richest), array(start_weights, _richest))"
+    poor = rich.filter("NOT _rich").select(
+        "_problem",
+        *NEEDED,
+        F.posexplode(F.expr(f"concat({given}, {first})")).alias("_number", "_start"),
+    )
+    starts = rich.filter("_rich").select(
+        "_problem", *NEEDED, F.lit(0).alias("_number"), F.col("_richest").alias("_start")
+    )
+    if not poor.isEmpty():
+        corners = _searched(poor, _cornered(rate, crypto_total), rate).select(
+            "_problem",
+            F.struct(
+                F.expr(f"coalesce({_sharpe('_state.a', '_state.c')}, double('-infinity'))").alias("r"),
+                (-F.col("_number")).alias("n"),
+                F.col("_state.w").alias("w"),
+            ).alias("_corner"),
+        )
+        best = corners.groupBy("_problem").agg(F.max("_corner").alias("_best"))
+        starts = starts.unionByName(
+            known.join(best, "_problem").select(
+                "_problem", *NEEDED, F.lit(0).alias("_number"), F.col("_best.w").alias("_start")
+            )
+        )
+    found = _searched(starts, _ascended(rate, crypto_total), rate)
+    solved = found.filter("_state.best_ratio IS NOT NULL").select(
+        "_problem", F.col("_state.best").alias("weights")
     )
+    return asked.join(solved, "_problem", "left").select(*by, "weights")
 
 
 def certificates(

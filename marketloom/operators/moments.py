@@ -8,7 +8,7 @@ from operator import and_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom import config
@@ -65,6 +65,54 @@ def lookback(matrix: DataFrame) -> DataFrame:
     )
 
 
+def day_vectors(returns: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(by, symbols) of each list, and (by, symbols, date_key, x) of its complete days.
+
+    ``x`` holds the returns in symbol order. NaN counts as missing.
+    """
+    kept = returns.select(*by, "symbol", "date_key", "daily_return").dropna(subset="daily_return")
+    names = kept.select(*by, "symbol").distinct()
+    lists = names.groupBy(*by).agg(F.array_sort(F.collect_list("symbol")).alias("symbols"))
+    # Rows of a day are gathered where the shuffle brings them: lists do not shrink before it.
+    days = kept.repartition(*by, "date_key").groupBy(*by, "date_key").agg(
+        F.array_sort(F.collect_list(F.struct("symbol", "daily_return"))).alias("cells")
+    )
+    complete = days.join(lists, list(by)).filter(F.size("cells") == F.size("symbols"))
+    return lists, complete.select(
+        *by, "symbols", "date_key", F.col("cells.daily_return").cast("array<double>").alias("x")
+    )
+
+
+def day_statistics(vectors: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, observations, statistics) of each list: sums, then sums of products, as one array.
+
+    The products are those of symbols i and j from i on, i by i. Such arrays of disjoint days
+    add up, and those of days that leave a lookback are subtracted. Days are summed in the
+    tasks that hold them before sums are shuffled.
+    """
+    # A number of tasks is set, since a row stands for as many products as its symbols have pairs.
+    tasks = vectors.sparkSession.sparkContext.defaultParallelism
+    days = vectors.select(*by, "date_key", "x").repartition(tasks, *by, "date_key")
+    pairs = (
+        days.select(*by, "x", F.posexplode("x").alias("i", "p"))
+        .select(*by, "i", "p", F.posexplode("x").alias("j", "q"))
+        .filter("i <= j")
+    )
+    summed = pairs.groupBy(*by, "i", "j").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.sum("p").alias("sum"),
+        F.sum(F.col("p") * F.col("q")).alias("product"),
+    )
+    cells = summed.groupBy(*by).agg(
+        F.max("days").alias("observations"),
+        F.array_sort(F.collect_list(F.struct("i", "j", "sum", "product"))).alias("cells"),
+    )
+    sums = F.expr("filter(cells, c -> c.i = c.j).sum")
+    return cells.select(
+        *by, "observations", F.concat(sums, F.col("cells.product")).alias("statistics")
+    )
+
+
 GROUPED = (
     "symbols array<string>, observation_count long, annual_returns array<double>, "
     "annual_covariances array<array<double>>"
@@ -95,6 +143,53 @@ def grouped(
     return kept.groupBy(*by).applyInPandas(of_group, ", ".join([*fields, GROUPED]))
 
 
+def rolling_covariances(
+    returns: DataFrame,
+    by: Sequence[str],
+    length: int,
+    days: int = config.CALENDAR_DAYS_PER_YEAR,
+) -> DataFrame:
+    """Annual covariances of every pair of a list over the last ``length`` complete days.
+
+    Rows (by, date_key, symbol_i, symbol_j, annual_covariance) of i up to j, from the first
+    full lookback on. Running sums of a pair are added day by day; what left the lookback is
+    subtracted. Tasks are dealt by pair.
+    """
+    by = list(by)
+    _, vectors = day_vectors(returns, by)
+    # Returns are centred on the list's means: small sums lose fewer digits when subtracted.
+    means = day_statistics(vectors, by).select(
+        *by, F.expr("transform(statistics, s -> s / observations)").alias("m")
+    )
+    pairs = vectors.join(means, by).select(
+        *by,
+        "date_key",
+        F.explode(
+            F.expr(
+                "flatten(transform(sequence(0, size(x) - 1), i -> transform(sequence(i, size(x) - 1), "
+                "j -> named_struct('symbol_i', symbols[i], 'symbol_j', symbols[j], "
+                "'p', x[i] - m[i], 'q', x[j] - m[j]))))"
+            )
+        ).alias("c"),
+    ).select(*by, "date_key", "c.*")
+    pair = Window.partitionBy(*by, "symbol_i", "symbol_j").orderBy("date_key")
+    running = pair.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = pairs.select(
+        *by, "date_key", "symbol_i", "symbol_j",
+        F.row_number().over(pair).alias("day"),
+        F.sum("p").over(running).alias("sp"),
+        F.sum("q").over(running).alias("sq"),
+        F.sum(F.col("p") * F.col("q")).over(running).alias("spq"),
+    )
+    left = {f"{c}_left": F.coalesce(F.lag(c, length).over(pair), F.lit(0.0)) for c in ("sp", "sq", "spq")}
+    inside = sums.withColumns(left).filter(F.col("day") >= length)
+    p, q, pq = (F.col(c) - F.col(f"{c}_left") for c in ("sp", "sq", "spq"))
+    covariance = (pq - p * q / length) / (length - 1) * days
+    return inside.select(
+        *by, "date_key", "symbol_i", "symbol_j", covariance.alias("annual_covariance")
+    )
+
+
 def _per_symbol(matrix: DataFrame, symbols: Sequence[str], days: int) -> DataFrame:
     """(i, mean, covariances) for each symbol, in one pass over the matrix.
 

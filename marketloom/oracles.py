@@ -445,6 +445,19 @@ ORACLES["annual_covariance"] = _rounded(
         FROM returns a JOIN returns b USING (date_key) GROUP BY 1, 2""",
     "annual_covariance",
 )
+ORACLES["rolling_covariance"] = _rounded(
+    f"""WITH {MATRIX_WITH}, returns AS ({LONG}), pairs AS (
+            SELECT date_key, a.symbol AS symbol_i, b.symbol AS symbol_j,
+                   covar_samp(a.daily_return, b.daily_return) OVER w * 365 AS annual_covariance,
+                   row_number() OVER (PARTITION BY a.symbol, b.symbol ORDER BY date_key) AS day
+            FROM returns a JOIN returns b USING (date_key)
+            WHERE a.symbol <= b.symbol
+            WINDOW w AS (PARTITION BY a.symbol, b.symbol ORDER BY date_key
+                         ROWS BETWEEN 89 PRECEDING AND CURRENT ROW))
+        SELECT 'priorities' AS list_name, date_key, symbol_i, symbol_j, annual_covariance
+        FROM pairs WHERE day >= 90""",
+    "annual_covariance",
+)
 ORACLES["asset_limits"] = _rounded(
     f"""SELECT symbol, asset_class = 'crypto' AS is_crypto, CAST(0 AS DOUBLE) AS lower_bound,
                CAST(CASE WHEN asset_class = 'crypto' THEN 0.15 ELSE 0.60 END AS DOUBLE)
@@ -623,6 +636,7 @@ def _certificate(members: int) -> str:
         FROM sizes JOIN complete USING (universe)"""
 
 
+ORACLES["optimizer_certificate_5"] = _certificate(5)
 ORACLES["optimizer_certificate_12"] = _certificate(12)
 ORACLES["optimizer_certificate_60"] = _certificate(60)
 ORACLES["starting_weights"] = _rounded(

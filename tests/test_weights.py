@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pytest
+from numpy_search import Problem
 
 from marketloom.operators import allocate, moments, weights
 from marketloom.plans import gold
@@ -109,7 +110,7 @@ def _problem(returns, covariances, crypto, single=0.6, own=0.15, total=0.25, rat
         upper_bounds=[own if c else single for c in crypto],
         is_crypto=crypto,
     )
-    return allocate.Problem(row, rate, total)
+    return Problem(row, rate, total)
 
 
 def _random_problem(rng, n, rate):
