@@ -312,7 +312,7 @@ SELECT word, n, n_near, form, form_n, root
 FROM formed JOIN (SELECT word, root FROM chain WHERE further IS NULL) USING (word)
 """,
     "op12_audit_dp": _audit_sql(),
-    "op3_winnow_lines": """
+    "op3_winnow_lines": r"""
 WITH lines AS (
     SELECT doc_id, i - 1 AS i, parts[i] AS line, trim(parts[i], ' ' || chr(9) || chr(13)) AS bare
     FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
@@ -320,17 +320,41 @@ WITH lines AS (
 ), numbered AS (
     SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n, bare
     FROM lines WHERE bare <> ''
+), counted AS (
+    SELECT *, len(regexp_extract_all(bare, '[^\x20\x09-\x0D]+')) AS words
+    FROM numbered
+), near AS (
+    SELECT doc_id, n, bare, words, lead(bare) OVER w AS bare1, lead(bare, 2) OVER w AS bare2,
+           lead(words) OVER w AS words1, lag(words) OVER w AS words_before,
+           lag(n, 2) OVER w IS NOT NULL AS has_two_before
+    FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+), sized AS (
+    SELECT doc_id, n, bare, bare1, bare2,
+           CASE WHEN words >= 10 THEN 1 WHEN words + words1 >= 10 THEN 2
+                WHEN bare2 IS NOT NULL THEN 3 END AS ahead,
+           CASE WHEN words >= 10 THEN 1 WHEN words + words_before >= 10 THEN 2
+                WHEN has_two_before THEN 3 END AS behind
+    FROM near
+), short AS (
+    SELECT doc_id, count(*) AS size FROM counted
+    GROUP BY doc_id HAVING count(*) < 3 AND sum(words) < 10
+), windows AS (
+    SELECT doc_id, n, ahead AS size FROM sized WHERE ahead IS NOT NULL
+    UNION
+    SELECT doc_id, n - behind + 1, behind FROM sized WHERE behind IS NOT NULL
+    UNION
+    SELECT doc_id, 1, size FROM short
 ), runs AS (
-    SELECT doc_id, n, bare || chr(10) || lead(bare) OVER w || chr(10) || lead(bare, 2) OVER w AS run
-    FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+    SELECT doc_id, n, size, CASE size WHEN 1 THEN bare WHEN 2 THEN bare || chr(10) || bare1
+           ELSE bare || chr(10) || bare1 || chr(10) || bare2 END AS run
+    FROM windows JOIN sized USING (doc_id, n)
 ), later AS (
-    SELECT doc_id, n FROM (
-        SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS place
-        FROM runs WHERE run IS NOT NULL)
+    SELECT doc_id, n, size FROM (
+        SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS place FROM runs)
     WHERE place > 1
 ), gone AS (
-    SELECT DISTINCT doc_id, i
-    FROM numbered JOIN (SELECT doc_id, n + k AS n FROM later, range(3) AS t(k)) USING (doc_id, n)
+    SELECT DISTINCT doc_id, i FROM numbered JOIN (
+        SELECT doc_id, n + unnest(range(size)) AS n FROM later) USING (doc_id, n)
 ), kept AS (
     SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text
     FROM lines LEFT JOIN gone USING (doc_id, i) WHERE gone.doc_id IS NULL GROUP BY doc_id

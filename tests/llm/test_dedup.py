@@ -100,33 +100,69 @@ def test_spans_point_at_equal_text(documents):
         assert any(span in t for d, t in rows.items() if d != r.doc_id) or r.doc_id == 3
 
 
-def _brute_lines(rows, window):
-    """Lines removed by comparing all runs in order of (doc_id, place)."""
+def _brute_lines(rows, window, words):
+    """Lines removed by comparing all runs of any length in order of (doc_id, place)."""
     seen, removed = set(), {}
     for doc_id, text in sorted(rows):
         lines = [(i, x.strip(" \t\r")) for i, x in enumerate(text.split("\n"))]
         lines = [x for x in lines if x[1]]
         gone = set()
-        for at in range(len(lines) - window + 1):
-            run = tuple(x for _, x in lines[at : at + window])
-            if run in seen:
-                gone |= {i for i, _ in lines[at : at + window]}
-            seen.add(run)
+        for at in range(len(lines)):
+            for end in range(at + 1, len(lines) + 1):
+                run = tuple(x for _, x in lines[at:end])
+                whole = len(run) == len(lines)
+                held = sum(len(x.split()) for x in run)
+                if len(run) < window and held < words and not whole:
+                    continue
+                if run in seen:
+                    gone |= {i for i, _ in lines[at:end]}
+                seen.add(run)
         if gone:
             removed[doc_id] = sorted(gone)
     return removed
 
 
-@pytest.mark.parametrize("window", [2, 3, 4])
-def test_lines_equal_brute_force(documents, window):
+@pytest.mark.parametrize(("window", "words"), [(2, 99), (3, 99), (4, 99), (3, 10), (4, 5), (1, 9)])
+def test_lines_equal_brute_force(documents, window, words):
     rng = random.Random(window)
     rows = []
-    for i in range(60):
-        lines = [f" line {rng.randrange(12)} " for _ in range(rng.randrange(15))]
+    for i in range(80):
+        lines = [
+            f" line {'and ' * rng.choice((0, 0, 1, 3, 9))}{rng.randrange(12)} "
+            for _ in range(rng.randrange(15) if i % 3 else rng.randrange(3))
+        ]
         lines = [x if rng.random() < 0.9 else "" for x in lines]
         rows.append((i, "\n".join(lines)))
-    got = winnow_lines.repeated_lines(documents(rows), window).collect()
-    assert {r.doc_id: r.removed for r in got} == _brute_lines(rows, window)
+    got = winnow_lines.repeated_lines(documents(rows), window, words).collect()
+    assert {r.doc_id: r.removed for r in got} == _brute_lines(rows, window, words)
+
+
+def test_a_long_line_and_a_short_document_go(documents):
+    rng = random.Random(6)
+    line = _prose(rng, 50)
+    rows = [
+        (1, f"{_prose(rng, 12)}\n{line}\n{_prose(rng, 12)}"),
+        (2, f"{_prose(rng, 12)}\n{line}\n{_prose(rng, 12)}"),
+        (3, "two words"),
+        (4, "\ntwo words "),
+        (5, f"two words\n{_prose(rng, 12)}"),
+    ]
+    kept = {r.doc_id: r for r in winnow_lines.deduplicated(documents(rows)).collect()}
+    assert {i: r["__removed"] for i, r in kept.items()} == {1: None, 2: [1], 3: None, 4: [1], 5: None}
+    assert kept[2].text == "\n".join(x for x in rows[1][1].split("\n") if x != line)
+
+
+def test_lines_of_very_long_texts_and_clashing_columns(documents):
+    rng = random.Random(7)
+    lines = [_prose(rng, 4) for _ in range(50_000)]
+    frame = documents([(1, "\n".join(lines)), (2, "\n".join(lines[20_000:30_000]) + "\nnew")])
+    for name in ("__id", "__version", "__removed", "__gone", "version", "removed", "doc", "words"):
+        frame = frame.selectExpr("*", f"'{name}' AS `{name}`")
+    kept = winnow_lines.deduplicated(frame)
+    assert kept.columns == [*frame.columns, "___removed"]
+    one, two = kept.orderBy("doc_id").collect()
+    assert one.text == "\n".join(lines) and two.text == "new"
+    assert two["___removed"] == list(range(10_000)) and two["__removed"] == "__removed"
 
 
 def test_lines_odd_rows(documents):
@@ -150,10 +186,18 @@ def test_lines_odd_rows(documents):
     assert winnow_lines.deduplicated(documents([])).collect() == []
 
 
-def test_selected_lines_cover_every_window():
+def test_windows_select_alike():
+    """Lines of a run found elsewhere are selected there as well."""
     rng = np.random.default_rng(1)
     for _ in range(50):
-        hashes = rng.integers(0, 6, rng.integers(0, 40))
-        picked = set(winnow_lines.selected(hashes, 4).tolist())
-        for at in range(len(hashes) - 3):
-            assert picked & set(range(at, at + 4))
+        hashes = rng.integers(0, 40, 30)
+        counts = hashes % 7
+        own = winnow_lines.windows(np.array([0, 30]), counts, 4, 9)
+        mine = {tuple(hashes[a : b + 1]) for a, b in zip(*own)}
+        other = np.concatenate([rng.integers(0, 40, 9), hashes[5:25], rng.integers(0, 40, 9)])
+        firsts, lasts = winnow_lines.windows(np.array([0, len(other)]), other % 7, 4, 9)
+        inside = [(a, b) for a, b in zip(firsts, lasts) if a >= 9 and b < 29]
+        assert inside and all(tuple(other[a : b + 1]) in mine for a, b in inside)
+        assert {i for a, b in inside for i in range(a, b + 1)} == set(range(9, 29))
+        for a, b, at in zip(firsts, lasts, winnow_lines.selected(other, firsts, lasts)):
+            assert a <= at <= b and other[at] == other[a : b + 1].min()
