@@ -16,6 +16,7 @@ from marketloom.operators import (
     moments,
     portfolio,
     publish,
+    scan,
     silver,
     validate,
     weights,
@@ -24,8 +25,10 @@ from marketloom.plans import gold
 from marketloom.sources import raw, sample
 from marketloom.sources.tables import (
     portfolios_table,
+    read_table,
     shared_folder,
     weights_table,
+    write_by_year,
     write_table,
 )
 
@@ -459,6 +462,58 @@ def latest_summary(spark, sf_dir):
     return portfolio.latest_summary(summary, 30)
 
 
+@query
+def portfolio_summary_blocked(spark, sf_dir):
+    return portfolio.blocked_summary(_wide_portfolio(spark, sf_dir))
+
+
+@query
+def events_running(spark, sf_dir):
+    value = F.col("value")
+    measures = {
+        "value_count": ("count", value),
+        "value_sum": ("sum", value),
+        "value_max": ("max", value),
+        "value_min": ("min", value),
+        "last_marked": ("last", F.when(F.col("user_id") % 3 == 0, F.col("event_id"))),
+        "moments": ("moments", value),
+    }
+    events = sample.table(spark, sf_dir, "events")
+    running = scan.blocked_scan(
+        events, ["event_type"], ["ts", "event_id"], F.to_date("ts"), measures
+    )
+    return running.select(
+        "event_id", "value_count", "value_sum", "value_max", "value_min",
+        F.coalesce("last_marked", F.lit(-1)).alias("last_marked"),
+        scan.deviation(F.col("moments")).alias("value_deviation"),
+    )
+
+
+@query
+def events_as_of(spark, sf_dir):
+    # Two keys, each with half of the rows.
+    events = sample.table(spark, sf_dir, "events").withColumn("market", F.col("user_id") % 2)
+    rates = events.filter("event_type = 'purchase'").select(
+        "market", "ts", F.col("value").alias("rate"), F.col("event_id").alias("rate_id")
+    )
+    held = scan.as_of(events, rates, ["market"], "ts", ["rate", "rate_id"], F.to_date)
+    rate_id = F.coalesce("rate_id", F.lit(-1)).alias("rate_id")
+    return held.select("event_id", "market", "rate", rate_id)
+
+
+@query
+def fact_year_rewrite(spark, sf_dir):
+    root = shared_folder(spark, "by-year")
+    write_by_year(_fact(spark, sf_dir), root, "fact")
+    doubled = read_table(spark, root, "fact", ("1996-01-01", "1996-12-31")).withColumn(
+        "close_price_aud", F.col("close_price_aud") * 2
+    )
+    # A table is not overwritten while it is read.
+    write_table(doubled, root, "year")
+    write_by_year(read_table(spark, root, "year"), root, "fact", only_held=True)
+    return read_table(spark, root, "fact", ("1995-06-01", "1997-06-30"))
+
+
 # Return matrix, moments and weights
 
 
@@ -716,6 +771,45 @@ def validate_files(spark, sf_dir):
     )
 
 
+@query
+def validate_landed_files(spark, sf_dir):
+    """One file per symbol under its manifest's name, two thirds of them with a fault."""
+    root = shared_folder(spark, "files")
+    customers = sample.customer_assets(spark, sf_dir).withColumn("asset_class", F.lit("equity"))
+    fault = F.substr("symbol", F.lit(2)).cast("bigint") % 12
+    manifest = validate.expected_files(customers, root, sample.RUN_DATE).withColumn(
+        "path", F.when(fault == 9, F.replace("path", F.lit(".json"), F.lit(".txt"))).otherwise(
+            F.col("path")
+        ),
+    )
+    prices = sample.customer_prices(spark, sf_dir).filter(F.dayofmonth("price_date") != 13)
+    documents = raw.complete(
+        sample.price_documents(prices.withColumn("source", F.lit("yahoo"))),
+        "1990-01-01", None, "1d",
+    )
+    text = F.to_json(F.struct(*documents.columns), {"ignoreNullFields": "false"})
+    head = F.substring_index(text, '"records":', 1)
+    content = (
+        F.when(fault == 2, F.lit(b""))
+        .when(fault == 3, F.lit(None))
+        .when(fault == 4, F.lit(b"\xff\xfe{}"))
+        .when(fault == 5, F.lit(b"null"))
+        .when(fault == 6, F.encode(F.left(text, F.length(text) - 2), "UTF-8"))
+        .when(fault == 7, F.encode(F.concat(head, F.lit('"records":{}}')), "UTF-8"))
+        .when(fault == 8, F.encode(F.concat(head, F.lit('"records":[]}')), "UTF-8"))
+        .otherwise(F.encode(text, "UTF-8"))
+    )
+    files = documents.select("symbol", content.alias("content")).join(manifest, "symbol")
+    raw.write_files(files.filter(fault != 1).select("path", "content"))
+    folder, source = raw.RAW_FOLDERS["equity"]
+    folders = [raw.partition_folder(root, folder, source, sample.RUN_DATE)]
+    return validate.validate_files(spark, manifest, folders).select(
+        "symbol", "status", F.size("errors").cast("bigint").alias("error_count"),
+        F.get("errors", F.lit(0)).alias("first_error"),
+        F.coalesce(F.col("file_size_bytes") > 0, F.lit(False)).alias("has_bytes"),
+    )
+
+
 @query
 def validation_summary(spark, sf_dir):
     return validate.summarize(_file_results(spark, sf_dir))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -14,6 +14,8 @@ from marketloom.functions.returns import (
     sharpe_ratio,
 )
 from marketloom.operators.joins import BROADCAST_ROWS, has_at_most, sliced_join
+from marketloom.operators.scan import Measure, blocked_scan, deviation
+from marketloom.sources.tables import stored
 
 
 def join_weights(
@@ -138,18 +140,65 @@ def fact_portfolio_summary_daily(
     min_observations: int = config.MIN_ANNUALIZATION_OBSERVATIONS,
 ) -> DataFrame:
     """Running year-to-date metrics; annualized ones from ``min_observations`` days on."""
+    metrics = year_to_date(drawdowns(portfolio_daily))
+    return _annualized(metrics, risk_free_rate, annualization_days, min_observations)
+
+
+def blocked_summary(
+    portfolio_daily: DataFrame,
+    risk_free_rate: float = config.RISK_FREE_RATE,
+    annualization_days: int = config.CALENDAR_DAYS_PER_YEAR,
+    min_observations: int = config.MIN_ANNUALIZATION_OBSERVATIONS,
+    block: Column | None = None,
+) -> DataFrame:
+    """``fact_portfolio_summary_daily`` from daily returns alone, scanned in blocks.
+
+    ``block`` cuts the days, each block within one year; a month unless given. The tables
+    between are written.
+    """
+    block = F.trunc("date_key", "month") if block is None else block
+    daily = F.col("daily_return")
+
+    def scanned(rows: DataFrame, scope: list[str], **measures: Measure) -> DataFrame:
+        return stored(blocked_scan(rows, scope, ["date_key"], block, measures), "blocks")
+
+    returns = stored(portfolio_daily.select("portfolio_name", "date_key", "daily_return"), "blocks")
+    grown = scanned(returns, ["portfolio_name"], growth=("sum", log_growth(daily)))
+    valued = _with_year(grown).withColumn("value", compounded(F.col("growth")) + F.lit(1.0))
+    yearly = ["portfolio_name", "summary_year"]
+    peaks = scanned(
+        valued,
+        yearly,
+        peak=("max", F.col("value")),
+        moments=("moments", daily),
+        year_growth=("sum", log_growth(daily)),
+    )
+    fallen = peaks.withColumn("drawdown", F.try_divide("value", "peak") - F.lit(1.0))
+    metrics = scanned(fallen, yearly, max_drawdown=("min", F.col("drawdown"))).withColumns(
+        {
+            "observation_count": F.col("moments.n"),
+            "daily_volatility": deviation(F.col("moments")),
+            "ytd_return": compounded(F.col("year_growth")),
+        }
+    )
+    return _annualized(metrics, risk_free_rate, annualization_days, min_observations)
+
+
+def _annualized(
+    metrics: DataFrame, risk_free_rate: float, annualization_days: int, min_observations: int
+) -> DataFrame:
     observations = F.col("observation_count")
     enough = observations >= min_observations
     annual_return = geometric_annual_return(F.col("ytd_return"), observations, annualization_days)
     annual_volatility = F.col("daily_volatility") * F.sqrt(F.lit(annualization_days))
-    metrics = year_to_date(drawdowns(portfolio_daily)).withColumns(
+    yearly = metrics.withColumns(
         {
             "annual_return": F.when(enough, annual_return),
             "annual_volatility": F.when(enough, annual_volatility),
             "risk_free_rate": F.lit(float(risk_free_rate)),
         }
     )
-    summary = metrics.withColumn(
+    summary = yearly.withColumn(
         "sharpe_ratio",
         sharpe_ratio(F.col("annual_return"), F.col("annual_volatility"), F.col("risk_free_rate")),
     )

@@ -6,15 +6,17 @@ functions. No records are shuffled, whatever their number per document.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketloom import config
 from marketloom.functions import json_rules as J
 from marketloom.functions.parsing import FIRST_DAY, LAST_DAY
-from marketloom.sources.raw import RAW_FOLDERS, safe_symbol
+from marketloom.sources.raw import RAW_FOLDERS, file_system, safe_symbol
 
 # Fields of a document and of its records, and the array slots.
 TOP_LEVEL_FIELDS = ["source", "symbol", "start_date", "end_date", "interval", "records"]
@@ -316,31 +318,31 @@ def _comparable(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "/")
 
 
-def _list_folders(spark: SparkSession, folders: list[str]) -> tuple[list[str], DataFrame]:
-    """The folders that exist, and their entries that file readers leave out.
-
-    Those are folders and empty files: (path, is_folder).
-    """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    present, rows = [f for f in folders if _exists(spark, f)], []
-    for folder in present:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        files = path.getFileSystem(conf)
-        for entry in files.listStatus(path):
-            if entry.isDirectory() or entry.getLen() == 0:
-                rows.append((entry.getPath().toString(), entry.isDirectory()))
-    return present, spark.createDataFrame(rows, "path string, is_folder boolean")
+def _unread_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whether paths that readers left out are folders or empty files; others give no row."""
+    for batch in batches:
+        keys, folders = [], []
+        for key, path in zip(batch["_key"].to_pylist(), batch["path"].to_pylist(), strict=True):
+            files, place = file_system(path)
+            found = files.get_file_info(place)
+            empty = found.type == fs.FileType.File and found.size == 0
+            if empty or found.type == fs.FileType.Directory:
+                keys.append(key)
+                folders.append(not empty)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.string()), pa.array(folders, pa.bool_())], ["_key", "is_folder"]
+        )
 
 
 def validate_files(spark: SparkSession, manifest: DataFrame, folders: list[str]) -> DataFrame:
     """Validate the manifest's files below the run's partition folders.
 
-    One row per expected file: asset_class, source, symbol, path, status,
+    Tasks look up those of the expected files that readers leave out, which are the missing,
+    the empty and the folders; that takes a file system known to pyarrow. One row per expected file: asset_class, source, symbol, path, status,
     file_size_bytes, errors.
     """
     expected = manifest.withColumn("_key", _comparable(F.col("path")))
-    present, hidden = _list_folders(spark, folders)
-    hidden = hidden.select(_comparable(F.col("path")).alias("_key"), "is_folder")
+    present = [f for f in folders if _exists(spark, f)]
     if present:
         contents = spark.read.format("binaryFile").load(present)
     else:
@@ -350,6 +352,8 @@ def validate_files(spark: SparkSession, manifest: DataFrame, folders: list[str])
         F.col("length").alias("file_size_bytes"),
         F.try_validate_utf8(F.col("content").cast("string")).alias("text"),
     )
+    unread = expected.select("_key", "path").join(found.select("_key"), "_key", "left_anti")
+    hidden = unread.mapInArrow(_unread_states, "_key string, is_folder boolean")
     checked = validate_documents(
         found.join(expected.select("_key", "source", "symbol"), "_key")
     ).select("_key", "file_size_bytes", F.col("errors").alias("payload_errors"))

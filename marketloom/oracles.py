@@ -403,6 +403,40 @@ ORACLES["portfolio_summary"] = _rounded(
 ORACLES["portfolio_summary_wide"] = _rounded(
     f"WITH {SUMMARY_WITH_WIDE} SELECT * FROM summary", *_summary_doubles
 )
+ORACLES["portfolio_summary_blocked"] = ORACLES["portfolio_summary_wide"]
+ORACLES["events_running"] = _rounded(
+    """SELECT event_id, count(value) OVER w AS value_count, sum(value) OVER w AS value_sum,
+              max(value) OVER w AS value_max, min(value) OVER w AS value_min,
+              coalesce(last_value(CASE WHEN user_id % 3 = 0 THEN event_id END IGNORE NULLS)
+                       OVER w, -1) AS last_marked,
+              stddev_samp(value) OVER w AS value_deviation
+       FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id
+                                ROWS UNBOUNDED PRECEDING)""",
+    "value_sum", "value_max", "value_min", "value_deviation",
+)
+ORACLES["events_as_of"] = _rounded(
+    """WITH both_sides AS (
+           SELECT event_id, user_id % 2 AS market, ts, 1 AS side, NULL AS rate, NULL AS rate_id
+           FROM events
+           UNION ALL
+           SELECT NULL, user_id % 2, ts, 0, value, event_id FROM events
+           WHERE event_type = 'purchase')
+       SELECT event_id, market, rate, coalesce(rate_id, -1) AS rate_id FROM (
+           SELECT event_id, side, market,
+                  last_value(rate IGNORE NULLS) OVER w AS rate,
+                  last_value(rate_id IGNORE NULLS) OVER w AS rate_id
+           FROM both_sides WINDOW w AS (PARTITION BY market ORDER BY ts, side, rate, rate_id
+                                        ROWS UNBOUNDED PRECEDING))
+       WHERE side = 1""",
+    "rate",
+)
+ORACLES["fact_year_rewrite"] = _rounded(
+    f"""WITH {FACT_WITH}
+        SELECT * REPLACE (CASE WHEN year(date_key) = 1996 THEN 2 ELSE 1 END * close_price_aud
+                          AS close_price_aud)
+        FROM fact WHERE date_key BETWEEN DATE '1995-06-01' AND DATE '1997-06-30'""",
+    "close_price_native", "close_price_aud", "daily_return",
+)
 ORACLES["latest_summary"] = _rounded(
     f"""WITH {SUMMARY_WITH_WIDE}
         SELECT * FROM summary ORDER BY date_key DESC, portfolio_name LIMIT 30""",
@@ -826,6 +860,26 @@ FILES_WITH = f"""
 ORACLES["validate_files"] = (
     f"{FILES_WITH} SELECT symbol, path, status, error_count, first_error FROM results"
 )
+ORACLES["validate_landed_files"] = """
+    WITH priced AS (SELECT DISTINCT o_custkey FROM orders WHERE day(o_orderdate) <> 13),
+    files AS (
+        SELECT 'C' || c_custkey AS symbol, c_custkey % 12 AS fault,
+               o_custkey IS NOT NULL AND c_custkey % 12 <> 1 AS landed
+        FROM customer LEFT JOIN priced ON o_custkey = c_custkey),
+    texts AS (
+        SELECT *, CASE WHEN fault = 9 THEN ['file extension is not .json'] ELSE [] END
+                  || CASE WHEN NOT landed THEN ['file does not exist']
+                          WHEN fault = 2 THEN ['file is empty']
+                          WHEN fault = 3 THEN ['path is not a file']
+                          WHEN fault IN (4, 6) THEN ['file is not valid JSON']
+                          WHEN fault = 5 THEN ['top-level JSON is not an object']
+                          WHEN fault = 7 THEN ['records is not a list']
+                          WHEN fault = 8 THEN ['records is empty'] ELSE [] END AS errors
+        FROM files)
+    SELECT symbol, CASE WHEN len(errors) = 0 THEN 'valid' ELSE 'invalid' END AS status,
+           len(errors) AS error_count, errors[1] AS first_error,
+           landed AND fault NOT IN (2, 3) AS has_bytes
+    FROM texts"""
 _SUMMARY = """
     SELECT count(*) AS total_files, count(*) FILTER (WHERE status = 'valid') AS valid_count,
            count(*) FILTER (WHERE status <> 'valid') AS invalid_count,

@@ -15,6 +15,7 @@ from marketloom.sources.tables import (
     read_table,
     stored,
     weights_table,
+    write_by_year,
     write_table,
 )
 
@@ -28,7 +29,7 @@ def build_gold(
     portfolios: DataFrame | None = None,
     risk_free_rate: float = config.RISK_FREE_RATE,
 ) -> dict[str, int]:
-    """Write the dimensions and the three daily facts; returns their row counts.
+    """Write the dimensions and the three daily facts, by year; returns their row counts.
 
     Every table is written once and read back by the next, so that no fact is
     computed again for the tables that follow from it.
@@ -38,16 +39,17 @@ def build_gold(
     rates = read_table(spark, silver_root, "fx_rates")
     rows: dict[str, int] = {}
 
-    def write(name: str, table: DataFrame) -> DataFrame:
-        rows[name] = write_table(table, gold_root, name, mode)
+    def save(name: str, table: DataFrame) -> DataFrame:
+        write = write_by_year if name.startswith("fact_") else write_table
+        rows[name] = write(table, gold_root, name, mode=mode)
         return read_table(spark, gold_root, name)
 
-    dates = write("dim_date", calendar.dim_date(prices))
-    write("dim_asset", calendar.dim_asset(read_table(spark, silver_root, "assets")))
-    write("dim_portfolio", portfolios_table(spark) if portfolios is None else portfolios)
-    fact = write("fact_asset_daily", asset_ops.fact_asset_daily(prices, rates, dates))
-    daily = write("fact_portfolio_daily", portfolio.fact_portfolio_daily(fact, held))
-    write(
+    dates = save("dim_date", calendar.dim_date(prices))
+    save("dim_asset", calendar.dim_asset(read_table(spark, silver_root, "assets")))
+    save("dim_portfolio", portfolios_table(spark) if portfolios is None else portfolios)
+    fact = save("fact_asset_daily", asset_ops.fact_asset_daily(prices, rates, dates))
+    daily = save("fact_portfolio_daily", portfolio.fact_portfolio_daily(fact, held))
+    save(
         "fact_portfolio_summary_daily",
         portfolio.fact_portfolio_summary_daily(daily, risk_free_rate),
     )
@@ -112,7 +114,7 @@ def optimize_gold(
 ) -> dict[str, int]:
     """Find the best weights from the asset fact and write the two report tables."""
     symbols = list(current) if symbols is None else list(symbols)
-    fact = read_table(spark, gold_root, "fact_asset_daily")
+    fact = read_table(spark, gold_root, "fact_asset_daily", (start_date, end_date))
     returns = moments.complete_returns(fact, symbols, start_date, end_date)
     summary, chosen = optimize_returns(
         spark, returns, symbols, current, portfolio_name, risk_free_rate, crypto

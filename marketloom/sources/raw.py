@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,3 +124,37 @@ def write_documents(
     # A null end date must stay a field.
     writer.option("ignoreNullFields", False).mode(mode).json(path)
     return path
+
+
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path, as a URI or absolute, and the path in it."""
+    place = path.removeprefix("file:")
+    return fs.FileSystem.from_uri("/" + place.lstrip("/") if place.startswith("/") else place)
+
+
+def _put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        contents = batch["content"].to_pylist()
+        for path, content in zip(batch["path"].to_pylist(), contents, strict=True):
+            files, place = file_system(path)
+            if content is None:
+                files.create_dir(place)
+                continue
+            folder, name = place.rsplit("/", 1)
+            files.create_dir(folder)
+            # Under another name until it is whole, so that a repeated task finds no half of it.
+            unfinished = f"{folder}/.{name}.{uuid.uuid4().hex}"
+            with files.open_output_stream(unfinished) as out:
+                out.write(content)
+            files.move(unfinished, place)
+        yield batch.select(["path"])
+
+
+def write_files(files: DataFrame) -> int:
+    """Land files (path, content binary) under the very names given; returns how many.
+
+    Null content makes a folder; a repeated path keeps one of its contents. Tasks write their own
+    rows, to a file system known to pyarrow.
+    """
+    named = files.select("path", F.col("content").cast("binary").alias("content"))
+    return named.dropDuplicates(["path"]).mapInArrow(_put, "path string").count()

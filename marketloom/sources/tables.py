@@ -12,11 +12,32 @@ from pyspark.sql import functions as F
 from marketloom import config, schemas
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A Parquet table below ``root``; a missing folder is a FileNotFoundError."""
+# The partition column of tables written by year; readers do not see it.
+YEAR = "table_year"
+
+
+def read_table(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    between: tuple[str | None, str | None] = (None, None),
+    date: str = "date_key",
+) -> DataFrame:
+    """A Parquet table below ``root``; a missing folder is a FileNotFoundError.
+
+    ``between`` are the first and last day wanted, None for any; of a table written by year only
+    those years' folders are read.
+    """
     path = f"{root}/{name}"
     try:
-        return spark.read.parquet(path)
+        table = spark.read.parquet(path)
+        for bound, compare in zip(between, ("__ge__", "__le__"), strict=True):
+            if bound is not None:
+                day = F.lit(str(bound)).cast("date")
+                table = table.filter(getattr(F.col(date), compare)(day))
+                if YEAR in table.columns:
+                    table = table.filter(getattr(F.col(YEAR), compare)(F.year(day)))
+        return table.drop(YEAR)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -29,17 +50,39 @@ def write_table(
     name: str,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    only_held: bool = False,
 ) -> int:
-    """Write a Parquet table and return the row count observed during the write."""
+    """Write a Parquet table and return the row count observed during the write.
+
+    With ``only_held`` an overwrite replaces just the partitions that ``df`` has rows of.
+    """
     rows = Observation()
     counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if only_held:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(f"{root}/{name}")
     return int(rows.get["rows"])
 
 
+def write_by_year(
+    df: DataFrame,
+    root: str,
+    name: str,
+    date: str = "date_key",
+    mode: str = "overwrite",
+    only_held: bool = False,
+) -> int:
+    """``write_table`` with a folder per year of ``date``, rows without one in one of their own.
+
+    Adaptive execution sets the files' size: a year is split where it is large.
+    """
+    yearly = df.withColumn(YEAR, F.year(date)).hint("rebalance", F.col(YEAR))
+    return write_table(yearly, root, name, mode, [YEAR], only_held)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for written tables that every executor can reach.
 
