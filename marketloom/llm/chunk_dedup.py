@@ -5,7 +5,8 @@ four bits of h that depend on the last 16 bytes are zero, at least ``LEAST`` and
 bytes behind the previous cut, never inside a character. Cuts depend on nearby bytes only,
 so an insertion changes the chunks around it and the rest line up again.
 
-A chunk is repeated if a chunk of the same 128-bit digest stands earlier, by (doc_id, place).
+A chunk is repeated if a chunk of the same 128-bit digest stands earlier, by (doc_id, version,
+place), where the version is a hash of the text.
 Neighbouring repeated chunks make up a span; spans of at least ``min_chars`` characters
 count, for shorter ones are common phrases, unless they are a whole document: a text of fewer
 characters counts where all its chunks are repeated. All but the first occurrence can thus
@@ -13,9 +14,10 @@ be removed.
 
 Chunks are counted by half their digest first, and only those counted twice are joined on.
 
-Cases: null and empty texts have no chunks and stay; rows that repeat a doc_id are versions
-of one document, in which the same place counts once, but short versions are looked at one by
-one; rows without doc_id take no part; an empty table gives no spans. Other columns are ignored, or kept by ``deduplicated``.
+Cases: null and empty texts have no chunks and stay; rows that repeat a doc_id with the same
+text are one document, and each gets the same result; with other texts they are documents of
+their own, and each loses only spans of its own text; rows without doc_id take no part; an empty
+table gives no spans. Other columns are ignored, or kept by ``deduplicated``, whatever their names.
 """
 
 from __future__ import annotations
@@ -100,9 +102,9 @@ def _chunks(batches: Iterable[pa.RecordBatch], digests: bool) -> Iterator[pa.Rec
                         pa.array(np.concatenate(ids), pa.int64()),
                         pa.array(np.concatenate(starts), pa.int64()),
                         pa.array(np.concatenate(sizes), pa.int32()),
-                        *(rows[c].take(pa.array(own)) for c in ("short", "total")),
+                        *(rows[c].take(pa.array(own)) for c in ("version", "total")),
                     ],
-                    ["one", "two", "doc_id", "start", "size", "short", "total"],
+                    ["one", "two", "doc_id", "start", "size", "version", "total"],
                 )
 
 
@@ -112,7 +114,7 @@ def repeated_spans(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFram
     Places are code points, end exclusive. ``first_doc_id`` holds the first occurrence of
     the span's first chunk.
     """
-    return _repeated(documents, min_chars).drop("short")
+    return _repeated(documents, min_chars).drop("version")
 
 
 def version(text: Column) -> Column:
@@ -120,54 +122,43 @@ def version(text: Column) -> Column:
 
 
 def _repeated(documents: DataFrame, min_chars: int) -> DataFrame:
-    """The spans, with ``short``: the version that a span below ``min_chars`` is the whole of."""
-    below = F.length("text") < min_chars
+    """The spans, with the version of the text that they are places of."""
     texts = documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
         F.col("doc_id").cast("long"),
         "text",
-        F.when(below, version(F.col("text"))).alias("short"),
-        F.when(below, F.length("text")).alias("total"),
+        version(F.col("text")).alias("version"),
+        F.length("text").alias("total"),
     )
     halves = texts.select("doc_id", "text").mapInArrow(lambda b: _chunks(b, False), "one long")
     twice = halves.groupBy("one").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("one")
-    schema = "one long, two long, doc_id long, start long, size int, short long, total int"
+    schema = "one long, two long, doc_id long, start long, size int, version long, total int"
     chunks = texts.mapInArrow(lambda b: _chunks(b, True), schema)
     shared = written(chunks.join(twice, "one", "left_semi"), "shared-chunks")
-    place = F.struct("doc_id", "start")
+    place = F.struct("doc_id", "version", "start")
     first = shared.groupBy("one", "two").agg(F.min(place).alias("first"))
     later = shared.join(first, ["one", "two"]).filter(place > F.col("first"))
     chunk = F.struct(
         "start",
         (F.col("start") + F.col("size")).alias("end"),
         F.col("first.doc_id").alias("first"),
-        "short",
-        "total",
     )
-    own = later.groupBy("doc_id").agg(F.array_sort(F.collect_set(chunk)).alias("chunks"))
-    schema = "doc_id long, start long, end long, first_doc_id long, n_chunks int, short long"
+    own = later.groupBy("doc_id", "version", "total").agg(
+        F.array_sort(F.collect_set(chunk)).alias("chunks")
+    )
+    schema = "doc_id long, start long, end long, first_doc_id long, n_chunks int, version long"
     return own.mapInArrow(lambda b: _spans(b, min_chars), schema)
 
 
 def _spans(batches: Iterable[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
-    """Neighbouring chunks as one span; overlaps come from versions of one document."""
-    names = ["doc_id", "start", "end", "first_doc_id", "n_chunks", "short"]
+    """Neighbouring chunks as one span, if it is long or the whole text."""
+    names = ["doc_id", "start", "end", "first_doc_id", "n_chunks", "version"]
     for batch in batches:
         out = []
-        for doc_id, chunks in zip(
-            batch["doc_id"].to_pylist(), batch["chunks"].to_pylist(), strict=True
-        ):
-            places = dict.fromkeys((c["start"], c["end"], c["first"]) for c in chunks)
-            long = [s for s in _merged(doc_id, places) if s[2] - s[1] >= min_chars]
-            out += [(*s, None) for s in long]
-            if long and long[0][1] == 0:
-                continue
-            versions = {}
-            for c in chunks:
-                if c["short"] is not None:
-                    places = versions.setdefault((c["short"], c["total"]), [])
-                    places.append((c["start"], c["end"], c["first"]))
-            for (short, total), places in versions.items():
-                out += [(*s, short) for s in _merged(doc_id, places) if s[1:3] == [0, total]]
+        known = (batch[c].to_pylist() for c in ("doc_id", "version", "total", "chunks"))
+        for doc_id, own, total, chunks in zip(*known, strict=True):
+            for start, end, first, n in _merged((c["start"], c["end"], c["first"]) for c in chunks):
+                if end - start >= min_chars or (start, end) == (0, total):
+                    out.append((doc_id, start, end, first, n, own))
         columns = list(zip(*out, strict=True)) or [()] * 6
         kinds = [pa.int64()] * 4 + [pa.int32(), pa.int64()]
         yield pa.RecordBatch.from_arrays(
@@ -175,40 +166,37 @@ def _spans(batches: Iterable[pa.RecordBatch], min_chars: int) -> Iterator[pa.Rec
         )
 
 
-def _merged(doc_id: int, places: Iterable[tuple[int, int, int]]) -> list[list[int]]:
-    """Spans [doc_id, start, end, first, n_chunks] of places in order."""
+def _merged(places: Iterable[tuple[int, int, int]]) -> list[list[int]]:
+    """Spans [start, end, first, n_chunks] of places in order."""
     out = []
     for start, end, first in places:
-        if out and start <= out[-1][2]:
-            out[-1][2], out[-1][4] = max(out[-1][2], end), out[-1][4] + 1
+        if out and start <= out[-1][1]:
+            out[-1][1], out[-1][3] = max(out[-1][1], end), out[-1][3] + 1
         else:
-            out.append([doc_id, start, end, first, 1])
+            out.append([start, end, first, 1])
     return out
 
 
 def deduplicated(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """All documents, their text without the repeated spans."""
-    spans = _repeated(documents, min_chars).groupBy(F.col("doc_id").alias("__id")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "short"))).alias("__spans")
-    )
-    # A short whole is that of its own version only.
-    own = F.filter(
-        "__spans", lambda s: s["short"].isNull() | (s["short"] == version(F.col("text")))
-    )
-    joined = documents.join(spans, documents["doc_id"] == F.col("__id"), "left").withColumn(
-        "__spans", own
+    spans = _repeated(documents, min_chars).groupBy("doc_id", "version").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")
     )
+    packed = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc"))
+    own = F.col("doc.text")
+    same = (F.col("doc.doc_id") == F.col("doc_id")) & (version(own) == F.col("version"))
+    joined = packed.join(spans, same, "left")
     # What stands between the spans: from each end to the next start.
-    whole = F.array(F.length("text").cast("long"))
-    starts = F.concat(F.transform("__spans", lambda s: s["start"]), whole)
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("__spans", lambda s: s["end"]))
+    whole = F.array(F.length(own).cast("long"))
+    starts = F.concat(F.transform("spans", lambda s: s["start"]), whole)
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["end"]))
 
     def between(a: Column, b: Column) -> Column:
         length = F.greatest(b - a, F.lit(0)).cast("int")
-        return F.substring(F.col("text"), (a + 1).cast("int"), length)
+        return F.substring(own, (a + 1).cast("int"), length)
 
     pieces = F.zip_with(ends, starts, between)
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(pieces, ""))
+    text = F.when(F.col("spans").isNull(), own).otherwise(F.array_join(pieces, ""))
     return joined.select(
-        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in documents.columns]
+        *[text.alias("text") if c == "text" else F.col(f"doc.`{c}`") for c in documents.columns]
     )

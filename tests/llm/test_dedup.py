@@ -90,6 +90,27 @@ def test_short_whole_copies_are_found(documents):
     assert kept == {r for r in rows if not 100 <= r[0] < 200} | gone | {(101, other)}
 
 
+def test_texts_of_one_id_keep_what_is_theirs(documents):
+    """A copy under a repeated id goes; the other texts of that id stay whole."""
+    rng = random.Random(8)
+    copied, clean = _prose(rng, 100), [_prose(rng, 120) for _ in range(3)]
+    rows = [(1, copied), (2, copied), *((2, text) for text in clean)]
+    frame = documents([*rows, (2, clean[0])])
+    for name in ("__id", "__spans", "spans", "version", "doc", "total"):
+        frame = frame.selectExpr("*", f"'{name}' AS `{name}`")
+    out = chunk_dedup.deduplicated(frame)
+    assert out.columns == frame.columns
+    kept = sorted((r.doc_id, r.text) for r in out.collect())
+    assert kept == sorted([(1, copied), (2, ""), *((2, t) for t in clean), (2, clean[0])])
+
+
+def test_a_very_long_copy_goes(documents):
+    text = _prose(random.Random(9), 150_000)
+    rows = [(1, text), (2, "x" + text[:-40_000] + "y")]
+    (span,) = chunk_dedup.repeated_spans(documents(rows)).collect()
+    assert span.doc_id == 2 and span.end - span.start > len(text) - 40_000 - 300
+
+
 def test_spans_point_at_equal_text(documents):
     rng = random.Random(4)
     shared = _prose(rng, 80)
