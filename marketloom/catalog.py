@@ -22,7 +22,7 @@ from marketloom.operators import (
     weights,
 )
 from marketloom.plans import gold
-from marketloom.sources import raw, sample
+from marketloom.sources import ledger, raw, sample
 from marketloom.sources.tables import (
     portfolios_table,
     read_table,
@@ -147,6 +147,24 @@ def land_fx(spark, sf_dir):
     return silver.struct_records_to_rates(documents, sample.RUN_DATE).drop(*_without_path)
 
 
+@query
+def land_unread(spark, sf_dir):
+    """Two landings; the second run reads the files that the first has not."""
+    root, book, found = (shared_folder(spark, name) for name in ("raw", "ledger", "unread"))
+    documents = sample.price_documents(sample.customer_prices(spark, sf_dir))
+    is_late = F.substr("symbol", F.lit(2)).cast("bigint") % 3 == 0
+    raw.write_documents(documents.filter(~is_late), root, "equity", sample.RUN_DATE)
+    ledger.record(ledger.listed(spark, [root]), book)
+    raw.write_documents(documents.filter(is_late), root, "equity", sample.RUN_DATE, mode="append")
+    ledger.unread(ledger.listed(spark, [root]), ledger.read_ledger(spark, book)).write.parquet(found)
+    lines = ledger.lines_of(spark, [root], spark.read.parquet(found))
+    records = F.from_json("value", "records array<struct<Date: string>>")["records"]
+    return lines.select(
+        F.get_json_object("value", "$.symbol").alias("symbol"),
+        F.size(records).cast("bigint").alias("record_count"),
+    )
+
+
 @query
 def land_validate(spark, sf_dir):
     root = _land(spark, sf_dir)

@@ -437,6 +437,9 @@ ORACLES["fact_year_rewrite"] = _rounded(
         FROM fact WHERE date_key BETWEEN DATE '1995-06-01' AND DATE '1997-06-30'""",
     "close_price_native", "close_price_aud", "daily_return",
 )
+ORACLES["land_unread"] = """
+    SELECT 'C' || o_custkey AS symbol, count(DISTINCT CAST(o_orderdate AS DATE)) AS record_count
+    FROM orders WHERE o_custkey % 3 = 0 GROUP BY o_custkey"""
 ORACLES["latest_summary"] = _rounded(
     f"""WITH {SUMMARY_WITH_WIDE}
         SELECT * FROM summary ORDER BY date_key DESC, portfolio_name LIMIT 30""",
