@@ -7,24 +7,27 @@ these k-mers and their sequence, which makes agreement follow edit similarity.
 
 Documents of the same words are one class before anything else; one of them stands for all.
 Representatives that agree in an entry share a bucket. Candidates are verified by aligning
-their shingle sequences within the band that the threshold allows: with c aligned of a and
-b shingles the similarity is c / (a + b - c), the Jaccard similarity of texts whose shared parts
-keep their order. A pair at the threshold of 0.8 agrees in an entry with a probability of 0.51
-and is missed in all 24 with one of 4e-8.
+their word sequences within the band that the threshold allows: with c aligned of a and b words
+the similarity is c / (a + b - c). At 0.8 that admits a ninth of the words replaced. Texts whose
+shingles have a Jaccard similarity of 0.8 agree in an entry with a probability of 0.51 and are
+missed in all 48 with one below 1e-14. One replaced word breaks five shingles: with a ninth of the
+words replaced at random places 0.39 of the shingles are shared, an entry agrees with 0.06
+and all 48 miss with 0.06. Edits that lie together break fewer.
 
 Buckets are never paired off. First the members of a bucket are aligned with its least
 document, and verified links merge components, however large the group. Buckets that still
 hold several components are then packed into blocks of a bounded number of rows, and blocks
 of one bucket are compared within tasks: pairs of one component, of sizes that differ
-too much, or whose signatures of one byte for each of 1024 bins put the Jaccard similarity more
-than a margin below the threshold (four standard errors) are passed over; the others are
-aligned, once, for the least bucket that they share. So every two components that share a bucket are compared, and only likely pairs
+too much, or whose signatures put the Jaccard similarity of their labelled words, which the
+similarity cannot exceed, more than a margin below the threshold (a byte for each of 1024 bins,
+four standard errors) are passed over; the others are aligned, once, for the least bucket that
+they share. So every two components that share a bucket are compared, and only likely pairs
 become rows. The result are the components of all verified links.
 
 Cases: a null text is a class of its own, a null id has class null; texts without words are
 a class if equal; those under five words match equal words only; rows that repeat a doc_id
-are classed by their own texts; an empty table gives no rows. Other columns are ignored, or
-kept by ``one_of_each``.
+are classed by their own texts, and two classes of the same least doc_id bear the same name; an
+empty table gives no rows. Other columns are ignored, or kept by ``one_of_each``.
 """
 
 from __future__ import annotations
@@ -35,11 +38,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import (
-    SHINGLE_WORDS,
     flat_lists,
     mix,
     shingle_hashes,
@@ -50,37 +52,38 @@ from marketloom.llm.common import (
 from marketloom.llm.graph import components
 
 SIMILARITY = 0.8
-HASHES, PICKS = 24, 3
+HASHES, PICKS = 48, 3
 SLICE, CELLS = 400_000, 2_000_000
 BINS, MARGIN, BLOCK_ROWS = 1024, 0.05, 256
 # Elements that occur more often are kept as bits.
 FREQUENT = 256
+NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+KEY = ["doc_id", "one", "two"]
 SEEDS = mix(np.arange(1, 1025, dtype=np.uint64))
 
 
-def labelled(shingles: np.ndarray) -> np.ndarray:
-    """Shingle hashes mixed with the number of equal ones before."""
-    order = np.argsort(shingles, kind="stable")
-    ordered = shingles[order]
+def labelled(hashes: np.ndarray) -> np.ndarray:
+    """Hashes mixed with the number of equal ones before."""
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     seen = np.arange(len(ordered)) - np.repeat(starts, np.diff(np.append(starts, len(ordered))))
     occurrence = np.empty(len(ordered), np.uint64)
     occurrence[order] = seen.astype(np.uint64)
-    return mix(shingles + occurrence * np.uint64(0x9E3779B97F4A7C15))
+    return mix(hashes + occurrence * np.uint64(0x9E3779B97F4A7C15))
 
 
 def signature(labels: np.ndarray) -> np.ndarray:
     """A byte for the least label in each bin, 0 for an empty bin."""
-    none = np.uint64(0xFFFFFFFFFFFFFFFF)
-    low = np.full(BINS, none, np.uint64)
+    low = np.full(BINS, NONE, np.uint64)
     np.minimum.at(low, (labels % np.uint64(BINS)).astype(np.int64), labels // np.uint64(BINS))
-    return np.where(low == none, 0, low % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    return np.where(low == NONE, 0, low % np.uint64(255) + np.uint64(1)).astype(np.uint8)
 
 
 def sketch(
     words: np.ndarray, hashes: int = HASHES, picks: int = PICKS
 ) -> tuple[np.ndarray, np.ndarray]:
-    """One number for each random order, none for texts without a shingle; the signature."""
+    """A number for each random order, none for texts without a shingle; the words' signature."""
     shingles = shingle_hashes(words)
     n = len(shingles)
     if not n:
@@ -93,13 +96,18 @@ def sketch(
         ranks ^= ranks >> np.uint64(32)
         ranks *= np.uint64(0x9E3779B97F4A7C15)
         if n > picks:
-            least[at : at + step] = np.argpartition(ranks, picks - 1, axis=1)[:, :picks]
+            rows = np.arange(len(ranks))
+            for pick in range(picks):
+                lowest = ranks.argmin(axis=1)
+                least[at : at + step, pick] = lowest
+                ranks[rows, lowest] = NONE
         else:
             least[at : at + step] = np.arange(n)
     entry = np.zeros(hashes, np.uint64)
     for place in np.sort(least, axis=1).T:
         entry = mix(entry * np.uint64(0x9E3779B97F4A7C15) + shingles[place])
-    return mix(entry + SEEDS[:hashes]).view(np.int64), signature(labels)
+    own = signature(labelled(np.ascontiguousarray(words).view(np.uint64)))
+    return mix(entry + SEEDS[:hashes]).view(np.int64), own
 
 
 def _sketched(batches: Iterable[pa.RecordBatch], hashes: int) -> Iterator[pa.RecordBatch]:
@@ -119,7 +127,7 @@ def _sketched(batches: Iterable[pa.RecordBatch], hashes: int) -> Iterator[pa.Rec
                     rows["doc_id"],
                     rows["one"],
                     rows["two"],
-                    pa.array(np.maximum(np.diff(offsets) - SHINGLE_WORDS + 1, 0), pa.int32()),
+                    pa.array(np.diff(offsets), pa.int32()),
                     entries,
                     pa.array([x.tobytes() for _, x in both], pa.binary()),
                 ],
@@ -171,13 +179,12 @@ def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
 
 def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     """Whether two word sequences are similar; see the module."""
-    x, y = shingle_hashes(a), shingle_hashes(b)
-    total = len(x) + len(y)
+    total = len(a) + len(b)
     # c / (total - c) >= t  <=>  c >= total * t / (1 + t)
     least = int(np.ceil(total * threshold / (1 + threshold) - 1e-9))
-    if min(len(x), len(y)) < least:
+    if min(len(a), len(b)) < least:
         return False
-    return aligned(x, y, total - 2 * least) >= least
+    return aligned(a, b, total - 2 * least) >= least
 
 
 def _verified(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -276,13 +283,10 @@ def links(documents: DataFrame, reps: DataFrame, threshold: float = SIMILARITY)
     """(a, b): verified pairs of representatives, enough to hold every class together."""
     spark = documents.sparkSession
     members = _members(reps)
-    nodes = members.select(F.col("node").alias("doc_id")).distinct()
-    words = written(
-        documents.join(nodes, "doc_id", "left_semi").select(
-            F.col("doc_id").alias("node"), word_hashes(F.col("text")).alias("words")
-        ),
-        "near-words",
-    )
+    asked = reps.join(members.select("node").distinct(), "node", "left_semi")
+    # The text of a representative, once; other texts of its doc_id have other digests.
+    own = _digests(documents).join(asked.select("doc_id", "one", "two", "node"), KEY)
+    words = written(own.groupBy("node").agg(F.first("words").alias("words")), "near-words")
     leaders = members.groupBy("bucket").agg(
         F.min("node").alias("leader"), F.min_by("n", "node").alias("leader_n")
     )
@@ -322,17 +326,16 @@ def links(documents: DataFrame, reps: DataFrame, threshold: float = SIMILARITY)
     return found.unionByName(_verify(pairs, words, threshold))
 
 
-def near_duplicates(
-    documents: DataFrame, threshold: float = SIMILARITY, hashes: int = HASHES
-) -> DataFrame:
-    """(doc_id, class_id) of each row; a class is named by its least doc_id."""
+def _digests(documents: DataFrame, *carried: Column) -> DataFrame:
+    """(doc_id, words, one, two): word hashes of each row and two digests of its words."""
     text = F.col("text")
     hashed = documents.select(
-        F.col("doc_id").cast("long"), "text", word_hashes(text).alias("words")
+        F.col("doc_id").cast("long"), "text", word_hashes(text).alias("words"), *carried
     )
     bare = F.size("words") == 0
-    digests = hashed.select(
+    return hashed.select(
         "doc_id",
+        *hashed.columns[3:],
         "words",
         F.when(text.isNull(), F.col("doc_id"))
         .when(bare, F.xxhash64("text"))
@@ -343,32 +346,66 @@ def near_duplicates(
         .otherwise(F.xxhash64(F.lit(1), "words"))
         .alias("two"),
     )
+
+
+def _classed(documents: DataFrame, threshold: float, hashes: int) -> DataFrame:
+    """(doc_id, one, two, component, class_id) of each row; rows without doc_id have neither."""
     schema = "doc_id long, one long, two long, n int, sketch array<long>, signature binary"
-    rows = written(digests.mapInArrow(lambda b: _sketched(b, hashes), schema), "near-sketches")
+    sketched = _digests(documents).mapInArrow(lambda b: _sketched(b, hashes), schema)
+    rows = written(sketched, "near-sketches")
     exact = rows.filter("doc_id IS NOT NULL").groupBy("one", "two").agg(
-        F.min("doc_id").alias("node"),
+        F.min("doc_id").alias("doc_id"),
         *[F.first(c).alias(c) for c in ("n", "sketch", "signature")],
     )
+    # A doc_id may stand for several texts, so representatives have numbers of their own.
+    exact = exact.withColumn("node", F.monotonically_increasing_id())
     exact = written(exact, "near-representatives")
     comps = components(links(documents, exact, threshold))
-    named = rows.select("doc_id", "one", "two").join(
-        exact.select("one", "two", "node"), ["one", "two"], "left"
+    linked = exact.select("node", F.col("doc_id").alias("least")).join(comps, "node")
+    names = linked.groupBy("component").agg(F.min("least").alias("class_id"))
+    named = exact.select("one", "two", "node", F.col("doc_id").alias("least")).join(
+        linked.select("node", "component").join(names, "component"), "node", "left"
     )
-    return named.join(comps, "node", "left").select(
-        "doc_id",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node")).alias("class_id"),
+    named = named.select(
+        "one",
+        "two",
+        F.coalesce("component", "node").alias("component"),
+        F.coalesce("class_id", "least").alias("class_id"),
+    )
+    joined = rows.select("doc_id", "one", "two").join(named, ["one", "two"], "left")
+    has_id = F.col("doc_id").isNotNull()
+    return joined.select(
+        "doc_id", "one", "two", *[F.when(has_id, F.col(c)).alias(c) for c in ("component", "class_id")]
     )
 
 
-def one_of_each(documents: DataFrame, **options) -> DataFrame:
-    """The documents without those that a document of a smaller id stands for.
+def near_duplicates(
+    documents: DataFrame, threshold: float = SIMILARITY, hashes: int = HASHES
+) -> DataFrame:
+    """(doc_id, class_id) of each row; a class is named by its least doc_id."""
+    return _classed(documents, threshold, hashes).select("doc_id", "class_id")
+
+
+def one_of_each(
+    documents: DataFrame, threshold: float = SIMILARITY, hashes: int = HASHES
+) -> DataFrame:
+    """One document of each class, that of the least id; rows without doc_id stay.
 
-    Of rows that repeat a doc_id one stays; rows without doc_id stay.
+    Rows are judged by their own texts: of a repeated doc_id each text goes or stays by itself.
+    Of rows that repeat id and words the one of the least text stays.
     """
-    classes = written(near_duplicates(documents, **options), "near-classes")
-    gone = classes.filter("doc_id <> class_id").select("doc_id").distinct()
-    several = classes.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    kept = documents.join(gone, "doc_id", "left_anti")
-    once = kept.join(several, "doc_id", "left_anti")
-    first = kept.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(first).select(*[F.col(f"`{c}`") for c in documents.columns])
+    classes = written(_classed(documents, threshold, hashes), "near-classes")
+    known = classes.filter("doc_id IS NOT NULL")
+    first = known.groupBy("component").agg(F.min(F.struct(*KEY)).alias("first"))
+    kept = written(first.select("first.*"), "near-kept")
+    several = known.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    several = written(several, "near-repeated-ids")
+    unnamed = documents.filter("doc_id IS NULL")
+    single = documents.join(several, "doc_id", "left_anti").join(kept, "doc_id", "left_semi")
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    repeated = documents.join(several, "doc_id", "left_semi")
+    # The whole row beside its digests: its columns may have any names.
+    packed = _digests(repeated, F.struct(*columns).alias("row")).join(kept, KEY, "left_semi")
+    chosen = packed.groupBy(*KEY).agg(F.min_by("row", F.struct("row.text")).alias("row"))
+    once = unnamed.select(*columns).unionByName(single.select(*columns))
+    return once.unionByName(chosen.select("row.*"))

@@ -51,9 +51,29 @@ def test_frequent_elements_align(monkeypatch):
 
 
 def _similar(a, b):
-    x, y = (list(zip(*[t[k:] for k in range(5)])) for t in (a, b))
-    common = _longest(x, y)
-    return bool(x and y) and common / (len(x) + len(y) - common) >= 0.8
+    common = _longest(a, b)
+    return bool(a and b) and common / (len(a) + len(b) - common) >= 0.8
+
+
+def test_recall_of_edits(documents):
+    """At least 0.9 of the copies at every share of replaced words that the threshold admits."""
+    rng = random.Random(11)
+    rows, pairs = [], {}
+    for share in (0.01, 0.03, 0.05, 0.07, 0.09, 0.11):
+        for length in (60, 200, 800):
+            for _ in range(40):
+                text = _text(rng, length)
+                copy = list(text)
+                for place in rng.sample(range(length), max(1, int(length * share))):
+                    copy[place] = f"new{rng.randrange(10**6)}"
+                one = len(rows)
+                rows += [(one, " ".join(text)), (one + 1, " ".join(copy))]
+                pairs.setdefault(share, []).append(one)
+    got, _ = _classes(documents, rows)
+    for share, ones in pairs.items():
+        found = sum(got[one + 1] == one for one in ones) / len(ones)
+        assert found >= 0.9, (share, found)
+    assert all(class_id // 2 == doc_id // 2 for doc_id, class_id in got.items())
 
 
 def test_classes_equal_brute_force(documents):
@@ -135,6 +155,24 @@ def test_one_of_each(documents):
     assert Counter(r.doc_id for r in kept.collect()) == Counter([2, 5, None])
 
 
+def test_texts_of_a_repeated_id(documents):
+    rng = random.Random(12)
+    a, b, c = (" ".join(_text(rng, 80)) for _ in range(3))
+    near = a.replace(a.split()[40], "other", 1)
+    rows = [(7, a), (7, b), (3, near), (9, c), (9, c), (9, c.upper()), (7, None), (4, b)]
+    found = order_minhash.near_duplicates(documents(rows)).collect()
+    assert sorted((r.doc_id, r.class_id) for r in found) == sorted(
+        [(7, 3), (7, 4), (3, 3), (9, 9), (9, 9), (9, 9), (7, 7), (4, 4)]
+    )
+    kept = order_minhash.one_of_each(documents(rows)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(
+        [(3, near), (4, b), (9, c.upper()), (7, None)]
+    )
+    clean = [(7, a), (7, b), (7, c)]
+    kept = order_minhash.one_of_each(documents(clean)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(clean)
+
+
 def test_components(spark):
     rng = random.Random(10)
     pairs = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)]
