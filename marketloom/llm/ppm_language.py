@@ -8,29 +8,30 @@ context, ending in 256 equal bytes. Counts are frozen after learning, so each co
 is exact and independent of other texts. The language with the shortest code wins; ties go
 to the first by code point. ``score`` is its share of the likelihoods of all languages.
 
-The trees are learned from a bounded sample: about ``sample`` documents of each
-language, those with the least hash of their id, whole texts. The bound keeps the tables that
-every task holds small; the counts are summed in Spark.
+The trees are learned from a bounded sample: about ``sample`` documents of each language, and
+about ``sample_bytes`` of text in all, an equal part for each language; those with the least hash
+of their id, whole texts. The bounds keep the tables that the driver builds and every task holds
+small, however long the texts and however many the languages; the counts are summed in Spark.
 
 Cases: null text, or one without a letter, is ``und`` with score 0; without any learnable
 document every text is ``und``; rows without lang are not learned from, nor those with null
-doc_id, which are not held out either. Repeated rows are predicted each. Extra columns are
-ignored, or kept by ``identified``.
+doc_id, which are not held out either. Repeated rows are predicted each. Extra columns of any
+name are ignored, or kept by ``identified``, which gives rows without lang the language found.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import slices, written
+from marketloom.llm.common import free_name, slices, written
 
-ORDER, SAMPLE = 4, 2000
+ORDER, SAMPLE, SAMPLE_BYTES = 4, 2000, 64_000_000
 UNDETERMINED = "und"
 # Bytes of text that a task holds at a time, and bytes that it scores at a time.
 SLICE, CHUNK = 2_000_000, 200_000
@@ -42,6 +43,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def has_letter(text: Column) -> Column:
+    return F.coalesce(text.rlike(LETTER), F.lit(False))
+
+
 def _codes(data: np.ndarray, size: int) -> np.ndarray:
     """For each position the ``size`` bytes that end there, as one number; the first get fewer."""
     codes = np.zeros(len(data), np.uint64)
@@ -71,15 +76,25 @@ def _counts(batches: Iterable[pa.RecordBatch], order: int) -> Iterator[pa.Record
                 )
 
 
-def learn(documents: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> Model:
+def learn(
+    documents: DataFrame,
+    order: int = ORDER,
+    sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
+) -> Model:
     """Learn from (doc_id, text, lang) of all rows given that have both; see the module."""
     known = documents.select("doc_id", "text", "lang").filter(
         "text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL"
     )
-    sizes = written(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-sizes")
-    share = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("n"))
+    sizes = known.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.greatest(F.lit(1), F.sum(F.octet_length("text"))).alias("n_bytes"),
+    )
+    sizes = written(sizes, "language-sizes")
+    part = F.lit(float(sample_bytes)) / sizes.agg(F.count(F.lit(1))).scalar()
+    share = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("n"), part / F.col("n_bytes"))
     point = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(2**31)) / 2**31
-    chosen = known.join(F.broadcast(sizes.limit(10_000)), "lang").filter(point < share)
+    chosen = known.join(sizes, "lang").filter(point < share)
     schema = "lang string, size int, gram long, n long"
     counted = chosen.select("lang", "text").mapInArrow(lambda b: _counts(b, order), schema)
     grams = counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")).toArrow()
@@ -181,32 +196,34 @@ class Model:
         return [self.languages[b] for b in best], 1 / share
 
 
-def _predicted(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _predicted(
+    batches: Iterable[pa.RecordBatch], model: Model, letters: str, added: Sequence[str]
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch, "text", SLICE):
             names, scores = [UNDETERMINED] * rows.num_rows, np.zeros(rows.num_rows)
-            asked = np.flatnonzero(rows["__letters"].to_numpy(zero_copy_only=False))
+            asked = np.flatnonzero(rows[letters].to_numpy(zero_copy_only=False))
             if len(asked) and model.languages:
                 texts = rows["text"].take(pa.array(asked)).to_pylist()
                 found, scores[asked] = model.predict(texts)
                 for i, name in zip(asked, found, strict=True):
                     names[i] = name
-            kept = rows.drop_columns(["__letters"])
+            kept = rows.drop_columns([letters])
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                [*kept.schema.names, "__lang_pred", "__score"],
+                [*kept.schema.names, *added],
             )
 
 
 def predicted(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with ``__lang_pred`` and ``__score``; reads the column text only."""
+    """``documents`` and last the language found and its score; reads the column text only."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    letters = F.coalesce(F.col("text").rlike(LETTER), F.lit(False))
+    letters, *added = (free_name(documents, c) for c in ("letters", "lang_pred", "score"))
     schema = documents.select(
-        "*", F.lit("").alias("__lang_pred"), F.lit(0.0).alias("__score")
+        "*", *[F.lit(x).alias(c) for x, c in zip(("", 0.0), added, strict=True)]
     ).schema
-    return documents.withColumn("__letters", letters).mapInArrow(
-        lambda b: _predicted(b, shared.value), schema
+    return documents.withColumn(letters, has_letter(F.col("text"))).mapInArrow(
+        lambda b: _predicted(b, shared.value, letters, added), schema
     )
 
 
@@ -217,13 +234,21 @@ def language_of(documents: DataFrame, order: int = ORDER, sample: int = SAMPLE)
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        F.col("__lang_pred").alias("lang_pred"),
-        F.col("__score").alias("score"),
+        "lang_pred",
+        "score",
     )
 
 
 def identified(documents: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> DataFrame:
-    """The documents that have a language, with all their columns."""
+    """The documents that have a language, with all their columns; a null lang becomes that found.
+
+    Where no language could be learned, the documents with a letter.
+    """
     model = learn(documents.filter(~held_out(F.col("doc_id"))), order, sample)
-    kept = predicted(documents, model).filter(F.col("__lang_pred") != UNDETERMINED)
-    return kept.drop("__lang_pred", "__score")
+    if not model.languages:
+        return documents.filter(has_letter(F.col("text")))
+    scored = predicted(documents, model)
+    found = scored.columns[-2]
+    kept = scored.filter(F.col(f"`{found}`") != UNDETERMINED)
+    kept = kept.withColumn("lang", F.coalesce("lang", F.col(f"`{found}`")))
+    return kept.select(*[F.col(f"`{c}`") for c in documents.columns])

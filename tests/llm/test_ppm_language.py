@@ -113,3 +113,18 @@ def test_sample_is_bounded(documents):
     whole = ppm_language.learn(documents(rows))
     assert small.languages == whole.languages
     assert len(small.grams[5]) < len(whole.grams[5])
+    few = ppm_language.learn(documents(rows), sample_bytes=2000)
+    assert few.languages and len(few.grams[5]) < len(whole.grams[5])
+
+
+def test_identified_fills_languages_and_keeps_any_columns(documents):
+    rng = random.Random(6)
+    rows = [*_rows(rng, 80), (900, "the and of the and of"), (901, "12")]
+    frame = documents(rows).selectExpr("*", "1 AS letters", "2 AS lang_pred", "3 AS score")
+    kept = ppm_language.identified(frame)
+    assert kept.columns == frame.columns
+    got = {r.doc_id: r for r in kept.collect()}
+    assert got[900].lang == "en" and got[900].lang_pred == 2 and 901 not in got
+    assert all(got[i].lang == lang for i, _, lang in rows[:80])
+    bare = documents([(1, "abc"), (2, "--"), (3, None)])
+    assert [r.doc_id for r in ppm_language.identified(bare).collect()] == [1]
