@@ -9,8 +9,9 @@ document once all are used.
 
 Cases: null or blank texts have size 0 and are taken 0 words; the null source is a source
 of its own, ordered last; rows that repeat a doc_id are documents of their own, numbered by
-``copy``; rows without doc_id cannot be named by the schedule and are left out; an empty
-table gives an empty mix. Extra columns are ignored, or kept by ``mixed_documents``.
+``copy``; rows without doc_id are documents like others, told apart by ``row``, a hash of source
+and text, and numbered by ``copy`` where that is equal; an empty table gives an empty mix. Extra
+columns of any name are ignored, or kept by ``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ TOTAL_SHARE = 1.5
 MOST_REPEATS = 2
 BLOCK_WORDS = 8192
 SLOTS_PER_CHUNK = 4096
+CELLS_PER_SOURCE = 4
+# A document: whether it has a doc_id, that or a hash, and its number among equal ones.
+IDENTITY = ["named", "row", "copy"]
 
 
 def word_count(text: Column) -> Column:
@@ -80,19 +84,29 @@ def source_targets(
     return leveled.select("source", "source_size", "position", target.alias("target"))
 
 
+def _row_key(doc_id: Column, source: Column, text: Column) -> tuple[Column, Column]:
+    named = doc_id.isNotNull()
+    return named.alias("named"), F.coalesce(doc_id, F.xxhash64(source, text)).alias("row")
+
+
+def _same_document(a: str, b: str) -> Column:
+    named, row, copy = (F.col(f"{a}.{c}") == F.col(f"{b}.{c}") for c in IDENTITY)
+    return named & row & copy
+
+
 def _shuffled(sized: DataFrame, seed: int) -> DataFrame:
     """Add ``begin``: words before the document in its source's shuffled order.
 
-    A source may hold any share of the rows. Its order is bucket, hash, id. There are as many
+    A source may hold any share of the rows. Its order is bucket, hash, identity. There are as many
     buckets as the square root of the rows, so neither the windows within them nor those over
     one row for each bucket grow with more than that root.
     """
     buckets = sized.select(F.greatest(F.lit(1), F.ceil(F.sqrt(F.count(F.lit(1))))).alias("n"))
-    key = F.xxhash64(F.lit(seed), "doc_id")
+    key = F.xxhash64(F.lit(seed), "row")
     spread = sized.withColumn("key", key).withColumn(
         "bucket", F.pmod(F.shiftrightunsigned("key", 20), buckets.scalar())
     )
-    within = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "copy")
+    within = W.partitionBy("source", "bucket").orderBy("key", *IDENTITY)
     sums = spread.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     ahead = W.partitionBy("source").orderBy("bucket")
     starts = sums.select(
@@ -106,7 +120,7 @@ def _shuffled(sized: DataFrame, seed: int) -> DataFrame:
     )
     return joined.select(
         "doc_id",
-        "copy",
+        *IDENTITY,
         "source",
         "size",
         (F.col("bucket_begin") + F.col("inner_begin")).alias("begin"),
@@ -139,20 +153,19 @@ def schedule(targets: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
         shares.withColumn("high", F.when(F.col("position") == top, 1.0).otherwise(F.col("high"))),
         "mix-shares",
     )
-    points = 2 * shares.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
-    cuts = F.array_sort(F.collect_list(F.struct("low", "high", "position")))
-    intervals = shares.agg(cuts.alias("cuts"))
+    total, held = shares.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.count(F.lit(1))).first()
+    points, cells = 2 * total, max(1, CELLS_PER_SOURCE * held)
+    # Points are even over the cells, which hold 1.25 intervals on average, whatever their lengths.
+    first, last = F.floor(F.col("low") * cells), F.floor(F.col("high") * cells)
+    intervals = shares.select(
+        "position", "low", "high", F.explode(F.sequence(first, last)).alias("cell")
+    )
     point = F.pmod((F.col("slot") + 1) * F.lit(GOLDEN), F.lit(UNITS)) / UNITS
     slots = spark.range(points).select(F.col("id").alias("slot"))
-    drawn = slots.withColumn("point", point).withColumn("cuts", intervals.scalar())
-    # The sources are few: the interval of a point is found in a short sorted array.
-    found = F.filter(
-        "cuts", lambda c: (c["low"] <= F.col("point")) & (F.col("point") < c["high"])
-    )
-    mapped = drawn.select(
-        "slot",
-        F.floor(F.col("slot") / SLOTS_PER_CHUNK).alias("chunk"),
-        F.get(found, F.lit(0))["position"].alias("position"),
+    drawn = slots.withColumn("point", point).withColumn("cell", F.floor(F.col("point") * cells))
+    found = drawn.join(intervals, "cell").filter("low <= point AND point < high")
+    mapped = found.select(
+        "slot", F.floor(F.col("slot") / SLOTS_PER_CHUNK).alias("chunk"), "position"
     )
     counts = mapped.groupBy("position", "chunk").agg(F.count(F.lit(1)).alias("n"))
     ahead = W.partitionBy("position").orderBy("chunk")
@@ -183,20 +196,22 @@ def mix(
 ) -> tuple[DataFrame, DataFrame]:
     """(segments, sizes) of the mix of ``documents`` (doc_id, text, source).
 
-    ``segments``: slot, slot_offset, doc_id, copy, pass, first_word, n_words. Read by (slot,
-    slot_offset) they are the mix. ``copy`` numbers repeated rows of a doc_id.
-    ``sizes``: doc_id, copy, source, size, source_size, target.
+    ``segments``: slot, slot_offset, doc_id, named, row, copy, pass, first_word, n_words. Read by
+    (slot, slot_offset) they are the mix. ``sizes``: doc_id, named, row, copy, source, size,
+    source_size, target.
     """
+    text = F.col("text")
     sized = written(
-        documents.filter("doc_id IS NOT NULL").select(
+        documents.select(
             "doc_id",
+            *_row_key(F.col("doc_id"), F.col("source"), text),
             "source",
-            word_count(F.col("text")).alias("size"),
+            word_count(text).alias("size"),
             F.xxhash64("text").alias("text_key"),
         ),
         "mix-sizes",
     )
-    twins = W.partitionBy("doc_id").orderBy("source", "text_key")
+    twins = W.partitionBy("named", "row").orderBy("source", "text_key")
     sized = sized.withColumn("copy", F.row_number().over(twins) - 1).drop("text_key")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(source_targets(sources, weights, total_share, most_repeats), "mix-targets")
@@ -220,7 +235,7 @@ def mix(
         F.col("source").alias("s"),
         F.col("rank").alias("r"),
         "doc_id",
-        "copy",
+        *IDENTITY,
         "pass",
         (low - F.col("from")).alias("first_word"),
         (high - low).alias("n_words"),
@@ -230,16 +245,17 @@ def mix(
         pieces, F.col("source").eqNullSafe(F.col("s")) & (F.col("rank") == F.col("r"))
     )
     segments = joined.select(
-        "slot", "slot_offset", "doc_id", "copy", "pass", "first_word", "n_words"
+        "slot", "slot_offset", "doc_id", *IDENTITY, "pass", "first_word", "n_words"
+    )
+    return segments, placed.select(
+        "doc_id", *IDENTITY, "source", "size", "source_size", "target"
     )
-    return segments, placed.select("doc_id", "copy", "source", "size", "source_size", "target")
 
 
 def taken_words(segments: DataFrame, sizes: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken): each document once, taken 0 if left out."""
-    sums = segments.groupBy("doc_id", "copy").agg(F.sum("n_words").alias("taken"))
-    matched = (F.col("d.doc_id") == F.col("t.doc_id")) & (F.col("d.copy") == F.col("t.copy"))
-    joined = sizes.alias("d").join(sums.alias("t"), matched, "left")
+    sums = segments.groupBy(*IDENTITY).agg(F.sum("n_words").alias("taken"))
+    joined = sizes.alias("d").join(sums.alias("t"), _same_document("d", "t"), "left")
     return joined.select(
         "d.doc_id",
         "d.size",
@@ -256,13 +272,18 @@ def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     document at which a source's target falls is taken whole where the mix takes a part.
     """
     segments, _ = mix(documents, **options)
-    passes = segments.groupBy("doc_id", "copy").agg(F.countDistinct("pass").alias("times"))
+    passes = segments.groupBy(*IDENTITY).agg(F.countDistinct("pass").alias("times"))
     copies = F.map_from_entries(F.collect_list(F.struct("copy", "times")))
-    passes = passes.groupBy(F.col("doc_id").alias("__mix_id")).agg(copies.alias("__mix_times"))
-    joined = documents.join(passes, documents["doc_id"] == F.col("__mix_id"))
-    # Rows of one doc_id are numbered as in mix(); the join has brought them together.
-    twins = W.partitionBy("__mix_id").orderBy("source", F.xxhash64("text"))
-    numbered = joined.withColumn("__mix_copy", F.row_number().over(twins) - 1)
-    times = F.coalesce(F.element_at("__mix_times", F.col("__mix_copy")), F.lit(0)).cast("int")
-    repeated = numbered.withColumn("__mix_pass", F.explode(F.array_repeat(F.lit(1), times)))
-    return repeated.select(*[F.col(f"`{c}`") for c in documents.columns])
+    passes = passes.groupBy("named", "row").agg(copies.alias("times"))
+    # The whole row beside its identity: its columns may have any names.
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    key = _row_key(F.col("doc_id"), F.col("source"), F.col("text"))
+    joined = documents.select(*key, F.struct(*columns).alias("document")).join(
+        passes, ["named", "row"]
+    )
+    # Rows of one identity are numbered as in mix(); the join has brought them together.
+    twins = W.partitionBy("named", "row").orderBy("document.source", F.xxhash64("document.text"))
+    numbered = joined.withColumn("copy", F.row_number().over(twins) - 1)
+    times = F.coalesce(F.element_at("times", F.col("copy")), F.lit(0)).cast("int")
+    repeated = numbered.select("document", F.explode(F.array_repeat(F.lit(1), times)))
+    return repeated.select("document.*")

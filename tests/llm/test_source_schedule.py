@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -96,14 +96,43 @@ def test_odd_rows(documents):
     rows = [(1, "a b c", None, "s"), (1, "a b c", None, "s"), (1, "d e", None, "s"), (None, "x", None, "s")]
     segments, sizes = source_schedule.mix(documents(rows))
     got = source_schedule.taken_words(segments, sizes).collect()
-    assert sorted(r["size"] for r in got) == [2, 3, 3]
-    assert sum(r.taken for r in got) == 12
+    assert sorted(r["size"] for r in got) == [1, 2, 3, 3]
+    assert sum(r.taken for r in got) == 13
     empty = source_schedule.taken_words(*source_schedule.mix(documents([])))
     assert empty.collect() == []
     blank = source_schedule.taken_words(*source_schedule.mix(documents([(1, None), (2, " ")])))
     assert [(r["size"], r.taken, r.target) for r in blank.collect()] == [(0, 0, 0.0)] * 2
 
 
+def test_rows_without_id(documents):
+    rows = [(None, f"a{i % 5} b", None, "s" if i % 2 else None) for i in range(40)]
+    rows += [(i, "c d e " * 4000, None, "s") for i in range(4)]
+    segments, sizes = source_schedule.mix(documents(rows), block=16)
+    got = source_schedule.taken_words(segments, sizes).collect()
+    assert Counter((r.doc_id, r["size"]) for r in got) == Counter(
+        [(None, 2)] * 40 + [(i, 12000) for i in range(4)]
+    )
+    # The null source has a cap of 2 * 40 words, taken twice each.
+    assert sum(r.taken for r in got if r.target == 80.0) == 80
+    total = sum(r["size"] for r in got)
+    assert 1.5 * total - 2 <= sum(r.taken for r in got) <= 1.5 * total
+    frame = documents(rows).selectExpr("*", "1 AS named", "2 AS row", "3 AS copy", "4 AS document")
+    mixed = source_schedule.mixed_documents(frame, block=16)
+    assert mixed.columns == frame.columns
+    counts = Counter((r.doc_id, r.source) for r in mixed.collect())
+    assert counts[None, None] == 40 and sum(counts.values()) > 60
+
+
+def test_many_sources(spark):
+    n = 3000
+    rows = [(f"s{i:05}", i, 500, 100.0 * (1 + i % 7)) for i in range(n)]
+    frame = spark.createDataFrame(
+        rows, "source string, position int, source_size long, target double"
+    )
+    sums = source_schedule.schedule(frame, 100).groupBy("source").agg(F.sum("words").alias("w"))
+    assert {r.source: r.w for r in sums.collect()} == {s: int(t) for s, _, _, t in rows}
+
+
 def test_mixed_documents(documents):
     rng = random.Random(3)
     rows = [*_rows(rng, 200), (1, "other text", None, "a")]
