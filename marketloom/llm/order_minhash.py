@@ -285,7 +285,8 @@ def links(documents: DataFrame, reps: DataFrame, threshold: float = SIMILARITY)
     members = _members(reps)
     asked = reps.join(members.select("node").distinct(), "node", "left_semi")
     # The text of a representative, once; other texts of its doc_id have other digests.
-    own = _digests(documents).join(asked.select("doc_id", "one", "two", "node"), KEY)
+    likely = documents.join(asked.select("doc_id").distinct(), "doc_id", "left_semi")
+    own = _digests(likely).join(asked.select(*KEY, "node"), KEY)
     words = written(own.groupBy("node").agg(F.first("words").alias("words")), "near-words")
     leaders = members.groupBy("bucket").agg(
         F.min("node").alias("leader"), F.min_by("n", "node").alias("leader_n")
