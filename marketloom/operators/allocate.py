@@ -153,25 +153,23 @@ def _cornered(rate: float, crypto_total: float) -> str:
         f"greatest(0D, {crypto_total!r}D - aggregate(zip_with(s.w, is_crypto, "
         "(w, c) -> if(c, w, 0D)), 0D, (t, x) -> t + x))"
     )
-    room = (
-        "least(s.w[i], upper_bounds[j] - s.w[j], "
-        "if(is_crypto[j] AND NOT is_crypto[i], cl, s.w[i]))"
+    # What a move takes of symbol i alone is looked up once for all j.
+    falling = (
+        "named_struct('w', s.w[i], 'risk', s.risk[i], 'mean', annual_returns[i], "
+        "'crypto', is_crypto[i], 'row', annual_covariances[i], 'own', annual_covariances[i][i])"
     )
+    room = "least(f.w, upper_bounds[j] - s.w[j], if(is_crypto[j] AND NOT f.crypto, cl, f.w))"
     variance = (
-        "s.c + 2D * m * (s.risk[j] - s.risk[i]) + m * m * (annual_covariances[i][i] "
-        "+ annual_covariances[j][j] - 2D * annual_covariances[i][j])"
-    )
-    excess = "s.a + m * (annual_returns[j] - annual_returns[i])"
-    value = (
-        f"named_struct('ratio', CASE WHEN m > {LEAST_MOVE!r}D AND i <> j THEN "
-        f"{_sharpe(f'({excess})', f'({variance})')} END, 'ni', -i, 'nj', -j, 't', m)"
+        "s.c + 2D * m * (s.risk[j] - f.risk) + m * m * (f.own "
+        "+ annual_covariances[j][j] - 2D * f.row[j])"
     )
+    excess = "(s.a + m * (annual_returns[j] - f.mean))"
+    ratio = _let("v", f"if(m > {LEAST_MOVE!r}D AND i <> j, {variance}, NULL)", _sharpe(excess, "v"))
+    value = f"named_struct('ratio', {ratio}, 'ni', -i, 'nj', -j, 't', m)"
     places = "filter(sequence(0, size(s.w) - 1), k -> {} > " + f"{LEAST_MOVE!r}D)"
     falls, rises = places.format("s.w[k]"), places.format("upper_bounds[k] - s.w[k]")
-    pairs = (
-        f"flatten(transform({falls}, i -> transform(rising, j -> {_let('m', room, value)})))"
-    )
-    pairs = _let("rising", rises, pairs)
+    of_symbol = _let("f", falling, f"transform(rising, j -> {_let('m', room, value)})")
+    pairs = _let("rising", rises, f"flatten(transform({falls}, i -> {of_symbol}))")
     best = _let("cl", cl, f"array_max(filter({pairs}, x -> x.ratio IS NOT NULL))")
     move = "named_struct('i', -v.ni, 'j', -v.nj, 't', v.t)"
     rest = (
@@ -209,15 +207,26 @@ def _filled(order: str, crypto_total: float) -> str:
     return f"transform(array_sort({placed}), x -> x.w)"
 
 
-def _searched(rows: DataFrame, step: str, rate: float) -> DataFrame:
-    """Rows with ``_state`` after rounds of moves, until every row is done."""
-    tasks = rows.sparkSession.sparkContext.defaultParallelism
-    done, open_rows = None, rows.withColumn("_state", F.expr(_begun(rate)))
+def _searched(starts: DataFrame, problems: DataFrame, start: str, step: str, rate: float) -> DataFrame:
+    """(_problem, _number, _state) of the starts after rounds of moves, until every one is done.
+
+    ``start`` is the weights that a row begins with, of columns of ``starts`` and ``problems``.
+    What is written and dealt are states alone: the moments, which grow with the square of a
+    list, are joined to them in each round.
+    """
+    tasks = starts.sparkSession.sparkContext.defaultParallelism
+    begun = F.expr(_let("_start", start, _begun(rate)))
+    moves = F.expr(f"aggregate(sequence(1, {MOVES}), _state, (s, n) -> {step})")
+    done, open_rows = None, starts
     while True:
-        moved = open_rows.repartition(tasks, "_problem", "_number").withColumn(
-            "_state", F.expr(f"aggregate(sequence(1, {MOVES}), _state, (s, n) -> {step})")
+        dealt = open_rows.repartition(tasks, "_problem", "_number").join(problems, "_problem")
+        if done is None:
+            dealt = dealt.withColumn("_state", begun)
+        moved = dealt.select("_problem", "_number", moves.alias("_state"))
+        going = F.when(~F.col("_state.done"), F.col("_state.risk"))
+        moved = stored(
+            moved.withColumn("_state", F.col("_state").withField("risk", going)), "weight-search"
         )
-        moved = stored(moved, "weight-search")
         ended = moved.filter("_state.done")
         done = ended if done is None else done.unionByName(ended)
         open_rows = moved.filter("NOT _state.done")
@@ -258,20 +267,20 @@ def optimize(
     )
     rich = stored(rich, "weight-starts")
     # Where nothing returns more than the rate, the best corner over many starts comes first.
-    first = (
-        f"transform(_order, i -> {_filled('concat(array(i), array_remove(_order, i))', crypto_total)})"
-    )
     given = "if(start_weights IS NULL, array(_richest), array(start_weights, _richest))"
-    poor = rich.filter("NOT _rich").select(
-        "_problem",
-        *NEEDED,
-        F.posexplode(F.expr(f"concat({given}, {first})")).alias("_number", "_start"),
+    first = _let(
+        "i",
+        f"_order[_number - size({given})]",
+        _filled("concat(array(i), array_remove(_order, i))", crypto_total),
     )
+    corner = f"if(_number < size({given}), get({given}, _number), {first})"
+    numbers = f"sequence(0, size({given}) + size(_order) - 1)"
+    poor = rich.filter("NOT _rich").select("_problem", F.explode(F.expr(numbers)).alias("_number"))
     starts = rich.filter("_rich").select(
-        "_problem", *NEEDED, F.lit(0).alias("_number"), F.col("_richest").alias("_start")
+        "_problem", F.lit(0).alias("_number"), F.col("_richest").alias("_begin")
     )
     if not poor.isEmpty():
-        corners = _searched(poor, _cornered(rate, crypto_total), rate).select(
+        corners = _searched(poor, rich, corner, _cornered(rate, crypto_total), rate).select(
             "_problem",
             F.struct(
                 F.expr(f"coalesce({_sharpe('_state.a', '_state.c')}, double('-infinity'))").alias("r"),
@@ -281,11 +290,9 @@ def optimize(
         )
         best = corners.groupBy("_problem").agg(F.max("_corner").alias("_best"))
         starts = starts.unionByName(
-            known.join(best, "_problem").select(
-                "_problem", *NEEDED, F.lit(0).alias("_number"), F.col("_best.w").alias("_start")
-            )
+            best.select("_problem", F.lit(0).alias("_number"), F.col("_best.w").alias("_begin"))
         )
-    found = _searched(starts, _ascended(rate, crypto_total), rate)
+    found = _searched(starts, rich, "_begin", _ascended(rate, crypto_total), rate)
     solved = found.filter("_state.best_ratio IS NOT NULL").select(
         "_problem", F.col("_state.best").alias("weights")
     )

@@ -98,3 +98,20 @@ def test_rolling_covariances(spark):
         window = days[end - 9 : end + 1]
         expected = np.cov(values[r.symbol_i][window], values[r.symbol_j][window])[0, 1] * 365
         assert r.annual_covariance == pytest.approx(expected, abs=1e-9)
+
+
+def test_states_are_written_without_moments(spark, monkeypatch):
+    """Moments of n symbols in each of n starts filled the disk."""
+    written, stored = [], allocate.stored
+
+    def watched(df, purpose):
+        written.append((purpose, df.columns))
+        return stored(df, purpose)
+
+    monkeypatch.setattr(allocate, "stored", watched)
+    rows = asked(spark, [problem(3, 12)])
+    (row,) = allocate.optimize(rows, ["id"], 0.9, 0.25).collect()
+    assert abs(sum(row.weights) - 1) < 1e-9
+    searched = [columns for purpose, columns in written if purpose == "weight-search"]
+    assert len(searched) >= 2
+    assert all(columns == ["_problem", "_number", "_state"] for columns in searched)
