@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom import schemas
@@ -29,17 +31,22 @@ def convert_to_aud(prices: DataFrame) -> DataFrame:
     return prices.withColumn("close_price_aud", aud)
 
 
-def price_intervals(prices: DataFrame, dates: DataFrame) -> DataFrame:
+def price_intervals(
+    prices: DataFrame, dates: DataFrame, together: Sequence[str] = ()
+) -> DataFrame:
     """Each positive AUD or USDT price with the days it holds and the price before it.
 
     ``previous_price`` held until ``previous_to``. A price that is not positive
-    ends the one before it and then has no days of its own.
+    ends the one before it and then has no days of its own. Histories are told apart by the
+    columns ``together`` and the symbol; rows of equal ``together`` lie in one task, in its order.
     """
-    by_symbol = Window.partitionBy("symbol").orderBy("price_date")
+    key = [*together, "symbol"]
+    by_symbol = Window.partitionBy(*key).orderBy("price_date")
     observed = prices.select(
-        "symbol", "currency", "price_date", F.col("close_price").alias("close_price_native")
+        *key, "currency", "price_date", F.col("close_price").alias("close_price_native")
     ).filter(F.col("currency").isin("AUD", "USDT"))
-    held = valid_until(observed, "symbol", "price_date", dates).filter("close_price_native > 0")
+    held = valid_until(observed, key, "price_date", dates, together)
+    held = held.filter("close_price_native > 0")
     return held.withColumns(
         {
             "previous_price": F.lag("close_price_native").over(by_symbol),
@@ -64,7 +71,12 @@ def _newest_rows(prices: DataFrame, rates: DataFrame) -> tuple[DataFrame, DataFr
 
 
 def fact_asset_daily(
-    prices: DataFrame, rates: DataFrame, dates: DataFrame, keyed: bool = False
+    prices: DataFrame,
+    rates: DataFrame,
+    dates: DataFrame,
+    keyed: bool = False,
+    joined: Callable[[DataFrame], DataFrame] | None = None,
+    kept: Sequence[str] = (),
 ) -> DataFrame:
     """Forward-filled AUD prices, simple daily returns and fill provenance.
 
@@ -75,6 +87,9 @@ def fact_asset_daily(
     The day before a row is either inside the same price interval or the end of
     the previous one, so returns need no window over the filled rows: a symbol
     is shuffled once, as observed prices, and expanded afterwards.
+
+    ``joined`` is a join on symbol that is made with the few prices instead of their many days;
+    the columns ``kept`` of it come first in the result.
     """
     if not keyed:
         prices, rates = _newest_rows(prices, rates)
@@ -82,7 +97,8 @@ def fact_asset_daily(
     rate_then = fx.select("date_key", F.col("aud_usd_rate").alias("rate_then"))
     native, currency = F.col("close_price_native"), F.col("currency")
 
-    intervals = rates_as_of(price_intervals(prices, dates), "previous_to", rate_then)
+    intervals = price_intervals(prices, dates)
+    intervals = rates_as_of(joined(intervals) if joined else intervals, "previous_to", rate_then)
     previous_aud = to_aud(F.col("previous_price"), currency, F.col("rate_then"))
     days = expand_days(
         intervals.withColumn("previous_aud", previous_aud).drop(
@@ -101,6 +117,7 @@ def fact_asset_daily(
         convert_to_aud(days)
         .filter("close_price_aud > 0")
         .select(
+            *kept,
             "symbol",
             "date_key",
             "close_price_native",
@@ -116,4 +133,49 @@ def fact_asset_daily(
             F.when(is_usdt, F.col("source_fx_date")).alias("source_fx_date"),
         )
     )
-    return schemas.conform(fact, schemas.FACT_ASSET_DAILY)
+    return schemas.conform(fact, schemas.FACT_ASSET_DAILY, kept)
+
+
+def return_runs(
+    prices: DataFrame, rates: DataFrame, dates: DataFrame, together: Sequence[str] = ()
+) -> DataFrame:
+    """The returns of ``fact_asset_daily``, in one row per price instead of one per day.
+
+    ``daily_returns`` are those of the days that the price holds, from ``date_key`` on, NULL where
+    the fact has no row or no return. Prices and rates are as with ``keyed``, prices finite and
+    within ``dates``. A carried price changes by the rate alone, and a day's rates, one row per
+    calendar day, reach the prices as arrays. Rows of equal ``together`` lie in one task.
+    """
+    fx = fill_rates(rates, dates).select(
+        "date_key",
+        F.col("aud_usd_rate").alias("rate"),
+        simple_return(F.col("previous_rate"), F.col("aud_usd_rate")).alias("carried"),
+    )
+    # Both sides have one row per calendar day at most.
+    daily = dates.select("date_key").join(F.broadcast(fx), "date_key", "left")
+    series = daily.agg(
+        F.array_sort(F.collect_list(F.struct("date_key", "rate", "carried"))).alias("s")
+    ).select(
+        F.struct(
+            F.col("s.rate").alias("rate"),
+            F.col("s.carried").alias("carried"),
+            F.get("s", F.lit(0))["date_key"].alias("first"),
+        ).alias("series")
+    ).scalar()
+
+    def aud(price: str, day: str) -> Column:
+        rate = F.get(series["rate"], F.datediff(day, series["first"]))
+        return to_aud(F.col(price), F.col("currency"), rate)
+
+    first = simple_return(aud("close_price_native", "price_date"), aud("previous_price", "previous_to"))
+    after = F.datediff("valid_to", "price_date")
+    place = F.datediff("price_date", series["first"])
+    carried = F.when(
+        F.col("currency") == "USDT", F.slice(series["carried"], place + 2, after)
+    ).otherwise(F.array_repeat(F.lit(0.0), after))
+    return price_intervals(prices, dates, together).select(
+        *together,
+        "symbol",
+        F.col("price_date").alias("date_key"),
+        F.concat(F.array(first), carried).alias("daily_returns"),
+    )

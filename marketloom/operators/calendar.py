@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,17 +65,25 @@ def asset_calendar(prices: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def valid_until(observed: DataFrame, key: str, day: str, dates: DataFrame) -> DataFrame:
+def valid_until(
+    observed: DataFrame,
+    key: str | Sequence[str],
+    day: str,
+    dates: DataFrame,
+    dealt_by: Sequence[str] = (),
+) -> DataFrame:
     """Add ``valid_to``: the day before the key's next observation, or the last calendar day.
 
     Expects one row per key and day, which bounds a key's rows by the length of
     the calendar. The rows are going to be expanded, so the shuffle's partition
     count is set here; left open, it would be coalesced to the size of the few
-    rows before the expansion.
+    rows before the expansion. Rows are dealt by the key, or by those of its columns that
+    ``dealt_by`` names.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     partitions = int(observed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    observed = observed.repartition(partitions, key)
-    following = F.lead(day).over(Window.partitionBy(key).orderBy(day))
+    observed = observed.repartition(partitions, *(dealt_by or keys))
+    following = F.lead(day).over(Window.partitionBy(*keys).orderBy(day))
     last_day = spine(dates)["end_date"]
     return observed.withColumn("valid_to", F.coalesce(F.date_sub(following, 1), last_day))
 

@@ -7,7 +7,7 @@ from functools import reduce
 from operator import and_
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,6 +117,21 @@ GROUPED = (
     "symbols array<string>, observation_count long, annual_returns array<double>, "
     "annual_covariances array<array<double>>"
 )
+GROUPED_TYPES = {
+    "symbols": pa.list_(pa.string()),
+    "observation_count": pa.int64(),
+    "annual_returns": pa.list_(pa.float64()),
+    "annual_covariances": pa.list_(pa.list_(pa.float64())),
+}
+
+
+def _moments_row(key: tuple, names: list[str], values: list | None) -> pa.Table:
+    """One row of key and values in ``GROUPED_TYPES``, or none."""
+    types = [*(k.type for k in key), *GROUPED_TYPES.values()]
+    cells = [] if values is None else [*(k.as_py() for k in key), *values]
+    columns = [[c] for c in cells] or [[]] * len(types)
+    arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+    return pa.Table.from_arrays(arrays, [*names, *GROUPED_TYPES])
 
 
 def grouped(
@@ -124,23 +139,54 @@ def grouped(
 ) -> DataFrame:
     """Annual moments of many symbol lists at once, from rows (by, symbol, date_key, daily_return).
 
-    A group's matrix has one row per date on which all of its symbols have a return, as in
-    ``complete_returns``; it is as large as its calendar times its symbols, and tasks
-    hold one at a time. Below two such dates the moments are NULL. NaN counts as missing.
+    Rows may hold ``daily_returns`` instead, those of consecutive days from ``date_key`` on
+    (``assets.return_runs``). A group's matrix has one row per date on which all of its symbols
+    have a return, as in ``complete_returns``; it is as large as its calendar times its symbols,
+    and tasks hold one at a time. Below two such dates the moments are NULL. NaN counts as
+    missing. Rows that lie together by ``by`` already are not shuffled again.
     """
     by = list(by)
-    kept = returns.select(*by, "symbol", "date_key", "daily_return").dropna(subset="daily_return")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.select(*by).schema]
-
-    def of_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        wide = rows.pivot(index="date_key", columns="symbol", values="daily_return").dropna()
-        values, enough = wide.to_numpy(float), len(wide) > 1
-        covariances = np.atleast_2d(np.cov(values, rowvar=False)) * days if enough else None
-        means = (values.mean(axis=0) * days).tolist() if enough else None
-        result = [list(wide.columns), len(wide), means, covariances.tolist() if enough else None]
-        return pd.DataFrame([[*key, *result]])
-
-    return kept.groupBy(*by).applyInPandas(of_group, ", ".join([*fields, GROUPED]))
+    if "daily_returns" in returns.columns:
+        runs = F.col("daily_returns").cast("array<double>")
+    else:
+        known = F.col("daily_return").cast("double")
+        runs = F.when(~F.isnan(known), F.array(known))
+    kept = returns.select(
+        *by, "symbol", F.unix_date(F.col("date_key").cast("date")).alias("day"), runs.alias("runs")
+    ).dropna(subset=["day", "runs"])
+    keys = kept.select(*by).schema
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in keys]
+    names_of_keys = keys.names
+
+    def of_group(key: tuple, rows: pa.Table) -> pa.Table:
+        symbol = rows["symbol"].combine_chunks().dictionary_encode(null_encoding="encode")
+        names = np.array(symbol.dictionary.to_pylist(), object)
+        runs = rows["runs"].combine_chunks()
+        lengths, flat = runs.value_lengths().to_numpy(), runs.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths)
+        at = np.repeat(rows["day"].to_numpy() - ends + lengths, lengths) + np.arange(len(flat))
+        place = np.repeat(symbol.indices.to_numpy(), lengths)
+        known = ~np.isnan(flat)
+        at, place, flat = at[known], place[known], flat[known]
+        # Symbols without any return are not in the list.
+        held, place = np.unique(place, return_inverse=True)
+        names, order = names[held], np.argsort(names[held])
+        if not len(names):
+            return _moments_row(key, names_of_keys, None)
+        at = at - at.min()
+        values = np.full((at.max() + 1, len(names)), np.nan)
+        values[at, place] = flat
+        if np.count_nonzero(~np.isnan(values)) != len(flat):
+            raise ValueError("A symbol has several returns on one date.")
+        names, values = names[order], values[:, order]
+        values = values[~np.isnan(values).any(axis=1)]
+        result = [names.tolist(), len(values), None, None]
+        if len(values) > 1:
+            covariances = np.atleast_2d(np.cov(values, rowvar=False)) * days
+            result[2:] = [values.mean(axis=0) * days, covariances.tolist()]
+        return _moments_row(key, names_of_keys, result)
+
+    return kept.groupBy(*by).applyInArrow(of_group, ", ".join([*fields, GROUPED]))
 
 
 def rolling_covariances(

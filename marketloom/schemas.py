@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -217,9 +219,10 @@ GOLD_KEYS: dict[str, tuple[str, ...]] = {
 }
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the declared columns in order, each cast to its declared type."""
-    return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+def conform(df: DataFrame, schema: StructType, kept: Sequence[str] = ()) -> DataFrame:
+    """Select the columns ``kept``, then the declared ones in order, cast to their declared types."""
+    declared = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema]
+    return df.select(*[F.col(f"`{c}`") for c in kept], *declared)
 
 
 def duplicate_keys(df: DataFrame, key: tuple[str, ...]) -> DataFrame:

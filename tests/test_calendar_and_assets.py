@@ -170,3 +170,46 @@ def test_interval_expansion_equals_windows(spark, seed):
                 assert got[key].daily_return is None
             else:
                 assert got[key].daily_return == pytest.approx(row.daily_return, abs=1e-12)
+
+
+def test_return_runs_are_the_returns_of_the_fact(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from marketloom.operators import moments
+    from marketloom.sources import sample
+
+    late = F.col("rate_date") >= "1996-05-01"
+    rates = sample.shipment_rates(spark, sf_dir).filter(late)
+    day = F.dayofmonth("price_date")
+    # Prices of zero, a currency without a rule, and days before the first rate.
+    prices = sample.customer_prices(spark, sf_dir).withColumns({
+        "close_price": F.when(day == 9, 0.0).otherwise(F.col("close_price")),
+        "currency": F.when(F.col("symbol") == "C7", "EUR").otherwise(F.col("currency")),
+        "list": F.substring("symbol", 2, 20).cast("long") % 9,
+    })
+    dates = calendar.dim_date(prices)
+    fact = assets.fact_asset_daily(prices, rates, dates, keyed=True)
+    runs = assets.return_runs(prices, rates, dates, ["list"])
+    each = runs.select("symbol", "date_key", F.posexplode("daily_returns").alias("n", "r"))
+    got = each.select("symbol", F.expr("date_add(date_key, n)").alias("date_key"), "r").dropna()
+    both = fact.select("symbol", "date_key", "daily_return").dropna().join(
+        got, ["symbol", "date_key"], "full"
+    )
+    apart = F.abs(F.col("daily_return") - F.col("r"))
+    assert both.count() > 10_000
+    assert both.filter(~F.coalesce(apart < 1e-12, F.lit(False))).count() == 0
+
+    key = F.substring("symbol", 2, 20).cast("long") % 9
+    old = moments.grouped(fact.withColumn("list", key), ["list"]).orderBy("list").collect()
+    found = moments.grouped(runs, ["list"])
+    # Days are not expanded into rows, and lists are brought together once.
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Subquery subquery")[0]
+    assert "Generate" not in plan
+    new = found.orderBy("list").collect()
+    assert len(old) == len(new) == 9
+    for a, b in zip(old, new, strict=True):
+        assert (a.symbols, a.observation_count) == (b.symbols, b.observation_count)
+        if a.annual_returns is not None:
+            assert a.annual_returns == pytest.approx(b.annual_returns, abs=1e-9)
+            for x, y in zip(a.annual_covariances, b.annual_covariances, strict=True):
+                assert x == pytest.approx(y, abs=1e-9)
