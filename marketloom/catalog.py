@@ -80,8 +80,9 @@ def _portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _wide_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices, rates = sample.customer_prices(spark, sf_dir), sample.shipment_rates(spark, sf_dir)
     held = sample.nation_weights(spark, sf_dir)
-    return portfolio.fact_portfolio_daily(_wide_fact(spark, sf_dir), held)
+    return portfolio.portfolio_daily_of_prices(prices, rates, _dates(spark, sf_dir), held)
 
 
 def _returns(spark: SparkSession, sf_dir: str) -> DataFrame:

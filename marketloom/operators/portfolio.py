@@ -13,6 +13,7 @@ from marketloom.functions.returns import (
     log_growth,
     sharpe_ratio,
 )
+from marketloom.operators.assets import fact_asset_daily
 from marketloom.operators.joins import BROADCAST_ROWS, has_at_most, sliced_join
 from marketloom.operators.scan import Measure, blocked_scan, deviation
 from marketloom.sources.tables import stored
@@ -36,6 +37,10 @@ def join_weights(
     return sliced_join(weights, fact, "symbol", "portfolio_name", slice_rows)
 
 
+def _weighted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("weighted_return", F.col("daily_return") * F.col("target_weight"))
+
+
 def weighted_returns(fact: DataFrame, weights: DataFrame) -> DataFrame:
     """Each holding's weighted daily return; rows without a return are left out."""
     returns = fact.filter("daily_return is not null").select(
@@ -47,9 +52,7 @@ def weighted_returns(fact: DataFrame, weights: DataFrame) -> DataFrame:
         "is_fx_forward_filled",
     )
     held = weights.select("portfolio_name", "symbol", "target_weight")
-    return join_weights(returns, held).withColumn(
-        "weighted_return", F.col("daily_return") * F.col("target_weight")
-    )
+    return _weighted(join_weights(returns, held))
 
 
 def daily_totals(weighted: DataFrame) -> DataFrame:
@@ -82,7 +85,31 @@ def cumulative_return(daily: DataFrame) -> DataFrame:
 
 
 def fact_portfolio_daily(fact: DataFrame, weights: DataFrame) -> DataFrame:
-    totals = daily_totals(weighted_returns(fact, weights)).withColumns(
+    return _portfolio_daily(weighted_returns(fact, weights))
+
+
+def portfolio_daily_of_prices(
+    prices: DataFrame, rates: DataFrame, dates: DataFrame, weights: DataFrame
+) -> DataFrame:
+    """``fact_portfolio_daily`` of the asset fact of keyed prices and rates, which is not built.
+
+    The weights are joined to the prices before these are expanded, so days are shuffled as
+    sums by portfolio and day only.
+    """
+    held = weights.select("portfolio_name", "symbol", "target_weight")
+    returns = fact_asset_daily(
+        prices,
+        rates,
+        dates,
+        keyed=True,
+        joined=lambda intervals: join_weights(intervals, held),
+        kept=["portfolio_name", "target_weight"],
+    )
+    return _portfolio_daily(_weighted(returns.filter("daily_return is not null")))
+
+
+def _portfolio_daily(weighted: DataFrame) -> DataFrame:
+    totals = daily_totals(weighted).withColumns(
         {
             "has_forward_filled_price": F.col("forward_filled_price_count") > 0,
             "has_forward_filled_fx": F.col("forward_filled_fx_count") > 0,

@@ -125,3 +125,34 @@ def test_sliced_join_equals_plain_join(spark):
     assert plain.exceptAll(sliced).count() == 0
     small = joins.join_small(weights, fact, "symbol", "portfolio_name", 0, 10).select(columns)
     assert plain.exceptAll(small).count() == 0 and small.count() == plain.count()
+
+
+def test_weights_meet_prices_before_days(spark, sf_dir, monkeypatch):
+    from marketloom import catalog
+    from marketloom.sources import sample
+
+    def unlimited(table, rows):
+        return False
+
+    inputs = (
+        sample.customer_prices(spark, sf_dir),
+        sample.shipment_rates(spark, sf_dir),
+        catalog._dates(spark, sf_dir),
+    )
+    held = sample.nation_weights(spark, sf_dir)
+    held = held.unionByName(held.withColumn("portfolio_name", F.concat(F.lit("B"), "portfolio_name")))
+    fact = catalog._wide_fact(spark, sf_dir)
+    expected = portfolio.fact_portfolio_daily(fact, held).orderBy("portfolio_name", "date_key")
+    # Too many weights to be broadcast: both sides of the join are shuffled.
+    monkeypatch.setattr(portfolio, "has_at_most", unlimited)
+    monkeypatch.setattr(catalog.sample, "nation_weights", lambda *_: held)
+    got = catalog._wide_portfolio(spark, sf_dir)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    days = plan.index("Generate explode(sequence(price_date")
+    # Above the expansion only sums by portfolio and day, and the windows' rows, are shuffled.
+    assert "_slice" not in plan[:days] and "_slice" in plan[days:]
+    rows = [expected.collect(), got.orderBy("portfolio_name", "date_key").collect()]
+    assert len(rows[0]) == len(rows[1]) > 0
+    for a, b in zip(*rows, strict=True):
+        assert a[:2] == b[:2] and a[-2:] == b[-2:]
+        assert a.daily_return == pytest.approx(b.daily_return, abs=1e-12)
