@@ -21,8 +21,9 @@ of one bucket are compared within tasks: pairs of one component, of sizes that d
 too much, or whose signatures put the Jaccard similarity of their labelled words, which the
 similarity cannot exceed, more than a margin below the threshold (a byte for each of 1024 bins,
 four standard errors) are passed over; the others are aligned, once, for the least bucket that
-they share. So every two components that share a bucket are compared, and only likely pairs
-become rows. The result are the components of all verified links.
+they share, by the task that holds their blocks, unless links that it found before connect them.
+So every two components that share a bucket are compared, and only links become rows, fewer
+in a task than the components it meets. The result are the components of all verified links.
 
 Cases: a null text is a class of its own, a null id has class null; texts without words are
 a class if equal; those under five words match equal words only; rows that repeat a doc_id
@@ -54,7 +55,7 @@ from marketloom.llm.graph import components
 SIMILARITY = 0.8
 HASHES, PICKS = 48, 3
 SLICE, CELLS = 400_000, 2_000_000
-BINS, MARGIN, BLOCK_ROWS = 1024, 0.05, 256
+BINS, MARGIN, BLOCK_ROWS, BLOCK_BYTES = 1024, 0.05, 256, 4 << 20
 # Elements that occur more often are kept as bits.
 FREQUENT = 256
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -205,59 +206,91 @@ def _members(reps: DataFrame) -> DataFrame:
     return written(entries.join(shared, "bucket", "left_semi"), "near-members")
 
 
+BLOCK = {
+    "block": pa.int64(),
+    "nodes": pa.list_(pa.int64()),
+    "components": pa.list_(pa.int64()),
+    "sizes": pa.list_(pa.int32()),
+    "signatures": pa.binary(),
+    "sketches": pa.list_(pa.int64()),
+    "words": pa.binary(),
+}
+
+
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows as blocks of one bucket and at most ``BLOCK_ROWS`` rows each."""
-    task, number, held = TaskContext.get().partitionId(), 0, []
-    names = ["bucket", "block", "nodes", "components", "sizes", "signatures", "sketches"]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    kinds += [pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64())]
+    """Sorted rows as blocks of one bucket, of at most ``BLOCK_ROWS`` rows and about ``BLOCK_BYTES``."""
+    task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+    names, kinds = ["bucket", *BLOCK], [pa.int64(), *BLOCK.values()]
 
     def batch_of(blocks: list[list]) -> pa.RecordBatch:
         rows = []
         for number, block in blocks:
-            bucket, node, component, size, signatures, sketches = zip(*block, strict=True)
+            bucket, node, component, size, signatures, sketches, texts = zip(*block, strict=True)
             entries = [x for sketch in sketches for x in sketch]
-            rows.append((bucket[0], number, node, component, size, b"".join(signatures), entries))
+            packed = b"".join(signatures), entries, b"".join(texts)
+            rows.append((bucket[0], number, node, component, size, *packed))
         columns = zip(*rows, strict=True)
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    done = []
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if held and (row[0] != held[0][0] or len(held) == BLOCK_ROWS):
+        done = []
+        offsets, words = flat_lists(batch["words"])
+        texts = [words[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        for row in zip(*(c.to_pylist() for c in batch.columns[:-1]), texts, strict=True):
+            full = len(held) == BLOCK_ROWS or size + len(row[-1]) > BLOCK_BYTES
+            if held and (row[0] != held[0][0] or full):
                 done.append((task << 32 | number, held))
-                number, held = number + 1, []
+                number, held, size = number + 1, [], 0
             held.append(row)
+            size += len(row[-1])
         if done:
             yield batch_of(done)
-            done = []
     if held:
         yield batch_of([(task << 32 | number, held)])
 
 
 def _compared(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of two blocks of a bucket, or of a block with itself."""
-    names = ("block", "nodes", "components", "sizes", "signatures", "sketches")
+    """Links between components within a block, or between two blocks of a bucket.
+
+    Pairs are aligned here, and those that links found before in the task connect are passed over:
+    a task's links are fewer than the components it meets, and pairs are never rows.
+    """
     none = np.iinfo(np.int64).max
+    united: dict[int, int] = {}
+
+    def head(component: int) -> int:
+        while component in united:
+            above = united[component]
+            united[component] = united.get(above, above)
+            component = above
+        return component
+
     for batch in batches:
         found = []
-        columns = [batch[c].to_pylist() for c in (*names, *(f"{c}_" for c in names), "bucket")]
-        for *one, bucket in zip(*columns, strict=True):
-            a_no, a, a_comp, a_n, a_sig, a_entries = one[:6]
-            b_no, b, b_comp, b_n, b_sig, b_entries = one[6:]
-            x, y = (np.frombuffer(sig, np.uint8).reshape(-1, BINS) for sig in (a_sig, b_sig))
-            a_n, b_n = np.array(a_n), np.array(b_n)
+        crossed = "block_" in batch.schema.names
+        for row in batch.to_pylist():
+            bucket, sides = row["bucket"], []
+            for mark in ("", "_") if crossed else ("",):
+                n = np.array(row[f"sizes{mark}"])
+                marks = np.frombuffer(row[f"signatures{mark}"], np.uint8).reshape(-1, BINS)
+                entries = np.array(row[f"sketches{mark}"], np.int64).reshape(len(n), -1)
+                words = np.frombuffer(row[f"words{mark}"], np.int64)
+                texts = np.split(words, np.cumsum(n)[:-1])
+                comps = row[f"components{mark}"]
+                sides.append((row[f"nodes{mark}"], comps, n, marks, entries, texts))
+            a, a_comp, a_n, x, p, a_texts = sides[0]
+            b, b_comp, b_n, y, q, b_texts = sides[-1]
             open_ = np.array(a_comp)[:, None] != np.array(b_comp)[None, :]
             fits = np.minimum(a_n[:, None], b_n) >= np.maximum(a_n[:, None], b_n) * threshold - 1e-9
             open_ &= fits
-            if a_no == b_no:
+            if not crossed:
                 open_ &= np.tri(len(a), k=-1, dtype=bool).T
             used, used_ = x > 0, y > 0
-            p = np.array(a_entries, np.int64).reshape(len(a), -1)
-            q = np.array(b_entries, np.int64).reshape(len(b), -1)
             for i in np.flatnonzero(open_.any(axis=1)):
                 at = np.flatnonzero(open_[i])
+                own = head(a_comp[i])
+                at = at[[head(b_comp[j]) != own for j in at]]
                 others = y[at]
                 same = ((others == x[i]) & used[i]).sum(axis=1)
                 either = (used_[at] | used[i]).sum(axis=1)
@@ -266,7 +299,10 @@ def _compared(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[p
                     continue
                 shared = np.where(q[at] == p[i], p[i], none).min(axis=1)
                 for j in at[shared == bucket]:
-                    found.append((max(a[i], b[j]), min(a[i], b[j])))
+                    one, two = head(a_comp[i]), head(b_comp[j])
+                    if one != two and similar(a_texts[i], b_texts[j], threshold):
+                        united[max(one, two)] = min(one, two)
+                        found.append((max(a[i], b[j]), min(a[i], b[j])))
         columns = list(zip(*found, strict=True)) or [(), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
@@ -308,7 +344,7 @@ def links(documents: DataFrame, reps: DataFrame, threshold: float = SIMILARITY)
     )
     several = several.filter("low < high").select("bucket")
     rest = placed.join(several, "bucket", "left_semi").join(
-        reps.select("node", "signature", "sketch"), "node"
+        reps.select("node", "signature", "sketch").join(words, "node"), "node"
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rest.repartitionByRange(parts, "bucket", "node").sortWithinPartitions(
@@ -316,15 +352,20 @@ def links(documents: DataFrame, reps: DataFrame, threshold: float = SIMILARITY)
     )
     schema = (
         "bucket long, block long, nodes array<long>, components array<long>, "
-        "sizes array<int>, signatures binary, sketches array<long>"
+        "sizes array<int>, signatures binary, sketches array<long>, words binary"
     )
-    fields = ["bucket", "node", "component", "n", "signature", "sketch"]
+    fields = ["bucket", "node", "component", "n", "signature", "sketch", "words"]
     packed = ordered.select(*fields).mapInArrow(_packed, schema)
     blocks = written(packed, "near-blocks")
+    # Most buckets are one block. Pairs of different blocks are dealt by both, so that a bucket of
+    # many is many tasks' work.
+    within = blocks.mapInArrow(lambda b: _compared(b, threshold), "a long, b long")
     others = blocks.select("bucket", *[F.col(c).alias(f"{c}_") for c in blocks.columns[1:]])
-    both = blocks.join(others, "bucket").filter(F.col("block") <= F.col("block_"))
-    pairs = both.mapInArrow(lambda b: _compared(b, threshold), "a long, b long")
-    return found.unionByName(_verify(pairs, words, threshold))
+    ids = blocks.select("bucket", "block").join(others.select("bucket", "block_"), "bucket")
+    ids = ids.filter("block < block_").repartition(parts, "block", "block_")
+    both = ids.join(blocks.drop("bucket"), "block").join(others.drop("bucket"), "block_")
+    across = both.mapInArrow(lambda b: _compared(b, threshold), "a long, b long")
+    return found.unionByName(written(within.unionByName(across).distinct(), "near-links"))
 
 
 def _digests(documents: DataFrame, *carried: Column) -> DataFrame:

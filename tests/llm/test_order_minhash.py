@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from marketloom.llm import order_minhash
 from marketloom.llm.graph import components
@@ -191,3 +192,43 @@ def test_components(spark):
     got = components(spark.createDataFrame(pairs, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == {x: root(x) for x in linked}
     assert len(got) == len(linked)
+
+
+@pytest.mark.parametrize("crossed", [False, True])
+def test_a_group_of_copies_gives_as_many_links_as_members(crossed):
+    """Every two of them were a row of the join that verified them."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    first, members = rng.integers(1, 1 << 62, 100), 40
+    texts = []
+    for k in range(members):
+        texts.append(first.copy())
+        texts[-1][k] = k
+    texts.append(rng.integers(1, 1 << 62, 100))
+    marks = [order_minhash.sketch(t)[1].tobytes() for t in texts]
+    n = len(texts)
+    bucket = 7
+    block = {
+        "block": 1, "nodes": list(range(n)), "components": list(range(n)), "sizes": [100] * n,
+        "signatures": b"".join(marks), "sketches": [bucket] * n,
+        "words": b"".join(t.tobytes() for t in texts),
+    }
+    row = {"bucket": bucket, **block}
+    if crossed:
+        shift = [x + n for x in block["nodes"]]
+        row |= {f"{k}_": v for k, v in (block | {"nodes": shift, "components": shift}).items()}
+    kinds = {"bucket": pa.int64(), **order_minhash.BLOCK}
+    schema = pa.schema([(k, kinds[k.removesuffix("_")]) for k in row])
+    batch = pa.RecordBatch.from_pylist([row], schema)
+    (found,) = order_minhash._compared(iter([batch]), 0.8)
+    pairs = list(zip(*(found[c].to_pylist() for c in ("a", "b")), strict=True))
+    groups = {k: k for k in range(2 * n)}
+    for a, b in pairs:
+        low, high = sorted((groups[a], groups[b]))
+        assert low != high
+        groups = {k: low if g == high else g for k, g in groups.items()}
+    ids = [*range(members), *range(n, n + members)] if crossed else range(members)
+    assert len({groups[k] for k in ids}) == 1
+    other = 1 if crossed else 0
+    assert len(pairs) == len(ids) - 1 + other
