@@ -36,7 +36,7 @@ from marketloom.sources.tables import shared_folder
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 0
 # Pieces of each kind that an encoder keeps, and bytes of text that it takes at a time.
-CACHED_PIECES, SLICE = 600_000, 1_000_000
+CACHED_PIECES, SLICE = 500_000, 1_000_000
 SCHEMA = "doc_id long, part int, part_offset long, n_tokens int, ids array<int>"
 ORC_OPTIONS = {
     "compression": "zstd",
@@ -54,6 +54,8 @@ PRETOKENS = (
 )
 # Runs without spaces hold whole pretokens: spaces are split off here as they are there.
 RUNS = r" ?\S+|\s+(?!\S)|\s+"
+# Each is a pretoken by itself after a letter and before a space.
+MARKS = tuple(".,;:!?")
 
 
 class _Kept(dict):
@@ -76,32 +78,56 @@ class _Pretokens(_Kept):
         others = [b for b in range(256) if b not in printing]
         codes = {b: 256 + i for i, b in enumerate(others)}
         self.letters = "".join(chr(codes.get(b, b)) for b in range(256))
+        self.space = self.letters[0x20]
 
     def __missing__(self, pretoken: str) -> bytes:
-        spelled = codecs.charmap_decode(pretoken.encode(), "strict", self.letters)[0]
-        ids = array("I", [token.id for token in self.tokenize(spelled)]).tobytes()
-        return self.keep(pretoken, ids)
+        return self.keep(pretoken, self.merged(pretoken))
+
+    def merged(self, pretoken: str) -> bytes:
+        if pretoken.isascii() and pretoken.isprintable():
+            spelled = pretoken.replace(" ", self.space)
+        else:
+            spelled = codecs.charmap_decode(pretoken.encode(), "strict", self.letters)[0]
+        return array("I", [token.id for token in self.tokenize(spelled)]).tobytes()
 
 
 class _Runs(_Kept):
-    """Ids of runs without spaces, each split into pretokens when it is met first."""
+    """Ids of runs without spaces, each split into pretokens when it is met first.
+
+    A run stands for itself after a space, or for itself alone if it begins with a line's end.
+    """
 
     def __init__(self, pretokens: _Pretokens):
         super().__init__()
         import regex
 
-        self.look, self.split = pretokens.__getitem__, regex.compile(PRETOKENS).findall
+        self.look, self.merged = pretokens.__getitem__, pretokens.merged
+        self.split = regex.compile(PRETOKENS).findall
 
     def __missing__(self, run: str) -> bytes:
-        return self.keep(run, b"".join(map(self.look, self.split(run))))
+        # A word is kept here only, not with the pretokens as well.
+        if run.isalpha():
+            return self.keep(run, self.merged(f" {run}"))
+        if run[-1:] in MARKS and run[:-1].isalpha():
+            return self.keep(run, self[run[:-1]] + self.look(run[-1]))
+        return self.keep(run, self.literal(run if run[:1] == "\n" else f" {run}"))
+
+    def literal(self, text: str) -> bytes:
+        return b"".join(map(self.look, self.split(text)))
+
+    def found(self, run: str) -> bytes:
+        """Ids of a match of ``RUNS``."""
+        return self[run[1:]] if run[0] == " " and run[1:2] != "\n" else self.literal(run)
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     A text is split into runs without spaces, a run not met before into pretokens, and the
-    library's model merges each pretoken it has not met before. Texts with a special token, or with characters on whose class versions of Unicode
-    differ, go through the library's whole pipeline instead; results are the same.
+    library's model merges each pretoken it has not met before. Lines of words between single
+    spaces are split at these, which gives the same runs. Texts with a special token, or with
+    characters on whose class versions of Unicode differ, go through the library's whole pipeline
+    instead; results are the same.
     """
 
     def __init__(self, path: str):
@@ -111,19 +137,30 @@ class Encoder:
         self.pretokens = _Pretokens(self.tokenizer)
         self.runs = _Runs(self.pretokens)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Characters that are settled, and those of them that are no space but " " and line ends.
         self.sure: set[str] = set()
+        self.plain: set[str] = set()
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        look, split = self.runs.__getitem__, re.compile(RUNS).findall
-        return [
-            b"".join(map(look, split(text))) if self._usual(text) else self._whole(text)
-            for text in texts
-        ]
-
-    def _usual(self, text: str) -> bool:
-        others = set(text) - self.sure
-        self.sure.update(filter(_settled, others))
-        return others <= self.sure and not any(mark in text for mark in self.special)
+        return [self._encoded(text) for text in texts]
+
+    def _encoded(self, text: str) -> bytes:
+        characters = set(text)
+        others = characters - self.sure
+        if others:
+            settled = set(filter(_settled, others))
+            self.sure |= settled
+            self.plain.update(c for c in settled if c in " \n" or not c.isspace())
+            if settled != others:
+                return self._whole(text)
+        if any(mark in text for mark in self.special):
+            return self._whole(text)
+        if characters <= self.plain and not (
+            "  " in text or " \n" in text or "\n\n" in text or text[-1:] == " "
+        ):
+            first, *rest = text.replace("\n", " \n").split(" ")
+            return self.runs.literal(first) + b"".join(map(self.runs.__getitem__, rest))
+        return b"".join(map(self.runs.found, re.findall(RUNS, text)))
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()

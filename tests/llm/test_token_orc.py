@@ -68,3 +68,17 @@ def test_readers_skip_by_metadata(spark, documents, tmp_path):
 def test_empty_table(spark, documents, tmp_path):
     path = token_orc.write_tokens(documents([]), str(tmp_path / "ids"))
     assert token_orc.checksums(token_orc.read_tokens(spark, path)).collect() == []
+
+
+def test_plain_lines_are_split_at_single_spaces(tokenizer, monkeypatch):
+    encoder = token_orc.Encoder(token_orc.tokenizer_path())
+    plain = ["two plain lines, here.\nAnd été\n more; x\n", " a b's 12%%%\nc", "\nfoo bar"]
+    others = ["a  b", "a \nb", "a\n\nb ", "a\n\n", "end ", "tab\tand　wide", "a \n\n b", "a\n  b"]
+    got = encoder.encode([*plain, *others])
+    for text, ids in zip([*plain, *others], got, strict=True):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want
+    # Words are held once, and plain texts need no search for runs.
+    assert " plain" not in encoder.pretokens and "plain" in encoder.runs
+    monkeypatch.setattr(token_orc, "RUNS", "(")
+    assert encoder.encode(plain) == got[: len(plain)]
