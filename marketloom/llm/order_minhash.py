@@ -20,7 +20,7 @@ hold several components are then packed into blocks of a bounded number of rows,
 of one bucket are compared within tasks: pairs of one component, of sizes that differ
 too much, or whose signatures put the Jaccard similarity of their labelled words, which the
 similarity cannot exceed, more than a margin below the threshold (a byte for each of 1024 bins,
-four standard errors) are passed over; the others are aligned, once, for the least bucket that
+four standard errors, made by the task from the block's words) are passed over; the others are aligned, once, for the least bucket that
 they share, by the task that holds their blocks, unless links that it found before connect them.
 So every two components that share a bucket are compared, and only links become rows, fewer
 in a task than the components it meets. The result are the components of all verified links.
@@ -43,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import (
+    SHINGLE_WORDS,
     flat_lists,
     mix,
     shingle_hashes,
@@ -55,7 +56,7 @@ from marketloom.llm.graph import components
 SIMILARITY = 0.8
 HASHES, PICKS = 48, 3
 SLICE, CELLS = 400_000, 2_000_000
-BINS, MARGIN, BLOCK_ROWS, BLOCK_BYTES = 1024, 0.05, 256, 4 << 20
+BINS, MARGIN, BLOCK_ROWS, BLOCK_BYTES = 1024, 0.05, 1024, 4 << 20
 # Elements that occur more often are kept as bits.
 FREQUENT = 256
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -84,11 +85,22 @@ def signature(labels: np.ndarray) -> np.ndarray:
 def sketch(
     words: np.ndarray, hashes: int = HASHES, picks: int = PICKS
 ) -> tuple[np.ndarray, np.ndarray]:
-    """A number for each random order, none for texts without a shingle; the words' signature."""
+    """The entries of a text and the words' signature."""
+    if len(words) < SHINGLE_WORDS:
+        return np.empty(0, np.int64), np.zeros(BINS, np.uint8)
+    return entries_of(words, hashes, picks), text_signature(words)
+
+
+def text_signature(words: np.ndarray) -> np.ndarray:
+    return signature(labelled(np.ascontiguousarray(words).view(np.uint64)))
+
+
+def entries_of(words: np.ndarray, hashes: int = HASHES, picks: int = PICKS) -> np.ndarray:
+    """A number for each random order, none for texts without a shingle."""
     shingles = shingle_hashes(words)
     n = len(shingles)
     if not n:
-        return np.empty(0, np.int64), np.zeros(BINS, np.uint8)
+        return np.empty(0, np.int64)
     labels, least = labelled(shingles), np.empty((hashes, min(n, picks)), np.int64)
     step = max(1, CELLS // n)
     for at in range(0, hashes, step):
@@ -107,18 +119,17 @@ def sketch(
     entry = np.zeros(hashes, np.uint64)
     for place in np.sort(least, axis=1).T:
         entry = mix(entry * np.uint64(0x9E3779B97F4A7C15) + shingles[place])
-    own = signature(labelled(np.ascontiguousarray(words).view(np.uint64)))
-    return mix(entry + SEEDS[:hashes]).view(np.int64), own
+    return mix(entry + SEEDS[:hashes]).view(np.int64)
 
 
 def _sketched(batches: Iterable[pa.RecordBatch], hashes: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch, "words", SLICE):
             offsets, words = flat_lists(rows["words"])
-            both = [
-                sketch(words[a:b], hashes) for a, b in zip(offsets[:-1], offsets[1:], strict=True)
+            found = [
+                entries_of(words[a:b], hashes)
+                for a, b in zip(offsets[:-1], offsets[1:], strict=True)
             ]
-            found = [x for x, _ in both]
             ends = np.cumsum([0, *map(len, found)])
             entries = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), pa.array(np.concatenate(found), pa.int64())
@@ -130,9 +141,8 @@ def _sketched(batches: Iterable[pa.RecordBatch], hashes: int) -> Iterator[pa.Rec
                     rows["two"],
                     pa.array(np.diff(offsets), pa.int32()),
                     entries,
-                    pa.array([x.tobytes() for _, x in both], pa.binary()),
                 ],
-                ["doc_id", "one", "two", "n", "sketch", "signature"],
+                ["doc_id", "one", "two", "n", "sketch"],
             )
 
 
@@ -206,6 +216,7 @@ def _members(reps: DataFrame) -> DataFrame:
     return written(entries.join(shared, "bucket", "left_semi"), "near-members")
 
 
+# Signatures are the largest part and follow from the words: blocks are written without them.
 BLOCK = {
     "block": pa.int64(),
     "nodes": pa.list_(pa.int64()),
@@ -220,14 +231,15 @@ BLOCK = {
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows as blocks of one bucket, of at most ``BLOCK_ROWS`` rows and about ``BLOCK_BYTES``."""
     task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
-    names, kinds = ["bucket", *BLOCK], [pa.int64(), *BLOCK.values()]
+    names = ["bucket", *(c for c in BLOCK if c != "signatures")]
+    kinds = [pa.int64(), *(BLOCK[c] for c in names[1:])]
 
     def batch_of(blocks: list[list]) -> pa.RecordBatch:
         rows = []
         for number, block in blocks:
-            bucket, node, component, size, signatures, sketches, texts = zip(*block, strict=True)
+            bucket, node, component, size, sketches, texts = zip(*block, strict=True)
             entries = [x for sketch in sketches for x in sketch]
-            packed = b"".join(signatures), entries, b"".join(texts)
+            packed = entries, b"".join(texts)
             rows.append((bucket[0], number, node, component, size, *packed))
         columns = zip(*rows, strict=True)
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
@@ -273,10 +285,10 @@ def _compared(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[p
             bucket, sides = row["bucket"], []
             for mark in ("", "_") if crossed else ("",):
                 n = np.array(row[f"sizes{mark}"])
-                marks = np.frombuffer(row[f"signatures{mark}"], np.uint8).reshape(-1, BINS)
                 entries = np.array(row[f"sketches{mark}"], np.int64).reshape(len(n), -1)
                 words = np.frombuffer(row[f"words{mark}"], np.int64)
                 texts = np.split(words, np.cumsum(n)[:-1])
+                marks = np.array([text_signature(text) for text in texts])
                 comps = row[f"components{mark}"]
                 sides.append((row[f"nodes{mark}"], comps, n, marks, entries, texts))
             a, a_comp, a_n, x, p, a_texts = sides[0]
@@ -344,7 +356,7 @@ def links(documents: DataFrame, reps: DataFrame, threshold: float = SIMILARITY)
     )
     several = several.filter("low < high").select("bucket")
     rest = placed.join(several, "bucket", "left_semi").join(
-        reps.select("node", "signature", "sketch").join(words, "node"), "node"
+        reps.select("node", "sketch").join(words, "node"), "node"
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rest.repartitionByRange(parts, "bucket", "node").sortWithinPartitions(
@@ -352,9 +364,9 @@ def links(documents: DataFrame, reps: DataFrame, threshold: float = SIMILARITY)
     )
     schema = (
         "bucket long, block long, nodes array<long>, components array<long>, "
-        "sizes array<int>, signatures binary, sketches array<long>, words binary"
+        "sizes array<int>, sketches array<long>, words binary"
     )
-    fields = ["bucket", "node", "component", "n", "signature", "sketch", "words"]
+    fields = ["bucket", "node", "component", "n", "sketch", "words"]
     packed = ordered.select(*fields).mapInArrow(_packed, schema)
     blocks = written(packed, "near-blocks")
     # Most buckets are one block. Pairs of different blocks are dealt by both, so that a bucket of
@@ -392,12 +404,12 @@ def _digests(documents: DataFrame, *carried: Column) -> DataFrame:
 
 def _classed(documents: DataFrame, threshold: float, hashes: int) -> DataFrame:
     """(doc_id, one, two, component, class_id) of each row; rows without doc_id have neither."""
-    schema = "doc_id long, one long, two long, n int, sketch array<long>, signature binary"
+    schema = "doc_id long, one long, two long, n int, sketch array<long>"
     sketched = _digests(documents).mapInArrow(lambda b: _sketched(b, hashes), schema)
     rows = written(sketched, "near-sketches")
     exact = rows.filter("doc_id IS NOT NULL").groupBy("one", "two").agg(
         F.min("doc_id").alias("doc_id"),
-        *[F.first(c).alias(c) for c in ("n", "sketch", "signature")],
+        *[F.first(c).alias(c) for c in ("n", "sketch")],
     )
     # A doc_id may stand for several texts, so representatives have numbers of their own.
     exact = exact.withColumn("node", F.monotonically_increasing_id())

@@ -232,3 +232,20 @@ def test_a_group_of_copies_gives_as_many_links_as_members(crossed):
     assert len({groups[k] for k in ids}) == 1
     other = 1 if crossed else 0
     assert len(pairs) == len(ids) - 1 + other
+
+
+def test_blocks_hold_words_and_no_signatures(spark, documents, monkeypatch):
+    tables = {}
+
+    def written(df, purpose):
+        tables.setdefault(purpose, []).append(df)
+        return common_written(df, purpose)
+
+    common_written = order_minhash.written
+    monkeypatch.setattr(order_minhash, "written", written)
+    base = " ".join(f"w{i}" for i in range(200))
+    rows = [(i, f"{base} {' '.join(f'x{i}y{j}' for j in range(30 * (i % 3)))}") for i in range(12)]
+    order_minhash.near_duplicates(documents(rows)).collect()
+    for purpose in ("near-sketches", "near-representatives", "near-blocks"):
+        assert not [c for c in tables[purpose][0].columns if c.startswith("signature")]
+    assert order_minhash.BLOCK_ROWS >= 1024
