@@ -12,8 +12,11 @@ from marketloom.functions.returns import (
     geometric_annual_return,
     log_growth,
     sharpe_ratio,
+    simple_return,
+    to_aud,
 )
-from marketloom.operators.assets import fact_asset_daily
+from marketloom.operators.assets import price_intervals, rates_as_of
+from marketloom.operators.calendar import expand_days, fill_rates, spine, valid_until
 from marketloom.operators.joins import BROADCAST_ROWS, has_at_most, sliced_join
 from marketloom.operators.scan import Measure, blocked_scan, deviation
 from marketloom.sources.tables import stored
@@ -85,31 +88,137 @@ def cumulative_return(daily: DataFrame) -> DataFrame:
 
 
 def fact_portfolio_daily(fact: DataFrame, weights: DataFrame) -> DataFrame:
-    return _portfolio_daily(weighted_returns(fact, weights))
+    return _with_flags(daily_totals(weighted_returns(fact, weights)))
 
 
 def portfolio_daily_of_prices(
     prices: DataFrame, rates: DataFrame, dates: DataFrame, weights: DataFrame
 ) -> DataFrame:
-    """``fact_portfolio_daily`` of the asset fact of keyed prices and rates, which is not built.
+    """``fact_portfolio_daily`` of the asset fact of keyed, finite prices, which is not built.
 
-    The weights are joined to the prices before these are expanded, so days are shuffled as
-    sums by portfolio and day only.
+    A carried price changes by the rate alone, so the holdings of a currency that carry one share
+    a day's return and only their summed weight counts. Prices stay one row each: their first days
+    are summed by portfolio and day, and these sums are expanded to the days between.
     """
     held = weights.select("portfolio_name", "symbol", "target_weight")
-    returns = fact_asset_daily(
-        prices,
-        rates,
-        dates,
-        keyed=True,
-        joined=lambda intervals: join_weights(intervals, held),
-        kept=["portfolio_name", "target_weight"],
+    changes = _holding_changes(join_weights(_rated_intervals(prices, rates, dates), held), dates)
+    sums = changes.groupBy("portfolio_name", "price_date").agg(
+        *[F.sum(c).alias(c) for c in changes.columns[2:]]
+    )
+    return _with_flags(_carried_totals(sums, rates, dates))
+
+
+def _rated_intervals(prices: DataFrame, rates: DataFrame, dates: DataFrame) -> DataFrame:
+    """Price intervals with the return of their first day, and whether others adjoin them."""
+    fx = fill_rates(rates, dates)
+    by_symbol = Window.partitionBy("symbol").orderBy("price_date")
+    following = F.lead("price_date").over(by_symbol)
+    intervals = price_intervals(prices, dates).withColumn("following", following)
+    then = fx.select("date_key", F.col("aud_usd_rate").alias("rate_then"))
+    now = fx.select("date_key", "aud_usd_rate", "is_fx_forward_filled")
+    rated = rates_as_of(rates_as_of(intervals, "previous_to", then), "price_date", now)
+    currency = F.col("currency")
+    price = to_aud(F.col("close_price_native"), currency, F.col("aud_usd_rate"))
+    before = to_aud(F.col("previous_price"), currency, F.col("rate_then"))
+    is_usdt = currency == "USDT"
+    return rated.select(
+        "symbol",
+        "price_date",
+        "valid_to",
+        is_usdt.alias("is_usdt"),
+        F.when(price > 0, simple_return(price, before)).alias("daily_return"),
+        (is_usdt & F.coalesce("is_fx_forward_filled", F.lit(False))).alias("is_fx_forward_filled"),
+        F.coalesce(F.col("previous_to") != F.date_sub("price_date", 1), F.lit(True)).alias("begins"),
+        F.coalesce(F.col("following") != F.date_add("valid_to", 1), F.lit(True)).alias("ends"),
+    )
+
+
+def _holding_changes(held: DataFrame, dates: DataFrame) -> DataFrame:
+    """What the first day of each holding's price, and the day after a gap begins, add to sums.
+
+    ``aud`` and ``usdt`` are the holdings with a price from that day on, ``new_`` those whose
+    price is that day's own; a symbol whose prices adjoin enters once, so weights do not cancel.
+    """
+    weight, known = F.col("target_weight"), F.col("daily_return").isNotNull()
+    ended = F.col("ends") & (F.col("valid_to") < spine(dates)["end_date"])
+    sides = {"aud": ~F.col("is_usdt"), "usdt": F.col("is_usdt")}
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def amounts(is_side: Column, sign: int) -> tuple[Column, Column]:
+        return F.when(is_side, weight * sign).otherwise(0.0), F.when(is_side, one * sign).otherwise(zero)
+
+    first = [
+        F.col("price_date").alias("price_date"),
+        F.when(known, F.col("daily_return") * weight).alias("weighted_return"),
+        F.when(known, weight).otherwise(0.0).alias("observed_weight"),
+        known.cast("bigint").alias("observed"),
+        (known & F.col("is_fx_forward_filled")).cast("bigint").alias("observed_fx"),
+    ]
+    last = [
+        F.date_add("valid_to", 1).alias("price_date"),
+        F.lit(None).cast("double").alias("weighted_return"),
+        F.lit(0.0).alias("observed_weight"),
+        zero.alias("observed"),
+        zero.alias("observed_fx"),
+    ]
+    for side, is_side in sides.items():
+        names = (side, f"{side}_count", f"new_{side}", f"new_{side}_count")
+        live, new = amounts(is_side & F.col("begins"), 1), amounts(is_side, 1)
+        first += [x.alias(n) for x, n in zip((*live, *new), names, strict=True)]
+        gone = (*amounts(is_side, -1), F.lit(0.0), zero)
+        last += [x.alias(n) for x, n in zip(gone, names, strict=True)]
+    changes = F.array_compact(F.array(F.struct(*first), F.when(ended, F.struct(*last))))
+    return held.select("portfolio_name", F.explode(changes).alias("c")).select(
+        "portfolio_name", "c.*"
+    )
+
+
+def _carried_totals(sums: DataFrame, rates: DataFrame, dates: DataFrame) -> DataFrame:
+    """``daily_totals`` from the summed changes of each portfolio and day."""
+    running = (
+        Window.partitionBy("portfolio_name")
+        .orderBy("price_date")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    live = ["aud", "aud_count", "usdt", "usdt_count"]
+    held = valid_until(sums, "portfolio_name", "price_date", dates).withColumns(
+        {c: F.sum(c).over(running) for c in live}
+    )
+    fx = fill_rates(rates, dates).select(
+        "date_key",
+        simple_return(F.col("previous_rate"), F.col("aud_usd_rate")).alias("carried"),
+        F.col("is_fx_forward_filled").alias("fx_filled"),
+    )
+    days = rates_as_of(expand_days(held, "price_date"), "date_key", fx)
+    is_first, is_rated = F.col("date_key") == F.col("price_date"), F.col("carried").isNotNull()
+
+    def that_day(column: str) -> Column:
+        return F.when(is_first, F.coalesce(column, F.lit(0))).otherwise(0)
+
+    def still(side: str) -> Column:
+        return F.coalesce(side, F.lit(0)) - that_day(f"new_{side}")
+
+    usdt = F.when(is_rated, still("usdt")).otherwise(0.0)
+    usdt_count = F.when(is_rated, still("usdt_count")).otherwise(0)
+    filled_fx = F.when(F.col("fx_filled"), usdt_count).otherwise(0)
+    return days.select(
+        "portfolio_name",
+        "date_key",
+        (that_day("weighted_return") + usdt * F.coalesce("carried", F.lit(0.0))).alias(
+            "daily_return"
+        ),
+        (that_day("observed_weight") + still("aud") + usdt).alias("available_weight"),
+        that_day("observed").alias("observed_asset_count"),
+        (still("aud_count") + usdt_count).alias("forward_filled_price_count"),
+        (that_day("observed_fx") + filled_fx).alias("forward_filled_fx_count"),
+    ).filter(
+        (F.col("available_weight") >= config.COMPLETE_WEIGHT)
+        & (F.col("observed_asset_count") + F.col("forward_filled_price_count") > 0)
     )
-    return _portfolio_daily(_weighted(returns.filter("daily_return is not null")))
 
 
-def _portfolio_daily(weighted: DataFrame) -> DataFrame:
-    totals = daily_totals(weighted).withColumns(
+def _with_flags(daily: DataFrame) -> DataFrame:
+    totals = daily.withColumns(
         {
             "has_forward_filled_price": F.col("forward_filled_price_count") > 0,
             "has_forward_filled_fx": F.col("forward_filled_fx_count") > 0,
