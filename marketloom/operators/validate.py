@@ -318,47 +318,70 @@ def _comparable(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "/")
 
 
-def _unread_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whether paths that readers left out are folders or empty files; others give no row."""
+# Bytes of files that a task hands on at a time.
+HELD_BYTES = 8 << 20
+
+
+def _looked_up(
+    batches: Iterator[pa.RecordBatch], folders: Sequence[str]
+) -> Iterator[pa.RecordBatch]:
+    """Paths that exist: folders, empty files, and with their contents files below ``folders``."""
+    below = tuple(f"{file_system(folder)[1].rstrip('/')}/" for folder in folders)
+    kinds = [pa.string()] * 3 + [pa.bool_(), pa.int64(), pa.binary()]
+    names = ["_key", "source", "symbol", "is_folder", "file_size_bytes", "content"]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    rows, held = [], 0
     for batch in batches:
-        keys, folders = [], []
-        for key, path in zip(batch["_key"].to_pylist(), batch["path"].to_pylist(), strict=True):
-            files, place = file_system(path)
+        for row in batch.to_pylist():
+            files, place = file_system(row["path"])
             found = files.get_file_info(place)
-            empty = found.type == fs.FileType.File and found.size == 0
-            if empty or found.type == fs.FileType.Directory:
-                keys.append(key)
-                folders.append(not empty)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.string()), pa.array(folders, pa.bool_())], ["_key", "is_folder"]
-        )
+            known = row["_key"], row["source"], row["symbol"]
+            if found.type == fs.FileType.Directory:
+                rows.append((*known, True, None, None))
+            elif found.type == fs.FileType.File and found.size == 0:
+                rows.append((*known, False, 0, None))
+            elif found.type == fs.FileType.File and place.startswith(below):
+                with files.open_input_stream(place) as source:
+                    content = source.read()
+                rows.append((*known, False, len(content), content))
+                held += len(content)
+            if held > HELD_BYTES or len(rows) >= 1000:
+                yield batch_of(rows)
+                rows, held = [], 0
+    if rows:
+        yield batch_of(rows)
 
 
 def validate_files(spark: SparkSession, manifest: DataFrame, folders: list[str]) -> DataFrame:
     """Validate the manifest's files below the run's partition folders.
 
-    Tasks look up those of the expected files that readers leave out, which are the missing,
-    the empty and the folders; that takes a file system known to pyarrow. One row per expected file: asset_class, source, symbol, path, status,
-    file_size_bytes, errors.
+    Tasks look up and read the expected files by their paths, so no folder is listed, whatever it
+    holds; that takes a file system known to pyarrow. One row per expected file: asset_class,
+    source, symbol, path, status, file_size_bytes, errors.
     """
     expected = manifest.withColumn("_key", _comparable(F.col("path")))
-    present = [f for f in folders if _exists(spark, f)]
-    if present:
-        contents = spark.read.format("binaryFile").load(present)
-    else:
-        contents = spark.createDataFrame([], "path string, length bigint, content binary")
-    found = contents.select(
-        _comparable(F.col("path")).alias("_key"),
-        F.col("length").alias("file_size_bytes"),
-        F.try_validate_utf8(F.col("content").cast("string")).alias("text"),
-    )
-    unread = expected.select("_key", "path").join(found.select("_key"), "_key", "left_anti")
-    hidden = unread.mapInArrow(_unread_states, "_key string, is_folder boolean")
-    checked = validate_documents(
-        found.join(expected.select("_key", "source", "symbol"), "_key")
-    ).select("_key", "file_size_bytes", F.col("errors").alias("payload_errors"))
-
-    return file_results(expected, checked, hidden).drop("_key")
+    # Reading and checking are this step's work; left open, the few bytes of the paths would
+    # be one task's.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = expected.select("_key", "path", "source", "symbol").repartition(partitions, "_key")
+    schema = (
+        "_key string, source string, symbol string, is_folder boolean, file_size_bytes long, "
+        "content binary"
+    )
+    found = asked.mapInArrow(lambda b: _looked_up(b, folders), schema)
+    texts = found.withColumn("text", F.try_validate_utf8(F.col("content").cast("string")))
+    checked = validate_documents(texts).select(
+        "_key",
+        "is_folder",
+        "file_size_bytes",
+        F.when(F.col("content").isNotNull(), F.col("errors")).alias("payload_errors"),
+    )
+    return file_results(expected, checked).drop("_key")
 
 
 def validate_lines(spark: SparkSession, manifest: DataFrame, folders: list[str]) -> DataFrame:
@@ -403,11 +426,13 @@ def _exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def file_results(expected: DataFrame, checked: DataFrame, hidden: DataFrame) -> DataFrame:
+def file_results(
+    expected: DataFrame, checked: DataFrame, hidden: DataFrame | None = None
+) -> DataFrame:
     """Status and errors per expected file, joined on ``_key``.
 
     ``checked`` has the payload errors of the readable files, ``hidden`` the
-    entries that are folders or empty files.
+    entries that are folders or empty files, which may be rows of ``checked`` instead.
     """
     extension = F.when(
         ~F.lower("path").rlike(r"[^/]\.json$"), F.lit("file extension is not .json")
@@ -419,7 +444,9 @@ def file_results(expected: DataFrame, checked: DataFrame, hidden: DataFrame) ->
         .otherwise(F.array(F.lit("file does not exist")))
     )
     size = F.coalesce("file_size_bytes", F.when(~F.col("is_folder"), F.lit(0).cast("bigint")))
-    joined = expected.join(checked, "_key", "left").join(hidden, "_key", "left")
+    joined = expected.join(checked, "_key", "left")
+    if hidden is not None:
+        joined = joined.join(hidden, "_key", "left")
     return with_status(
         joined.select(
             *expected.columns,

@@ -133,6 +133,7 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def _put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    made: set[str] = set()
     for batch in batches:
         contents = batch["content"].to_pylist()
         for path, content in zip(batch["path"].to_pylist(), contents, strict=True):
@@ -141,7 +142,9 @@ def _put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 files.create_dir(place)
                 continue
             folder, name = place.rsplit("/", 1)
-            files.create_dir(folder)
+            if folder not in made:
+                files.create_dir(folder)
+                made.add(folder)
             # Under another name until it is whole, so that a repeated task finds no half of it.
             unfinished = f"{folder}/.{name}.{uuid.uuid4().hex}"
             with files.open_output_stream(unfinished) as out:

@@ -181,3 +181,26 @@ def test_report(spark):
         "Validation failure threshold: 25.00%",
         "Validation decision: FAIL run",
     ]
+
+
+def test_files_are_read_by_path_and_no_folder_is_listed(spark, tmp_path):
+    folder = tmp_path / "equities" / "source=yahoo" / "date=2026-06-16"
+    folder.mkdir(parents=True)
+    rows = []
+    for name in ("_A", ".B", "C", "D", "E"):
+        rows.append(("equity", "yahoo", name, f"{folder}/{name}.json"))
+        if name != "E":
+            (folder / f"{name}.json").write_bytes(b"" if name == "D" else b"[1]")
+    rows.append(("equity", "yahoo", "F", f"{tmp_path}/elsewhere.json"))
+    (tmp_path / "elsewhere.json").write_bytes(b"[1]")
+    manifest = spark.createDataFrame(
+        rows, "asset_class string, source string, symbol string, path string"
+    )
+    results = validate.validate_files(spark, manifest, [str(folder), f"{tmp_path}/missing"])
+    assert not results.inputFiles()
+    got = {r.symbol: (r.file_size_bytes, r.errors) for r in results.collect()}
+    wrong = (3, ["top-level JSON is not an object"])
+    missing = (None, ["file does not exist"])
+    assert got == {
+        "_A": wrong, ".B": wrong, "C": wrong, "D": (0, ["file is empty"]), "E": missing, "F": missing,
+    }
