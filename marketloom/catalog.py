@@ -739,7 +739,9 @@ def _struct_errors(spark: SparkSession, sf_dir: str, pattern: str) -> DataFrame:
 
 @query
 def validate_payload(spark, sf_dir):
-    return _struct_errors(spark, sf_dir, "^(?!record )")
+    documents = sample.faulty_documents(sample.customer_prices(spark, sf_dir))
+    results = validate.validate_documents(documents, record_rules=False)
+    return validate.error_rows(results, "symbol").select("symbol", "error")
 
 
 @query

@@ -256,10 +256,11 @@ def _array_record_errors() -> str:
     return _record_errors(f"transform(d.records, (r, i) -> {record})", "opened", day, named)
 
 
-def payload_errors(document: str, source: str, symbol: str) -> str:
+def payload_errors(document: str, source: str, symbol: str, record_rules: bool = True) -> str:
     """Errors of a parsed document, given the source and symbol it should hold.
 
-    Top-level errors come first, then each record's in record order.
+    Top-level errors come first, then each record's in record order; without ``record_rules``
+    those of the document and its list of records alone.
     """
     top = [
         f"CASE WHEN {J.field('d.entries', name)} IS NULL "
@@ -277,8 +278,8 @@ def payload_errors(document: str, source: str, symbol: str) -> str:
         f"THEN {_NO_ERRORS} "
         "WHEN d.records IS NULL THEN array('records is not a list') "
         "WHEN size(d.records) = 0 THEN array('records is empty') "
-        f"WHEN {source} = 'yahoo' THEN {_struct_record_errors()} "
-        f"WHEN {source} = 'binance' THEN {_array_record_errors()} "
+        f"WHEN {source} = 'yahoo' THEN {_struct_record_errors() if record_rules else _NO_ERRORS} "
+        f"WHEN {source} = 'binance' THEN {_array_record_errors() if record_rules else _NO_ERRORS} "
         f"ELSE array({unsupported}) END"
     )
     parts = (
@@ -297,14 +298,16 @@ def payload_errors(document: str, source: str, symbol: str) -> str:
     )
 
 
-def validate_documents(documents: DataFrame) -> DataFrame:
+def validate_documents(documents: DataFrame, record_rules: bool = True) -> DataFrame:
     """Add ``errors`` to rows of (source, symbol, text): expected values and raw text.
 
+    Without ``record_rules`` only errors of the document itself, none that begin with "record ".
     Sets the session to accept objects that hold a key twice.
     """
     # As JSON parsers do, the last value of a key that an object holds twice counts.
     documents.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    errors = J.bind(J.document("text"), "_doc", payload_errors("_doc", "source", "symbol"))
+    rules = payload_errors("_doc", "source", "symbol", record_rules)
+    errors = J.bind(J.document("text"), "_doc", rules)
     return documents.withColumn("errors", F.expr(errors)).drop("text")
 
 

@@ -204,3 +204,19 @@ def test_files_are_read_by_path_and_no_folder_is_listed(spark, tmp_path):
     assert got == {
         "_A": wrong, ".B": wrong, "C": wrong, "D": (0, ["file is empty"]), "E": missing, "F": missing,
     }
+
+
+def test_payload_rules_alone_give_the_errors_of_no_record(spark, sf_dir):
+    from marketloom.sources import sample
+
+    documents = sample.faulty_documents(sample.customer_prices(spark, sf_dir)).limit(100)
+    odd = ["", "[]", "{}", '{"records": {}}', '{"records": []}', '{"records": [1]}', '{"records": [[1]]}']
+    rows = [(s, "X", text) for s in ("yahoo", "binance", "other") for text in odd]
+    odd_rows = spark.createDataFrame(rows, "source string, symbol string, text string")
+    documents = documents.select("source", "symbol", "text").unionByName(odd_rows).localCheckpoint()
+    every, own = (
+        validate.error_rows(validate.validate_documents(documents, rules), "source", "symbol")
+        .filter("error NOT LIKE 'record %'" if rules else "true").select("source", "symbol", "error").collect()
+        for rules in (True, False)
+    )
+    assert sorted(every) == sorted(own) and len(own) > 50
