@@ -16,8 +16,9 @@ and all 48 miss with 0.06. Edits that lie together break fewer.
 
 Buckets are never paired off. First the members of a bucket are aligned with its least
 document, and verified links merge components, however large the group. Buckets that still
-hold several components are then packed into blocks of a bounded number of rows, and blocks
-of one bucket are compared within tasks: pairs of one component, of sizes that differ
+hold several components are then packed into blocks of a bounded number of rows (a
+representative is a row for each such bucket, ``hashes`` at most, whatever the size of a group),
+and blocks of one bucket are compared within tasks: pairs of one component, of sizes that differ
 too much, or whose signatures put the Jaccard similarity of their labelled words, which the
 similarity cannot exceed, more than a margin below the threshold (a byte for each of 1024 bins,
 four standard errors, made by the task from the block's words) are passed over; the others are aligned, once, for the least bucket that
@@ -226,40 +227,71 @@ BLOCK = {
     "sketches": pa.list_(pa.int64()),
     "words": pa.binary(),
 }
+# Blocks as they are written; ``split`` if their bucket has others.
+PACKED = {"bucket": pa.int64(), "split": pa.bool_()}
+PACKED |= {c: k for c, k in BLOCK.items() if c != "signatures"} | {"sketches": pa.binary()}
+ZSTD = pa.Codec("zstd")
+
+
+def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows and their blocks: at most ``BLOCK_ROWS`` of a bucket, about ``BLOCK_BYTES``."""
+    task, number, last, rows, size = TaskContext.get().partitionId(), 0, None, 0, 0
+    for batch in batches:
+        blocks = []
+        for bucket, n in zip(batch["bucket"].to_pylist(), batch["n"].to_pylist(), strict=True):
+            full = rows == BLOCK_ROWS or size + 8 * n > BLOCK_BYTES
+            if rows and (bucket != last or full):
+                number, rows, size = number + 1, 0, 0
+            last, rows, size = bucket, rows + 1, size + 8 * n
+            blocks.append(task << 32 | number)
+        columns = [*batch.columns, pa.array(blocks, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "block"])
 
 
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows as blocks of one bucket, of at most ``BLOCK_ROWS`` rows and about ``BLOCK_BYTES``."""
-    task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
-    names = ["bucket", *(c for c in BLOCK if c != "signatures")]
-    kinds = [pa.int64(), *(BLOCK[c] for c in names[1:])]
+    """Rows sorted by block as one row a block; copies share most words: these are compressed."""
+    held: list[tuple] = []
 
     def batch_of(blocks: list[list]) -> pa.RecordBatch:
         rows = []
-        for number, block in blocks:
-            bucket, node, component, size, sketches, texts = zip(*block, strict=True)
-            entries = [x for sketch in sketches for x in sketch]
-            packed = entries, b"".join(texts)
-            rows.append((bucket[0], number, node, component, size, *packed))
+        for block in blocks:
+            bucket, split, number, node, component, size, sketches, texts = zip(*block, strict=True)
+            both = np.array(sketches, np.int64).tobytes(), b"".join(texts)
+            packed = [ZSTD.compress(x, asbytes=True) for x in both]
+            rows.append((bucket[0], split[0], number[0], node, component, size, *packed))
         columns = zip(*rows, strict=True)
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names)
+        arrays = [pa.array(c, k) for c, k in zip(columns, PACKED.values(), strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, list(PACKED))
 
     for batch in batches:
         done = []
         offsets, words = flat_lists(batch["words"])
         texts = [words[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         for row in zip(*(c.to_pylist() for c in batch.columns[:-1]), texts, strict=True):
-            full = len(held) == BLOCK_ROWS or size + len(row[-1]) > BLOCK_BYTES
-            if held and (row[0] != held[0][0] or full):
-                done.append((task << 32 | number, held))
-                number, held, size = number + 1, [], 0
+            if held and row[2] != held[0][2]:
+                done.append(held)
+                held = []
             held.append(row)
-            size += len(row[-1])
         if done:
             yield batch_of(done)
     if held:
-        yield batch_of([(task << 32 | number, held)])
+        yield batch_of([held])
+
+
+def _opened(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks, a row at a time, as ``_compared`` takes them."""
+    for batch in batches:
+        names = [c for c in batch.schema.names if not c.startswith("split")]
+        kinds = {"bucket": pa.int64(), **BLOCK}
+        for row in batch.select(names).to_pylist():
+            for mark in ("", "_") if "block_" in row else ("",):
+                for c in ("sketches", "words"):
+                    with pa.CompressedInputStream(pa.py_buffer(row[c + mark]), "zstd") as stream:
+                        row[c + mark] = stream.read()
+                row[f"sketches{mark}"] = np.frombuffer(row[f"sketches{mark}"], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row[c]], kinds[c.removesuffix("_")]) for c in names], names
+            )
 
 
 def _compared(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -355,28 +387,42 @@ def links(documents: DataFrame, reps: DataFrame, threshold: float = SIMILARITY)
         F.min("component").alias("low"), F.max("component").alias("high")
     )
     several = several.filter("low < high").select("bucket")
-    rest = placed.join(several, "bucket", "left_semi").join(
-        reps.select("node", "sketch").join(words, "node"), "node"
-    )
+    rest = written(placed.join(several, "bucket", "left_semi"), "near-rest")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rest.repartitionByRange(parts, "bucket", "node").sortWithinPartitions(
         "bucket", "node"
     )
+    fields = "bucket long, node long, n int, component long"
+    numbered = ordered.select("bucket", "node", "n", "component").mapInArrow(
+        _numbered, f"{fields}, block long"
+    )
+    # Blocks are dealt out before words meet them: words travel once for each bucket.
+    numbered = written(numbered, "near-numbered")
+    split = numbered.groupBy("bucket").agg((F.min("block") < F.max("block")).alias("split"))
+    texts = reps.select("node", "sketch").join(words, "node")
+    gathered = numbered.join(split, "bucket").join(texts, "node")
+    gathered = gathered.repartitionById(parts, F.shiftright("block", 32).cast("int"))
+    gathered = gathered.sortWithinPartitions("block", "node")
     schema = (
-        "bucket long, block long, nodes array<long>, components array<long>, "
-        "sizes array<int>, sketches array<long>, words binary"
+        "bucket long, split boolean, block long, nodes array<long>, components array<long>, "
+        "sizes array<int>, sketches binary, words binary"
     )
-    fields = ["bucket", "node", "component", "n", "sketch", "words"]
-    packed = ordered.select(*fields).mapInArrow(_packed, schema)
+    fields = ["bucket", "split", "block", "node", "component", "n", "sketch", "words"]
+    packed = gathered.select(*fields).mapInArrow(_packed, schema)
     blocks = written(packed, "near-blocks")
-    # Most buckets are one block. Pairs of different blocks are dealt by both, so that a bucket of
-    # many is many tasks' work.
-    within = blocks.mapInArrow(lambda b: _compared(b, threshold), "a long, b long")
+
+    def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _compared(_opened(batches), threshold)
+
+    within = blocks.mapInArrow(compared, "a long, b long")
+    # Most buckets are one block, which the joins leave out. Pairs of different blocks are dealt by
+    # both, so that a bucket of many is many tasks' work.
+    blocks = blocks.filter("split")
     others = blocks.select("bucket", *[F.col(c).alias(f"{c}_") for c in blocks.columns[1:]])
     ids = blocks.select("bucket", "block").join(others.select("bucket", "block_"), "bucket")
     ids = ids.filter("block < block_").repartition(parts, "block", "block_")
     both = ids.join(blocks.drop("bucket"), "block").join(others.drop("bucket"), "block_")
-    across = both.mapInArrow(lambda b: _compared(b, threshold), "a long, b long")
+    across = both.mapInArrow(compared, "a long, b long")
     return found.unionByName(written(within.unionByName(across).distinct(), "near-links"))
 
 
@@ -418,7 +464,7 @@ def _classed(documents: DataFrame, threshold: float, hashes: int) -> DataFrame:
     linked = exact.select("node", F.col("doc_id").alias("least")).join(comps, "node")
     names = linked.groupBy("component").agg(F.min("least").alias("class_id"))
     named = exact.select("one", "two", "node", F.col("doc_id").alias("least")).join(
-        linked.select("node", "component").join(names, "component"), "node", "left"
+        comps.join(names, "component"), "node", "left"
     )
     named = named.select(
         "one",

@@ -249,3 +249,34 @@ def test_blocks_hold_words_and_no_signatures(spark, documents, monkeypatch):
     for purpose in ("near-sketches", "near-representatives", "near-blocks"):
         assert not [c for c in tables[purpose][0].columns if c.startswith("signature")]
     assert order_minhash.BLOCK_ROWS >= 1024
+
+
+def test_words_meet_members_once_and_only_split_buckets_are_crossed(spark, documents, monkeypatch):
+    """Rows with words were ranged, which ran their join twice; every block was joined with others."""
+    plans, tables = {}, {}
+
+    def written(df, purpose):
+        plans.setdefault(purpose, []).append(df._jdf.queryExecution().toString())
+        tables[purpose] = common_written(df, purpose)
+        return tables[purpose]
+
+    common_written = order_minhash.written
+    monkeypatch.setattr(order_minhash, "written", written)
+    rng = random.Random(13)
+    passage, texts = _text(rng, 40), []
+    for i in range(1100):
+        texts.append(passage + [f"own{i}x{j}" for j in range(20)])
+    for i in range(0, 1100, 100):
+        texts.append([*texts[i][:50], f"other{i}", *texts[i][51:]])
+    got, _ = _classes(documents, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    assert got == {i: i if i < 1100 else (i - 1100) * 100 for i in range(len(texts))}
+    assert "rangepartitioning" not in plans["near-blocks"][0].lower()
+    assert "isnotnull(split" in plans["near-links"][-1].lower()
+    blocks = tables["near-blocks"]
+    assert {r.split for r in blocks.select("split").distinct().collect()} == {True, False}
+    assert blocks.filter("split").groupBy("bucket").count().filter("count < 2").isEmpty()
+    assert blocks.filter("NOT split").groupBy("bucket").count().filter("count > 1").isEmpty()
+    per_node = tables["near-numbered"].groupBy("node").count()
+    assert per_node.filter(f"count > {order_minhash.HASHES}").isEmpty()
+    raw = sum(8 * n for r in blocks.select("sizes").collect() for n in r.sizes)
+    assert sum(len(r.words) for r in blocks.select("words").collect()) < raw / 2
