@@ -50,7 +50,7 @@ def has_letter(text: Column) -> Column:
 def _codes(data: np.ndarray, size: int) -> np.ndarray:
     """For each position the ``size`` bytes that end there, as one number; the first get fewer."""
     codes = np.zeros(len(data), np.uint64)
-    for i in range(size):
+    for i in range(min(size, len(data))):
         codes[i:] |= data[: len(data) - i].astype(np.uint64) << np.uint64(8 * i)
     return codes
 

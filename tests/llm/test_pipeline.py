@@ -42,6 +42,15 @@ def test_stages_take_odd_documents(spark, sf_dir):
         docs.collect()
 
 
+def test_language_stage_takes_texts_of_few_bytes(spark, sf_dir):
+    source = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    short = ["a", "De", "De.", "Von.", "Avec."]
+    rows = [(10**9 + i, short[i % 5], "de", "src0", len(short[i % 5])) for i in range(40)]
+    docs = source.limit(30).unionByName(spark.createDataFrame(rows, source.schema))
+    kept = corpus_pipeline.identify_language(spark, docs, sf_dir)
+    assert {r.doc_id for r in kept.collect()} >= {i for i, *_ in rows}
+
+
 def test_entry_works_without_the_subpackage(tmp_path):
     copy = tmp_path / "repo"
     keep = shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__")

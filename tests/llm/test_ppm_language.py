@@ -128,3 +128,17 @@ def test_identified_fills_languages_and_keeps_any_columns(documents):
     assert all(got[i].lang == lang for i, _, lang in rows[:80])
     bare = documents([(1, "abc"), (2, "--"), (3, None)])
     assert [r.doc_id for r in ppm_language.identified(bare).collect()] == [1]
+
+
+SHORT = ["", "a", "De", "De.", "abcd", "Avec.", "Éaux.", "日", "é."]
+
+
+def test_short_texts_are_learned_and_scored_like_others(documents):
+    rows = [(i, text, lang) for i, (text, lang) in enumerate((t, x) for t in SHORT for x in ("de", "fr"))]
+    rows += [(100, "la vie de", "fr")]
+    for order in (1, 4, 6):
+        model = ppm_language.learn(documents(rows), order=order)
+        for text in SHORT[1:]:
+            expected = _lengths(rows, text, order)
+            bits = model.lengths([text])[0]
+            assert bits == pytest.approx([expected[x] for x in model.languages])
