@@ -162,7 +162,9 @@ class Model:
                 escape = self.escapes[0][np.zeros(len(rest), int)]
             else:
                 context = self.find(size - 1, rest >> np.uint64(8))
-                escape = np.where(context[:, None] >= 0, self.escapes[size - 1][context], 0.0)
+                escape = np.zeros((len(rest), len(self.languages)))
+                if len(self.escapes[size - 1]):
+                    escape = np.where(context[:, None] >= 0, self.escapes[size - 1][context], 0.0)
             shorter = self.cost(size - 1, rest & np.uint64(2 ** (8 * (size - 1)) - 1))
             bits[missed] = escape + shorter
         return bits

@@ -142,3 +142,15 @@ def test_short_texts_are_learned_and_scored_like_others(documents):
             expected = _lengths(rows, text, order)
             bits = model.lengths([text])[0]
             assert bits == pytest.approx([expected[x] for x in model.languages])
+
+
+def test_texts_longer_than_all_that_was_learned(documents):
+    for learned in (["a"], ["ab", "De."], ["a", "De.", "abcd"]):
+        rows = [(i, text, "de" if i else "en") for i, text in enumerate(learned)]
+        model = ppm_language.learn(documents(rows))
+        for text in ["hello world", "De.", "日本語", "ab"]:
+            expected = _lengths(rows, text, ppm_language.ORDER)
+            bits = model.lengths([text])[0]
+            assert bits == pytest.approx([expected[x] for x in model.languages])
+    got = ppm_language.language_of(documents([(1, "De.", "de"), (3, "Von allen", None)])).collect()
+    assert {r.lang_pred for r in got} == {"de"}
